@@ -19,3 +19,121 @@ _STAGING_DOUBLES = {
 for _name in stg.STAGING:
     register(_name, (lambda n: lambda cat: stg.staged(cat, n))(_name),
              f"SELECT * FROM {_name}", _STAGING_DOUBLES.get(_name, ()))
+
+# ------------------------------------------------------------- tool-1 marts
+from castline.operators import content as ct  # noqa: E402
+from castline.operators import dims as dm  # noqa: E402
+from castline.operators import facts as fx  # noqa: E402
+from castline.operators import marts as mt  # noqa: E402
+from castline.plans import oracle_models as om  # noqa: E402
+
+FULL = (om.FULL_START, om.FULL_END)
+
+
+def S(cat, name):
+    return stg.staged(cat, name)
+
+
+def t1_content(cat):
+    return ct.content_unified_mapped(S(cat, "stg_spotify_episodes"), S(cat, "stg_youtube_videos_json"),
+                                     cat.raw("seed_content_mapping"))
+
+
+def t1_perf(cat):
+    return S(cat, "stg_spotify_daily_performance")
+
+
+def t1_stats(cat):
+    return S(cat, "stg_youtube_daily_stats")
+
+
+register("content_unified_mapped", t1_content, "SELECT * FROM content_unified_mapped")
+register("spotify_per_episode", lambda c: mt.spotify_per_episode(t1_perf(c)),
+         "SELECT * FROM spotify_per_episode", ("avg_listen_seconds",))
+register("youtube_per_video", lambda c: mt.youtube_per_video(t1_stats(c)),
+         "SELECT * FROM youtube_per_video", ("total_watch_minutes", "avg_view_seconds"))
+register("content_performance_join",
+         lambda c: mt.content_performance_join(t1_content(c), mt.spotify_per_episode(t1_perf(c)),
+                                               mt.youtube_per_video(t1_stats(c))),
+         "SELECT * FROM content_performance_join", ("avg_listen_seconds", "total_watch_minutes", "avg_view_seconds"))
+_MCP_D = ("avg_listen_seconds", "total_watch_minutes", "avg_view_seconds", "youtube_like_rate",
+          "spotify_completion_rate")
+register("mart_content_performance", lambda c: mt.mart_content_performance(t1_content(c), t1_perf(c), t1_stats(c)),
+         "SELECT * FROM mart_content_performance", _MCP_D)
+register("spotify_daily", lambda c: mt.spotify_daily(t1_perf(c)), "SELECT * FROM spotify_daily")
+register("youtube_daily", lambda c: mt.youtube_daily(t1_stats(c)), "SELECT * FROM youtube_daily", ("watch_minutes",))
+register("date_spine", lambda c: mt.date_spine(mt.spotify_daily(t1_perf(c)), mt.youtube_daily(t1_stats(c))),
+         "SELECT * FROM date_spine")
+register("mart_daily_metrics", lambda c: mt.mart_daily_metrics(t1_perf(c), t1_stats(c)),
+         "SELECT * FROM mart_daily_metrics", ("youtube_watch_minutes",))
+register("date_spine_join", lambda c: mt.date_spine_join(t1_perf(c), t1_stats(c)),
+         "SELECT * FROM mart_daily_metrics", ("youtube_watch_minutes",))
+register("platform_totals", lambda c: mt.platform_totals(t1_perf(c), t1_stats(c)), "SELECT * FROM platform_totals")
+register("mart_platform_comparison",
+         lambda c: mt.mart_platform_comparison(t1_perf(c), t1_stats(c), S(c, "stg_spotify_show_stats")),
+         "SELECT * FROM mart_platform_comparison", ("avg_daily_consumption",))
+
+
+# ---------------------------------------------------------- tool-2 star
+def t2_content(cat):
+    return ct.int_content_unified(S(cat, "stg_youtube_videos"), S(cat, "stg_twitch_streams"),
+                                  S(cat, "stg_twitter_tweets"), S(cat, "stg_linkedin_posts"))
+
+
+def t2_dim_content(cat):
+    return dm.dim_content(t2_content(cat), dm.dim_platform(dm.platform_seed(cat.spark)))
+
+
+def t2_dim_repo(cat):
+    return dm.dim_repository(S(cat, "stg_github_repos"))
+
+
+def t2_engagement(cat, start=FULL[0], end=FULL[1]):
+    return fx.fact_daily_engagement(S(cat, "stg_youtube_video_metrics"), S(cat, "stg_twitter_tweets"),
+                                    S(cat, "stg_linkedin_posts"), S(cat, "stg_twitch_streams"), start, end)
+
+
+def t2_gh(cat):
+    return S(cat, "stg_github_commits"), S(cat, "stg_github_pull_requests"), S(cat, "stg_github_issues")
+
+
+register("int_content_unified", t2_content, "SELECT * FROM int_content_unified")
+register("union_all_platforms", t2_content, "SELECT * FROM int_content_unified",
+         note="O1: the 4-way UNION ALL is the body of int_content_unified")
+register("dim_content", t2_dim_content, "SELECT * FROM dim_content")
+register("platform_lookup", t2_dim_content, "SELECT * FROM dim_content", note="JN6")
+register("dim_repository", t2_dim_repo, "SELECT * FROM dim_repository")
+for _plat, _fn, _stg in (("youtube", fx.youtube_daily_platform, "stg_youtube_video_metrics"),
+                         ("twitter", fx.twitter_daily_platform, "stg_twitter_tweets"),
+                         ("linkedin", fx.linkedin_daily_platform, "stg_linkedin_posts"),
+                         ("twitch", fx.twitch_daily_platform, "stg_twitch_streams")):
+    # One daily aggregate per platform (NULL dates kept here; A9 drops them).
+    register(f"{_plat}_daily_platform", (lambda f, s: lambda c: f(S(c, s)))(_fn, _stg),
+             f"SELECT * FROM {_plat}_daily_platform")
+register("int_daily_platform_metrics",
+         lambda c: fx.int_daily_platform_metrics(S(c, "stg_youtube_video_metrics"), S(c, "stg_twitter_tweets"),
+                                                 S(c, "stg_linkedin_posts"), S(c, "stg_twitch_streams")),
+         "SELECT * FROM int_daily_platform_metrics", ("avg_engagement_rate",))
+register("fact_daily_engagement", t2_engagement, "SELECT * FROM fact_daily_engagement",
+         ("avg_view_duration_seconds",))
+register("fact_content_performance",
+         lambda c: fx.fact_content_performance(t2_engagement(c), dm.calendar(c.spark), t2_dim_content(c)),
+         "SELECT * FROM fact_content_performance", ("avg_daily_views",))
+register("fact_dim_inner",
+         lambda c: t2_engagement(c).join(dm.calendar(c.spark).select("date_key", "full_date", "year_month"),
+                                         "date_key", "inner"),
+         "SELECT e.*, d.full_date, d.year_month FROM fact_daily_engagement e JOIN dim_date d USING (date_key)",
+         ("avg_view_duration_seconds",), note="JN7")
+register("perf_dim_left",
+         lambda c: fx.fact_content_performance(t2_engagement(c), dm.calendar(c.spark), t2_dim_content(c)),
+         "SELECT * FROM fact_content_performance", ("avg_daily_views",), note="JN8")
+register("commits_daily", lambda c: fx.commits_daily(t2_gh(c)[0], *FULL), "SELECT * FROM commits_daily")
+register("prs_daily", lambda c: fx.prs_daily(t2_gh(c)[1], *FULL), "SELECT * FROM prs_daily")
+register("issues_daily", lambda c: fx.issues_daily(t2_gh(c)[2], *FULL), "SELECT * FROM issues_daily")
+register("full_outer_chain", lambda c: fx.full_outer_chain(*t2_gh(c), *FULL), "SELECT * FROM full_outer_chain")
+register("repo_lookup", lambda c: fx.repo_lookup(fx.full_outer_chain(*t2_gh(c), *FULL), t2_dim_repo(c)),
+         "SELECT * FROM fact_github_activity")
+register("fact_github_activity", lambda c: fx.fact_github_activity(*t2_gh(c), t2_dim_repo(c), *FULL),
+         "SELECT * FROM fact_github_activity")
+register("fact_revenue", lambda c: fx.fact_revenue(S(c, "stg_stripe_charges"), *FULL),
+         "SELECT * FROM fact_revenue", ("amount_dollars",))
