@@ -137,3 +137,98 @@ register("fact_github_activity", lambda c: fx.fact_github_activity(*t2_gh(c), t2
          "SELECT * FROM fact_github_activity")
 register("fact_revenue", lambda c: fx.fact_revenue(S(c, "stg_stripe_charges"), *FULL),
          "SELECT * FROM fact_revenue", ("amount_dollars",))
+
+
+# ------------------------------------------------------------------ reports
+from castline.plans import oracle_reports as orp  # noqa: E402
+from castline.plans import reports as rp  # noqa: E402
+
+
+def mart_content(c):
+    return mt.mart_content_performance(t1_content(c), t1_perf(c), t1_stats(c))
+
+
+def mart_daily(c):
+    return mt.mart_daily_metrics(t1_perf(c), t1_stats(c))
+
+
+def mart_comparison(c):
+    return mt.mart_platform_comparison(t1_perf(c), t1_stats(c), S(c, "stg_spotify_show_stats"))
+
+
+def revenue(c):
+    return fx.fact_revenue(S(c, "stg_stripe_charges"), *FULL)
+
+
+def monthly(c):
+    return rp.monthly_revenue(revenue(c), dm.calendar(c.spark))
+
+
+def activity(c):
+    return fx.fact_github_activity(*t2_gh(c), t2_dim_repo(c), *FULL)
+
+
+def collector(c):
+    return (c.raw("raw_podcasts"), c.raw("raw_podcast_episodes"), c.raw("raw_podcast_episode_metrics"),
+            c.raw("raw_podcast_show_metrics"))
+
+
+def latest(c):
+    p, pe, pem, _ = collector(c)
+    return rp.metrics_latest(pem, pe, p)
+
+
+def summary(c, exact=False):
+    p, pe, pem, psm = collector(c)
+    return rp.performance_summary(p, pe, pem, psm, exact=exact)
+
+
+_R = {
+    "total_streams": (lambda c: rp.total_streams(mart_content(c)), ()),
+    "total_views": (lambda c: rp.total_views(mart_content(c)), ()),
+    "streams_30d": (lambda c: rp.streams_30d(mart_daily(c)), ()),
+    "views_30d": (lambda c: rp.views_30d(mart_daily(c)), ()),
+    "period_comparison": (lambda c: rp.period_comparison(mart_daily(c)), ()),
+    "daily_trend": (lambda c: rp.daily_trend(mart_daily(c)), ()),
+    "top_episodes": (lambda c: rp.top_episodes(mart_content(c)), ()),
+    "top_videos": (lambda c: rp.top_videos(mart_content(c)), ()),
+    "platform_pie": (lambda c: rp.platform_pie(mart_comparison(c)), ()),
+    "content_table": (lambda c: rp.content_table(mart_content(c)), ()),
+    "top_content_30d": (lambda c: rp.top_content_30d(t2_engagement(c), t2_dim_content(c), dm.calendar(c.spark)), ()),
+    "monthly_revenue": (monthly, ("revenue",)),
+    "yoy_self_join": (lambda c: rp.yoy_self_join(monthly(c)), ("revenue", "prior_year_revenue")),
+    "yoy_growth": (lambda c: rp.yoy_growth(monthly(c)), ("current_revenue", "prior_year_revenue", "yoy_growth_pct")),
+    "weekly_platform": (lambda c: rp.weekly_platform(t2_engagement(c), dm.calendar(c.spark)), ("avg_duration",)),
+    "metrics_latest": (latest, ("completion_rate",)),
+    "latest_sorted": (lambda c: rp.latest_sorted(latest(c)), ("completion_rate",)),
+    "performance_summary": (summary, ("avg_completion_rate",)),
+    "summary_sorted": (lambda c: rp.summary_sorted(summary(c)), ("avg_completion_rate",)),
+    "performance_summary_exact": (lambda c: summary(c, exact=True), ("avg_completion_rate",)),
+    "top_podcast_episodes": (lambda c: rp.top_podcast_episodes(c.raw("raw_podcast_episode_metrics"),
+                                                               c.raw("raw_podcast_episodes"), c.raw("raw_podcasts")),
+                             ("avg_completion",)),
+    "comment_stats": (lambda c: rp.comment_stats(c.raw("raw_podcast_comments"), c.raw("raw_podcast_episodes"),
+                                                 c.raw("raw_podcasts")), ("avg_comment_likes",)),
+    "comment_threads": (lambda c: rp.comment_threads(c.raw("raw_podcast_comments"), c.raw("raw_podcast_episodes")),
+                        ()),
+    "failed_runs": (lambda c: rp.failed_runs(c.raw("raw_podcast_scraper_runs")), ()),
+    "views_by_platform_30d": (lambda c: rp.views_by_platform_30d(t2_engagement(c)), ()),
+    "top10_by_engagement": (lambda c: rp.top10_by_engagement(t2_engagement(c)), ()),
+    "views_trend": (lambda c: rp.views_trend(t2_engagement(c)), ()),
+    "platform_share": (lambda c: rp.platform_share(t2_engagement(c)), ("share_pct",)),
+    "monthly_revenue_trend": (lambda c: rp.monthly_revenue_trend(monthly(c)), ("revenue",)),
+    "revenue_by_product": (lambda c: rp.revenue_by_product(revenue(c)), ("revenue",)),
+    "customers_over_time": (lambda c: rp.customers_over_time(S(c, "stg_stripe_customers")), ()),
+    "avg_transaction_value": (lambda c: rp.avg_transaction_value(revenue(c)), ("avg_transaction_value",)),
+    "commits_per_week_by_repo": (lambda c: rp.commits_per_week_by_repo(activity(c)), ()),
+    "pr_merge_rate": (lambda c: rp.pr_merge_rate(activity(c)), ("merge_rate",)),
+    "issue_resolution_time": (lambda c: rp.issue_resolution_time(S(c, "stg_github_issues")), ("avg_hours_to_close",)),
+    "contributor_activity": (lambda c: rp.contributor_activity(S(c, "stg_github_commits")), ()),
+    "engagement_rate_by_platform": (lambda c: rp.engagement_rate_by_platform(
+        fx.int_daily_platform_metrics(S(c, "stg_youtube_video_metrics"), S(c, "stg_twitter_tweets"),
+                                      S(c, "stg_linkedin_posts"), S(c, "stg_twitch_streams"))), ("engagement_rate",)),
+    "publish_frequency": (lambda c: rp.publish_frequency(t2_content(c)), ()),
+    "audience_growth": (lambda c: rp.audience_growth(S(c, "stg_twitter_user_metrics")), ()),
+}
+for _name, (_fn, _dbl) in _R.items():
+    register(_name, _fn, orp.REPORTS[_name], _dbl)

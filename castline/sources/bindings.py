@@ -126,7 +126,8 @@ SELECT cast(event_id AS string) AS id, cast(user_id AS string) AS author_id, cas
        cast(event_id % 3 AS int) AS public_metrics_retweet_count, cast(event_id % 5 AS int) AS public_metrics_reply_count,
        cast(floor(value / 10) AS int) AS public_metrics_like_count, cast(NULL AS int) AS public_metrics_quote_count,
        cast(floor(value) AS int) AS public_metrics_impression_count,
-       ts AS created_at, TIMESTAMP '2024-02-01 02:00:00' AS _airbyte_extracted_at
+       CASE WHEN event_id % 53 = 0 THEN ts - INTERVAL '1600' DAY ELSE ts END AS created_at,
+       TIMESTAMP '2024-02-01 02:00:00' AS _airbyte_extracted_at
 FROM {events} WHERE event_type = 'click'""",
     "raw_twitter_user_metrics": """
 SELECT cast(c_custkey AS string) AS id, c_name AS username, c_name AS name, cast(NULL AS string) AS description,
@@ -270,6 +271,11 @@ SELECT l_partkey AS episode_id, DATE '2024-01-01' + cast(l_orderkey % 30 AS int)
        count(DISTINCT l_suppkey) AS engaged_listeners, count(*) AS views,
        cast(sum(l_linenumber) AS bigint) AS likes, cast(max(l_linenumber) AS bigint) AS comments_count,
        count(DISTINCT l_suppkey) AS downloads, avg(l_discount) * 100 AS completion_rate,
+       concat('[{{"country":"US","count":', cast(count(*) AS string), '}},{{"country":"DE","count":',
+              cast(count(DISTINCT l_orderkey) AS string), '}}]') AS top_countries,
+       concat('[{{"city":"Berlin","count":', cast(sum(l_linenumber) AS string), '}}]') AS top_cities,
+       concat('{{"mobile":', cast(sum(l_linenumber) AS string), ',"desktop":', cast(count(*) AS string),
+              ',"tablet":', cast(max(l_linenumber) AS string), '}}') AS device_breakdown,
        TIMESTAMP '2024-02-01 02:00:00' AS created_at, TIMESTAMP '2024-02-01 02:00:00' AS updated_at
 FROM {lineitem} GROUP BY 1, 2""",
     "raw_podcast_show_metrics": """
