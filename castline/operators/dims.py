@@ -43,6 +43,15 @@ def gen_dim_date(spark: SparkSession, start=CALENDAR_START, end=CALENDAR_END,
     return calendar_attributes(days, "full_date", fiscal_start_month)
 
 
+def calendar_for(bounds: DataFrame, start_col: str = "start", end_col: str = "end",
+                 fiscal_start_month: int = 7) -> DataFrame:
+    """S3 with a data-derived range: ``bounds`` is a one-row aggregate
+    (e.g. min/max of an activity date); its days are exploded on an executor."""
+    days = bounds.select(F.explode(F.sequence(col(start_col).cast("date"), col(end_col).cast("date"),
+                                              F.expr("interval 1 day"))).alias("full_date"))
+    return calendar_attributes(days, "full_date", fiscal_start_month)
+
+
 def calendar_attributes(days: DataFrame, d: str = "full_date", fiscal_start_month: int = 7) -> DataFrame:
     x = col(d)
     return days.select(

@@ -301,3 +301,32 @@ def rounded(select_from: str, doubles: list[str] | tuple[str, ...] = ()) -> str:
         return f"SELECT * FROM {select_from}"
     rep = ", ".join(f"round({d}, 6) AS {d}" for d in doubles)
     return f"SELECT * REPLACE ({rep}) FROM {select_from}"
+
+
+def upsert_sql(target: str, batch: str, cols: list[str], keys: list[str], update: list[str],
+               order: list[str] | None = None) -> str:
+    """Oracle form of the keyed upsert (latest batch row per key wins)."""
+    c = ", ".join(cols)
+    k = ", ".join(keys)
+    if order:
+        o = ", ".join(f"{x} DESC" for x in order)
+        b = f"SELECT {c} FROM (SELECT *, row_number() OVER (PARTITION BY {k} ORDER BY {o}) AS _rn FROM {batch}) z WHERE _rn = 1"
+    else:
+        b = f"SELECT {c} FROM {batch}"
+    on = " AND ".join(f"t.{x} = b.{x}" for x in keys)
+    sel = ", ".join(f"b.{x}" if (x in keys or x in update) else f"CASE WHEN t.{keys[0]} IS NOT NULL THEN t.{x} ELSE b.{x} END AS {x}"
+                    for x in cols)
+    return (f"WITH b AS ({b})\n"
+            f"SELECT {c} FROM {target} t WHERE NOT EXISTS (SELECT 1 FROM b WHERE {on})\n"
+            f"UNION ALL\nSELECT {sel} FROM b LEFT JOIN {target} t ON {on}")
+
+
+def insert_if_absent_sql(target: str, batch: str, cols: list[str], keys: list[str], order: list[str]) -> str:
+    c = ", ".join(cols)
+    k = ", ".join(keys)
+    o = ", ".join(order)
+    on = " AND ".join(f"t.{x} = b.{x}" for x in keys)
+    return (f"WITH b AS (SELECT {c} FROM (SELECT *, row_number() OVER (PARTITION BY {k} ORDER BY {o}) AS _rn "
+            f"FROM {batch}) z WHERE _rn = 1)\n"
+            f"SELECT {c} FROM {target}\nUNION ALL\n"
+            f"SELECT {c} FROM b WHERE NOT EXISTS (SELECT 1 FROM {target} t WHERE {on})")

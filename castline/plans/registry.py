@@ -60,6 +60,8 @@ def run(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def _load() -> None:
     # Import modules that populate REGISTRY (kept here to avoid import cycles).
     from castline.plans import queries  # noqa: F401
+    from castline.plans import queries_ops  # noqa: F401
+    from castline.plans import queries_landing  # noqa: F401
 
 
 _load()

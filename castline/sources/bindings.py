@@ -29,7 +29,7 @@ BINDINGS: dict[str, str] = {
     "raw_spotify_episodes": """
 SELECT concat('e', cast(p_partkey AS string)) AS id, p_name AS name, p_type AS description,
        DATE '2024-01-01' + cast(p_partkey % 28 AS int) AS release_date,
-       cast(p_retailprice * 1000 AS int) AS duration_ms, p_size % 2 = 0 AS explicit,
+       cast(round(p_retailprice * 1000) AS int) AS duration_ms, p_size % 2 = 0 AS explicit,
        concat('spotify:episode:', cast(p_partkey AS string)) AS uri,
        concat('{{"spotify":"https://open.example/', cast(p_partkey AS string), '"}}') AS external_urls,
        TIMESTAMP '2024-02-01 02:00:00' AS _airbyte_extracted_at
@@ -282,7 +282,7 @@ FROM {lineitem} GROUP BY 1, 2""",
 SELECT o_custkey % (SELECT count(*) FROM {supplier}) AS podcast_id,
        DATE '2024-01-01' + cast(o_orderkey % 30 AS int) AS metric_date,
        count(*) AS followers_total, count(DISTINCT o_custkey) AS subscribers_total,
-       cast(sum(o_totalprice) AS bigint) AS total_plays,
+       sum(cast(round(o_totalprice) AS bigint)) AS total_plays,
        TIMESTAMP '2024-02-01 02:00:00' AS created_at, TIMESTAMP '2024-02-01 02:00:00' AS updated_at
 FROM {orders} GROUP BY 1, 2""",
     "raw_podcast_comments": """
@@ -302,6 +302,88 @@ SELECT event_id AS id,
 FROM {events}""",
 }
 
+# --------------------------------------------------------- upsert batches
+# Re-collected rows for existing keys (some keys twice, the later version
+# must win) plus brand-new keys, shaped exactly like their target tables.
+_PODCAST_COLS = """s_suppkey{off} AS id, concat('show ', cast(s_nationkey AS string), '{tag}') AS show_name,
+       CASE s_suppkey % 4 WHEN 0 THEN 'apple_podcasts' WHEN 1 THEN 'spotify' WHEN 2 THEN 'amazon_music' ELSE 'youtube' END AS platform,
+       concat('{pfx}', cast(s_suppkey AS string)) AS platform_id, concat('about ', s_name) AS description,
+       s_name AS author, '["tech"]' AS categories, 'en' AS language,
+       TIMESTAMP '{ts}' AS created_at, TIMESTAMP '{ts}' AS updated_at
+FROM {{supplier}}"""
+
+BINDINGS["batch_podcasts"] = (
+    "\nSELECT " + _PODCAST_COLS.format(off="", tag=" v2", pfx="p", ts="2024-02-01 00:00:00")
+    + " WHERE s_nationkey % 2 = 0\nUNION ALL\nSELECT "
+    + _PODCAST_COLS.format(off="", tag=" v3", pfx="p", ts="2024-02-02 00:00:00")
+    + " WHERE s_nationkey % 4 = 0\nUNION ALL\nSELECT "
+    + _PODCAST_COLS.format(off=" + 1000000000", tag="", pfx="q", ts="2024-02-01 00:00:00")
+    + " WHERE s_nationkey % 5 = 0")
+
+BINDINGS["batch_podcast_episodes"] = """
+SELECT p_partkey AS id, p_partkey % (SELECT count(*) FROM {supplier}) AS podcast_id,
+       concat(p_name, ' (remastered)') AS episode_title, concat('pe', cast(p_partkey AS string)) AS platform_episode_id,
+       concat('new: ', p_type) AS description, p_size * 61 AS duration_seconds,
+       cast(DATE '2023-12-01' + cast(p_partkey % 60 AS int) AS timestamp) AS publish_date,
+       cast(1 AS int) AS season_number, cast(p_partkey % 100 AS int) AS episode_number,
+       TIMESTAMP '2024-02-01 00:00:00' AS created_at, TIMESTAMP '2024-02-01 00:00:00' AS updated_at
+FROM {part} WHERE p_size > 25
+UNION ALL
+SELECT p_partkey + 1000000000, p_partkey % (SELECT count(*) FROM {supplier}), concat(p_name, ' bonus'),
+       concat('pb', cast(p_partkey AS string)), p_type, p_size * 30,
+       cast(DATE '2024-01-15' AS timestamp), cast(2 AS int), cast(1 AS int),
+       TIMESTAMP '2024-02-01 00:00:00', TIMESTAMP '2024-02-01 00:00:00'
+FROM {part} WHERE p_size = 1"""
+
+BINDINGS["batch_episode_metrics"] = """
+SELECT l_partkey AS episode_id, DATE '2024-01-01' + cast(l_orderkey % 31 AS int) AS metric_date,
+       cast(sum(l_quantity) AS bigint) + 7 AS plays, count(DISTINCT l_orderkey) AS listeners,
+       count(DISTINCT l_suppkey) AS engaged_listeners, count(*) + 1 AS views,
+       cast(sum(l_linenumber) AS bigint) AS likes, cast(max(l_linenumber) AS bigint) AS comments_count,
+       count(DISTINCT l_suppkey) AS downloads, avg(l_tax) * 100 AS completion_rate,
+       '[]' AS top_countries, '[]' AS top_cities, '{{}}' AS device_breakdown,
+       TIMESTAMP '2024-02-02 02:00:00' AS created_at, TIMESTAMP '2024-02-02 02:00:00' AS updated_at
+FROM {lineitem} WHERE l_orderkey % 31 >= 23 GROUP BY 1, 2"""
+
+BINDINGS["batch_show_metrics"] = """
+SELECT o_custkey % (SELECT count(*) FROM {supplier}) AS podcast_id,
+       DATE '2024-01-01' + cast(o_orderkey % 31 AS int) AS metric_date,
+       count(*) + 100 AS followers_total, count(DISTINCT o_custkey) AS subscribers_total,
+       sum(cast(round(o_totalprice) AS bigint)) AS total_plays,
+       TIMESTAMP '2024-02-02 02:00:00' AS created_at, TIMESTAMP '2024-02-02 02:00:00' AS updated_at
+FROM {orders} WHERE o_orderkey % 31 >= 23 GROUP BY 1, 2"""
+
+# Comments re-sent (ignored: already present) plus replies not seen before.
+BINDINGS["batch_comments"] = """
+SELECT conv_id AS episode_id, concat(cast(conv_id AS string), '-', cast(turn AS string)) AS platform_comment_id,
+       role AS author_name, concat('a', role) AS author_id, concat('edited: ', text) AS comment_text,
+       cast(length(text) % 89 AS int) AS likes_count, cast(1 AS int) AS reply_count,
+       cast(NULL AS string) AS parent_platform_comment_id,
+       cast(DATE '2024-01-10' AS timestamp) AS published_at
+FROM {conversations} WHERE turn % 2 = 0
+UNION ALL
+SELECT conv_id, concat(cast(conv_id AS string), '-', cast(turn AS string), 'r'), 'user', 'auser',
+       concat('reply to ', cast(turn AS string)), cast(turn AS int), cast(0 AS int),
+       concat(cast(conv_id AS string), '-', cast(turn AS string)), cast(DATE '2024-01-11' AS timestamp)
+FROM {conversations} WHERE role = 'assistant'"""
+
+BINDINGS["raw_podcast_runs_started"] = """
+SELECT event_id AS id,
+       CASE event_id % 4 WHEN 0 THEN 'apple_podcasts' WHEN 1 THEN 'spotify' WHEN 2 THEN 'amazon_music' ELSE 'youtube' END AS platform,
+       ts AS run_started_at, cast(NULL AS timestamp) AS run_completed_at, 'running' AS status,
+       cast(0 AS int) AS episodes_processed, cast(0 AS int) AS metrics_collected,
+       cast(NULL AS string) AS error_message, ts AS created_at
+FROM {events}"""
+
+BINDINGS["batch_run_updates"] = """
+SELECT event_id AS id,
+       CASE event_id % 4 WHEN 0 THEN 'apple_podcasts' WHEN 1 THEN 'spotify' WHEN 2 THEN 'amazon_music' ELSE 'youtube' END AS platform,
+       ts AS run_started_at, ts + INTERVAL '5' MINUTE AS run_completed_at,
+       CASE WHEN event_type = 'error' THEN 'failed' ELSE 'completed' END AS status,
+       cast(user_id % 20 AS int) AS episodes_processed, cast(floor(value) AS int) AS metrics_collected,
+       CASE WHEN event_type = 'error' THEN props END AS error_message, ts + INTERVAL '5' MINUTE AS created_at
+FROM {events} WHERE event_id % 3 <> 0"""
+
 _PLACEHOLDER = re.compile(r"\{(\w+)\}")
 
 
