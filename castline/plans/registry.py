@@ -54,14 +54,14 @@ def finalize(df: DataFrame) -> DataFrame:
 
 
 def run(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    load()
     return finalize(REGISTRY[name].build(TestdataCatalog(spark, sf_dir)))
 
 
-def _load() -> None:
-    # Import modules that populate REGISTRY (kept here to avoid import cycles).
+def load() -> dict[str, Entry]:
+    """Import the modules that populate REGISTRY (idempotent, lazy to avoid
+    import cycles) and return it."""
     from castline.plans import queries  # noqa: F401
-    from castline.plans import queries_ops  # noqa: F401
     from castline.plans import queries_landing  # noqa: F401
-
-
-_load()
+    from castline.plans import queries_ops  # noqa: F401
+    return REGISTRY
