@@ -116,59 +116,133 @@ def lookback_window(df: DataFrame, date_col: str, as_of: str, days: int = 30) ->
 
 
 # S13 -----------------------------------------------------------------------
-def plan_intervals(start: str, end: str, batch_days: int = 30) -> list[tuple[str, str]]:
-    """[start, end] split into inclusive day ranges of ``batch_days``."""
+def plan_intervals(start: str, end: str, batch_days: int = 30, align: str | None = None) -> list[tuple[str, str]]:
+    """[start, end] split into inclusive day ranges of ``batch_days``, or into
+    calendar months (``align="month"``) for month-partitioned tables, so a
+    batch always covers whole partitions."""
     s, e = dt.date.fromisoformat(start), dt.date.fromisoformat(end)
     out = []
     while s <= e:
-        stop = min(s + dt.timedelta(days=batch_days - 1), e)
+        if align == "month":
+            nxt = (s.replace(day=1) + dt.timedelta(days=32)).replace(day=1)
+            stop = min(nxt - dt.timedelta(days=1), e)
+        else:
+            stop = min(s + dt.timedelta(days=batch_days - 1), e)
         out.append((s.isoformat(), stop.isoformat()))
         s = stop + dt.timedelta(days=1)
     return out
 
 
+def month_of(c) -> "Column":  # noqa: F821
+    """Partition value of a month-partitioned table: ``yyyy-MM``."""
+    return F.date_format(c, "yyyy-MM")
+
+
 def intervals_with_data(dates: DataFrame, date_col: str, start: str, end: str,
-                        batch_days: int = 30) -> list[tuple[str, str]]:
+                        batch_days: int = 30, align: str | None = None) -> list[tuple[str, str]]:
     """The planned intervals that contain at least one source date.
 
-    One aggregate returns the distinct batch numbers present (at most one
-    per interval of the range — a bounded result), so empty months are
-    skipped without scanning them."""
+    One aggregate returns the distinct batch ids present (at most one per
+    interval of the range — a bounded result), so empty batches are skipped
+    without running them."""
     base = dt.date.fromisoformat(start)
-    idx = F.floor(F.datediff(col(date_col).cast("date"), F.lit(start).cast("date")) / batch_days).cast("int")
-    present = {r[0] for r in dates.where(col(date_col).cast("date").between(F.lit(start).cast("date"),
-                                                                             F.lit(end).cast("date")))
+    d = col(date_col).cast("date")
+    if align == "month":
+        idx = month_of(d)
+    else:
+        idx = F.floor(F.datediff(d, F.lit(start).cast("date")) / batch_days).cast("int")
+    present = {r[0] for r in dates.where(d.between(F.lit(start).cast("date"), F.lit(end).cast("date")))
                .select(idx.alias("b")).distinct().collect()}
     out = []
-    for s, e in plan_intervals(start, end, batch_days):
-        if (dt.date.fromisoformat(s) - base).days // batch_days in present:
+    for s, e in plan_intervals(start, end, batch_days, align):
+        key = s[:7] if align == "month" else (dt.date.fromisoformat(s) - base).days // batch_days
+        if key in present:
             out.append((s, e))
     return out
 
 
+def group_intervals(intervals: list[tuple[str, str]], max_days: int) -> list[tuple[str, str]]:
+    """Merge adjacent planned batches into jobs of at most ``max_days`` days.
+
+    Batches stay the unit of planning (and of a daily incremental run), but a
+    backfill of many adjacent batches runs as a few large jobs instead of one
+    full source scan per 30 days."""
+    jobs: list[tuple[str, str]] = []
+    for s, e in intervals:
+        if jobs:
+            js, je = jobs[-1]
+            adjacent = dt.date.fromisoformat(je) + dt.timedelta(days=1) == dt.date.fromisoformat(s)
+            span = (dt.date.fromisoformat(e) - dt.date.fromisoformat(js)).days + 1
+            if adjacent and span <= max_days:
+                jobs[-1] = (js, e)
+                continue
+        jobs.append((s, e))
+    return jobs
+
+
+def _drop_stale_partitions(spark: SparkSession, path: str, partition_col: str, start: str, end: str,
+                           keep: set[str]) -> None:
+    """Delete ``partition_col=<v>`` folders with start <= v <= end that the
+    new output did not produce (a re-computed day that became empty)."""
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(root):
+        return
+    prefix = f"{partition_col}="
+    for status in fs.listStatus(root):
+        name = status.getPath().getName()
+        if status.isDirectory() and name.startswith(prefix):
+            value = name[len(prefix):]
+            if start <= value <= end and value not in keep:
+                fs.delete(status.getPath(), True)
+
+
 def incremental_by_time_range(spark: SparkSession, build: Callable[[str, str], DataFrame], path: str,
                               partition_col: str, start: str, end: str, batch_days: int = 30,
-                              intervals: list[tuple[str, str]] | None = None) -> list[tuple[str, str]]:
-    """Recompute [start, end] in batches and replace exactly those days.
+                              intervals: list[tuple[str, str]] | None = None,
+                              max_days_per_job: int = 3660, align: str | None = None) -> list[tuple[str, str]]:
+    """Recompute [start, end] in 30-day batches and replace exactly those days.
+
+    Semantics of a time-range rebuild: after the run, the table's days in the
+    range are exactly the recomputed output.  Each job writes with dynamic
+    partition overwrite (only produced days are replaced, atomically per day)
+    and then drops the range's days that produced no rows, so re-running a
+    batch — after a failure or for late data — is idempotent.  The distinct
+    output days (bounded by the days in the range) are read from the
+    persisted job output; executors that are lost recompute it from lineage."""
+    from pyspark import StorageLevel
 
-    Each batch is one job writing with dynamic partition overwrite: only the
-    day partitions present in the batch output are replaced, so re-running a
-    batch (after a failure, or to correct late data) is idempotent."""
     spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    planned = intervals if intervals is not None else plan_intervals(start, end, batch_days, align)
     done = []
-    for s, e in (intervals if intervals is not None else plan_intervals(start, end, batch_days)):
-        build(s, e).write.mode("overwrite").partitionBy(partition_col).parquet(path)
+    for s, e in group_intervals(planned, max_days_per_job):
+        out = build(s, e).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            days = {str(r[0]) for r in out.select(partition_col).distinct().collect()}
+            partitioned_write(out, partition_col).mode("overwrite").parquet(path)
+            lo, hi = (s[:7], e[:7]) if align == "month" else (s, e)
+            _drop_stale_partitions(spark, path, partition_col, lo, hi, days)
+        finally:
+            out.unpersist()
         done.append((s, e))
     return done
 
 
+def partitioned_write(df: DataFrame, *partition_cols: str):
+    """A writer partitioned by ``partition_cols`` whose input is first
+    rebalanced on them: AQE then coalesces small day partitions into few
+    files and splits a skewed (hot) day across several tasks, instead of every
+    task writing a small file into every day folder."""
+    return df.hint("rebalance", *partition_cols).write.partitionBy(*partition_cols)
+
+
 # S4 / S14 ------------------------------------------------------------------
 def full_rebuild(df: DataFrame, path: str, partition_by: Iterable[str] = ()) -> str:
     """Replace the table with a freshly computed version (kind FULL)."""
-    w = df.write.mode("overwrite")
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.parquet(path)
+    partition_by = list(partition_by)
+    w = partitioned_write(df, *partition_by) if partition_by else df.write
+    w.mode("overwrite").parquet(path)
     return path
 
 
@@ -205,8 +279,8 @@ def upsert_table(spark: SparkSession, path: str, batch: DataFrame, keys: list[st
         target = spark.read.parquet(path)
     except Exception:  # noqa: BLE001 - first load
         b = dedupe_latest(batch, keys, order) if order else batch
-        w = b.write.mode("overwrite")
-        (w.partitionBy(partition_col) if partition_col else w).parquet(path)
+        w = partitioned_write(b, partition_col) if partition_col else b.write
+        w.mode("overwrite").parquet(path)
         return path
     batch = batch.select(*target.columns)
     if partition_col:
@@ -214,11 +288,11 @@ def upsert_table(spark: SparkSession, path: str, batch: DataFrame, keys: list[st
         target = target.join(F.broadcast(touched) if broadcast_rows else touched, partition_col, "left_semi")
     merged = upsert(target, batch, keys, update_cols, order, broadcast_rows)
     stage = scratch_path(spark, "upsert-stage")
-    w = merged.write.mode("overwrite")
-    (w.partitionBy(partition_col) if partition_col else w).parquet(stage)
-    staged = spark.read.parquet(stage)
-    w = staged.select(*target.columns).write.mode("overwrite")
-    (w.partitionBy(partition_col) if partition_col else w).parquet(path)
+    w = partitioned_write(merged, partition_col) if partition_col else merged.write
+    w.mode("overwrite").parquet(stage)
+    staged = spark.read.parquet(stage).select(*target.columns)
+    w = partitioned_write(staged, partition_col) if partition_col else staged.write
+    w.mode("overwrite").parquet(path)
     return path
 
 

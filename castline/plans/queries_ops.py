@@ -197,3 +197,19 @@ register("gen_dim_date", _gen_dim_date,
          "SELECT * EXCLUDE (year_quarter, year_month, fiscal_year_quarter) REPLACE (cast(is_weekend AS int) AS is_weekend) "
          f"FROM ({_GEN_SQL}) g")
 register("dim_date", lambda c: dm.dim_date(_gen_dim_date(c)), f"SELECT * FROM ({_GEN_SQL}) g")
+
+
+# -------------------------------------------------------------- full build
+def _warehouse_build(c):
+    from castline.plans import build as bd
+    paths = bd.build_warehouse(c.spark, c, scratch_path(c.spark, "warehouse"), *FULL)
+    return bd.build_summary(c.spark, paths)
+
+
+def _build_oracle() -> str:
+    from castline.plans.build import MODELS
+    return "\nUNION ALL\n".join(f"SELECT '{m}' AS model, count(*) AS row_count FROM {m}" for m in MODELS)
+
+
+register("warehouse_build", _warehouse_build, _build_oracle(),
+         note="S13/S14 end to end: every model materialised, facts incrementally")

@@ -115,3 +115,27 @@ def test_runner_blocks_on_failure_and_passes_clean_data(spark):
         au.enforce(res, checks)
     clean = spark.createDataFrame([(1, "a", 1, 20240101)], _dirty(spark).schema)
     assert au.enforce(au.audit_runner({"t": clean}, checks), checks) == []
+
+
+def test_plan_intervals_month_aligned_and_grouping():
+    ivals = mn.plan_intervals("2024-01-15", "2024-03-10", align="month")
+    assert ivals == [("2024-01-15", "2024-01-31"), ("2024-02-01", "2024-02-29"), ("2024-03-01", "2024-03-10")]
+    assert mn.group_intervals(ivals, 50) == [("2024-01-15", "2024-02-29"), ("2024-03-01", "2024-03-10")]
+    assert mn.group_intervals([("2024-01-01", "2024-01-30"), ("2024-03-01", "2024-03-30")], 999) == \
+        [("2024-01-01", "2024-01-30"), ("2024-03-01", "2024-03-30")]   # not adjacent: separate jobs
+
+
+def test_rebuilding_a_range_drops_days_that_became_empty(spark, tmp_path):
+    path = str(tmp_path / "f")
+    d = [dt.date(2024, 1, i) for i in (1, 2, 3)]
+    src = {"rows": [(1, d[0]), (2, d[1]), (3, d[2])]}
+
+    def build(s, e):
+        df = spark.createDataFrame(src["rows"], "v int, day date")
+        return df.where(F.col("day").between(F.lit(s).cast("date"), F.lit(e).cast("date")))
+
+    mn.incremental_by_time_range(spark, build, path, "day", "2024-01-01", "2024-01-03", 30)
+    src["rows"] = [(1, d[0]), (3, d[2])]       # day 2 lost its only row (late delete)
+    mn.incremental_by_time_range(spark, build, path, "day", "2024-01-01", "2024-01-03", 30)
+    out = spark.read.parquet(path).select("v", F.col("day").cast("date"))
+    assert rows(out) == [(1, d[0]), (3, d[2])]
