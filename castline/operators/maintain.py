@@ -81,18 +81,23 @@ def upsert(target: DataFrame, batch: DataFrame, keys: Iterable[str], update_cols
 
 
 # S11 -----------------------------------------------------------------------
+def first_rows(df: DataFrame, keys: list[str], order: list[str] | None) -> DataFrame:
+    """One row per key: the smallest ``order`` tuple (first arrival), via a
+    partially aggregated ``min_by``; without an order, any one row."""
+    if not order:
+        return df.dropDuplicates(keys)
+    rest = [c for c in df.columns if c not in keys]
+    first = F.min_by(F.struct(*[col(c) for c in rest]), F.struct(*[col(c) for c in order]))
+    return df.groupBy(*keys).agg(first.alias("_r")).select(*keys, *[col(f"_r.{c}").alias(c) for c in rest])
+
+
+
 def insert_if_absent(target: DataFrame, batch: DataFrame, keys: Iterable[str],
                      order: Iterable[str] | None = None, broadcast_rows: int | None = None) -> DataFrame:
     """``INSERT … ON CONFLICT DO NOTHING``: existing keys are never modified;
     within the batch the first row per key (smallest ``order``) is kept."""
     keys = list(keys)
-    b = batch.select(*target.columns)
-    if order:
-        rest = [c for c in b.columns if c not in keys]
-        first = F.min_by(F.struct(*[col(c) for c in rest]), F.struct(*[col(c) for c in order]))
-        b = b.groupBy(*keys).agg(first.alias("_r")).select(*keys, *[col(f"_r.{c}").alias(c) for c in rest])
-    else:
-        b = b.dropDuplicates(keys)
+    b = first_rows(batch.select(*target.columns), keys, order)
     t_keys = target.select(*keys)
     new = b.join(t_keys, keys, "left_anti")
     return target.unionByName(new.select(*target.columns))
@@ -298,14 +303,15 @@ def upsert_table(spark: SparkSession, path: str, batch: DataFrame, keys: list[st
 
 def insert_if_absent_table(spark: SparkSession, path: str, batch: DataFrame, keys: list[str],
                            order: list[str] | None = None) -> str:
-    """Append only the batch rows whose key is absent from the table."""
+    """Append only the batch rows whose key is absent from the table
+    (existing rows are never rewritten: one anti-join, one append)."""
     try:
         target = spark.read.parquet(path)
-    except Exception:  # noqa: BLE001
-        b = batch.dropDuplicates(keys)
-        b.write.mode("overwrite").parquet(path)
+    except Exception:  # noqa: BLE001 - first load
+        target = None
+    if target is None:
+        first_rows(batch, keys, order).write.mode("overwrite").parquet(path)
         return path
-    merged_new = insert_if_absent(target.limit(0), batch, keys, order)
-    new = merged_new.join(target.select(*keys), keys, "left_anti").select(*target.columns)
-    new.write.mode("append").parquet(path)
+    new = first_rows(batch.select(*target.columns), keys, order).join(target.select(*keys), keys, "left_anti")
+    new.select(*target.columns).write.mode("append").parquet(path)
     return path

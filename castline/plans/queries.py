@@ -48,6 +48,11 @@ def t1_stats(cat):
 
 
 register("content_unified_mapped", t1_content, "SELECT * FROM content_unified_mapped")
+register("union_all_mapped", t1_content, "SELECT * FROM content_unified_mapped",
+         note="O2: UNION ALL of the mapped branch and the two filtered unmapped branches")
+register("src_table", lambda c: c.source("spotify", "episode_performance"),
+         "SELECT * FROM raw_spotify_episode_performance", ("avg_listen_seconds",),
+         note="S1: raw table resolved by (system, table)")
 register("spotify_per_episode", lambda c: mt.spotify_per_episode(t1_perf(c)),
          "SELECT * FROM spotify_per_episode", ("avg_listen_seconds",))
 register("youtube_per_video", lambda c: mt.youtube_per_video(t1_stats(c)),

@@ -158,14 +158,22 @@ _SUM_NAMES = {"plays": "total_plays", "listeners": "total_listeners", "views": "
               "downloads": "total_downloads", "comments_count": "total_comments", "likes": "total_likes"}
 
 
+def _per_episode(pem: DataFrame, as_of: str, days: int) -> DataFrame:
+    """Metrics in the look-back window pre-aggregated per episode (map-side
+    partial aggregation), so every later join sees one row per episode."""
+    return (pem.where(_since("metric_date", as_of, days)).groupBy("episode_id").agg(
+        *[F.sum(c).alias(c) for c in _SUMS],
+        F.sum("completion_rate").alias("cr_sum"), F.count("completion_rate").alias("cr_cnt")))
+
+
 def _per_podcast(pem: DataFrame, pe: DataFrame, psm: DataFrame, as_of: str, days: int):
     e = pe.select(col("id").alias("e_id"), col("podcast_id"))
-    em = (pem.where(_since("metric_date", as_of, days))
+    em = (_per_episode(pem, as_of, days)
           .join(e, col("episode_id") == col("e_id"), "inner")
           .groupBy("podcast_id").agg(
-              F.countDistinct("e_id").alias("n_episodes"),
+              F.count(F.lit(1)).alias("n_episodes"),          # one row per episode with metrics
               *[F.sum(c).alias(c) for c in _SUMS],
-              F.sum("completion_rate").alias("cr_sum"), F.count("completion_rate").alias("cr_cnt")))
+              F.sum("cr_sum").alias("cr_sum"), F.sum("cr_cnt").alias("cr_cnt")))
     sm = psm.groupBy(col("podcast_id").alias("s_podcast_id")).agg(
         F.count(F.lit(1)).alias("n_show_rows"), F.max("followers_total").alias("max_followers"),
         F.max("subscribers_total").alias("max_subscribers"))
@@ -200,27 +208,32 @@ def performance_summary(p: DataFrame, pe: DataFrame, pem: DataFrame, psm: DataFr
 
 
 def top_podcast_episodes(pem: DataFrame, pe: DataFrame, p: DataFrame, as_of: str = AS_OF, k: int = 10) -> DataFrame:
-    """Top episodes by plays over 30 days."""
+    """Top episodes by plays over 30 days (metrics pre-aggregated per
+    episode before the joins; the average is carried as sum and count)."""
     e = pe.select(col("id").alias("e_id"), "podcast_id", "episode_title")
     s = p.select(col("id").alias("p_id"), "platform")
-    return (pem.where(_since("metric_date", as_of, 30))
+    return (_per_episode(pem, as_of, 30)
             .join(e, col("episode_id") == col("e_id"), "inner")
             .join(s, col("podcast_id") == col("p_id"), "inner")
             .groupBy("platform", "episode_title")
             .agg(F.sum("plays").alias("total_plays"), F.sum("views").alias("total_views"),
-                 F.avg("completion_rate").alias("avg_completion"))
+                 (F.sum("cr_sum") / F.sum("cr_cnt")).alias("avg_completion"))
             .orderBy(col("total_plays").desc(), col("platform").asc(), col("episode_title").asc())
             .limit(k))
 
 
 def comment_stats(comments: DataFrame, pe: DataFrame, p: DataFrame, platform: str = "youtube") -> DataFrame:
-    """Comments and average likes per episode title, one platform."""
+    """Comments and average likes per episode title, one platform
+    (comments pre-aggregated per episode before the joins)."""
+    per_ep = comments.groupBy("episode_id").agg(F.count(F.lit(1)).alias("n"), F.sum("likes_count").alias("likes"),
+                                                F.count("likes_count").alias("likes_n"))
     e = pe.select(col("id").alias("e_id"), "podcast_id", "episode_title")
     s = p.where(col("platform") == platform).select(col("id").alias("p_id"))
-    return (comments.join(e, col("episode_id") == col("e_id"), "inner")
+    return (per_ep.join(e, col("episode_id") == col("e_id"), "inner")
             .join(s, col("podcast_id") == col("p_id"), "left_semi")
             .groupBy("episode_title")
-            .agg(F.count(F.lit(1)).alias("comment_count"), F.avg("likes_count").alias("avg_comment_likes"))
+            .agg(F.sum("n").alias("comment_count"),
+                 (F.sum("likes").cast("double") / F.sum("likes_n")).alias("avg_comment_likes"))
             .orderBy(col("comment_count").desc(), col("episode_title").asc()))
 
 
