@@ -55,21 +55,37 @@ def _maybe_broadcast(df: DataFrame, max_rows: int | None) -> DataFrame:
 
 
 # S7-S10 --------------------------------------------------------------------
+def collapse_batch(batch: DataFrame, keys: list[str], update_cols: list[str], order: list[str]) -> DataFrame:
+    """A batch with repeated keys as the sequence of ``ON CONFLICT`` upserts
+    would leave it: updated columns from the latest row, the other columns
+    (``created_at``, ids) from the first row that inserted the key.  Both
+    picks are partial aggregates in one ``groupBy``."""
+    rest = [c for c in batch.columns if c not in keys]
+    kept = [c for c in rest if c not in update_cols]
+    o = F.struct(*[col(c) for c in order])
+    aggs = [F.max_by(F.struct(*[col(c) for c in rest]), o).alias("_last")]
+    if kept:
+        aggs.append(F.min_by(F.struct(*[col(c) for c in kept]), o).alias("_first"))
+    return batch.groupBy(*keys).agg(*aggs).select(
+        *keys, *[col(f"_first.{c}" if c in kept else f"_last.{c}").alias(c) for c in rest])
+
+
+
 def upsert(target: DataFrame, batch: DataFrame, keys: Iterable[str], update_cols: Iterable[str],
            order: Iterable[str] | None = None, broadcast_rows: int | None = None) -> DataFrame:
     """Insert-or-update ``batch`` into ``target`` on ``keys``.
 
     Matched rows take ``update_cols`` from the batch and keep every other
     column (e.g. ``created_at``, the surrogate ``id``) from the target; new keys
-    take all columns from the batch.  Duplicate keys inside the batch: the
-    greatest ``order`` wins (``ON CONFLICT`` would apply them in sequence, the
-    last one surviving).  Idempotent: upsert(upsert(t, b), b) == upsert(t, b).
+    take all columns from the batch.  Duplicate keys inside the batch behave
+    like the sequence of ``ON CONFLICT`` statements (see
+    :func:`collapse_batch`).  Idempotent: upsert(upsert(t, b), b) == upsert(t, b).
     """
     keys, update_cols = list(keys), list(update_cols)
     cols = target.columns
     b = batch.select(*cols)
     if order:
-        b = dedupe_latest(b, keys, order)
+        b = collapse_batch(b, keys, update_cols, list(order))
     b = _maybe_broadcast(b, broadcast_rows)
     untouched = target.join(b.select(*keys), keys, "left_anti")
     kept = [c for c in cols if c not in keys and c not in update_cols]
@@ -283,7 +299,7 @@ def upsert_table(spark: SparkSession, path: str, batch: DataFrame, keys: list[st
     try:
         target = spark.read.parquet(path)
     except Exception:  # noqa: BLE001 - first load
-        b = dedupe_latest(batch, keys, order) if order else batch
+        b = collapse_batch(batch, keys, update_cols, order) if order else batch
         w = partitioned_write(b, partition_col) if partition_col else b.write
         w.mode("overwrite").parquet(path)
         return path

@@ -310,7 +310,13 @@ def upsert_sql(target: str, batch: str, cols: list[str], keys: list[str], update
     k = ", ".join(keys)
     if order:
         o = ", ".join(f"{x} DESC" for x in order)
-        b = f"SELECT {c} FROM (SELECT *, row_number() OVER (PARTITION BY {k} ORDER BY {o}) AS _rn FROM {batch}) z WHERE _rn = 1"
+        oa = ", ".join(order)
+        kept = [x for x in cols if x not in keys and x not in update]
+        last = f"SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY {k} ORDER BY {o}) AS _rn FROM {batch}) z WHERE _rn = 1"
+        first = f"SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY {k} ORDER BY {oa}) AS _rn FROM {batch}) z WHERE _rn = 1"
+        fon = " AND ".join(f"l.{x} = f.{x}" for x in keys)
+        pick = ", ".join(f"f.{x} AS {x}" if x in kept else f"l.{x} AS {x}" for x in cols)
+        b = f"SELECT {pick} FROM ({last}) l JOIN ({first}) f ON {fon}"
     else:
         b = f"SELECT {c} FROM {batch}"
     on = " AND ".join(f"t.{x} = b.{x}" for x in keys)

@@ -318,7 +318,10 @@ BINDINGS["batch_podcasts"] = (
     + _PODCAST_COLS.format(off="", tag=" v3", pfx="p", ts="2024-02-02 00:00:00")
     + " WHERE s_nationkey % 4 = 0\nUNION ALL\nSELECT "
     + _PODCAST_COLS.format(off=" + 1000000000", tag="", pfx="q", ts="2024-02-01 00:00:00")
-    + " WHERE s_nationkey % 5 = 0")
+    + " WHERE s_nationkey % 5 = 0\nUNION ALL\nSELECT "
+    # a new show sent twice: the second version updates it, created_at/id stay from the first
+    + _PODCAST_COLS.format(off=" + 2000000000", tag=" v2", pfx="q", ts="2024-02-03 00:00:00")
+    + " WHERE s_nationkey % 10 = 0")
 
 BINDINGS["batch_podcast_episodes"] = """
 SELECT p_partkey AS id, p_partkey % (SELECT count(*) FROM {supplier}) AS podcast_id,
