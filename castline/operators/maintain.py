@@ -46,14 +46,6 @@ def dedupe_latest(df: DataFrame, keys: Iterable[str], order: Iterable[str]) -> D
     return df.groupBy(*keys).agg(picked.alias("_r")).select(*keys, *[col(f"_r.{c}").alias(c) for c in rest])
 
 
-def _maybe_broadcast(df: DataFrame, max_rows: int | None) -> DataFrame:
-    """Broadcast only when the row count is checked to be under the bound."""
-    if max_rows is None:
-        return df
-    n = df.count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
 # S7-S10 --------------------------------------------------------------------
 def collapse_batch(batch: DataFrame, keys: list[str], update_cols: list[str], order: list[str]) -> DataFrame:
     """A batch with repeated keys as the sequence of ``ON CONFLICT`` upserts
@@ -82,11 +74,18 @@ def upsert(target: DataFrame, batch: DataFrame, keys: Iterable[str], update_cols
     :func:`collapse_batch`).  Idempotent: upsert(upsert(t, b), b) == upsert(t, b).
     """
     keys, update_cols = list(keys), list(update_cols)
-    cols = target.columns
-    b = batch.select(*cols)
+    b = batch.select(*target.columns)
     if order:
         b = collapse_batch(b, keys, update_cols, list(order))
-    b = _maybe_broadcast(b, broadcast_rows)
+    if broadcast_rows is not None and b.count() <= broadcast_rows:
+        return _upsert_broadcast(target, F.broadcast(b), keys, update_cols)
+    return _upsert_one_shuffle(target, b, keys, update_cols)
+
+
+def _upsert_broadcast(target: DataFrame, b: DataFrame, keys: list[str], update_cols: list[str]) -> DataFrame:
+    """Small (checked) batch: two broadcast hash joins stream the target
+    map-side — the target is never shuffled."""
+    cols = target.columns
     untouched = target.join(b.select(*keys), keys, "left_anti")
     kept = [c for c in cols if c not in keys and c not in update_cols]
     old = target.select(*keys, *[col(c).alias(f"_old_{c}") for c in kept], F.lit(True).alias("_matched"))
@@ -96,6 +95,25 @@ def upsert(target: DataFrame, batch: DataFrame, keys: Iterable[str], update_cols
     return untouched.unionByName(merged)
 
 
+def _upsert_one_shuffle(target: DataFrame, b: DataFrame, keys: list[str], update_cols: list[str]) -> DataFrame:
+    """Large batch: target and batch are unioned and grouped once on the key
+    (one shuffle of each row; keys are unique on both sides, so no skew).
+    Per key, at most one target version and one batch version exist."""
+    cols = target.columns
+    rest = [c for c in cols if c not in keys]
+    src = F.col("_src")
+    tagged = (target.select(*cols, F.lit(0).alias("_src"))
+              .unionByName(b.select(*cols, F.lit(1).alias("_src"))))
+    g = tagged.groupBy(*keys).agg(
+        F.first(F.when(src == 0, F.struct(*[col(c) for c in rest])), ignorenulls=True).alias("_t"),
+        F.first(F.when(src == 1, F.struct(*[col(c) for c in rest])), ignorenulls=True).alias("_b"))
+    has_t, has_b = col("_t").isNotNull(), col("_b").isNotNull()
+    return g.select(*[col(c) if c in keys
+                      else (F.when(has_b, col(f"_b.{c}")).otherwise(col(f"_t.{c}")) if c in update_cols
+                            else F.when(has_t, col(f"_t.{c}")).otherwise(col(f"_b.{c}"))).alias(c)
+                      for c in cols])
+
+
 # S11 -----------------------------------------------------------------------
 def first_rows(df: DataFrame, keys: list[str], order: list[str] | None) -> DataFrame:
     """One row per key: the smallest ``order`` tuple (first arrival), via a
