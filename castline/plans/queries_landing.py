@@ -50,7 +50,7 @@ SELECT o_custkey % {NSUPP} AS podcast_id, DATE '2024-01-01' + cast(o_orderkey %
        cast(sum(CASE WHEN o_orderstatus = 'P' THEN 1 ELSE 0 END) AS bigint) AS total_comments,
        cast(sum(CASE WHEN o_orderstatus = 'O' THEN 1 ELSE 0 END) AS bigint) AS total_shares,
        count(DISTINCT o_custkey) AS subscribers_gained, cast(0 AS bigint) AS subscribers_lost,
-       sum(cast(round(o_totalprice) AS bigint)) // 1000 AS watch_time_minutes
+       cast(sum(cast(round(o_totalprice) AS bigint)) // 1000 AS bigint) AS watch_time_minutes
 FROM orders GROUP BY 1, 2""")
 
 register("flatten_comments", lambda c: ld.flatten_comments(pl.comment_threads(c)), """

@@ -282,7 +282,7 @@ FROM {lineitem} GROUP BY 1, 2""",
 SELECT o_custkey % (SELECT count(*) FROM {supplier}) AS podcast_id,
        DATE '2024-01-01' + cast(o_orderkey % 30 AS int) AS metric_date,
        count(*) AS followers_total, count(DISTINCT o_custkey) AS subscribers_total,
-       sum(cast(round(o_totalprice) AS bigint)) AS total_plays,
+       cast(sum(cast(round(o_totalprice) AS bigint)) AS bigint) AS total_plays,
        TIMESTAMP '2024-02-01 02:00:00' AS created_at, TIMESTAMP '2024-02-01 02:00:00' AS updated_at
 FROM {orders} GROUP BY 1, 2""",
     "raw_podcast_comments": """
@@ -352,7 +352,7 @@ BINDINGS["batch_show_metrics"] = """
 SELECT o_custkey % (SELECT count(*) FROM {supplier}) AS podcast_id,
        DATE '2024-01-01' + cast(o_orderkey % 31 AS int) AS metric_date,
        count(*) + 100 AS followers_total, count(DISTINCT o_custkey) AS subscribers_total,
-       sum(cast(round(o_totalprice) AS bigint)) AS total_plays,
+       cast(sum(cast(round(o_totalprice) AS bigint)) AS bigint) AS total_plays,
        TIMESTAMP '2024-02-02 02:00:00' AS created_at, TIMESTAMP '2024-02-02 02:00:00' AS updated_at
 FROM {orders} WHERE o_orderkey % 31 >= 23 GROUP BY 1, 2"""
 

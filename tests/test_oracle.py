@@ -5,6 +5,7 @@ import pytest
 import __spark_entry__ as E
 from castline.sources.bindings import BASE_TABLES
 from tests.conftest import SF_SMALL
+from tests.test_plans import FORBIDDEN
 from tools.check_oracle import rows_of
 
 QUERIES = E.queries()
@@ -27,6 +28,9 @@ def test_every_query_has_an_oracle():
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_oracle(spark, con, name):
     df = QUERIES[name](spark, SF_SMALL)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    for op in FORBIDDEN:   # no all-pairs joins, no Python UDF operators
+        assert op not in plan, f"{name}: {op}"
     cur = con.execute(ORACLE[name])
     dcols = [d[0] for d in cur.description]
     assert sorted(df.columns) == sorted(dcols)
