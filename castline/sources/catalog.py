@@ -53,9 +53,10 @@ class WarehouseCatalog:
     """Landed tables under ``root/<raw table>/`` (Parquet, declared schemas)."""
 
     def __init__(self, spark: SparkSession, root: str, schemas: dict | None = None):
+        from castline.sources.schemas import RAW_SCHEMAS
         self.spark = configure(spark)
         self.root = root.rstrip("/")
-        self.schemas = schemas or {}
+        self.schemas = RAW_SCHEMAS if schemas is None else schemas
 
     def raw(self, name: str) -> DataFrame:
         reader = self.spark.read
@@ -68,3 +69,12 @@ class WarehouseCatalog:
 
     def source(self, system: str, table: str) -> DataFrame:
         return self.raw(table_name(system, table))
+
+
+def land_raw_tables(source: TestdataCatalog, root: str, names=None) -> WarehouseCatalog:
+    """S4 for the test bindings: write each raw table as landed Parquet under
+    ``root`` (full-refresh sync) and return a catalog reading them back."""
+    from castline.sources.schemas import RAW_SCHEMAS
+    for name in names or RAW_SCHEMAS:
+        source.raw(name).write.mode("overwrite").parquet(f"{root.rstrip('/')}/{name}")
+    return WarehouseCatalog(source.spark, root)
