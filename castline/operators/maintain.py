@@ -312,7 +312,8 @@ def upsert_table(spark: SparkSession, path: str, batch: DataFrame, keys: list[st
     Partitioned tables: only the partitions the batch touches are read,
     merged and rewritten (dynamic overwrite).  The merged result is staged
     under the shared checkpoint folder first, because a plan must never read
-    and overwrite the same files."""
+    and overwrite the same files.  Replaying a batch rewrites the same rows:
+    the operation is idempotent."""
     spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
     try:
         target = spark.read.parquet(path)
@@ -321,14 +322,26 @@ def upsert_table(spark: SparkSession, path: str, batch: DataFrame, keys: list[st
         w = partitioned_write(b, partition_col) if partition_col else b.write
         w.mode("overwrite").parquet(path)
         return path
-    batch = batch.select(*target.columns)
-    if partition_col:
-        touched = batch.select(partition_col).distinct()
-        target = target.join(F.broadcast(touched) if broadcast_rows else touched, partition_col, "left_semi")
-    merged = upsert(target, batch, keys, update_cols, order, broadcast_rows)
-    stage = scratch_path(spark, "upsert-stage")
-    w = partitioned_write(merged, partition_col) if partition_col else merged.write
-    w.mode("overwrite").parquet(stage)
+    from pyspark import StorageLevel
+
+    # The collapsed batch is used three times (size check, touched partitions,
+    # merge): persist it once; lost blocks are recomputed from lineage.
+    b = batch.select(*target.columns)
+    if order:
+        b = collapse_batch(b, keys, update_cols, order)
+    b = b.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        if partition_col:
+            # Touched partition values (bounded by the batch's days) as a
+            # static predicate: untouched partitions are pruned at listing.
+            touched = [r[0] for r in b.select(partition_col).distinct().collect()]
+            target = target.where(col(partition_col).isin(touched))
+        merged = upsert(target, b, keys, update_cols, None, broadcast_rows)
+        stage = scratch_path(spark, "upsert-stage")
+        w = partitioned_write(merged, partition_col) if partition_col else merged.write
+        w.mode("overwrite").parquet(stage)
+    finally:
+        b.unpersist()
     staged = spark.read.parquet(stage).select(*target.columns)
     w = partitioned_write(staged, partition_col) if partition_col else staged.write
     w.mode("overwrite").parquet(path)

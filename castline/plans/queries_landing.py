@@ -83,38 +83,47 @@ def _days(c, lo, hi):
 
 
 def _stream_append(c):
+    """Files land in drops; each daily ``availableNow`` run appends exactly the
+    files it has not seen (the checkpoint replaces the sync cursor)."""
     src, sink, ck = (scratch_path(c.spark, n) for n in ("st1-landing", "st1-sink", "st1-ckpt"))
     df = c.raw("raw_youtube_daily_stats")
-    st.land(df, src, [_days("date", 1, 10)])
-    st.stream_append(c.spark, src, df.schema, sink, ck, files_per_batch=2)
-    st.land(df, src, [_days("date", 11, 20), _days("date", 21, 31)])
-    st.stream_append(c.spark, src, df.schema, sink, ck, files_per_batch=2)  # resumes: new files only
+    for drop in (_days("date", 1, 10), _days("date", 11, 20), _days("date", 21, 31)):
+        st.land(df, src, [drop])
+        st.stream_append(c.spark, src, df.schema, sink, ck)      # resumes: new files only
+    st.stream_append(c.spark, src, df.schema, sink, ck)          # nothing new: no rows added
     return c.spark.read.parquet(sink)
 
 
 def _stream_upsert(c):
+    """Late corrections arrive in two drops; each run upserts the new files in
+    one micro-batch, then everything is replayed on a fresh checkpoint."""
     src, target = scratch_path(c.spark, "st2-landing"), scratch_path(c.spark, "st2-target")
     base = c.raw("raw_podcast_episode_metrics")
-    base.write.mode("overwrite").partitionBy("metric_date").parquet(target)
+    mn.full_rebuild(base, target, ["metric_date"])
     batch = c.raw("batch_episode_metrics")
-    st.land(batch, src, [_days("metric_date", 24, 27), _days("metric_date", 28, 31)])
     keys, upd = ["episode_id", "metric_date"], [x for x in _PEM[2:] if x != "created_at"]
-    st.stream_upsert(c.spark, src, batch.schema, target, scratch_path(c.spark, "st2-ckpt"), keys, upd,
-                     ["updated_at"], "metric_date", files_per_batch=1)
+    ck = scratch_path(c.spark, "st2-ckpt")
+    for drop in (_days("metric_date", 24, 27), _days("metric_date", 28, 31)):
+        st.land(batch, src, [drop])
+        st.stream_upsert(c.spark, src, batch.schema, target, ck, keys, upd, ["updated_at"], "metric_date")
     # Replay everything with a fresh checkpoint: the upsert is idempotent.
     st.stream_upsert(c.spark, src, batch.schema, target, scratch_path(c.spark, "st2-ckpt"), keys, upd,
-                     ["updated_at"], "metric_date", files_per_batch=1)
+                     ["updated_at"], "metric_date")
     out = c.spark.read.parquet(target)
     return out.select(*[col(x).cast("date").alias(x) if x == "metric_date" else col(x) for x in _PEM])
 
 
 def _stream_insert_once(c):
+    """Comments arrive in drops, the last one repeating everything already
+    sent; repeated keys are ignored."""
     src, target = scratch_path(c.spark, "st3-landing"), scratch_path(c.spark, "st3-target")
     c.raw("raw_podcast_comments").write.mode("overwrite").parquet(target)
     batch = c.raw("batch_comments")
-    st.land(batch, src, [col("reply_count") == 1, col("reply_count") == 0, F.lit(True)])  # last drop repeats all
-    st.stream_insert_once(c.spark, src, batch.schema, target, scratch_path(c.spark, "st3-ckpt"),
-                          ["episode_id", "platform_comment_id"], ["published_at", "comment_text"], files_per_batch=1)
+    ck = scratch_path(c.spark, "st3-ckpt")
+    for drop in (col("reply_count") == 1, col("reply_count") == 0, F.lit(True)):
+        st.land(batch, src, [drop])
+        st.stream_insert_once(c.spark, src, batch.schema, target, ck,
+                              ["episode_id", "platform_comment_id"], ["published_at", "comment_text"])
     return c.spark.read.parquet(target).select(*_COM)
 
 
