@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from castline.functions import (epoch_to_timestamp, int_or_zero, json_text, parse_hms_duration,
-                                parse_iso_duration, safe_divide)
+                                parse_iso_duration)
 
 col = F.col
 
