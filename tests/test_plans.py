@@ -29,8 +29,11 @@ def test_fact_aggregations_are_partial_before_the_shuffle(spark):
 
 
 def test_fan_out_summary_never_materialises_pairs(spark, cat):
-    """The summary's largest join input is the per-episode aggregate, not the
-    (metric rows × show-metric rows) product the literal view would build."""
+    """The literal view joins metric rows × show-metric rows (``pairs`` rows,
+    more than the metric table itself).  Our plan aggregates both sides per
+    episode / podcast before joining (several Aggregates in the optimized
+    plan); that its result still equals the literal view is checked by the
+    oracle test of ``performance_summary``."""
     from pyspark.sql import functions as F
     pem = cat.raw("raw_podcast_episode_metrics")
     psm = cat.raw("raw_podcast_show_metrics")
@@ -42,7 +45,6 @@ def test_fan_out_summary_never_materialises_pairs(spark, cat):
     df.collect()
     metrics = df._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin" in metrics or "BroadcastHashJoin" in metrics
-    # the plan never holds a join whose output is the pair product: both joined sides are aggregated
     opt = df._jdf.queryExecution().optimizedPlan().toString()
     assert opt.count("Aggregate") >= 3
     assert pairs > pem.count()   # the literal view would have blown the data up
