@@ -68,3 +68,18 @@ def test_fan_out_summary_never_materialises_pairs(spark, cat):
     df.collect()
     emitted = join_output_rows(df)
     assert emitted and max(emitted) <= n_metrics
+
+
+def test_aggregate_before_join_bounds_join_outputs(spark, cat):
+    """Per-episode / per-video metrics are aggregated before the content
+    joins, so no join in the mart emits more rows than there are content
+    rows plus mapping rows; the collector top-k joins see one row per episode."""
+    content = QUERIES["content_unified_mapped"](spark, SF_SMALL).count()
+    mapping = cat.raw("seed_content_mapping").count()
+    mart = QUERIES["mart_content_performance"](spark, SF_SMALL)
+    mart.collect()
+    assert max(join_output_rows(mart)) <= content + mapping
+    episodes = cat.raw("raw_podcast_episodes").count()
+    top = QUERIES["top_podcast_episodes"](spark, SF_SMALL)
+    top.collect()
+    assert max(join_output_rows(top)) <= episodes
