@@ -5,8 +5,11 @@ the base tables (``part``, ``lineitem``, ``orders``, ``events`` …).  The same
 text runs in Spark (``spark.sql(text, part=df, …)`` — DataFrame parameters, no
 global views) and, with plain table names substituted, in DuckDB where it
 becomes a CTE of the oracle queries.  Every binding reads its base tables
-whole: row counts grow with the scale factor.  Modulo expressions only assign
-attributes (dates, platform presence, flags) — they never cap the data.
+whole: row counts grow with the scale factor.  Which entities exist on which
+platform, and which rows an update batch re-sends, are decided by attributes
+of the data (part type, supplier balance, nation, role, event type, date);
+modulo expressions only derive attribute values (dates, flags, ids of the
+simulated platform) and never cap the data.
 
 Columns the raw table declares but the base tables cannot supply (bios,
 thumbnails, license names …) are typed NULLs so downstream staging sees the
@@ -33,7 +36,7 @@ SELECT concat('e', cast(p_partkey AS string)) AS id, p_name AS name, p_type AS d
        concat('spotify:episode:', cast(p_partkey AS string)) AS uri,
        concat('{{"spotify":"https://open.example/', cast(p_partkey AS string), '"}}') AS external_urls,
        TIMESTAMP '2024-02-01 02:00:00' AS _airbyte_extracted_at
-FROM {part} WHERE p_partkey % 4 <> 3""",
+FROM {part} WHERE p_type <> 'STANDARD'""",
     "raw_spotify_episode_performance": """
 SELECT concat('e', cast(l_partkey AS string)) AS episode_id,
        DATE '2024-01-01' + cast(l_orderkey % 30 AS int) AS date,
@@ -55,7 +58,7 @@ SELECT concat('v', cast(p_partkey AS string)) AS id,
               CASE WHEN p_partkey % 2 = 0 THEN concat(cast(p_size AS string), 'M') ELSE '' END,
               cast(p_partkey % 60 AS string), 'S","definition":"hd"}}') AS content_details,
        TIMESTAMP '2024-02-01 02:00:00' AS _airbyte_extracted_at
-FROM {part} WHERE p_partkey % 4 <> 1""",
+FROM {part} WHERE p_type <> 'PROMO'""",
     "raw_youtube_daily_stats": """
 SELECT concat('v', cast(user_id AS string)) AS video_id, cast(ts AS date) AS date,
        cast(count(*) AS int) AS views, sum(value) AS watch_time_minutes, avg(value) AS average_view_duration,
@@ -70,7 +73,7 @@ SELECT CASE WHEN p_partkey % 21 = 0 THEN NULL ELSE concat('c', cast(p_partkey AS
             WHEN p_partkey % 5 = 3 THEN NULL ELSE '' END AS episode_id,
        CASE WHEN p_partkey % 5 IN (0, 2) THEN concat('v', cast(p_partkey AS string))
             WHEN p_partkey % 5 = 4 THEN NULL ELSE '' END AS video_id
-FROM {part} WHERE p_partkey % 3 = 0""",
+FROM {part} WHERE p_type IN ('ECONOMY', 'PROMO', 'STANDARD')""",
     # ---------------------------------------------------------------- tool 2
     "raw_youtube_videos_flat": """
 SELECT concat('v', cast(p_partkey AS string)) AS id, p_name AS snippet_title, p_type AS snippet_description,
@@ -166,7 +169,7 @@ SELECT s_suppkey AS id, s_name AS name, concat('org/repo', cast(s_suppkey AS str
        cast(NULL AS string) AS license_key, cast(NULL AS string) AS license_name,
        TIMESTAMP '2020-01-01 00:00:00' AS created_at, TIMESTAMP '2024-01-01 00:00:00' AS updated_at,
        cast(NULL AS timestamp) AS pushed_at, TIMESTAMP '2024-02-01 02:00:00' AS _airbyte_extracted_at
-FROM {supplier} WHERE s_suppkey % 10 <> 0""",
+FROM {supplier} WHERE s_acctbal >= 0""",
     "raw_github_commits": """
 SELECT md5(concat(cast(l_orderkey AS string), '-', cast(l_linenumber AS string))) AS sha,
        concat('org/repo', cast(l_suppkey AS string)) AS repository,
@@ -314,14 +317,14 @@ FROM {{supplier}}"""
 
 BINDINGS["batch_podcasts"] = (
     "\nSELECT " + _PODCAST_COLS.format(off="", tag=" v2", pfx="p", ts="2024-02-01 00:00:00")
-    + " WHERE s_nationkey % 2 = 0\nUNION ALL\nSELECT "
+    + " WHERE s_nationkey < 12\nUNION ALL\nSELECT "
     + _PODCAST_COLS.format(off="", tag=" v3", pfx="p", ts="2024-02-02 00:00:00")
-    + " WHERE s_nationkey % 4 = 0\nUNION ALL\nSELECT "
+    + " WHERE s_nationkey < 6\nUNION ALL\nSELECT "
     + _PODCAST_COLS.format(off=" + 1000000000", tag="", pfx="q", ts="2024-02-01 00:00:00")
-    + " WHERE s_nationkey % 5 = 0\nUNION ALL\nSELECT "
+    + " WHERE s_nationkey >= 20\nUNION ALL\nSELECT "
     # a new show sent twice: the second version updates it, created_at/id stay from the first
     + _PODCAST_COLS.format(off=" + 2000000000", tag=" v2", pfx="q", ts="2024-02-03 00:00:00")
-    + " WHERE s_nationkey % 10 = 0")
+    + " WHERE s_nationkey >= 23")
 
 BINDINGS["batch_podcast_episodes"] = """
 SELECT p_partkey AS id, p_partkey % (SELECT count(*) FROM {supplier}) AS podcast_id,
@@ -346,7 +349,7 @@ SELECT l_partkey AS episode_id, DATE '2024-01-01' + cast(l_orderkey % 31 AS int)
        count(DISTINCT l_suppkey) AS downloads, avg(l_tax) * 100 AS completion_rate,
        '[]' AS top_countries, '[]' AS top_cities, '{{}}' AS device_breakdown,
        TIMESTAMP '2024-02-02 02:00:00' AS created_at, TIMESTAMP '2024-02-02 02:00:00' AS updated_at
-FROM {lineitem} WHERE l_orderkey % 31 >= 23 GROUP BY 1, 2"""
+FROM {lineitem} WHERE DATE '2024-01-01' + cast(l_orderkey % 31 AS int) >= DATE '2024-01-24' GROUP BY 1, 2"""
 
 BINDINGS["batch_show_metrics"] = """
 SELECT o_custkey % (SELECT count(*) FROM {supplier}) AS podcast_id,
@@ -354,7 +357,7 @@ SELECT o_custkey % (SELECT count(*) FROM {supplier}) AS podcast_id,
        count(*) + 100 AS followers_total, count(DISTINCT o_custkey) AS subscribers_total,
        cast(sum(cast(round(o_totalprice) AS bigint)) AS bigint) AS total_plays,
        TIMESTAMP '2024-02-02 02:00:00' AS created_at, TIMESTAMP '2024-02-02 02:00:00' AS updated_at
-FROM {orders} WHERE o_orderkey % 31 >= 23 GROUP BY 1, 2"""
+FROM {orders} WHERE DATE '2024-01-01' + cast(o_orderkey % 31 AS int) >= DATE '2024-01-24' GROUP BY 1, 2"""
 
 # Comments re-sent (ignored: already present) plus replies not seen before.
 BINDINGS["batch_comments"] = """
@@ -363,7 +366,7 @@ SELECT conv_id AS episode_id, concat(cast(conv_id AS string), '-', cast(turn AS
        cast(length(text) % 89 AS int) AS likes_count, cast(1 AS int) AS reply_count,
        cast(NULL AS string) AS parent_platform_comment_id,
        cast(DATE '2024-01-10' AS timestamp) AS published_at
-FROM {conversations} WHERE turn % 2 = 0
+FROM {conversations} WHERE role = 'user'
 UNION ALL
 SELECT conv_id, concat(cast(conv_id AS string), '-', cast(turn AS string), 'r'), 'user', 'auser',
        concat('reply to ', cast(turn AS string)), cast(turn AS int), cast(0 AS int),
@@ -385,7 +388,7 @@ SELECT event_id AS id,
        CASE WHEN event_type = 'error' THEN 'failed' ELSE 'completed' END AS status,
        cast(user_id % 20 AS int) AS episodes_processed, cast(floor(value) AS int) AS metrics_collected,
        CASE WHEN event_type = 'error' THEN props END AS error_message, ts + INTERVAL '5' MINUTE AS created_at
-FROM {events} WHERE event_id % 3 <> 0"""
+FROM {events} WHERE event_type <> 'view'"""
 
 _PLACEHOLDER = re.compile(r"\{(\w+)\}")
 
