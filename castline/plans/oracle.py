@@ -296,10 +296,11 @@ def compose(final_sql: str) -> str:
 
 
 def rounded(select_from: str, doubles: list[str] | tuple[str, ...] = ()) -> str:
-    """``SELECT * REPLACE (round(d, 6) AS d …) FROM <relation>``."""
+    """``SELECT * REPLACE (round(d, 6) AS d …) FROM <relation>``, rounding via
+    DECIMAL(38, 10) first (matches the Spark side's two-step rounding)."""
     if not doubles:
         return f"SELECT * FROM {select_from}"
-    rep = ", ".join(f"round({d}, 6) AS {d}" for d in doubles)
+    rep = ", ".join(f"cast(round(cast({d} AS DECIMAL(38, 10)), 6) AS DOUBLE) AS {d}" for d in doubles)
     return f"SELECT * REPLACE ({rep}) FROM {select_from}"
 
 
