@@ -300,7 +300,8 @@ def rounded(select_from: str, doubles: list[str] | tuple[str, ...] = ()) -> str:
     DECIMAL(38, 10) first (matches the Spark side's two-step rounding)."""
     if not doubles:
         return f"SELECT * FROM {select_from}"
-    rep = ", ".join(f"cast(round(cast({d} AS DECIMAL(38, 10)), 6) AS DOUBLE) AS {d}" for d in doubles)
+    rep = ", ".join(f"CASE WHEN abs({d}) < 1e6 THEN cast(round(cast({d} AS DECIMAL(38, 10)), 6) AS DOUBLE) "
+                    f"ELSE round({d}, 6) END AS {d}" for d in doubles)
     return f"SELECT * REPLACE ({rep}) FROM {select_from}"
 
 
