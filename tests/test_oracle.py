@@ -3,13 +3,14 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from castline.plans.registry import load
 from castline.sources.bindings import BASE_TABLES
 from tests.conftest import SF_SMALL
 from tests.test_plans import FORBIDDEN
 from tools.check_oracle import rows_of
 
-QUERIES = E.queries()
-ORACLE = E.oracle_sql()
+QUERIES = {n: q for n, q in E.queries().items() if n in load()}
+ORACLE = {n: q for n, q in E.oracle_sql().items() if n in load()}
 
 
 @pytest.fixture(scope="module")
