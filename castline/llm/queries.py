@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from castline.llm import exact_dedup
+from castline.llm import byte_bpe, exact_dedup
 
 QUERIES = {
+    "op4_byte_bpe": byte_bpe.op4_byte_bpe,
     "op10_exact_dedup": exact_dedup.op10_exact_dedup,
 }
 
