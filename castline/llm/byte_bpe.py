@@ -24,12 +24,13 @@ import hashlib
 import re
 import unicodedata
 from array import array
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
+from castline.llm.arrow import slices
 from castline.llm.common import table
 
 #: Entries of a worker's caches (chunks: two generations of CACHE); they bound memory only.
@@ -262,12 +263,6 @@ def encoder(path: str, pattern: str) -> ByteBPE:
     return _open[path, pattern]
 
 
-def slices(batches: Iterable[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
-    for b in batches:
-        for at in range(0, b.num_rows, rows):
-            yield b.slice(at, rows)
-
-
 def encode(docs: DataFrame, path: str | None = None, pattern: str | None = None, id_col: str = "doc_id",
            text_col: str = "text", with_ids: bool = False) -> DataFrame:
     """``doc_id, n_tokens, ids_sha256, decoded_sha256`` of every row; ``with_ids`` adds ``ids`` (binary)."""

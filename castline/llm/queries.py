@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from castline.llm import byte_bpe, exact_dedup
+from castline.llm import byte_bpe, exact_dedup, quality
 
 QUERIES = {
     "op4_byte_bpe": byte_bpe.op4_byte_bpe,
+    "op6_quality_rules": quality.op6_quality_rules,
     "op10_exact_dedup": exact_dedup.op10_exact_dedup,
 }
 
