@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from castline.llm import byte_bpe, exact_dedup, quality
+from castline.llm import byte_bpe, exact_dedup, quality, secrets
 
 QUERIES = {
     "op4_byte_bpe": byte_bpe.op4_byte_bpe,
     "op6_quality_rules": quality.op6_quality_rules,
+    "op9_secret_scan": secrets.op9_secret_scan,
     "op10_exact_dedup": exact_dedup.op10_exact_dedup,
 }
 
