@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from castline.llm import byte_bpe, exact_dedup, quality, secrets, token_files
+from castline.llm import byte_bpe, exact_dedup, langid, quality, secrets, token_files
 
 QUERIES = {
     "op4_byte_bpe": byte_bpe.op4_byte_bpe,
     "op5_token_files": token_files.op5_token_files,
     "op6_quality_rules": quality.op6_quality_rules,
+    "op7_language_id": langid.op7_language_id,
     "op9_secret_scan": secrets.op9_secret_scan,
     "op10_exact_dedup": exact_dedup.op10_exact_dedup,
 }
