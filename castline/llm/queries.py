@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from castline.llm import byte_bpe, exact_dedup, langid, quality, secrets, token_files
+from castline.llm import byte_bpe, exact_dedup, html_text, langid, mixing, quality, secrets, token_files
 
 QUERIES = {
+    "op2_html_text": html_text.op2_html_text,
     "op4_byte_bpe": byte_bpe.op4_byte_bpe,
     "op5_token_files": token_files.op5_token_files,
     "op6_quality_rules": quality.op6_quality_rules,
     "op7_language_id": langid.op7_language_id,
+    "op8_mix_sources": mixing.op8_mix_sources,
     "op9_secret_scan": secrets.op9_secret_scan,
     "op10_exact_dedup": exact_dedup.op10_exact_dedup,
 }
