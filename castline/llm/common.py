@@ -4,8 +4,7 @@ from __future__ import annotations
 
 import hashlib
 
-from pyspark import StorageLevel  # noqa: F401  (re-exported for callers that persist)
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from castline.session import scratch_path
@@ -50,6 +49,25 @@ def hot_join(rows: DataFrame, groups: DataFrame, key: str, size: str) -> DataFra
     return fast.select(*cols).unionByName(slow.select(*cols))
 
 
+def without(docs: DataFrame, key: Column, gone: DataFrame, again: DataFrame) -> DataFrame:
+    """``docs`` with all columns, less the rows whose ``(doc_id, key)`` is in ``gone``; of those in ``again`` one stays.
+
+    ``gone`` and ``again`` are staged tables with ``doc_id`` and ``key``; null
+    ids are matched too.  Only ``again`` rows, which repeat id and key, are grouped.
+    """
+    cols = docs.columns
+    marks = gone.select(F.col("doc_id").alias("m_id"), F.col("key").alias("m_key"), F.lit(True).alias("m_gone")).unionByName(
+        again.select(F.col("doc_id").alias("m_id"), F.col("key").alias("m_key"), F.lit(False).alias("m_gone")))
+    inner = docs.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(cols)], F.col("doc_id").alias("id"),
+                        key.alias("key"))
+    rows = inner.join(marks, F.col("id").eqNullSafe(F.col("m_id")) & (F.col("key") == F.col("m_key")), "left")
+    back = [F.col(f"c{i}").alias(c) for i, c in enumerate(cols)]
+    kept = rows.where("m_gone IS NULL").select(*back)
+    if again.isEmpty():
+        return kept
+    return kept.unionByName(rows.where("NOT m_gone").dropDuplicates(["id", "key"]).select(*back))
+
+
 def sha256_hex(data: bytes) -> str:
     return hashlib.sha256(data).hexdigest()
 

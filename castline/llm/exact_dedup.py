@@ -37,7 +37,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from castline.llm.common import hot_join, staged, table
+from castline.llm.common import hot_join, staged, table, without
 from castline.session import scratch_path
 
 KEYS_PER_SHARD = 8_000
@@ -322,18 +322,11 @@ def distinct_kept(docs: DataFrame) -> DataFrame:
     A row goes when its group keeps another id; of rows that repeat both id
     and text one stays.  Rows with a null id are told apart by their text.
     """
-    verdict = staged(decide(docs), "dedup-verdict")
-    again = (verdict.where("kept").groupBy("doc_id", "text_sha256").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-             .select("doc_id", "text_sha256", F.lit("again").alias("__mark")))
-    marks = staged(verdict.where("NOT kept").select("doc_id", "text_sha256", F.lit("gone").alias("__mark")).distinct()
-                   .unionByName(again), "dedup-marks").withColumnsRenamed({"doc_id": "__id", "text_sha256": "__sha"})
-    keyed = docs.withColumn("__text_sha", digests_of("text"))
-    rows = keyed.join(marks, F.col("doc_id").eqNullSafe(F.col("__id"))
-                      & (F.col("__text_sha") == F.col("__sha")), "left")
-    kept = rows.where("__mark IS NULL").select(*docs.columns)
-    if marks.where("__mark = 'again'").isEmpty():
-        return kept
-    return kept.unionByName(rows.where("__mark = 'again'").dropDuplicates(["__id", "__sha"]).select(*docs.columns))
+    verdict = staged(decide(docs).withColumnRenamed("text_sha256", "key"), "dedup-verdict")
+    gone = staged(verdict.where("NOT kept").select("doc_id", "key").distinct(), "dedup-gone")
+    again = staged(verdict.where("kept").groupBy("doc_id", "key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+                   .select("doc_id", "key"), "dedup-again")
+    return without(docs, digests_of("text"), gone, again)
 
 
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from castline.llm import byte_bpe, exact_dedup, html_text, langid, line_dedup, mixing, quality, secrets, token_files
+from castline.llm import byte_bpe, exact_dedup, html_text, langid, line_dedup, mixing, ngram_join, quality, secrets, token_files
 
 QUERIES = {
     "op1_line_dedup": line_dedup.op1_line_dedup,
     "op2_html_text": html_text.op2_html_text,
+    "op3_ngram_join": ngram_join.op3_ngram_join,
     "op4_byte_bpe": byte_bpe.op4_byte_bpe,
     "op5_token_files": token_files.op5_token_files,
     "op6_quality_rules": quality.op6_quality_rules,
