@@ -196,7 +196,7 @@ def _rows(number: int, shard: Shard, new: set[str]) -> pd.DataFrame:
     return out
 
 
-def _insert_shard(key, batch: pd.DataFrame, stored: pd.DataFrame) -> pd.DataFrame:
+def _insert_shard(key: tuple, batch: pd.DataFrame, stored: pd.DataFrame) -> pd.DataFrame:
     shard, new = _open(stored), set()
     for digest, first, size in batch[["digest", "first_id", "n"]].itertuples(index=False):
         entry = shard.find(digest)
@@ -208,7 +208,7 @@ def _insert_shard(key, batch: pd.DataFrame, stored: pd.DataFrame) -> pd.DataFram
     return _rows(int(key[0]), shard, new)
 
 
-def _delete_shard(key, batch: pd.DataFrame, stored: pd.DataFrame) -> pd.DataFrame:
+def _delete_shard(key: tuple, batch: pd.DataFrame, stored: pd.DataFrame) -> pd.DataFrame:
     shard = _open(stored)
     for digest in batch["digest"]:
         if shard.find(digest) is not None:
@@ -294,7 +294,7 @@ class CuckooIndex:
             self._step(rows.select("digest").distinct(), self.n_shards, _delete_shard)
 
 
-def _rebuild_shard(key, stored: pd.DataFrame) -> pd.DataFrame:
+def _rebuild_shard(key: tuple, stored: pd.DataFrame) -> pd.DataFrame:
     shard = Shard()
     for digest, keep, size in stored[["digest", "keep_id", "group_size"]].itertuples(index=False):
         shard.insert(digest, _none(keep), int(size))
