@@ -73,27 +73,33 @@ class Model:
         return x @ self.weights / size + self.bias
 
 
-def fit(x: np.ndarray, y: list[str], landmarks: int = LANDMARKS, ridge: float = RIDGE) -> Model:
-    """Nyström features and one-versus-rest kernel ridge regression."""
+def unit_rows(bits: np.ndarray) -> np.ndarray:
+    """Rows of length 1 from rows of packed presences."""
+    x = np.unpackbits(bits, axis=1).astype(np.float32)
+    return x / np.sqrt(np.maximum(x.sum(1, keepdims=True), 1))
+
+
+def fit(bits: np.ndarray, y: list[str], landmarks: int = LANDMARKS, ridge: float = RIDGE, step: int = 128) -> Model:
+    """Nyström features and one-versus-rest kernel ridge regression; rows are unpacked ``step`` at a time."""
     languages = sorted(set(y))
     if not languages:
         return Model([], np.zeros((DIM, 0), np.float32), np.zeros(0, np.float32))
-    unit = x / np.sqrt(np.maximum(x.sum(1, keepdims=True), 1))
     # Landmarks in turn from each language, as the sample gives them.
     turn = sorted(range(len(y)), key=lambda i: (y[:i].count(y[i]), y[i]))[:landmarks]
-    marks = unit[turn].astype(np.float64)
-    values, vectors = np.linalg.eigh(marks @ marks.T)
+    marks = unit_rows(bits[turn])
+    values, vectors = np.linalg.eigh((marks @ marks.T).astype(np.float64))
     keep = values > 1e-9 * values.max()
     root = vectors[:, keep] / np.sqrt(values[keep])
-    features = unit @ marks.T @ root
+    kernel = [unit_rows(bits[k:k + step]) @ marks.T for k in range(0, len(y), step)]
+    features = np.concatenate(kernel).astype(np.float64) @ root
     target = np.where(np.array(y)[:, None] == np.array(languages)[None, :], 1.0, -1.0)
     share = np.array([y.count(k) for k in y], float)
     w = (1 / share)[:, None]                      # each language weighs the same
     mean, goal = (features * w).sum(0) / w.sum(), (target * w).sum(0) / w.sum()
     centred = features - mean
     solved = np.linalg.solve(centred.T @ (centred * w) + ridge * np.eye(features.shape[1]), centred.T @ ((target - goal) * w))
-    weights = marks.T @ (root @ solved)
-    return Model(languages, weights.astype(np.float32), (goal - mean @ solved).astype(np.float32))
+    weights = marks.T @ (root @ solved).astype(np.float32)
+    return Model(languages, weights, (goal - mean @ solved).astype(np.float32))
 
 
 def held_out() -> F.Column:
@@ -101,11 +107,11 @@ def held_out() -> F.Column:
 
 
 def sample(docs: DataFrame, rows: int = TRAIN_ROWS) -> tuple[np.ndarray, list[str]]:
-    """Presences and languages of at most ``rows`` labelled rows outside the held-out fold."""
+    """Packed presences and languages of at most ``rows`` labelled rows outside the held-out fold."""
     known = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull() & ~held_out())
     counts = {r[0]: r[1] for r in known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(rows).collect()}
     if not counts:
-        return np.zeros((0, DIM), np.float32), []
+        return np.zeros((0, DIM // 8), np.uint8), []
     each = max(rows // len(counts), 1)
     # A cut on the hash of the id leaves about 1.5 * each rows of a language; the first of them by hash are taken.
     place = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) / F.lit(float(1 << 30))
@@ -125,8 +131,7 @@ def sample(docs: DataFrame, rows: int = TRAIN_ROWS) -> tuple[np.ndarray, list[st
                   .mapInArrow(run, "lang string, place double, doc_id bigint, bits binary"), "langid-sample")
     got = [r for lang in sorted(counts)
            for r in made.where(F.col("lang") == lang).orderBy("place", "doc_id", "bits").limit(each).collect()]
-    x = np.stack([np.unpackbits(np.frombuffer(r["bits"], np.uint8)) for r in got]).astype(np.float32)
-    return x, [r["lang"] for r in got]
+    return np.stack([np.frombuffer(r["bits"], np.uint8) for r in got]), [r["lang"] for r in got]
 
 
 def predict(docs: DataFrame, model: Model) -> DataFrame:
