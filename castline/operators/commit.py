@@ -1,0 +1,105 @@
+"""Replacing folders of a Parquet table without a moment at which data exist nowhere.
+
+New data are complete in a staged folder before anything of the table is touched.
+A marker beside the table then names the staged folder; moving the staged folders
+into place, and dropping those that came out empty, is repeatable from the marker.
+A job killed on the way leaves the marker, and the next reader or writer of this
+module finishes the move before it does anything else.
+"""
+
+from __future__ import annotations
+
+import json
+
+from pyspark.sql import DataFrame, SparkSession
+
+NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
+
+
+class Folder:
+    """A path and its Hadoop file system."""
+
+    def __init__(self, spark: SparkSession, path: str) -> None:
+        self.jvm = spark.sparkContext._jvm
+        self.text = path.rstrip("/")
+        self.path = self.jvm.org.apache.hadoop.fs.Path(self.text)
+        self.fs = self.path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+    def child(self, name: str):
+        return self.jvm.org.apache.hadoop.fs.Path(self.path, name)
+
+    def exists(self) -> bool:
+        return self.fs.exists(self.path)
+
+    def partitions(self, column: str) -> list[str]:
+        """Names of the ``column=value`` folders, as written."""
+        if not self.exists():
+            return []
+        return [s.getPath().getName() for s in self.fs.listStatus(self.path)
+                if s.isDirectory() and s.getPath().getName().startswith(f"{column}=")]
+
+    def drop(self) -> None:
+        self.fs.delete(self.path, True)
+
+
+def value_of(name: str) -> str:
+    """The value in a partition folder's name."""
+    return name.split("=", 1)[1]
+
+
+def _marker(spark: SparkSession, path: str) -> Folder:
+    return Folder(spark, f"{path.rstrip('/')}.pending")
+
+
+def commit(spark: SparkSession, stage: str, path: str, partition_col: str | None = None, drop: list[str] = ()) -> None:
+    """Make a staged table (or its partitions) the content of ``path``.
+
+    With a partition column the staged partitions replace theirs, those named in
+    ``drop`` go and all others stay as they are; without one the whole table is
+    replaced.  One metadata call a partition: the data are written once.
+    """
+    recover(spark, path)
+    marker = _marker(spark, path)
+    body = json.dumps({"stage": stage, "column": partition_col, "drop": list(drop)}).encode()
+    part = Folder(spark, f"{marker.text}.writing")
+    out = part.fs.create(part.path, True)
+    out.write(bytearray(body))
+    out.close()
+    if not part.fs.rename(part.path, marker.path):     # the marker appears whole or not at all
+        raise OSError(f"could not write {marker.text}")
+    recover(spark, path)
+
+
+def recover(spark: SparkSession, path: str) -> None:
+    """Finish a replacement that a marker announces; nothing without one."""
+    marker = _marker(spark, path)
+    if not marker.exists():
+        return
+    src = marker.fs.open(marker.path)
+    head = json.loads(bytes(src.readAllBytes()).decode())
+    src.close()
+    stage, table = Folder(spark, head["stage"]), Folder(spark, path)
+    if head["column"]:
+        table.fs.mkdirs(table.path)
+        for name in stage.partitions(head["column"]):
+            table.fs.delete(table.child(name), True)
+            _move(stage, stage.child(name), table.child(name))
+        for name in head["drop"]:
+            table.fs.delete(table.child(name), True)
+    elif stage.exists():
+        table.drop()
+        table.fs.mkdirs(table.path.getParent())
+        _move(stage, stage.path, table.path)
+    stage.drop()
+    marker.drop()
+
+
+def _move(folder: Folder, source, target) -> None:
+    if not folder.fs.rename(source, target):
+        raise OSError(f"could not move {source} to {target}; the marker stays and the next run repeats it")
+
+
+def read_table(spark: SparkSession, path: str) -> DataFrame | None:
+    """The table, or None where nothing was ever written.  Any other failure to read is raised."""
+    recover(spark, path)
+    return spark.read.parquet(path) if Folder(spark, path).exists() else None

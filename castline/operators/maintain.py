@@ -1,17 +1,15 @@
 """Table maintenance (S4-S15): syncs, keyed upserts, insert-if-absent, run
 log, incremental time-range rebuilds, full rebuilds, look-back windows.
 
-Plain Parquet has no MERGE, so an upsert is expressed as relational algebra:
-
-    result = (target ▷ batch_keys)                     -- untouched rows
-           ∪ (dedupe(batch) ⟕ target[keys, kept cols]) -- inserted / updated rows
-
-``▷`` is a left-anti join.  When the (deduplicated) batch has a proven size
-bound it is broadcast, so the large target is streamed through map-side hash
-joins and never shuffled; otherwise both sides shuffle on the key.  Writers
-only ever rewrite the partitions the batch touches (dynamic partition
-overwrite) and stage their output before replacing anything, so a lost
-executor or a re-run batch leaves the table consistent (idempotent).
+Plain Parquet has no MERGE, so an upsert is expressed as relational algebra over
+unique keys.  A batch whose staged files are small is broadcast: the target is
+read map-side and not shuffled.  A larger one is unioned with the target and
+grouped once on the key.  Keys match null-safely on both ways, so a replayed
+batch changes nothing whatever its keys hold.
+
+Writers read and rewrite only the partitions that a batch touches.  They stage
+their output and then move it into place (:mod:`castline.operators.commit`), so a
+job that dies at any point loses nothing and can be run again.
 """
 
 from __future__ import annotations
@@ -22,12 +20,13 @@ from collections.abc import Callable, Iterable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from castline.operators.commit import Folder, commit, read_table, value_of
 from castline.session import scratch_path
 
 col = F.col
 
-# Batches at or under this many rows are broadcast into the upsert joins.
-BROADCAST_BATCH_ROWS = 2_000_000
+# Batches at or under this size, by their staged files, are broadcast into the upsert joins.
+BROADCAST_BATCH_BYTES = 32 << 20
 
 
 # S6 ------------------------------------------------------------------------
@@ -63,36 +62,51 @@ def collapse_batch(batch: DataFrame, keys: list[str], update_cols: list[str], or
 
 
 
+def plan_bytes(df: DataFrame) -> int:
+    """Size by the optimizer's statistics (file sizes for a table that was read)."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
 def upsert(target: DataFrame, batch: DataFrame, keys: Iterable[str], update_cols: Iterable[str],
-           order: Iterable[str] | None = None, broadcast_rows: int | None = None) -> DataFrame:
+           order: Iterable[str] | None = None, broadcast_bytes: int | None = None) -> DataFrame:
     """Insert-or-update ``batch`` into ``target`` on ``keys``.
 
     Matched rows take ``update_cols`` from the batch and keep every other
     column (e.g. ``created_at``, the surrogate ``id``) from the target; new keys
     take all columns from the batch.  Duplicate keys inside the batch behave
     like the sequence of ``ON CONFLICT`` statements (see
-    :func:`collapse_batch`).  Idempotent: upsert(upsert(t, b), b) == upsert(t, b).
+    :func:`collapse_batch`).  NULL matches NULL in a key.  Idempotent:
+    upsert(upsert(t, b), b) == upsert(t, b).
     """
     keys, update_cols = list(keys), list(update_cols)
     b = batch.select(*target.columns)
     if order:
         b = collapse_batch(b, keys, update_cols, list(order))
-    if broadcast_rows is not None and b.count() <= broadcast_rows:
-        return _upsert_broadcast(target, F.broadcast(b), keys, update_cols)
+    if broadcast_bytes is not None and plan_bytes(b) <= broadcast_bytes:
+        return _upsert_broadcast(target, b, keys, update_cols)
     return _upsert_one_shuffle(target, b, keys, update_cols)
 
 
+def _same_key(keys: list[str], mark: str):
+    cond = F.lit(True)
+    for k in keys:
+        cond = cond & col(k).eqNullSafe(col(f"{mark}{k}"))
+    return cond
+
+
 def _upsert_broadcast(target: DataFrame, b: DataFrame, keys: list[str], update_cols: list[str]) -> DataFrame:
-    """Small (checked) batch: two broadcast hash joins stream the target
-    map-side — the target is never shuffled."""
+    """Small (checked) batch.  The target streams past the broadcast batch and
+    takes its updates; a second map-side pass finds which batch keys it has, and
+    only batch rows without one (fewer than the batch) are added."""
     cols = target.columns
-    untouched = target.join(b.select(*keys), keys, "left_anti")
-    kept = [c for c in cols if c not in keys and c not in update_cols]
-    old = target.select(*keys, *[col(c).alias(f"_old_{c}") for c in kept], F.lit(True).alias("_matched"))
-    merged = b.join(old, keys, "left").select(
-        *[col(c) if (c in keys or c in update_cols)
-          else F.when(col("_matched"), col(f"_old_{c}")).otherwise(col(c)).alias(c) for c in cols])
-    return untouched.unionByName(merged)
+    new = b.select(*[col(c).alias(f"_b_{c}") for c in cols], F.lit(True).alias("_hit"))
+    updated = target.join(F.broadcast(new), _same_key(keys, "_b_"), "left").select(
+        *[F.when(col("_hit"), col(f"_b_{c}")).otherwise(col(c)).alias(c) if c in update_cols else col(c) for c in cols])
+    marks = b.select(*[col(k).alias(f"_m_{k}") for k in keys])
+    present = target.join(F.broadcast(marks), _same_key(keys, "_m_"), "left_semi").select(
+        *[col(k).alias(f"_p_{k}") for k in keys])       # keys are unique: at most the batch's rows
+    added = b.join(F.broadcast(present), _same_key(keys, "_p_"), "left_anti")
+    return updated.unionByName(added.select(*cols))
 
 
 def _upsert_one_shuffle(target: DataFrame, b: DataFrame, keys: list[str], update_cols: list[str]) -> DataFrame:
@@ -127,14 +141,17 @@ def first_rows(df: DataFrame, keys: list[str], order: list[str] | None) -> DataF
 
 
 def insert_if_absent(target: DataFrame, batch: DataFrame, keys: Iterable[str],
-                     order: Iterable[str] | None = None, broadcast_rows: int | None = None) -> DataFrame:
+                     order: Iterable[str] | None = None) -> DataFrame:
     """``INSERT … ON CONFLICT DO NOTHING``: existing keys are never modified;
     within the batch the first row per key (smallest ``order``) is kept."""
     keys = list(keys)
     b = first_rows(batch.select(*target.columns), keys, order)
-    t_keys = target.select(*keys)
-    new = b.join(t_keys, keys, "left_anti")
-    return target.unionByName(new.select(*target.columns))
+    return target.unionByName(_absent(target, b, keys))
+
+
+def _absent(target: DataFrame, b: DataFrame, keys: list[str]) -> DataFrame:
+    t_keys = target.select(*[col(k).alias(f"_t_{k}") for k in keys])
+    return b.join(t_keys, _same_key(keys, "_t_"), "left_anti").select(*target.columns)
 
 
 # S12 -----------------------------------------------------------------------
@@ -155,16 +172,25 @@ def lookback_window(df: DataFrame, date_col: str, as_of: str, days: int = 30) ->
 
 
 # S13 -----------------------------------------------------------------------
+def whole_months(start: str, end: str) -> tuple[str, str]:
+    """[start, end] widened to the months it touches."""
+    last = (dt.date.fromisoformat(end).replace(day=1) + dt.timedelta(days=32)).replace(day=1) - dt.timedelta(days=1)
+    return dt.date.fromisoformat(start).replace(day=1).isoformat(), last.isoformat()
+
+
 def plan_intervals(start: str, end: str, batch_days: int = 30, align: str | None = None) -> list[tuple[str, str]]:
     """[start, end] split into inclusive day ranges of ``batch_days``, or into
-    calendar months (``align="month"``) for month-partitioned tables, so a
-    batch always covers whole partitions."""
+    whole calendar months (``align="month"``) for month-partitioned tables: a
+    range that begins or ends inside a month is widened, as a batch replaces
+    whole partitions."""
+    if align == "month":
+        start, end = whole_months(start, end)
     s, e = dt.date.fromisoformat(start), dt.date.fromisoformat(end)
     out = []
     while s <= e:
         if align == "month":
             nxt = (s.replace(day=1) + dt.timedelta(days=32)).replace(day=1)
-            stop = min(nxt - dt.timedelta(days=1), e)
+            stop = nxt - dt.timedelta(days=1)
         else:
             stop = min(s + dt.timedelta(days=batch_days - 1), e)
         out.append((s.isoformat(), stop.isoformat()))
@@ -184,6 +210,8 @@ def intervals_with_data(dates: DataFrame, date_col: str, start: str, end: str,
     One aggregate returns the distinct batch ids present (at most one per
     interval of the range — a bounded result), so empty batches are skipped
     without running them."""
+    if align == "month":
+        start, end = whole_months(start, end)
     base = dt.date.fromisoformat(start)
     d = col(date_col).cast("date")
     if align == "month":
@@ -219,55 +247,47 @@ def group_intervals(intervals: list[tuple[str, str]], max_days: int) -> list[tup
     return jobs
 
 
-def _drop_stale_partitions(spark: SparkSession, path: str, partition_col: str, start: str, end: str,
-                           keep: set[str]) -> None:
-    """Delete ``partition_col=<v>`` folders with start <= v <= end that the
-    new output did not produce (a re-computed day that became empty)."""
-    jvm = spark.sparkContext._jvm
-    root = jvm.org.apache.hadoop.fs.Path(path)
-    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(root):
-        return
-    prefix = f"{partition_col}="
-    for status in fs.listStatus(root):
-        name = status.getPath().getName()
-        if status.isDirectory() and name.startswith(prefix):
-            value = name[len(prefix):]
-            if start <= value <= end and value not in keep:
-                fs.delete(status.getPath(), True)
-
-
 def incremental_by_time_range(spark: SparkSession, build: Callable[[str, str], DataFrame], path: str,
                               partition_col: str, start: str, end: str, batch_days: int = 30,
                               intervals: list[tuple[str, str]] | None = None,
                               max_days_per_job: int = 3660, align: str | None = None) -> list[tuple[str, str]]:
     """Recompute [start, end] in 30-day batches and replace exactly those days.
 
-    Semantics of a time-range rebuild: after the run, the table's days in the
-    range are exactly the recomputed output.  Each job writes with dynamic
-    partition overwrite (only produced days are replaced, atomically per day)
-    and then drops the range's days that produced no rows, so re-running a
-    batch — after a failure or for late data — is idempotent.  The distinct
-    output days (bounded by the days in the range) are read from the
-    persisted job output; executors that are lost recompute it from lineage."""
-    from pyspark import StorageLevel
-
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    After the run, the table's partitions in the range are exactly the
+    recomputed output.  Each job stages its output and commits it: the folders
+    it produced replace theirs, and folders of its range that it did not produce
+    go.  Batches of the range that were not run because no source row falls into
+    them lose their partitions too.  ``align="month"`` works on whole months.
+    Re-running a batch, after a failure or for late data, gives the same table."""
+    if align == "month":
+        start, end = whole_months(start, end)
     planned = intervals if intervals is not None else plan_intervals(start, end, batch_days, align)
-    done = []
+    cut = (lambda d: d[:7]) if align == "month" else (lambda d: d)
+    done, made = [], set()
     for s, e in group_intervals(planned, max_days_per_job):
-        out = build(s, e).persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            days = {str(r[0]) for r in out.select(partition_col).distinct().collect()}
-            partitioned_write(out, partition_col).mode("overwrite").parquet(path)
-            lo, hi = (s[:7], e[:7]) if align == "month" else (s, e)
-            _drop_stale_partitions(spark, path, partition_col, lo, hi, days)
-        finally:
-            out.unpersist()
+        made |= _replace_range(spark, build(s, e), path, partition_col, cut(s), cut(e))
         done.append((s, e))
+    left = [p for p in _in_range(spark, path, partition_col, cut(start), cut(end)) if p not in made]
+    if left:
+        empty = scratch_path(spark, "range-stage")
+        commit(spark, empty, path, partition_col, left)
     return done
 
 
+def _in_range(spark: SparkSession, path: str, partition_col: str, lo: str, hi: str) -> list[str]:
+    """Partition folders of the table whose value lies in [lo, hi]."""
+    return [p for p in Folder(spark, path).partitions(partition_col) if lo <= value_of(p) <= hi]
+
+
+def _replace_range(spark: SparkSession, df: DataFrame, path: str, partition_col: str, lo: str, hi: str) -> set[str]:
+    """Commit ``df`` as the content of the partitions in [lo, hi]; returns the folders it made (one a partition)."""
+    stage = scratch_path(spark, "range-stage")
+    partitioned_write(df, partition_col).mode("overwrite").parquet(stage)
+    made = set(Folder(spark, stage).partitions(partition_col))
+    commit(spark, stage, path, partition_col, [p for p in _in_range(spark, path, partition_col, lo, hi) if p not in made])
+    return made
+
+
 def partitioned_write(df: DataFrame, *partition_cols: str):
     """A writer partitioned by ``partition_cols`` whose input is first
     rebalanced on them: AQE then coalesces small day partitions into few
@@ -279,9 +299,11 @@ def partitioned_write(df: DataFrame, *partition_cols: str):
 # S4 / S14 ------------------------------------------------------------------
 def full_rebuild(df: DataFrame, path: str, partition_by: Iterable[str] = ()) -> str:
     """Replace the table with a freshly computed version (kind FULL)."""
-    partition_by = list(partition_by)
+    spark, partition_by = df.sparkSession, list(partition_by)
+    stage = scratch_path(spark, "rebuild-stage")
     w = partitioned_write(df, *partition_by) if partition_by else df.write
-    w.mode("overwrite").parquet(path)
+    w.mode("overwrite").parquet(stage)
+    commit(spark, stage, path)
     return path
 
 
@@ -289,76 +311,92 @@ sync_overwrite = full_rebuild
 
 
 # S5 ------------------------------------------------------------------------
-def sync_append_cursor(source: DataFrame, target_path: str, cursor: str) -> None:
-    """Append source rows whose cursor is beyond the last one already loaded.
+def sync_append_cursor(source: DataFrame, target_path: str, cursor: str, keys: Iterable[str]) -> None:
+    """Append source rows at or beyond the last loaded cursor that are not loaded yet.
 
-    The last cursor is a single aggregate over the target (answered from
-    Parquet footers' min/max where possible); nothing else leaves the cluster."""
-    spark = source.sparkSession
-    try:
-        last = spark.read.parquet(target_path).agg(F.max(cursor)).first()[0]
-    except Exception:  # noqa: BLE001 - no table yet: full load
-        last = None
-    new = source if last is None else source.where(col(cursor) > F.lit(last))
-    new.write.mode("append").parquet(target_path)
+    The cursor is a day, and rows of the last day may arrive after it was read:
+    the source is read again from that day on, and rows whose ``keys`` the table
+    has for those days are left out.  The last cursor is one aggregate over the
+    target; nothing else leaves the cluster."""
+    keys = list(keys)
+    target = read_table(source.sparkSession, target_path)
+    if target is None:
+        stage = scratch_path(source.sparkSession, "sync-stage")
+        source.write.mode("overwrite").parquet(stage)
+        commit(source.sparkSession, stage, target_path)
+        return
+    last = target.agg(F.max(cursor)).first()[0]
+    since = F.lit(True) if last is None else col(cursor) >= F.lit(last)
+    _absent(target.where(since), source.where(since).select(*target.columns), keys).write.mode("append").parquet(target_path)
 
 
 # Writers ---------------------------------------------------------------------
+BUCKET = "key_bucket"
+
+
+def with_bucket(df: DataFrame, keys: list[str], buckets: int) -> DataFrame:
+    """``df`` with the partition that its key falls to; equal keys always share it."""
+    return df.withColumn(BUCKET, F.pmod(F.xxhash64(*[col(k) for k in keys]), F.lit(buckets)).cast("int"))
+
+
+def _touched(b: DataFrame, partition_col: str):
+    """Predicate on the partitions a batch touches (one value each, bounded by its days or buckets), NULL included."""
+    values = [r[0] for r in b.select(partition_col).distinct().collect()]
+    known = [v for v in values if v is not None]
+    cond = col(partition_col).isin(known) if known else F.lit(False)
+    return cond | col(partition_col).isNull() if None in values else cond
+
+
 def upsert_table(spark: SparkSession, path: str, batch: DataFrame, keys: list[str], update_cols: list[str],
                  order: list[str] | None = None, partition_col: str | None = None,
-                 broadcast_rows: int | None = BROADCAST_BATCH_ROWS) -> str:
+                 broadcast_bytes: int | None = BROADCAST_BATCH_BYTES, buckets: int | None = None) -> str:
     """Upsert into a Parquet table in place.
 
-    Partitioned tables: only the partitions the batch touches are read,
-    merged and rewritten (dynamic overwrite).  The merged result is staged
-    under the shared checkpoint folder first, because a plan must never read
-    and overwrite the same files.  Replaying a batch rewrites the same rows:
-    the operation is idempotent."""
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
-        target = spark.read.parquet(path)
-    except Exception:  # noqa: BLE001 - first load
-        b = collapse_batch(batch, keys, update_cols, order) if order else batch
-        w = partitioned_write(b, partition_col) if partition_col else b.write
-        w.mode("overwrite").parquet(path)
-        return path
-    from pyspark import StorageLevel
-
-    # The collapsed batch is used three times (size check, touched partitions,
-    # merge): persist it once; lost blocks are recomputed from lineage.
-    b = batch.select(*target.columns)
+    Only the partitions the batch touches are read, merged and written, once
+    each.  The partition column must be one of the keys, or the key's bucket
+    (``buckets``): then a key can't leave another version of its row in a
+    partition that the batch does not touch.  Replaying a batch writes the same rows.
+    """
+    if buckets:
+        batch, partition_col = with_bucket(batch, keys, buckets), BUCKET
+    elif partition_col and partition_col not in keys:
+        raise ValueError(f"{partition_col} is not part of the key {keys}: a key could move between partitions")
+    target = read_table(spark, path)
+    b = batch if target is None else batch.select(*target.columns)
     if order:
         b = collapse_batch(b, keys, update_cols, order)
-    b = b.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
+    batch_stage, stage = scratch_path(spark, "upsert-batch"), scratch_path(spark, "upsert-stage")
+    if target is None:
+        merged = b
+    else:
+        b.write.mode("overwrite").parquet(batch_stage)     # its files give the size, and are read up to three times
+        b = spark.read.schema(b.schema).parquet(batch_stage)
         if partition_col:
-            # Touched partition values (bounded by the batch's days) as a
-            # static predicate: untouched partitions are pruned at listing.
-            touched = [r[0] for r in b.select(partition_col).distinct().collect()]
-            target = target.where(col(partition_col).isin(touched))
-        merged = upsert(target, b, keys, update_cols, None, broadcast_rows)
-        stage = scratch_path(spark, "upsert-stage")
-        w = partitioned_write(merged, partition_col) if partition_col else merged.write
-        w.mode("overwrite").parquet(stage)
-    finally:
-        b.unpersist()
-    staged = spark.read.parquet(stage).select(*target.columns)
-    w = partitioned_write(staged, partition_col) if partition_col else staged.write
-    w.mode("overwrite").parquet(path)
+            target = target.where(_touched(b, partition_col))
+        merged = upsert(target, b, keys, update_cols, None, broadcast_bytes)
+    w = partitioned_write(merged, partition_col) if partition_col else merged.write
+    w.mode("overwrite").parquet(stage)
+    commit(spark, stage, path, partition_col)
+    Folder(spark, batch_stage).drop()
     return path
 
 
 def insert_if_absent_table(spark: SparkSession, path: str, batch: DataFrame, keys: list[str],
-                           order: list[str] | None = None) -> str:
+                           order: list[str] | None = None, buckets: int | None = None) -> str:
     """Append only the batch rows whose key is absent from the table
-    (existing rows are never rewritten: one anti-join, one append)."""
-    try:
-        target = spark.read.parquet(path)
-    except Exception:  # noqa: BLE001 - first load
-        target = None
+    (existing rows are never rewritten: one anti-join, one append).  With
+    ``buckets`` only the key buckets that the batch touches are scanned."""
+    b = with_bucket(batch, keys, buckets) if buckets else batch
+    target = read_table(spark, path)
     if target is None:
-        first_rows(batch, keys, order).write.mode("overwrite").parquet(path)
+        stage = scratch_path(spark, "insert-stage")
+        first = first_rows(b, keys, order)
+        (partitioned_write(first, BUCKET) if buckets else first.write).mode("overwrite").parquet(stage)
+        commit(spark, stage, path)
         return path
-    new = first_rows(batch.select(*target.columns), keys, order).join(target.select(*keys), keys, "left_anti")
-    new.select(*target.columns).write.mode("append").parquet(path)
+    b = first_rows(b.select(*target.columns), keys, order)
+    if buckets:
+        target = target.where(_touched(b, BUCKET))
+    new = _absent(target, b, keys)
+    (partitioned_write(new, BUCKET) if buckets else new.write).mode("append").parquet(path)
     return path

@@ -139,8 +139,8 @@ def _sync_append(c):
     path = scratch_path(c.spark, "sync-append")
     src = c.raw("raw_spotify_episode_performance")
     src.where(col("date") <= F.lit("2024-01-15").cast("date")).write.mode("overwrite").parquet(path)
-    mn.sync_append_cursor(src, path, "date")
-    mn.sync_append_cursor(src, path, "date")  # nothing new: appends zero rows
+    mn.sync_append_cursor(src, path, "date", ["episode_id", "date"])
+    mn.sync_append_cursor(src, path, "date", ["episode_id", "date"])  # nothing new: appends zero rows
     return c.spark.read.parquet(path)
 
 

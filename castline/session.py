@@ -63,8 +63,9 @@ def get_session(master: str = "local[8]", shuffle_partitions: int | None = 8,
 def _ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by the cluster.
 
-    ``spark.checkpoint.dir`` is read from the session; only when it is unset
-    (local tests) do we create one of our own.
+    ``spark.checkpoint.dir`` is read from the session.  Only where it is unset
+    on a local master (tests) is a folder of our own made; on a cluster its
+    executors would each write to a disk of their own.
     """
     sc = spark.sparkContext
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
@@ -75,6 +76,8 @@ def _ensure_checkpoint_dir(spark: SparkSession) -> str:
         return configured
     if current:
         return current
+    if not sc.master.split("[")[0] == "local":
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     local = tempfile.mkdtemp(prefix="castline-ckpt-", dir="/tmp")
     spark.conf.set("spark.checkpoint.dir", local)
     sc.setCheckpointDir(local)

@@ -55,10 +55,12 @@ def stream_upsert(spark: SparkSession, src: str, schema, target: str, checkpoint
 
 
 def stream_insert_once(spark: SparkSession, src: str, schema, target: str, checkpoint: str, keys: list[str],
-                       order: list[str] | None = None, files_per_batch: int | None = None) -> None:
-    """ST3: repeated records (same key) are ignored."""
+                       order: list[str] | None = None, files_per_batch: int | None = None,
+                       buckets: int | None = None) -> None:
+    """ST3: repeated records (same key) are ignored; with ``buckets`` a
+    micro-batch scans only the key buckets it touches."""
     def apply(batch: DataFrame, _epoch: int) -> None:
-        mn.insert_if_absent_table(batch.sparkSession, target, batch, keys, order)
+        mn.insert_if_absent_table(batch.sparkSession, target, batch, keys, order, buckets)
 
     q = (_source(spark, src, schema, files_per_batch).writeStream.foreachBatch(apply)
          .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())

@@ -31,7 +31,7 @@ def test_upsert_is_idempotent_and_broadcast_path_matches(spark):
     once = mn.upsert(t, b, *args)
     twice = mn.upsert(once, b, *args)
     assert rows(once) == rows(twice)
-    assert rows(mn.upsert(t, b, *args, broadcast_rows=10)) == rows(once)
+    assert rows(mn.upsert(t, b, *args, broadcast_bytes=10**12)) == rows(once)
 
 
 def test_insert_if_absent_never_updates(spark):
@@ -119,8 +119,8 @@ def test_runner_blocks_on_failure_and_passes_clean_data(spark):
 
 def test_plan_intervals_month_aligned_and_grouping():
     ivals = mn.plan_intervals("2024-01-15", "2024-03-10", align="month")
-    assert ivals == [("2024-01-15", "2024-01-31"), ("2024-02-01", "2024-02-29"), ("2024-03-01", "2024-03-10")]
-    assert mn.group_intervals(ivals, 50) == [("2024-01-15", "2024-02-29"), ("2024-03-01", "2024-03-10")]
+    assert ivals == [("2024-01-01", "2024-01-31"), ("2024-02-01", "2024-02-29"), ("2024-03-01", "2024-03-31")]
+    assert mn.group_intervals(ivals, 70) == [("2024-01-01", "2024-02-29"), ("2024-03-01", "2024-03-31")]
     assert mn.group_intervals([("2024-01-01", "2024-01-30"), ("2024-03-01", "2024-03-30")], 999) == \
         [("2024-01-01", "2024-01-30"), ("2024-03-01", "2024-03-30")]   # not adjacent: separate jobs
 

@@ -31,7 +31,7 @@ def test_upsert_matches_sequential_model_and_is_idempotent(spark, t, b):
     target, batch, tdf, bdf = _frames(spark, t, b)
     got = sorted(tuple(r) for r in mn.upsert(tdf, bdf, ["k"], ["v", "ver"], ["ver"]).collect())
     assert got == _model_upsert(target, batch)
-    via_broadcast = mn.upsert(tdf, bdf, ["k"], ["v", "ver"], ["ver"], broadcast_rows=1000)
+    via_broadcast = mn.upsert(tdf, bdf, ["k"], ["v", "ver"], ["ver"], broadcast_bytes=10**12)
     assert sorted(tuple(r) for r in via_broadcast.collect()) == got
     again = mn.upsert(spark.createDataFrame(got, SCHEMA), bdf, ["k"], ["v", "ver"], ["ver"])
     assert sorted(tuple(r) for r in again.collect()) == got
