@@ -29,8 +29,10 @@ other columns are ignored.
 from __future__ import annotations
 
 import json
+import re
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -168,47 +170,82 @@ def read_file(uri: str) -> bytes:
 class Encoder:
     """A tokenizer of the tokenizers library with a cache of stretches between white space."""
 
-    LAST = frozenset(b".,;:!?")
+    #: ASCII marks of which a run before or after a letter or digit is a piece of its own (no apostrophe).
+    MARKS = b'.,;:!?*#$%&|()[]{}"=+/@^~'
 
     def __init__(self, path: str) -> None:
         import os
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
+        self.after = re.compile(rb"(?<=[a-z0-9])([.,;:!?]+)(?!\S)")
         self.width = 2 if self.tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else 4
+        self.code = "H" if self.width == 2 else "I"
         self.young: dict[bytes, bytes] = {}
         self.old: dict[bytes, bytes] = {}
 
+    def stretches(self, text: str | None) -> list[bytes]:
+        """A text between white space, in lower case and with the marks after a word apart (both ASCII only)."""
+        data = (text or "").encode()
+        if b"<|" not in data:             # else it may hold a special token, which case would change
+            data = self.after.sub(rb" \1", data.lower())
+        return data.split()
+
     def words(self, stretch: bytes) -> list[bytes]:
-        """What to ask the tokenizer for: lower case, and a mark after a letter apart (both ASCII only)."""
+        """What to ask the tokenizer for: other marks around a word apart."""
         if not stretch.isascii() or b"<|" in stretch:
             return [stretch]
-        low = stretch.lower()
-        if len(low) > 1 and low[-1] in self.LAST and low[-2:-1].isalpha():
-            return [low[:-1], low[-1:]]
-        return [low]
+        head = stretch.rstrip(self.MARKS)
+        body = head.lstrip(self.MARKS)
+        if len(body) == len(stretch) or not body or not body[:1].isalnum() or not body[-1:].isalnum():
+            return [stretch]
+        return [w for w in (head[:len(head) - len(body)], body, stretch[len(head):]) if w]
 
-    def learn(self, stretches: set[bytes]) -> None:
+    def learn(self, stretches: set[bytes]) -> dict[bytes, bytes]:
+        """The ids of stretches that are not known yet; short ones are remembered."""
         if len(self.young) >= CACHE:      # two generations: what was used lately stays
             self.old, self.young = self.young, {}
-        asked = {s: self.words(s) for s in stretches}
-        need = {w for ws in asked.values() for w in ws if w not in self.young}
-        fresh = [w for w in need if w not in self.old]
+        young, old = self.young, self.old
+        out, ask, parts = {}, set(), {}
+        for s in stretches:
+            ids = old.get(s)
+            if ids is not None:
+                out[s] = ids
+                continue
+            ws = self.words(s)
+            if len(ws) == 1:
+                ask.add(s)
+            else:
+                parts[s] = ws
+                ask.update(w for w in ws if w not in young and w not in old)
+        fresh = list(ask)
         got = self.tokenizer.encode_batch_fast([w.decode() for w in fresh], add_special_tokens=False)
-        self.young.update((w, self.old[w]) for w in need if w in self.old)
-        self.young.update((w, np.array(e.ids, f"<u{self.width}").tobytes()) for w, e in zip(fresh, got, strict=True))
-        self.young.update((s, b"".join(map(self.young.__getitem__, ws))) for s, ws in asked.items() if ws != [s])
+        out.update((w, array(self.code, e.ids).tobytes()) for w, e in zip(fresh, got, strict=True))
+        for s, ws in parts.items():
+            out[s] = b"".join([out.get(w) or young.get(w) or old.get(w) or b"" for w in ws])
+        young.update((s, ids) for s, ids in out.items() if len(s) <= 64)
+        return out
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
-        cut = [(t or "").encode().split() for t in texts]
-        unknown = {s for words in cut for s in words if s not in self.young}
+        cut = [self.stretches(t) for t in texts]
+        ids = [list(map(self.young.get, words)) for words in cut]
+        gaps = list(map(gaps_of, ids))
+        unknown = {words[i] for words, at in zip(cut, gaps, strict=True) for i in at}
         if unknown:
-            self.learn(unknown)
-        try:
-            return [b"".join(map(self.young.__getitem__, words)) for words in cut]
-        except KeyError:                  # the generations changed in between
-            self.learn({s for words in cut for s in words})
-            return [b"".join(map(self.young.__getitem__, words)) for words in cut]
+            new = self.learn(unknown)
+            for words, found, at in zip(cut, ids, gaps, strict=True):
+                for i in at:
+                    found[i] = new[words[i]]
+        return list(map(b"".join, ids))
+
+
+def gaps_of(found: list[bytes | None]) -> list[int]:
+    """Where a list holds None."""
+    at, i = [], -1
+    for _ in range(found.count(None)):
+        i = found.index(None, i + 1)
+        at.append(i)
+    return at
 
 
 _open: dict[str, Encoder] = {}
@@ -241,13 +278,13 @@ def write(docs: DataFrame, folder: str, tokenizer: str | None = None, end_id: in
             return batch(schema, [shard], [seq], [path], [len(ids)], [held // enc.width])
 
         for b in slices(batches):
-            doc_ids += b.column(0).to_pylist()
-            new = [i + end for i in enc.encode(b.column(1).to_pylist())]
-            ids += new
-            held += sum(map(len, new))
-            if held >= FILE_IDS * enc.width:
-                yield flush()
-                doc_ids, ids, held, seq = [], [], 0, seq + 1
+            for doc_id, own in zip(b.column(0).to_pylist(), enc.encode(b.column(1).to_pylist()), strict=True):
+                doc_ids.append(doc_id)
+                ids.append(own + end)
+                held += len(ids[-1])
+                if held >= FILE_IDS * enc.width:
+                    yield flush()
+                    doc_ids, ids, held, seq = [], [], 0, seq + 1
         if ids:
             yield flush()
 
