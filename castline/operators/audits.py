@@ -5,12 +5,13 @@ check is itself a distributed query.  The runner evaluates all row-level
 checks of a table in **one aggregated pass** (``sum(when(fail, 1))`` per
 check), uniqueness with one ``groupBy`` per key, and key lookups with
 ``left_anti`` joins; only the per-check failure counts (one row per check) are
-brought to the driver to decide whether a blocking check failed.
+brought to the driver to decide whether a blocking check failed.  A build
+shows each written candidate to a :class:`Gate` before it is published.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -61,7 +62,7 @@ def accepted_values(df: DataFrame, column: str, values) -> DataFrame:
 
 def referential(child: DataFrame, child_col: str, parent: DataFrame, parent_col: str) -> DataFrame:
     """Q-FK: child rows whose non-NULL key has no parent row."""
-    p = parent.select(col(parent_col).alias("_pk")).distinct()
+    p = parent.select(col(parent_col).alias("_pk"))
     return child.where(col(child_col).isNotNull()).join(p, col(child_col) == col("_pk"), "left_anti")
 
 
@@ -70,12 +71,12 @@ def referential(child: DataFrame, child_col: str, parent: DataFrame, parent_col:
 class Check:
     model: str
     column: str
-    test: str               # not_null | unique | accepted_values | positive
+    test: str               # not_null | unique (columns joined by ",") | accepted_values | positive | valid_date_key
     values: tuple = ()
     blocking: bool = True
 
 
-def run_checks(model: str, df: DataFrame, checks: list[Check]) -> DataFrame:
+def run_checks(model: str, df: DataFrame, checks: list[Check], dim_date: DataFrame | None = None) -> DataFrame:
     """Failure counts for every check of one table: (model, column_name, test, failures)."""
     parts = []
     row_checks = [c for c in checks if c.test in ("not_null", "accepted_values", "positive")]
@@ -94,8 +95,11 @@ def run_checks(model: str, df: DataFrame, checks: list[Check]) -> DataFrame:
         parts.append(agg.selectExpr(f"stack({len(row_checks)}, {stack}) AS (column_name, test, failures)"))
     for c in checks:
         if c.test == "unique":
-            n = duplicate_groups(df, c.column, include_nulls=False).agg(F.count(F.lit(1)).alias("failures"))
+            n = duplicate_groups(df, *c.column.split(","), include_nulls=False).agg(F.count(F.lit(1)).alias("failures"))
             parts.append(n.select(F.lit(c.column).alias("column_name"), F.lit("unique").alias("test"), "failures"))
+        elif c.test == "valid_date_key":
+            n = assert_valid_date_key(df, c.column, dim_date).agg(F.count(F.lit(1)).alias("failures"))
+            parts.append(n.select(F.lit(c.column).alias("column_name"), F.lit(c.test).alias("test"), "failures"))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
@@ -126,7 +130,33 @@ def enforce(results: DataFrame, checks: list[Check]) -> list[tuple]:
     return failed
 
 
-# Declared column tests of the podcast-vs-video pipeline (as data).
+@dataclass
+class Gate:
+    """Audits candidates before they are published and keeps the results (a row a check)."""
+
+    checks: list[Check]
+    dim_date: DataFrame | None = None
+    enforced: bool = True
+    results: list[tuple] = field(default_factory=list)
+
+    def of(self, model: str):
+        """What to show the candidate of a model to; None without checks."""
+        mine = [c for c in self.checks if c.model == model]
+        if not mine:
+            return None
+
+        def check(candidate: DataFrame) -> None:
+            got = [tuple(r) for r in run_checks(model, candidate, mine, self.dim_date).collect()]
+            self.results += got
+            blocking = {(c.column, c.test) for c in mine if c.blocking}
+            bad = [r for r in got if r[3] > 0 and (r[1], r[2]) in blocking]
+            if bad and self.enforced:
+                raise AuditFailure(f"blocking audits failed, {model} is not published: {bad}")
+
+        return check
+
+
+# The declared column tests of the podcast-vs-video pipeline, in their order.
 TOOL1_TESTS: list[Check] = [
     Check("raw_spotify_episodes", "id", "unique"), Check("raw_spotify_episodes", "id", "not_null"),
     Check("raw_spotify_episode_performance", "episode_id", "not_null"),

@@ -15,18 +15,22 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from castline.functions import date_key, surrogate_key
+from castline.functions import date_key, safe_divide, surrogate_key
 
 col = F.col
 
 
-def in_range(c: Column, start: str, end: str) -> Column:
-    """``c::date BETWEEN start AND end`` as a half-open timestamp range."""
+def in_range(c: Column, start: str | None, end: str | None) -> Column:
+    """``c::date BETWEEN start AND end`` as a half-open timestamp range; without bounds, all times."""
+    if start is None or end is None:
+        return c.isNotNull()
     return (c >= F.lit(start).cast("date").cast("timestamp_ntz")) & \
            (c < F.date_add(F.lit(end).cast("date"), 1).cast("timestamp_ntz"))
 
 
-def in_date_range(c: Column, start: str, end: str) -> Column:
+def in_date_range(c: Column, start: str | None, end: str | None) -> Column:
+    if start is None or end is None:
+        return c.isNotNull()
     return (c >= F.lit(start).cast("date")) & (c <= F.lit(end).cast("date"))
 
 
@@ -68,11 +72,9 @@ def twitch_daily_platform(streams: DataFrame) -> DataFrame:
 def int_daily_platform_metrics(yt: DataFrame, tw: DataFrame, li: DataFrame, tc: DataFrame) -> DataFrame:
     u = (youtube_daily_platform(yt).unionByName(twitter_daily_platform(tw))
          .unionByName(linkedin_daily_platform(li)).unionByName(twitch_daily_platform(tc)))
-    v = col("total_views")
     return u.where(col("metric_date").isNotNull()).select(
         "metric_date", "platform", "total_views", "total_engagement", "content_count",
-        F.when((v == 0) | v.isNull(), F.lit(0.0))
-         .otherwise(col("total_engagement").cast("double") / v.cast("double") * 100).alias("avg_engagement_rate"))
+        (safe_divide("total_engagement", "total_views") * 100).alias("avg_engagement_rate"))
 
 
 # A10 -----------------------------------------------------------------------
@@ -190,42 +192,19 @@ def full_outer_chain(commits: DataFrame, prs: DataFrame, issues: DataFrame, star
 
 
 def combined_activity(commits: DataFrame, prs: DataFrame, issues: DataFrame, start: str, end: str) -> DataFrame:
-    """Same rows as :func:`full_outer_chain` for every non-NULL repository, in
-    one shuffle: the three sources are unioned and aggregated once with
-    conditional aggregates (instead of three aggregations + two full outer
-    joins).  NULL repositories collapse into one group here but are removed
-    by the repository lookup either way."""
-    z = F.lit(None)
-
-    def rows(df, ts, src, extra):
-        day = col(ts).cast("date")
-        base = df.where(in_range(col(ts), start, end)).select(
-            date_key(day).alias("date_key"), day.alias("activity_date"), "repo_full_name",
-            F.lit(src).alias("src"), *extra)
-        return base
-
-    c = rows(commits, "committed_at", "c", [col("lines_added").cast("bigint").alias("lines_added"),
-                                            col("lines_deleted").cast("bigint").alias("lines_deleted"),
-                                            col("author_email"),
-                                            z.cast("timestamp_ntz").alias("merged_at"),
-                                            z.cast("timestamp_ntz").alias("closed_at")])
-    p = rows(prs, "created_at", "p", [z.cast("bigint").alias("lines_added"), z.cast("bigint").alias("lines_deleted"),
-                                      z.cast("string").alias("author_email"), col("merged_at"), col("closed_at")])
-    i = rows(issues, "created_at", "i", [z.cast("bigint").alias("lines_added"),
-                                         z.cast("bigint").alias("lines_deleted"),
-                                         z.cast("string").alias("author_email"),
-                                         z.cast("timestamp_ntz").alias("merged_at"), col("closed_at")])
-    src = col("src")
-    return c.unionByName(p).unionByName(i).groupBy(*_KEYS).agg(
-        F.count(F.when(src == "c", 1)).alias("commits"),
-        F.coalesce(F.sum("lines_added"), F.lit(0).cast("bigint")).alias("lines_added"),
-        F.coalesce(F.sum("lines_deleted"), F.lit(0).cast("bigint")).alias("lines_deleted"),
-        F.countDistinct("author_email").alias("unique_contributors"),
-        F.count(F.when(src == "p", 1)).alias("prs_opened"),
-        F.count(F.when((src == "p") & col("merged_at").isNotNull(), 1)).alias("prs_merged"),
-        F.count(F.when((src == "p") & col("closed_at").isNotNull() & col("merged_at").isNull(), 1)).alias("prs_closed"),
-        F.count(F.when(src == "i", 1)).alias("issues_opened"),
-        F.count(F.when((src == "i") & col("closed_at").isNotNull(), 1)).alias("issues_closed"))
+    """Same rows as :func:`full_outer_chain` for every non-NULL repository,
+    without its joins: each source is aggregated alone (so only commits pay for
+    their distinct authors), and the three small results are unioned and summed
+    on the grain.  NULL repositories collapse into one group here but are
+    removed by the repository lookup either way."""
+    zero = F.lit(0).cast("bigint")
+
+    def wide(daily: DataFrame) -> DataFrame:
+        return daily.select(*_KEYS, *[col(m) if m in daily.columns else zero.alias(m) for m in _ACTIVITY])
+
+    every = (wide(commits_daily(commits, start, end)).unionByName(wide(prs_daily(prs, start, end)))
+             .unionByName(wide(issues_daily(issues, start, end))))
+    return every.groupBy(*_KEYS).agg(*[F.coalesce(F.sum(m), zero).alias(m) for m in _ACTIVITY])
 
 
 def repo_lookup(combined: DataFrame, repos: DataFrame) -> DataFrame:

@@ -107,12 +107,14 @@ def flatten_comments(payloads: DataFrame) -> DataFrame:
 
 
 def geo_breakdown(metrics: DataFrame) -> DataFrame:
-    """Top countries / cities arrays and the device map → long rows."""
-    keys = ["episode_id", "metric_date"]
-    countries = metrics.select(*keys, F.explode(F.from_json("top_countries", GEO_SCHEMA)).alias("g")).select(
-        *keys, F.lit("country").alias("dimension"), col("g.country").alias("name"), col("g.count").alias("count"))
-    cities = metrics.select(*keys, F.explode(F.from_json("top_cities", GEO_SCHEMA)).alias("g")).select(
-        *keys, F.lit("city").alias("dimension"), col("g.city").alias("name"), col("g.count").alias("count"))
-    devices = metrics.select(*keys, F.explode(F.from_json("device_breakdown", DEVICE_SCHEMA))).select(
-        *keys, F.lit("device").alias("dimension"), col("key").alias("name"), col("value").alias("count"))
-    return countries.unionByName(cities).unionByName(devices)
+    """Top countries / cities arrays and the device map → long rows, in one pass over the input."""
+    def rows(dimension: str, entries: Column, name: str, count: str) -> Column:
+        made = F.transform(entries, lambda e: F.struct(F.lit(dimension).alias("dimension"), e[name].alias("name"),
+                                                       e[count].alias("count")))
+        return F.coalesce(made, F.array().cast("array<struct<dimension: string, name: string, count: bigint>>"))
+
+    every = F.concat(rows("country", F.from_json("top_countries", GEO_SCHEMA), "country", "count"),
+                     rows("city", F.from_json("top_cities", GEO_SCHEMA), "city", "count"),
+                     rows("device", F.map_entries(F.from_json("device_breakdown", DEVICE_SCHEMA)), "key", "value"))
+    return metrics.select("episode_id", "metric_date", F.explode(every).alias("g")).select(
+        "episode_id", "metric_date", "g.dimension", "g.name", "g.count")

@@ -28,6 +28,9 @@ col = F.col
 # Batches at or under this size, by their staged files, are broadcast into the upsert joins.
 BROADCAST_BATCH_BYTES = 32 << 20
 
+# Looks at a staged candidate and raises if it must not be published.
+Check = Callable[[DataFrame], None]
+
 
 # S6 ------------------------------------------------------------------------
 def dedupe_latest(df: DataFrame, keys: Iterable[str], order: Iterable[str]) -> DataFrame:
@@ -203,6 +206,13 @@ def month_of(c) -> "Column":  # noqa: F821
     return F.date_format(c, "yyyy-MM")
 
 
+def range_of(dates: DataFrame, date_col: str) -> tuple[str, str] | None:
+    """First and last day of the data, or None without any (one aggregate)."""
+    d = col(date_col).cast("date")
+    first, last = dates.agg(F.min(d), F.max(d)).first()
+    return None if first is None else (first.isoformat(), last.isoformat())
+
+
 def intervals_with_data(dates: DataFrame, date_col: str, start: str, end: str,
                         batch_days: int = 30, align: str | None = None) -> list[tuple[str, str]]:
     """The planned intervals that contain at least one source date.
@@ -250,7 +260,8 @@ def group_intervals(intervals: list[tuple[str, str]], max_days: int) -> list[tup
 def incremental_by_time_range(spark: SparkSession, build: Callable[[str, str], DataFrame], path: str,
                               partition_col: str, start: str, end: str, batch_days: int = 30,
                               intervals: list[tuple[str, str]] | None = None,
-                              max_days_per_job: int = 3660, align: str | None = None) -> list[tuple[str, str]]:
+                              max_days_per_job: int = 3660, align: str | None = None,
+                              check: Check | None = None) -> list[tuple[str, str]]:
     """Recompute [start, end] in 30-day batches and replace exactly those days.
 
     After the run, the table's partitions in the range are exactly the
@@ -258,14 +269,15 @@ def incremental_by_time_range(spark: SparkSession, build: Callable[[str, str], D
     it produced replace theirs, and folders of its range that it did not produce
     go.  Batches of the range that were not run because no source row falls into
     them lose their partitions too.  ``align="month"`` works on whole months.
-    Re-running a batch, after a failure or for late data, gives the same table."""
+    Re-running a batch, after a failure or for late data, gives the same table.
+    ``check`` sees each job's staged output; if it raises, the range stays as it was."""
     if align == "month":
         start, end = whole_months(start, end)
     planned = intervals if intervals is not None else plan_intervals(start, end, batch_days, align)
     cut = (lambda d: d[:7]) if align == "month" else (lambda d: d)
     done, made = [], set()
     for s, e in group_intervals(planned, max_days_per_job):
-        made |= _replace_range(spark, build(s, e), path, partition_col, cut(s), cut(e))
+        made |= _replace_range(spark, build(s, e), path, partition_col, cut(s), cut(e), check)
         done.append((s, e))
     left = [p for p in _in_range(spark, path, partition_col, cut(start), cut(end)) if p not in made]
     if left:
@@ -279,11 +291,25 @@ def _in_range(spark: SparkSession, path: str, partition_col: str, lo: str, hi: s
     return [p for p in Folder(spark, path).partitions(partition_col) if lo <= value_of(p) <= hi]
 
 
-def _replace_range(spark: SparkSession, df: DataFrame, path: str, partition_col: str, lo: str, hi: str) -> set[str]:
+def _checked(spark: SparkSession, stage: str, check: Check | None) -> None:
+    """Show a staged candidate to ``check``; a candidate that fails is dropped."""
+    if check is None:
+        return
+    try:
+        check(spark.read.parquet(stage))
+    except Exception:
+        Folder(spark, stage).drop()
+        raise
+
+
+def _replace_range(spark: SparkSession, df: DataFrame, path: str, partition_col: str, lo: str, hi: str,
+                   check: Check | None) -> set[str]:
     """Commit ``df`` as the content of the partitions in [lo, hi]; returns the folders it made (one a partition)."""
     stage = scratch_path(spark, "range-stage")
     partitioned_write(df, partition_col).mode("overwrite").parquet(stage)
     made = set(Folder(spark, stage).partitions(partition_col))
+    if made:
+        _checked(spark, stage, check)
     commit(spark, stage, path, partition_col, [p for p in _in_range(spark, path, partition_col, lo, hi) if p not in made])
     return made
 
@@ -297,12 +323,15 @@ def partitioned_write(df: DataFrame, *partition_cols: str):
 
 
 # S4 / S14 ------------------------------------------------------------------
-def full_rebuild(df: DataFrame, path: str, partition_by: Iterable[str] = ()) -> str:
-    """Replace the table with a freshly computed version (kind FULL)."""
+def full_rebuild(df: DataFrame, path: str, partition_by: Iterable[str] = (), check: Check | None = None) -> str:
+    """Replace the table with a freshly computed version (kind FULL).
+
+    ``check`` sees the written candidate; if it raises, the table stays as it was."""
     spark, partition_by = df.sparkSession, list(partition_by)
     stage = scratch_path(spark, "rebuild-stage")
     w = partitioned_write(df, *partition_by) if partition_by else df.write
     w.mode("overwrite").parquet(stage)
+    _checked(spark, stage, check)
     commit(spark, stage, path)
     return path
 

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from castline.functions import (epoch_to_timestamp, int_or_zero, json_text, parse_hms_duration,
+from castline.functions import (cents_to_dollars, epoch_to_timestamp, int_or_zero, json_text, parse_hms_duration,
                                 parse_iso_duration)
 
 col = F.col
@@ -334,18 +334,17 @@ def stg_github_issues(raw: DataFrame) -> DataFrame:
 
 
 def stg_stripe_charges(raw: DataFrame) -> DataFrame:
-    """P20: cents → dollars; epoch seconds → timestamp (or a landed timestamp)."""
-    created = (epoch_to_timestamp("created") if "created" in raw.columns else _ts("created_ts"))
+    """P20: cents → dollars; epoch seconds → timestamp."""
     return raw.where(col("id").isNotNull()).select(
         col("id").alias("charge_id"), col("customer").alias("customer_id"),
         col("amount").alias("amount_cents"),
-        (col("amount").cast("double") / 100.0).alias("amount_dollars"),
+        cents_to_dollars("amount").alias("amount_dollars"),
         col("currency"), col("status"),
         col("paid").cast("boolean").alias("is_paid"),
         col("refunded").cast("boolean").alias("is_refunded"),
         col("description"), col("receipt_email"),
         col("invoice").alias("invoice_id"),
-        created.alias("created_at"),
+        epoch_to_timestamp("created").alias("created_at"),
         col("failure_code"), col("failure_message"),
         col("_airbyte_extracted_at").alias("extracted_at"),
     )
@@ -359,7 +358,7 @@ def stg_stripe_customers(raw: DataFrame) -> DataFrame:
         col("address_city").alias("city"), col("address_country").alias("country"),
         col("address_postal_code").alias("postal_code"), col("currency"),
         bal.alias("balance_cents"),
-        (bal.cast("double") / 100.0).alias("balance_dollars"),
+        cents_to_dollars(bal).alias("balance_dollars"),
         col("delinquent").cast("boolean").alias("is_delinquent"),
         col("default_source"),
         epoch_to_timestamp("created").alias("created_at"),
@@ -373,7 +372,7 @@ def stg_stripe_subscriptions(raw: DataFrame) -> DataFrame:
         col("id").alias("subscription_id"), col("customer").alias("customer_id"), col("status"),
         col("plan_id"), col("plan_nickname").alias("plan_name"),
         col("plan_amount").alias("amount_cents"),
-        (col("plan_amount").cast("double") / 100.0).alias("amount_dollars"),
+        cents_to_dollars("plan_amount").alias("amount_dollars"),
         col("plan_currency").alias("currency"), col("plan_interval").alias("interval"),
         col("plan_interval_count").alias("interval_count"),
         epoch_to_timestamp("current_period_start").alias("current_period_start"),

@@ -2,21 +2,24 @@
 
 This is the job a user runs daily (the reference's ``build`` / ``run``):
 
-1. podcast-vs-video marts (kind FULL) from the staging views;
-2. the star schema: calendar, platform, content and repository dimensions
-   (FULL), the three time-range facts (incremental, 30-day batches, only the
-   batches that contain source data), and the content-performance summary
-   (FULL, read back from the written fact and dimensions);
-3. the declared column tests and the grain / date-key audits, written as an
-   audit table; ``fail_on_audit=True`` makes blocking failures stop the run.
-
-Every table is written under ``root`` and downstream models read the written
-table, not the in-memory lineage, so each stage restarts from storage after a
-failure and plans stay small.
+1. raw tables that later steps read more than once, and all staging models (kind FULL);
+2. podcast-vs-video marts from the written staging tables;
+3. the star schema: calendar, platform, content and repository dimensions
+   (FULL), the unified content and daily platform models, the three time-range
+   facts (incremental, 30-day batches, only the batches that contain source
+   data), and the content-performance summary.
+
+Every table is written, audited and only then published: a model whose blocking
+audit fails raises, its old table stays, and nothing after it is built.  The
+declared column tests and the grain and date-key audits are all part of that;
+their counts are written as an audit table.  Downstream models read published
+tables, so each step restarts from storage and plans stay small.
 """
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,14 +29,54 @@ from castline.operators import dims as dm
 from castline.operators import facts as fx
 from castline.operators import maintain as mn
 from castline.operators import marts as mt
-from castline.operators.staging import staged
+from castline.operators.staging import STAGING, staged
 
 col = F.col
 
-# Order of the models in the build (also the order of the summary rows).
-MODELS = ("mart_content_performance", "mart_daily_metrics", "mart_platform_comparison", "dim_date",
-          "dim_platform", "dim_content", "dim_repository", "fact_daily_engagement", "fact_github_activity",
-          "fact_revenue", "fact_content_performance")
+# Models of the build with the columns that make up their content check (no floating-point ones).
+CONTENT = {
+    "mart_content_performance": ("content_id", "title", "published_date", "duration_seconds", "content_source",
+                                 "total_streams", "total_views", "total_likes"),
+    "mart_daily_metrics": ("metric_date", "spotify_streams", "youtube_views", "youtube_likes", "day_name"),
+    "mart_platform_comparison": ("platform", "total_consumption", "content_count", "days_active"),
+    "dim_date": ("date_key", "full_date", "fiscal_quarter", "year_month"),
+    "dim_platform": ("platform_key", "platform_id"),
+    "int_content_unified": ("content_key", "platform", "native_id", "title"),
+    "dim_content": ("content_key", "platform_key", "native_id", "published_date_key"),
+    "dim_repository": ("repo_key", "repo_id", "repo_full_name"),
+    "int_daily_platform_metrics": ("metric_date", "platform", "total_views", "total_engagement", "content_count"),
+    "fact_daily_engagement": ("date_key", "metric_date", "content_key", "platform", "views", "likes", "comments", "shares",
+                              "watch_time_seconds", "followers_gained"),
+    "fact_github_activity": ("date_key", "activity_date", "repo_key", "commits", "lines_added", "lines_deleted",
+                             "unique_contributors", "prs_opened", "prs_merged", "prs_closed", "issues_opened", "issues_closed"),
+    "fact_revenue": ("charge_id", "date_key", "customer_id", "amount_cents", "status", "product_name"),
+    "fact_content_performance": ("content_key", "platform_key", "total_views", "total_likes", "first_metric_date",
+                                 "last_metric_date", "days_with_metrics"),
+}
+MODELS = tuple(CONTENT)
+
+# Raw tables with declared tests, and those that are aggregates of larger tables.
+LANDED = ("raw_spotify_episodes", "raw_spotify_episode_performance", "raw_spotify_show_stats", "raw_youtube_videos",
+          "raw_youtube_daily_stats", "seed_content_mapping")
+
+WAREHOUSE_TESTS = [
+    au.Check("fact_daily_engagement", "content_key", "not_null"),
+    au.Check("fact_daily_engagement", "date_key,content_key", "unique"),
+    au.Check("fact_daily_engagement", "date_key", "valid_date_key", blocking=False),
+    au.Check("fact_content_performance", "content_key", "unique"),
+    au.Check("dim_content", "content_key", "unique"),
+    au.Check("dim_repository", "repo_key", "unique"),
+    au.Check("dim_date", "date_key", "unique"),
+    au.Check("fact_github_activity", "date_key,repo_key", "unique"),
+    au.Check("fact_revenue", "charge_id", "unique"),
+    au.Check("fact_revenue", "amount_cents", "positive"),
+]
+
+
+def declared_tests() -> list[au.Check]:
+    """All tests of the build: the podcast-vs-video column tests report, as there they
+    run beside the models; the star schema's audits block."""
+    return [replace(c, blocking=False) for c in au.TOOL1_TESTS] + WAREHOUSE_TESTS
 
 
 def _dates_of(*pairs) -> DataFrame:
@@ -44,89 +87,102 @@ def _dates_of(*pairs) -> DataFrame:
     return out
 
 
-def build_warehouse(spark: SparkSession, catalog, root: str, start: str, end: str, batch_days: int = 30,
-                    fail_on_audit: bool = False) -> dict[str, str]:
+def build_warehouse(spark: SparkSession, catalog, root: str, start: str | None = None, end: str | None = None,
+                    batch_days: int = 30, fail_on_audit: bool = True, checks: list[au.Check] | None = None) -> dict[str, str]:
+    """Build and publish all models under ``root``; without a range, all days of the sources.
+
+    Returns the path of each model.  ``fail_on_audit=False`` publishes whatever the audits say.
+    """
     root = root.rstrip("/")
-    path = {m: f"{root}/analytics/{m}" for m in MODELS}
-    S = lambda n: staged(catalog, n)
-
-    # 1. podcast vs video marts
-    perf, stats = S("stg_spotify_daily_performance"), S("stg_youtube_daily_stats")
-    content = ct.content_unified_mapped(S("stg_spotify_episodes"), S("stg_youtube_videos_json"),
-                                        catalog.raw("seed_content_mapping"))
-    mn.full_rebuild(mt.mart_content_performance(content, perf, stats), path["mart_content_performance"])
-    mn.full_rebuild(mt.mart_daily_metrics(perf, stats), path["mart_daily_metrics"])
-    mn.full_rebuild(mt.mart_platform_comparison(perf, stats, S("stg_spotify_show_stats")),
-                    path["mart_platform_comparison"])
-
-    # 2. star schema: dimensions
-    mn.full_rebuild(dm.dim_date(dm.gen_dim_date(spark)), path["dim_date"])
-    mn.full_rebuild(dm.dim_platform(dm.platform_seed(spark)), path["dim_platform"])
-    yt, tw, li, tc = (S("stg_youtube_video_metrics"), S("stg_twitter_tweets"), S("stg_linkedin_posts"),
-                      S("stg_twitch_streams"))
-    unified = ct.int_content_unified(S("stg_youtube_videos"), tc, tw, li)
-    mn.full_rebuild(dm.dim_content(unified, spark.read.parquet(path["dim_platform"])), path["dim_content"])
-    mn.full_rebuild(dm.dim_repository(S("stg_github_repos")), path["dim_repository"])
-    dim_date = F.broadcast(spark.read.parquet(path["dim_date"]))
-    repos = spark.read.parquet(path["dim_repository"])
-
-    # facts, incrementally by time range
-    ivals = mn.intervals_with_data(
-        _dates_of((yt, "metric_date"), (tw, "created_at"), (li, "published_at"), (tc, "started_at")),
-        "d", start, end, batch_days)
-    mn.incremental_by_time_range(spark, lambda s, e: fx.fact_daily_engagement(yt, tw, li, tc, s, e),
-                                 path["fact_daily_engagement"], "metric_date", start, end, batch_days, ivals)
-    # Multi-year facts are partitioned by month (batches aligned to months so
-    # every job replaces whole partitions); daily engagement stays by day.
-    commits, prs, issues = S("stg_github_commits"), S("stg_github_pull_requests"), S("stg_github_issues")
-    ivals = mn.intervals_with_data(
-        _dates_of((commits, "committed_at"), (prs, "created_at"), (issues, "created_at")), "d", start, end,
-        batch_days, align="month")
-    mn.incremental_by_time_range(
-        spark, lambda s, e: fx.fact_github_activity(commits, prs, issues, repos, s, e)
-        .withColumn("activity_month", mn.month_of(col("activity_date"))),
-        path["fact_github_activity"], "activity_month", start, end, batch_days, ivals, align="month")
-    charges = S("stg_stripe_charges")
-    ivals = mn.intervals_with_data(_dates_of((charges, "created_at")), "d", start, end, batch_days, align="month")
-    mn.incremental_by_time_range(
-        spark, lambda s, e: fx.fact_revenue(charges, s, e).withColumn("created_month", mn.month_of(col("created_at"))),
-        path["fact_revenue"], "created_month", start, end, batch_days, ivals, align="month")
-
-    engagement = spark.read.parquet(path["fact_daily_engagement"])
-    mn.full_rebuild(fx.fact_content_performance(engagement, dim_date, spark.read.parquet(path["dim_content"])),
-                    path["fact_content_performance"])
-
-    # 3. audits on the written tables
-    checks = [
-        au.Check("fact_daily_engagement", "content_key", "not_null"),
-        au.Check("fact_content_performance", "content_key", "unique"),
-        au.Check("dim_content", "content_key", "unique"),
-        au.Check("dim_repository", "repo_key", "unique"),
-        au.Check("dim_date", "date_key", "unique"),
-        au.Check("fact_revenue", "charge_id", "unique"),
-        au.Check("fact_revenue", "amount_cents", "positive"),
-    ]
-    tables = {m: spark.read.parquet(path[m]) for m in {c.model for c in checks}}
-    results = au.audit_runner(tables, checks)
-    grain = (au.duplicate_groups(engagement, "date_key", "content_key").agg(F.count(F.lit(1)).alias("failures"))
-             .select(F.lit("fact_daily_engagement").alias("model"), F.lit("date_key,content_key").alias("column_name"),
-                     F.lit("unique").alias("test"), col("failures").cast("bigint")))
-    date_keys = (au.assert_valid_date_key(engagement, "date_key", dim_date).agg(F.count(F.lit(1)).alias("failures"))
-                 .select(F.lit("fact_daily_engagement").alias("model"), F.lit("date_key").alias("column_name"),
-                         F.lit("valid_date_key").alias("test"), col("failures").cast("bigint")))
-    audit_path = f"{root}/audit/results"
-    mn.full_rebuild(results.unionByName(grain).unionByName(date_keys), audit_path)
-    if fail_on_audit:
-        au.enforce(spark.read.parquet(audit_path), checks)
-    path["audit_results"] = audit_path
+    path = {m: f"{root}/analytics/{m}" for m in (*MODELS, "content_unified_mapped")}
+    path |= {t: f"{root}/raw/{t}" for t in LANDED} | {s: f"{root}/staging/{s}" for s in STAGING}
+    gate = au.Gate(declared_tests() if checks is None else checks, enforced=fail_on_audit)
+
+    def read(name: str) -> DataFrame:
+        return mn.read_table(spark, path[name])
+
+    def full(name: str, df: DataFrame) -> DataFrame:
+        mn.full_rebuild(df, path[name], check=gate.of(name))
+        return read(name)
+
+    def ranged(name: str, build, partition_col: str, dates: DataFrame, align: str | None = None) -> DataFrame:
+        span = (start, end) if start and end else mn.range_of(dates, "d")
+        if span is None:
+            return full(name, build(None, None))
+        found = mn.intervals_with_data(dates, "d", *span, batch_days, align=align)
+        mn.incremental_by_time_range(spark, build, path[name], partition_col, *span, batch_days, found, align=align,
+                                     check=gate.of(name))
+        return read(name)
+
+    # 1. landed raw tables and staging
+    class Landed:
+        """The catalog, with the raw tables written above read from their files."""
+
+        def raw(self, name: str) -> DataFrame:
+            return landed[name] if name in landed else catalog.raw(name)
+
+        def __getattr__(self, name: str):
+            return getattr(catalog, name)
+
+    landed = {t: full(t, catalog.raw(t)) for t in LANDED}
+    S = {s: full(s, staged(Landed(), s)) for s in STAGING}
+
+    # 2. podcast vs video marts
+    perf, stats = S["stg_spotify_daily_performance"], S["stg_youtube_daily_stats"]
+    content = full("content_unified_mapped", ct.content_unified_mapped(
+        S["stg_spotify_episodes"], S["stg_youtube_videos_json"], landed["seed_content_mapping"]))
+    full("mart_content_performance", mt.mart_content_performance(content, perf, stats))
+    full("mart_daily_metrics", mt.mart_daily_metrics(perf, stats))
+    full("mart_platform_comparison", mt.mart_platform_comparison(perf, stats, S["stg_spotify_show_stats"]))
+
+    # 3. star schema
+    dim_date = F.broadcast(full("dim_date", dm.dim_date(dm.gen_dim_date(spark))))
+    gate.dim_date = dim_date
+    platforms = full("dim_platform", dm.dim_platform(dm.platform_seed(spark)))
+    yt, tw, li, tc = (S[n] for n in ("stg_youtube_video_metrics", "stg_twitter_tweets", "stg_linkedin_posts",
+                                     "stg_twitch_streams"))
+    unified = full("int_content_unified", ct.int_content_unified(S["stg_youtube_videos"], tc, tw, li))
+    dim_content = full("dim_content", dm.dim_content(unified, platforms))
+    repos = full("dim_repository", dm.dim_repository(S["stg_github_repos"]))
+    full("int_daily_platform_metrics", fx.int_daily_platform_metrics(yt, tw, li, tc))
+
+    engagement = ranged(
+        "fact_daily_engagement", lambda s, e: fx.fact_daily_engagement(yt, tw, li, tc, s, e), "metric_date",
+        _dates_of((yt, "metric_date"), (tw, "created_at"), (li, "published_at"), (tc, "started_at")))
+    # Multi-year facts are partitioned by month (batches are whole months); daily engagement stays by day.
+    commits, prs, issues = S["stg_github_commits"], S["stg_github_pull_requests"], S["stg_github_issues"]
+    ranged("fact_github_activity", lambda s, e: fx.fact_github_activity(commits, prs, issues, repos, s, e)
+           .withColumn("activity_month", mn.month_of(col("activity_date"))), "activity_month",
+           _dates_of((commits, "committed_at"), (prs, "created_at"), (issues, "created_at")), align="month")
+    charges = S["stg_stripe_charges"]
+    ranged("fact_revenue", lambda s, e: fx.fact_revenue(charges, s, e)
+           .withColumn("created_month", mn.month_of(col("created_at"))), "created_month",
+           _dates_of((charges, "created_at")), align="month")
+    full("fact_content_performance", fx.fact_content_performance(engagement, dim_date, dim_content))
+
+    path["audit_results"] = f"{root}/audit/results"
+    mn.full_rebuild(spark.createDataFrame(gate.results, "model string, column_name string, test string, failures bigint"),
+                    path["audit_results"])
     return path
 
 
 def build_summary(spark: SparkSession, paths: dict[str, str]) -> DataFrame:
-    """Row count of every built table (one distributed count per table)."""
+    """Row count and content sum (32 bits of each row's MD5) of every built table, one aggregate a table."""
     out = None
-    for m in MODELS:
-        c = spark.read.parquet(paths[m]).agg(F.count(F.lit(1)).alias("row_count")) \
-            .select(F.lit(m).alias("model"), "row_count")
+    for m, columns in CONTENT.items():
+        text = F.concat_ws("|", *[F.coalesce(col(c).cast("string"), F.lit("~")) for c in columns])
+        part = F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("bigint")
+        c = mn.read_table(spark, paths[m]).agg(F.count(F.lit(1)).alias("row_count"), F.sum(part).alias("content")) \
+            .select(F.lit(m).alias("model"), "row_count", "content")
         out = c if out is None else out.unionByName(c)
     return out
+
+
+def summary_sql() -> str:
+    """The summary of the same models in the oracle's dialect."""
+    parts = []
+    for m, columns in CONTENT.items():
+        text = " || '|' || ".join(f"coalesce(cast({c} AS varchar), '~')" for c in columns)
+        parts.append(f"SELECT '{m}' AS model, count(*) AS row_count, "
+                     f"cast(sum(('0x' || substr(md5({text}), 1, 8))::bigint) AS bigint) AS content FROM {m}")
+    return "\nUNION ALL\n".join(parts)

@@ -44,13 +44,12 @@ def _dkey(d: str) -> str:
     return f"cast(strftime(cast({d} AS date), '%Y%m%d') AS int)"
 
 
-ISO_DURATION = (
-    "coalesce(coalesce({h} * 3600, 0) + coalesce({m} * 60, 0) + coalesce({s}, 0), 0)"
-)
-
-
 def _iso(x: str) -> str:
-    return ISO_DURATION.format(h=_rx(x, r"PT(\d+)H"), m=_rx(x, r"(\d+)M"), s=_rx(x, r"(\d+)S"))
+    """ISO 8601 duration in seconds: interval arithmetic on the four numbers of the grammar."""
+    names = "['d', 'h', 'm', 's']"
+    parts = f"regexp_extract({x}, '^P(?:(\\d+)D)?(?:T(?:(\\d+)H)?(?:(\\d+)M)?(?:(\\d+)S)?)?$', {names})"
+    return " + ".join(f"coalesce(try_cast(nullif(({parts}).{n}, '') AS int), 0) * {k}"
+                      for n, k in (("d", 86400), ("h", 3600), ("m", 60), ("s", 1)))
 
 
 def _hms(x: str) -> str:
@@ -221,10 +220,10 @@ SELECT id AS issue_id, number AS issue_number, repository AS repo_full_name, tit
        pull_request IS NOT NULL AS is_pull_request, html_url AS issue_url, _airbyte_extracted_at AS extracted_at
 FROM raw_github_issues WHERE id IS NOT NULL AND pull_request IS NULL"""
 
-MODELS["stg_stripe_charges"] = """
+MODELS["stg_stripe_charges"] = f"""
 SELECT id AS charge_id, customer AS customer_id, amount AS amount_cents, cast(amount AS double) / 100.0 AS amount_dollars,
        currency, status, cast(paid AS boolean) AS is_paid, cast(refunded AS boolean) AS is_refunded,
-       description, receipt_email, invoice AS invoice_id, cast(created_ts AS timestamp) AS created_at,
+       description, receipt_email, invoice AS invoice_id, {_epoch("created")} AS created_at,
        failure_code, failure_message, _airbyte_extracted_at AS extracted_at
 FROM raw_stripe_charges WHERE id IS NOT NULL"""
 

@@ -102,14 +102,14 @@ REPORTS: dict[str, str] = {
     "platform_share": """SELECT platform, views, cast(views AS double) / sum(views) OVER () * 100 AS share_pct
         FROM (SELECT platform, cast(sum(views) AS bigint) AS views FROM fact_daily_engagement GROUP BY 1) t""",
     "monthly_revenue_trend": "SELECT year_month, revenue FROM monthly_revenue ORDER BY year_month",
-    "revenue_by_product": """SELECT product_name, sum(amount_dollars) AS revenue, count(*) AS charges
+    "revenue_by_product": """SELECT product_name, sum(amount_cents) / 100.0::double AS revenue, count(*) AS charges
         FROM fact_revenue GROUP BY 1""",
     "customers_over_time": """SELECT year_month, new_customers,
                cast(sum(new_customers) OVER (ORDER BY year_month ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS bigint) AS total_customers
         FROM (SELECT strftime(created_at, '%Y-%m') AS year_month, count(*) AS new_customers
               FROM stg_stripe_customers GROUP BY 1) t""",
     "avg_transaction_value": """SELECT strftime(created_at, '%Y-%m') AS year_month,
-               avg(amount_dollars) AS avg_transaction_value FROM fact_revenue GROUP BY 1""",
+               sum(amount_cents)::double / (count(amount_cents) * 100) AS avg_transaction_value FROM fact_revenue GROUP BY 1""",
     "commits_per_week_by_repo": """SELECT repo_key, cast(date_trunc('week', activity_date) AS date) AS week,
                cast(sum(commits) AS bigint) AS commits FROM fact_github_activity GROUP BY 1, 2""",
     "pr_merge_rate": """SELECT repo_key, prs_opened, prs_merged,
@@ -133,7 +133,7 @@ REPORTS: dict[str, str] = {
 }
 
 MODELS["monthly_revenue"] = """
-SELECT d.year, d.month, d.year_month, sum(f.amount_dollars) AS revenue
+SELECT d.year, d.month, d.year_month, sum(f.amount_cents) / 100.0::double AS revenue
 FROM fact_revenue f JOIN dim_date d ON f.date_key = d.date_key GROUP BY d.year, d.month, d.year_month"""
 
 MODELS["podcast_metrics_latest"] = f"""

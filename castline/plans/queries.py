@@ -27,7 +27,7 @@ from castline.operators import facts as fx  # noqa: E402
 from castline.operators import marts as mt  # noqa: E402
 from castline.plans import oracle_models as om  # noqa: E402
 
-FULL = (om.FULL_START, om.FULL_END)
+FULL = (None, None)      # all days of the sources
 
 
 def S(cat, name):

@@ -8,10 +8,11 @@ from pyspark.sql import functions as F
 
 from castline.operators import audits as au
 from castline.operators import dims as dm
+from castline.operators import facts as fx
 from castline.operators import maintain as mn
 from castline.plans import oracle as O
 from castline.plans import oracle_models as om
-from castline.plans.queries import FULL, S, mart_comparison, mart_content, mart_daily, t1_content, t2_engagement
+from castline.plans.queries import S, mart_comparison, mart_content, mart_daily, t1_content, t2_engagement
 from castline.plans.registry import register
 from castline.session import scratch_path
 from castline.sources.bindings import BINDINGS
@@ -62,11 +63,11 @@ register("accepted_values",
          lambda c: au.accepted_values(c.raw("raw_podcasts"), "platform", ("spotify", "youtube")),
          "SELECT * FROM raw_podcasts WHERE platform NOT IN ('spotify', 'youtube')")
 register("referential",
-         lambda c: au.referential(S(c, "stg_spotify_daily_performance"), "episode_id",
-                                  S(c, "stg_spotify_episodes"), "episode_id"),
-         """SELECT * FROM stg_spotify_daily_performance p WHERE episode_id IS NOT NULL
-            AND NOT EXISTS (SELECT 1 FROM stg_spotify_episodes e WHERE e.episode_id = p.episode_id)""",
-         ("avg_listen_seconds", "stream_through_rate"))
+         lambda c: au.referential(S(c, "stg_youtube_daily_stats"), "video_id",
+                                  S(c, "stg_youtube_videos_json"), "video_id"),
+         """SELECT * FROM stg_youtube_daily_stats p WHERE video_id IS NOT NULL
+            AND NOT EXISTS (SELECT 1 FROM stg_youtube_videos_json e WHERE e.video_id = p.video_id)""",
+         ("watch_time_minutes", "avg_view_seconds", "minutes_per_view"))
 
 # --------------------------------------------------------------- upserts
 _POD = ["id", "show_name", "platform", "platform_id", "description", "author", "categories", "language",
@@ -153,11 +154,11 @@ def _full_rebuild(c):
 
 def _incremental(c):
     path = scratch_path(c.spark, "incremental")
-    start, end = FULL
     dates = S(c, "stg_youtube_video_metrics").select(col("metric_date").alias("d")) \
         .unionByName(S(c, "stg_twitter_tweets").select(col("created_at").cast("date").alias("d"))) \
         .unionByName(S(c, "stg_linkedin_posts").select(col("published_at").cast("date").alias("d"))) \
         .unionByName(S(c, "stg_twitch_streams").select(col("started_at").cast("date").alias("d")))
+    start, end = mn.range_of(dates, "d")
     intervals = mn.intervals_with_data(dates, "d", start, end, 30)
     mn.incremental_by_time_range(c.spark, lambda s, e: t2_engagement(c, s, e), path, "metric_date",
                                  start, end, 30, intervals)
@@ -166,6 +167,66 @@ def _incremental(c):
     return out.select(*[col(x).cast("date").alias(x) if x == "metric_date" else col(x) for x in cols])
 
 
+def _sync_append_late(c):
+    """Rows of the last loaded day that arrive after it was read are loaded by the next run."""
+    path = scratch_path(c.spark, "sync-late")
+    src = c.raw("raw_spotify_episode_performance")
+    day = F.lit("2024-01-15").cast("date")
+    src.where((col("date") < day) | ((col("date") == day) & (col("starts") % 2 == 0))).write.mode("overwrite").parquet(path)
+    mn.sync_append_cursor(src, path, "date", ["episode_id", "date"])
+    return c.spark.read.parquet(path)
+
+
+def _revenue_partial(c):
+    """The month-partitioned fact after a rebuild of a range that begins and ends inside months."""
+    path = scratch_path(c.spark, "partial-range")
+    charges = S(c, "stg_stripe_charges")
+
+    def build(s, e):
+        return fx.fact_revenue(charges, s, e).withColumn("created_month", mn.month_of(col("created_at")))
+
+    start, end = mn.range_of(charges, "created_at")
+    mn.incremental_by_time_range(c.spark, build, path, "created_month", start, end, align="month")
+    mn.incremental_by_time_range(c.spark, build, path, "created_month", "2018-03-20", "2018-05-04", align="month")
+    return mn.read_table(c.spark, path).drop("created_month")
+
+
+_GAP = ("2024-01-10", "2024-01-20")
+
+
+def _engagement_emptied(c):
+    """The daily fact after some days lost all their source rows and the range was rebuilt."""
+    path = scratch_path(c.spark, "emptied-batch")
+    full = t2_engagement(c)
+    start, end = mn.range_of(full, "metric_date")
+    gone = col("metric_date").between(*[F.lit(d).cast("date") for d in _GAP])
+    for source in (full, full.where(~gone)):
+        found = mn.intervals_with_data(source, "metric_date", start, end, 5)
+        mn.incremental_by_time_range(
+            c.spark, lambda s, e: source.where(fx.in_date_range(col("metric_date"), s, e)), path, "metric_date",  # noqa: B023
+            start, end, 5, found)
+    out = mn.read_table(c.spark, path)
+    return out.select(*[col(x).cast("date").alias(x) if x == "metric_date" else col(x) for x in full.columns])
+
+
+def _upsert_table(target, batch, cols, keys, update, order, buckets=16):
+    """The written table after a first load, a batch and the batch once more, by key buckets."""
+    def run(c):
+        path = scratch_path(c.spark, f"upsert-table-{target}")
+        for rows in (c.raw(target), c.raw(batch), c.raw(batch)):
+            mn.upsert_table(c.spark, path, rows, keys, update, order, buckets=buckets)
+        return mn.read_table(c.spark, path).select(*cols)
+    return run
+
+
+def _insert_table(c):
+    path = scratch_path(c.spark, "insert-table")
+    for rows in (c.raw("raw_podcast_comments"), c.raw("batch_comments"), c.raw("batch_comments")):
+        mn.insert_if_absent_table(c.spark, path, rows, ["episode_id", "platform_comment_id"],
+                                  ["published_at", "comment_text"], buckets=16)
+    return mn.read_table(c.spark, path).select(*_COM)
+
+
 def _seed_csv(c):
     path = scratch_path(c.spark, "seed-csv")
     # An explicit NULL marker keeps '' (not on that platform) distinct from NULL.
@@ -189,6 +250,19 @@ _GEN_SQL = om.MODELS["dim_date"].replace(
 
 register("sync_overwrite", _sync_overwrite, "SELECT * FROM raw_spotify_episodes")
 register("sync_append_cursor", _sync_append, "SELECT * FROM raw_spotify_episode_performance", ("avg_listen_seconds",))
+register("sync_append_late_rows", _sync_append_late, "SELECT * FROM raw_spotify_episode_performance", ("avg_listen_seconds",))
+register("incremental_partial_range", _revenue_partial, "SELECT * FROM fact_revenue", ("amount_dollars",))
+register("incremental_emptied_batch", _engagement_emptied,
+         f"SELECT * FROM fact_daily_engagement WHERE metric_date NOT BETWEEN DATE '{_GAP[0]}' AND DATE '{_GAP[1]}'",
+         ("avg_view_duration_seconds",))
+for _n, _args in {
+        "podcasts": ("raw_podcasts", "batch_podcasts", _POD, ["platform", "platform_id"], _POD_UPD, ["updated_at", "show_name"]),
+        "episodes": ("raw_podcast_episodes", "batch_podcast_episodes", _EP, ["podcast_id", "platform_episode_id"], _EP_UPD,
+                     ["updated_at", "id"])}.items():
+    register(f"upsert_table_{_n}", _upsert_table(*_args), O.upsert_sql(*_args))
+register("insert_table_comments", _insert_table,
+         O.insert_if_absent_sql("raw_podcast_comments", "batch_comments", _COM, ["episode_id", "platform_comment_id"],
+                                ["published_at", "comment_text"]))
 register("full_rebuild", _full_rebuild, "SELECT * FROM mart_daily_metrics", ("youtube_watch_minutes",))
 register("incremental_by_time_range", _incremental, "SELECT * FROM fact_daily_engagement",
          ("avg_view_duration_seconds",))
@@ -202,13 +276,13 @@ register("dim_date", lambda c: dm.dim_date(_gen_dim_date(c)), f"SELECT * FROM ({
 # -------------------------------------------------------------- full build
 def _warehouse_build(c):
     from castline.plans import build as bd
-    paths = bd.build_warehouse(c.spark, c, scratch_path(c.spark, "warehouse"), *FULL)
+    paths = bd.build_warehouse(c.spark, c, scratch_path(c.spark, "warehouse"))
     return bd.build_summary(c.spark, paths)
 
 
 def _build_oracle() -> str:
-    from castline.plans.build import MODELS
-    return "\nUNION ALL\n".join(f"SELECT '{m}' AS model, count(*) AS row_count FROM {m}" for m in MODELS)
+    from castline.plans.build import summary_sql
+    return summary_sql()
 
 
 register("warehouse_build", _warehouse_build, _build_oracle(),

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from castline.functions import days_before
+from castline.functions import cents_to_dollars, days_before, safe_divide
 
 col = F.col
 AS_OF = "2024-01-31"
@@ -107,7 +107,7 @@ def monthly_revenue(revenue: DataFrame, dates: DataFrame) -> DataFrame:
     """A18."""
     d = F.broadcast(dates.select(col("date_key").alias("d_key"), "year", "month", "year_month"))
     return (revenue.join(d, col("date_key") == col("d_key"), "inner")
-            .groupBy("year", "month", "year_month").agg(F.sum("amount_dollars").alias("revenue")))
+            .groupBy("year", "month", "year_month").agg(cents_to_dollars(F.sum("amount_cents")).alias("revenue")))
 
 
 def yoy_self_join(monthly: DataFrame) -> DataFrame:
@@ -298,7 +298,7 @@ def monthly_revenue_trend(monthly: DataFrame) -> DataFrame:
 
 
 def revenue_by_product(revenue: DataFrame) -> DataFrame:
-    return revenue.groupBy("product_name").agg(F.sum("amount_dollars").alias("revenue"),
+    return revenue.groupBy("product_name").agg(cents_to_dollars(F.sum("amount_cents")).alias("revenue"),
                                                F.count(F.lit(1)).alias("charges"))
 
 
@@ -312,7 +312,7 @@ def customers_over_time(customers: DataFrame) -> DataFrame:
 
 def avg_transaction_value(revenue: DataFrame) -> DataFrame:
     return revenue.groupBy(F.date_format("created_at", "yyyy-MM").alias("year_month")).agg(
-        F.avg("amount_dollars").alias("avg_transaction_value"))
+        safe_divide(F.sum("amount_cents"), F.count("amount_cents") * 100, None).alias("avg_transaction_value"))
 
 
 def commits_per_week_by_repo(activity: DataFrame) -> DataFrame:

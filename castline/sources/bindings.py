@@ -4,12 +4,11 @@ Each raw table ``raw_<system>_<table>`` is declared as one SQL statement over
 the base tables (``part``, ``lineitem``, ``orders``, ``events`` …).  The same
 text runs in Spark (``spark.sql(text, part=df, …)`` — DataFrame parameters, no
 global views) and, with plain table names substituted, in DuckDB where it
-becomes a CTE of the oracle queries.  Every binding reads its base tables
-whole: row counts grow with the scale factor.  Which entities exist on which
-platform, and which rows an update batch re-sends, are decided by attributes
-of the data (part type, supplier balance, nation, role, event type, date);
-modulo expressions only derive attribute values (dates, flags, ids of the
-simulated platform) and never cap the data.
+becomes a CTE of the oracle queries.  Row counts grow with the scale factor and
+no table is cut: each event goes to one platform by its type (error events to
+tweets), every other binding reads its base tables whole.  Which rows an update
+batch re-sends is decided by attributes of the data; modulo expressions only
+derive attribute values (dates, flags, ids of the simulated platform).
 
 Columns the raw table declares but the base tables cannot supply (bios,
 thumbnails, license names …) are typed NULLs so downstream staging sees the
@@ -36,7 +35,7 @@ SELECT concat('e', cast(p_partkey AS string)) AS id, p_name AS name, p_type AS d
        concat('spotify:episode:', cast(p_partkey AS string)) AS uri,
        concat('{{"spotify":"https://open.example/', cast(p_partkey AS string), '"}}') AS external_urls,
        TIMESTAMP '2024-02-01 02:00:00' AS _airbyte_extracted_at
-FROM {part} WHERE p_type <> 'STANDARD'""",
+FROM {part}""",
     "raw_spotify_episode_performance": """
 SELECT concat('e', cast(l_partkey AS string)) AS episode_id,
        DATE '2024-01-01' + cast(l_orderkey % 30 AS int) AS date,
@@ -50,15 +49,18 @@ SELECT DATE '2024-01-01' + cast(o_orderkey % 30 AS int) AS date, count(*) AS tot
        cast(count(DISTINCT o_custkey) AS int) AS followers, count(DISTINCT o_custkey) AS total_listeners,
        TIMESTAMP '2024-02-01 02:00:00' AS _airbyte_extracted_at
 FROM {orders} GROUP BY 1""",
+    # Videos are customers numbered from half the parts on, so some ids are on both platforms, some on one.
     "raw_youtube_videos": """
-SELECT concat('v', cast(p_partkey AS string)) AS id,
-       concat('{{"title":"', p_name, '","publishedAt":"2024-01-', lpad(cast(p_partkey % 28 + 1 AS string), 2, '0'),
-              'T00:00:00Z","description":"', p_type, '","channelId":"ch1","channelTitle":"', p_brand, '"}}') AS snippet,
-       concat('{{"duration":"PT', CASE WHEN p_partkey % 3 = 0 THEN concat(cast(p_size % 5 + 1 AS string), 'H') ELSE '' END,
-              CASE WHEN p_partkey % 2 = 0 THEN concat(cast(p_size AS string), 'M') ELSE '' END,
-              cast(p_partkey % 60 AS string), 'S","definition":"hd"}}') AS content_details,
+SELECT concat('v', cast(c_custkey + cast(floor((SELECT count(*) FROM {part}) / 2) AS bigint) AS string)) AS id,
+       concat('{{"title":"', c_name, '","publishedAt":"2024-01-', lpad(cast(c_custkey % 28 + 1 AS string), 2, '0'),
+              'T00:00:00Z","description":"', c_mktsegment, '","channelId":"ch1","channelTitle":"',
+              cast(c_nationkey AS string), '"}}') AS snippet,
+       concat('{{"duration":"P', CASE WHEN c_custkey % 50 = 7 THEN '1D' ELSE '' END, 'T',
+              CASE WHEN c_custkey % 3 = 0 THEN concat(cast(c_nationkey % 5 + 1 AS string), 'H') ELSE '' END,
+              CASE WHEN c_custkey % 2 = 0 THEN concat(cast(c_nationkey + 1 AS string), 'M') ELSE '' END,
+              cast(c_custkey % 60 AS string), 'S","definition":"hd"}}') AS content_details,
        TIMESTAMP '2024-02-01 02:00:00' AS _airbyte_extracted_at
-FROM {part} WHERE p_type <> 'PROMO'""",
+FROM {customer}""",
     "raw_youtube_daily_stats": """
 SELECT concat('v', cast(user_id AS string)) AS video_id, cast(ts AS date) AS date,
        cast(count(*) AS int) AS views, sum(value) AS watch_time_minutes, avg(value) AS average_view_duration,
@@ -73,7 +75,7 @@ SELECT CASE WHEN p_partkey % 21 = 0 THEN NULL ELSE concat('c', cast(p_partkey AS
             WHEN p_partkey % 5 = 3 THEN NULL ELSE '' END AS episode_id,
        CASE WHEN p_partkey % 5 IN (0, 2) THEN concat('v', cast(p_partkey AS string))
             WHEN p_partkey % 5 = 4 THEN NULL ELSE '' END AS video_id
-FROM {part} WHERE p_type IN ('ECONOMY', 'PROMO', 'STANDARD')""",
+FROM {part}""",
     # ---------------------------------------------------------------- tool 2
     "raw_youtube_videos_flat": """
 SELECT concat('v', cast(p_partkey AS string)) AS id, p_name AS snippet_title, p_type AS snippet_description,
@@ -131,14 +133,14 @@ SELECT cast(event_id AS string) AS id, cast(user_id AS string) AS author_id, cas
        cast(floor(value) AS int) AS public_metrics_impression_count,
        CASE WHEN event_id % 53 = 0 THEN ts - INTERVAL '1600' DAY ELSE ts END AS created_at,
        TIMESTAMP '2024-02-01 02:00:00' AS _airbyte_extracted_at
-FROM {events} WHERE event_type = 'click'""",
+FROM {events} WHERE event_type IN ('click', 'error')""",
     "raw_twitter_user_metrics": """
 SELECT cast(c_custkey AS string) AS id, c_name AS username, c_name AS name, cast(NULL AS string) AS description,
        cast(floor(abs(c_acctbal)) AS int) AS public_metrics_followers_count,
        cast(c_nationkey AS int) AS public_metrics_following_count, cast(NULL AS int) AS public_metrics_tweet_count,
        cast(NULL AS int) AS public_metrics_listed_count,
        c_mktsegment = 'BUILDING' AS verified, TIMESTAMP '2020-01-01 00:00:00' AS created_at,
-       TIMESTAMP '2024-02-01 02:00:00' AS _airbyte_extracted_at
+       cast(DATE '2024-01-28' + cast(c_custkey % 5 AS int) AS timestamp) AS _airbyte_extracted_at
 FROM {customer}""",
     "raw_linkedin_posts": """
 SELECT cast(event_id AS string) AS id, cast(user_id AS string) AS author,
@@ -169,7 +171,7 @@ SELECT s_suppkey AS id, s_name AS name, concat('org/repo', cast(s_suppkey AS str
        cast(NULL AS string) AS license_key, cast(NULL AS string) AS license_name,
        TIMESTAMP '2020-01-01 00:00:00' AS created_at, TIMESTAMP '2024-01-01 00:00:00' AS updated_at,
        cast(NULL AS timestamp) AS pushed_at, TIMESTAMP '2024-02-01 02:00:00' AS _airbyte_extracted_at
-FROM {supplier} WHERE s_acctbal >= 0""",
+FROM {supplier}""",
     "raw_github_commits": """
 SELECT md5(concat(cast(l_orderkey AS string), '-', cast(l_linenumber AS string))) AS sha,
        concat('org/repo', cast(l_suppkey AS string)) AS repository,
@@ -185,7 +187,7 @@ SELECT md5(concat(cast(l_orderkey AS string), '-', cast(l_linenumber AS string))
 FROM {lineitem}""",
     "raw_github_pull_requests": """
 SELECT o_orderkey AS id, o_orderkey AS number,
-       concat('org/repo', cast(o_custkey % (SELECT count(*) FROM {supplier}) AS string)) AS repository,
+       concat('org/repo', cast(o_custkey % ((SELECT count(*) FROM {supplier}) + 5) AS string)) AS repository,
        concat('pr ', cast(o_orderkey AS string)) AS title, cast(NULL AS string) AS body,
        CASE WHEN o_orderstatus = 'O' THEN 'open' ELSE 'closed' END AS state,
        concat('u', cast(o_custkey AS string)) AS user_login, o_custkey AS user_id,
@@ -199,7 +201,7 @@ SELECT o_orderkey AS id, o_orderkey AS number,
 FROM {orders}""",
     "raw_github_issues": """
 SELECT o_orderkey AS id, o_orderkey AS number,
-       concat('org/repo', cast(o_custkey % (SELECT count(*) FROM {supplier}) AS string)) AS repository,
+       concat('org/repo', cast(o_custkey % ((SELECT count(*) FROM {supplier}) + 5) AS string)) AS repository,
        concat('issue ', cast(o_orderkey AS string)) AS title, cast(NULL AS string) AS body,
        CASE WHEN o_orderstatus = 'F' THEN 'closed' ELSE 'open' END AS state,
        concat('u', cast(o_custkey AS string)) AS user_login, o_custkey AS user_id,
@@ -210,13 +212,12 @@ SELECT o_orderkey AS id, o_orderkey AS number,
        CASE WHEN o_orderkey % 3 = 0 THEN '{{"url":"x"}}' END AS pull_request, cast(NULL AS string) AS html_url,
        TIMESTAMP '2024-02-01 02:00:00' AS _airbyte_extracted_at
 FROM {orders}""",
-    # Charges carry a timestamp; the epoch path is exercised on customers/subscriptions.
     "raw_stripe_charges": """
 SELECT cast(o_orderkey AS string) AS id, cast(o_custkey AS string) AS customer,
        cast(round(o_totalprice * 100) AS bigint) AS amount,
        'usd' AS currency, o_orderstatus AS status, o_orderstatus <> 'P' AS paid, o_orderpriority = '1-URGENT' AS refunded,
        o_orderpriority AS description, cast(NULL AS string) AS receipt_email, cast(NULL AS string) AS invoice,
-       o_orderdate + INTERVAL '9131' DAY AS created_ts,
+       cast(1420070400 + (o_orderkey * 7919 % 3650) * 86400 + o_orderkey % 86400 AS bigint) AS created,
        cast(NULL AS string) AS failure_code, cast(NULL AS string) AS failure_message,
        TIMESTAMP '2024-02-01 02:00:00' AS _airbyte_extracted_at
 FROM {orders}""",

@@ -117,7 +117,7 @@ RAW_SCHEMAS: dict[str, str] = {
     "raw_stripe_charges": (
         "id string, customer string, amount bigint, currency string, status string, paid boolean, "
         "refunded boolean, description string, receipt_email string, invoice string, "
-        "created_ts timestamp_ntz, failure_code string, failure_message string, "
+        "created bigint, failure_code string, failure_message string, "
         "_airbyte_extracted_at timestamp_ntz"
     ),
     "raw_stripe_customers": (
