@@ -77,11 +77,16 @@ _EP = ["id", "podcast_id", "episode_title", "platform_episode_id", "description"
        "publish_date", "season_number", "episode_number", "created_at", "updated_at"]
 _EP_UPD = ["episode_title", "description", "duration_seconds", "publish_date", "season_number",
            "episode_number", "updated_at"]
-_PEM = ["episode_id", "metric_date", "plays", "listeners", "engaged_listeners", "views", "likes", "comments_count",
-        "downloads", "completion_rate", "top_countries", "top_cities", "device_breakdown", "created_at",
-        "updated_at"]
-_PSM = ["podcast_id", "metric_date", "followers_total", "subscribers_total", "total_plays", "created_at",
-        "updated_at"]
+# The metric tables' columns.
+_PEM = ["episode_id", "metric_date", "plays", "listeners", "engaged_listeners", "views", "likes", "dislikes",
+        "comments_count", "shares", "watch_time_minutes", "average_view_duration_seconds", "subscribers_gained",
+        "subscribers_lost", "downloads", "streams", "completion_rate", "average_listen_time_seconds",
+        "followers_total", "followers_gained", "followers_lost", "top_countries", "top_cities", "device_breakdown",
+        "raw_data", "created_at", "updated_at"]
+_PSM = ["podcast_id", "metric_date", "total_plays", "total_listeners", "total_engaged_listeners", "total_views",
+        "total_downloads", "followers_total", "followers_gained", "followers_lost", "subscribers_total",
+        "subscribers_gained", "subscribers_lost", "average_completion_rate", "total_comments", "total_likes",
+        "total_shares", "top_countries", "top_cities", "raw_data", "created_at", "updated_at"]
 _COM = ["episode_id", "platform_comment_id", "author_name", "author_id", "comment_text", "likes_count",
         "reply_count", "parent_platform_comment_id", "published_at"]
 _RUN = ["id", "platform", "run_started_at", "run_completed_at", "status", "episodes_processed",
@@ -103,8 +108,8 @@ _upsert_entry("upsert_episode_metrics", "raw_podcast_episode_metrics", "batch_ep
               ["episode_id", "metric_date"], [c for c in _PEM[2:] if c != "created_at"], ["updated_at"],
               ("completion_rate",))
 _upsert_entry("upsert_show_metrics", "raw_podcast_show_metrics", "batch_show_metrics", _PSM,
-              ["podcast_id", "metric_date"], ["followers_total", "subscribers_total", "total_plays", "updated_at"],
-              ["updated_at"])
+              ["podcast_id", "metric_date"], [c for c in _PSM[2:] if c != "created_at"], ["updated_at"],
+              ("average_completion_rate",))
 register("insert_comments_if_absent",
          lambda c: mn.insert_if_absent(c.raw("raw_podcast_comments"), c.raw("batch_comments"),
                                        ["episode_id", "platform_comment_id"], ["published_at", "comment_text"]),

@@ -273,20 +273,36 @@ FROM {part}""",
 SELECT l_partkey AS episode_id, DATE '2024-01-01' + cast(l_orderkey % 30 AS int) AS metric_date,
        cast(sum(l_quantity) AS bigint) AS plays, count(DISTINCT l_orderkey) AS listeners,
        count(DISTINCT l_suppkey) AS engaged_listeners, count(*) AS views,
-       cast(sum(l_linenumber) AS bigint) AS likes, cast(max(l_linenumber) AS bigint) AS comments_count,
-       count(DISTINCT l_suppkey) AS downloads, avg(l_discount) * 100 AS completion_rate,
+       cast(sum(l_linenumber) AS bigint) AS likes, count(CASE WHEN l_returnflag = 'R' THEN 1 END) AS dislikes,
+       cast(max(l_linenumber) AS bigint) AS comments_count, count(DISTINCT l_linenumber) AS shares,
+       cast(sum(l_quantity) AS bigint) * 2 AS watch_time_minutes, cast(max(l_quantity) AS int) AS average_view_duration_seconds,
+       cast(count(CASE WHEN l_returnflag = 'N' THEN 1 END) AS int) AS subscribers_gained,
+       cast(count(CASE WHEN l_returnflag = 'A' THEN 1 END) AS int) AS subscribers_lost,
+       count(DISTINCT l_suppkey) AS downloads, cast(sum(l_quantity) AS bigint) + 3 AS streams,
+       avg(l_discount) * 100 AS completion_rate, cast(min(l_quantity) AS int) AS average_listen_time_seconds,
+       cast(CASE WHEN count(*) > 1 THEN count(*) + 1000 END AS bigint) AS followers_total,
+       cast(count(DISTINCT l_linenumber) AS int) AS followers_gained, cast(0 AS int) AS followers_lost,
        concat('[{{"country":"US","count":', cast(count(*) AS string), '}},{{"country":"DE","count":',
               cast(count(DISTINCT l_orderkey) AS string), '}}]') AS top_countries,
        concat('[{{"city":"Berlin","count":', cast(sum(l_linenumber) AS string), '}}]') AS top_cities,
        concat('{{"mobile":', cast(sum(l_linenumber) AS string), ',"desktop":', cast(count(*) AS string),
               ',"tablet":', cast(max(l_linenumber) AS string), '}}') AS device_breakdown,
+       concat('{{"rows":', cast(count(*) AS string), '}}') AS raw_data,
        TIMESTAMP '2024-02-01 02:00:00' AS created_at, TIMESTAMP '2024-02-01 02:00:00' AS updated_at
 FROM {lineitem} GROUP BY 1, 2""",
     "raw_podcast_show_metrics": """
 SELECT o_custkey % (SELECT count(*) FROM {supplier}) AS podcast_id,
        DATE '2024-01-01' + cast(o_orderkey % 30 AS int) AS metric_date,
-       count(*) AS followers_total, count(DISTINCT o_custkey) AS subscribers_total,
-       cast(sum(cast(round(o_totalprice) AS bigint)) AS bigint) AS total_plays,
+       cast(sum(cast(round(o_totalprice) AS bigint)) AS bigint) AS total_plays, count(*) AS total_listeners, cast(0 AS bigint) AS total_engaged_listeners,
+       count(*) * 3 AS total_views, cast(NULL AS bigint) AS total_downloads, count(*) AS followers_total,
+       cast(count(DISTINCT o_custkey) AS int) AS followers_gained, cast(0 AS int) AS followers_lost,
+       count(DISTINCT o_custkey) AS subscribers_total,
+       cast(count(CASE WHEN o_orderstatus = 'F' THEN 1 END) AS int) AS subscribers_gained,
+       cast(count(CASE WHEN o_orderstatus = 'P' THEN 1 END) AS int) AS subscribers_lost,
+       cast(count(CASE WHEN o_orderstatus = 'O' THEN 1 END) AS double) / count(*) * 100 AS average_completion_rate,
+       count(CASE WHEN o_orderstatus = 'P' THEN 1 END) AS total_comments,
+       count(CASE WHEN o_orderstatus = 'F' THEN 1 END) AS total_likes, cast(1 AS bigint) AS total_shares,
+       '[]' AS top_countries, cast(NULL AS string) AS top_cities, cast(NULL AS string) AS raw_data,
        TIMESTAMP '2024-02-01 02:00:00' AS created_at, TIMESTAMP '2024-02-01 02:00:00' AS updated_at
 FROM {orders} GROUP BY 1, 2""",
     "raw_podcast_comments": """
@@ -346,17 +362,32 @@ BINDINGS["batch_episode_metrics"] = """
 SELECT l_partkey AS episode_id, DATE '2024-01-01' + cast(l_orderkey % 31 AS int) AS metric_date,
        cast(sum(l_quantity) AS bigint) + 7 AS plays, count(DISTINCT l_orderkey) AS listeners,
        count(DISTINCT l_suppkey) AS engaged_listeners, count(*) + 1 AS views,
-       cast(sum(l_linenumber) AS bigint) AS likes, cast(max(l_linenumber) AS bigint) AS comments_count,
-       count(DISTINCT l_suppkey) AS downloads, avg(l_tax) * 100 AS completion_rate,
-       '[]' AS top_countries, '[]' AS top_cities, '{{}}' AS device_breakdown,
+       cast(sum(l_linenumber) AS bigint) AS likes, count(CASE WHEN l_returnflag = 'R' THEN 1 END) AS dislikes,
+       cast(max(l_linenumber) AS bigint) AS comments_count, count(DISTINCT l_linenumber) AS shares,
+       cast(sum(l_quantity) AS bigint) * 2 AS watch_time_minutes, cast(max(l_quantity) AS int) AS average_view_duration_seconds,
+       cast(count(CASE WHEN l_returnflag = 'N' THEN 1 END) AS int) AS subscribers_gained,
+       cast(count(CASE WHEN l_returnflag = 'A' THEN 1 END) AS int) AS subscribers_lost,
+       count(DISTINCT l_suppkey) AS downloads, cast(sum(l_quantity) AS bigint) + 3 AS streams,
+       avg(l_tax) * 100 AS completion_rate, cast(min(l_quantity) AS int) AS average_listen_time_seconds,
+       cast(CASE WHEN count(*) > 1 THEN count(*) + 1000 END AS bigint) AS followers_total,
+       cast(count(DISTINCT l_linenumber) AS int) AS followers_gained, cast(0 AS int) AS followers_lost,
+       '[]' AS top_countries, '[]' AS top_cities, '{{}}' AS device_breakdown, '{{}}' AS raw_data,
        TIMESTAMP '2024-02-02 02:00:00' AS created_at, TIMESTAMP '2024-02-02 02:00:00' AS updated_at
 FROM {lineitem} WHERE DATE '2024-01-01' + cast(l_orderkey % 31 AS int) >= DATE '2024-01-24' GROUP BY 1, 2"""
 
 BINDINGS["batch_show_metrics"] = """
 SELECT o_custkey % (SELECT count(*) FROM {supplier}) AS podcast_id,
        DATE '2024-01-01' + cast(o_orderkey % 31 AS int) AS metric_date,
-       count(*) + 100 AS followers_total, count(DISTINCT o_custkey) AS subscribers_total,
-       cast(sum(cast(round(o_totalprice) AS bigint)) AS bigint) AS total_plays,
+       cast(sum(cast(round(o_totalprice) AS bigint)) AS bigint) AS total_plays, count(*) AS total_listeners, cast(0 AS bigint) AS total_engaged_listeners,
+       count(*) * 3 AS total_views, cast(NULL AS bigint) AS total_downloads, count(*) + 100 AS followers_total,
+       cast(count(DISTINCT o_custkey) AS int) AS followers_gained, cast(0 AS int) AS followers_lost,
+       count(DISTINCT o_custkey) AS subscribers_total,
+       cast(count(CASE WHEN o_orderstatus = 'F' THEN 1 END) AS int) AS subscribers_gained,
+       cast(count(CASE WHEN o_orderstatus = 'P' THEN 1 END) AS int) AS subscribers_lost,
+       cast(count(CASE WHEN o_orderstatus = 'O' THEN 1 END) AS double) / count(*) * 100 AS average_completion_rate,
+       count(CASE WHEN o_orderstatus = 'P' THEN 1 END) AS total_comments,
+       count(CASE WHEN o_orderstatus = 'F' THEN 1 END) AS total_likes, cast(1 AS bigint) AS total_shares,
+       '[]' AS top_countries, cast(NULL AS string) AS top_cities, '{{}}' AS raw_data,
        TIMESTAMP '2024-02-02 02:00:00' AS created_at, TIMESTAMP '2024-02-02 02:00:00' AS updated_at
 FROM {orders} WHERE DATE '2024-01-01' + cast(o_orderkey % 31 AS int) >= DATE '2024-01-24' GROUP BY 1, 2"""
 

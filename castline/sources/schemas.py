@@ -149,13 +149,19 @@ RAW_SCHEMAS: dict[str, str] = {
     ),
     "raw_podcast_episode_metrics": (
         "episode_id bigint, metric_date date, plays bigint, listeners bigint, engaged_listeners bigint, "
-        "views bigint, likes bigint, comments_count bigint, downloads bigint, completion_rate double, "
-        "top_countries string, top_cities string, device_breakdown string, created_at timestamp_ntz, "
+        "views bigint, likes bigint, dislikes bigint, comments_count bigint, shares bigint, watch_time_minutes bigint, "
+        "average_view_duration_seconds int, subscribers_gained int, subscribers_lost int, downloads bigint, "
+        "streams bigint, completion_rate double, average_listen_time_seconds int, followers_total bigint, "
+        "followers_gained int, followers_lost int, top_countries string, top_cities string, "
+        "device_breakdown string, raw_data string, created_at timestamp_ntz, "
         "updated_at timestamp_ntz"
     ),
     "raw_podcast_show_metrics": (
-        "podcast_id bigint, metric_date date, followers_total bigint, subscribers_total bigint, "
-        "total_plays bigint, created_at timestamp_ntz, updated_at timestamp_ntz"
+        "podcast_id bigint, metric_date date, total_plays bigint, total_listeners bigint, "
+        "total_engaged_listeners bigint, total_views bigint, total_downloads bigint, followers_total bigint, "
+        "followers_gained int, followers_lost int, subscribers_total bigint, subscribers_gained int, "
+        "subscribers_lost int, average_completion_rate double, total_comments bigint, total_likes bigint, "
+        "total_shares bigint, top_countries string, top_cities string, raw_data string, created_at timestamp_ntz, updated_at timestamp_ntz"
     ),
     "raw_podcast_comments": (
         "episode_id bigint, platform_comment_id string, author_name string, author_id string, "
