@@ -44,32 +44,32 @@ def _cell_int(row: Column, i: int) -> Column:
     return F.coalesce(F.get(row, i).try_cast("double").cast("bigint"), F.lit(0).cast("bigint"))
 
 
-def flatten_channel(payloads: DataFrame) -> DataFrame:
+def flatten_channel(payloads: DataFrame, keep: list[str] = ()) -> DataFrame:
     """First item of a channel document → (platform_id, description)."""
     first = F.get(F.from_json("payload", CHANNEL_SCHEMA).getField("items"), 0)
-    return payloads.select("podcast_id", first.getField("id").alias("platform_id"),
+    return payloads.select(*keep, "podcast_id", first.getField("id").alias("platform_id"),
                            first.getField("snippet").getField("description").alias("description"))
 
 
-def flatten_videos(payloads: DataFrame) -> DataFrame:
+def flatten_videos(payloads: DataFrame, keep: list[str] = ()) -> DataFrame:
     """One episode row per search item; bad publish times → NULL."""
-    items = payloads.select("podcast_id", F.explode(F.from_json("payload", SEARCH_SCHEMA).getField("items"))
+    items = payloads.select(*keep, "podcast_id", F.explode(F.from_json("payload", SEARCH_SCHEMA).getField("items"))
                             .alias("it"))
     return items.select(
-        "podcast_id",
+        *keep, "podcast_id",
         col("it.id.videoId").alias("platform_episode_id"),
         col("it.snippet.title").alias("episode_title"),
         col("it.snippet.description").alias("description"),
         rfc3339(col("it.snippet.publishedAt")).alias("publish_date"))
 
 
-def flatten_report_rows(payloads: DataFrame, id_col: str = "video_id") -> DataFrame:
+def flatten_report_rows(payloads: DataFrame, id_col: str = "video_id", keep: list[str] = ()) -> DataFrame:
     """Positional daily rows → 9 metrics; rows with < 9 cells dropped;
     the optional 10th cell is read NULL-safely."""
-    rows = payloads.select(id_col, F.explode(F.from_json("payload", REPORT_SCHEMA).getField("rows")).alias("r"))
+    rows = payloads.select(*keep, id_col, F.explode(F.from_json("payload", REPORT_SCHEMA).getField("rows")).alias("r"))
     r = col("r")
     return rows.where(F.size(r) >= 9).select(
-        id_col,
+        *keep, id_col,
         F.try_to_timestamp(F.get(r, 0), F.lit("yyyy-MM-dd")).cast("date").alias("metric_date"),
         _cell_int(r, 1).alias("views"), _cell_int(r, 2).alias("likes"), _cell_int(r, 3).alias("dislikes"),
         _cell_int(r, 4).alias("comments_count"), _cell_int(r, 5).alias("shares"),
@@ -79,25 +79,25 @@ def flatten_report_rows(payloads: DataFrame, id_col: str = "video_id") -> DataFr
         _cell_int(r, 9).cast("int").alias("subscribers_lost"))
 
 
-def flatten_show_rows(payloads: DataFrame, id_col: str = "podcast_id") -> DataFrame:
+def flatten_show_rows(payloads: DataFrame, id_col: str = "podcast_id", keep: list[str] = ()) -> DataFrame:
     """Channel report rows mapped by the request's metric order."""
-    rows = payloads.select(id_col, F.explode(F.from_json("payload", REPORT_SCHEMA).getField("rows")).alias("r"))
+    rows = payloads.select(*keep, id_col, F.explode(F.from_json("payload", REPORT_SCHEMA).getField("rows")).alias("r"))
     r = col("r")
     return rows.select(
-        id_col, F.try_to_timestamp(F.get(r, 0), F.lit("yyyy-MM-dd")).cast("date").alias("metric_date"),
+        *keep, id_col, F.try_to_timestamp(F.get(r, 0), F.lit("yyyy-MM-dd")).cast("date").alias("metric_date"),
         _cell_int(r, 1).alias("total_views"), _cell_int(r, 2).alias("total_likes"),
         _cell_int(r, 3).alias("total_comments"), _cell_int(r, 4).alias("total_shares"),
-        _cell_int(r, 5).alias("subscribers_gained"), _cell_int(r, 6).alias("subscribers_lost"),
+        _cell_int(r, 5).cast("int").alias("subscribers_gained"), _cell_int(r, 6).cast("int").alias("subscribers_lost"),
         _cell_int(r, 7).alias("watch_time_minutes"))
 
 
-def flatten_comments(payloads: DataFrame) -> DataFrame:
+def flatten_comments(payloads: DataFrame, key: str = "episode_id", keep: list[str] = ()) -> DataFrame:
     """Comment threads → comment rows (nested author / likes / replies)."""
-    items = payloads.select("episode_id", F.explode(F.from_json("payload", THREADS_SCHEMA).getField("items"))
+    items = payloads.select(*keep, key, F.explode(F.from_json("payload", THREADS_SCHEMA).getField("items"))
                             .alias("it"))
     s = "it.snippet.topLevelComment.snippet"
     return items.select(
-        "episode_id", col("it.id").alias("platform_comment_id"),
+        *keep, key, col("it.id").alias("platform_comment_id"),
         col(f"{s}.authorDisplayName").alias("author_name"),
         col(f"{s}.authorChannelId.value").alias("author_id"),
         col(f"{s}.textDisplay").alias("comment_text"),

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from castline.operators import collector as cl
 from castline.operators import landing as ld
 from castline.operators import maintain as mn
 from castline.plans import oracle as O
@@ -49,7 +50,7 @@ SELECT o_custkey % {NSUPP} AS podcast_id, DATE '2024-01-01' + cast(o_orderkey %
        count(*) AS total_views, cast(sum(CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END) AS bigint) AS total_likes,
        cast(sum(CASE WHEN o_orderstatus = 'P' THEN 1 ELSE 0 END) AS bigint) AS total_comments,
        cast(sum(CASE WHEN o_orderstatus = 'O' THEN 1 ELSE 0 END) AS bigint) AS total_shares,
-       count(DISTINCT o_custkey) AS subscribers_gained, cast(0 AS bigint) AS subscribers_lost,
+       cast(count(DISTINCT o_custkey) AS int) AS subscribers_gained, cast(0 AS int) AS subscribers_lost,
        cast(sum(cast(round(o_totalprice) AS bigint)) // 1000 AS bigint) AS watch_time_minutes
 FROM orders GROUP BY 1, 2""")
 
@@ -77,6 +78,84 @@ FROM (SELECT episode_id, metric_date, device_breakdown, unnest(json_keys(device_
       FROM raw_podcast_episode_metrics) d""")
 
 
+# ----------------------------------------------------------- collector run
+_PLATFORM_SQL = ("CASE {k} % 4 WHEN 0 THEN 'apple_podcasts' WHEN 1 THEN 'spotify' WHEN 2 THEN 'amazon_music' "
+                 "ELSE 'youtube' END")
+
+
+def _collected(c, times=1):
+    """The documents of all platforms, collected; the channel documents of one platform are not JSON."""
+    def of(show):
+        return F.expr(_PLATFORM_SQL.format(k=f"({show})"))
+
+    n = c.base("supplier").select(F.count(F.lit(1)).alias("n_shows"))
+    shows = pl.channel_info(c).withColumn("platform", of("podcast_id"))
+    reports = pl.daily_report(c).withColumn("user", F.expr("cast(substring(video_id, 2) AS bigint)"))
+    threads = pl.comment_threads(c)
+    number = n.scalar()
+    landed = {
+        "channels": shows.withColumn("payload", F.when(col("platform") == "amazon_music", F.concat(F.lit("{oops "), "payload"))
+                                     .otherwise(col("payload"))),
+        "videos": pl.video_search(c).withColumn("platform", of("podcast_id")),
+        "reports": reports.withColumn("show", col("user") % number).withColumn("platform", of("show")).withColumn(
+            "video_id", F.concat(F.lit("vid"), col("user").cast("string"))),
+        "show_reports": pl.show_report(c).withColumn("platform", of("podcast_id")),
+        "threads": threads.withColumn("show", col("episode_id") % number).withColumn("platform", of("show")).withColumn(
+            "video_id", F.concat(F.lit("vid"), col("episode_id").cast("string"))),
+    }
+    root = scratch_path(c.spark, "collected")
+    for _ in range(times):
+        run = cl.collect(c.spark, landed, root, "2024-02-01 02:00:00")
+    return run
+
+
+_COLLECT = f"""
+WITH n AS (SELECT count(*) AS shows, (SELECT count(*) FROM part) AS parts FROM supplier),
+s AS (SELECT s_suppkey AS show, {_PLATFORM_SQL.format(k='s_suppkey')} AS platform,
+             s_suppkey % 4 <> 2 AS json, s_suppkey % 4 <> 2 AND s_suppkey % 7 <> 0 AS known FROM supplier),
+e AS (SELECT p_partkey AS video, s.platform, s.known FROM part, n JOIN s ON s.show = p_partkey % n.shows),
+r AS (SELECT user_id AS video, cast(ts AS date) AS day, count(*) AS views,
+             sum(CASE WHEN event_type = 'click' THEN 1 ELSE 0 END) AS likes,
+             sum(CASE WHEN event_type = 'error' THEN 1 ELSE 0 END) AS dislikes,
+             sum(CASE WHEN event_type = 'signup' THEN 1 ELSE 0 END) AS comments,
+             sum(CASE WHEN event_type = 'view' THEN 1 ELSE 0 END) AS shares, floor(round(sum(value), 2)) AS minutes
+      FROM events GROUP BY 1, 2),
+m AS (SELECT r.*, s.platform, coalesce(e.known, false) AS known, r.views % 17 <> 0 AS dated
+      FROM r, n JOIN s ON s.show = r.video % n.shows LEFT JOIN e ON e.video = r.video WHERE r.views % 19 <> 0),
+w AS (SELECT o_custkey % n.shows AS show, o_orderkey % 30 AS day FROM orders, n GROUP BY 1, 2),
+t AS (SELECT conv_id, turn, s.platform, coalesce(e.known, false) AS known
+      FROM conversations, n JOIN s ON s.show = conv_id % n.shows LEFT JOIN e ON e.video = conv_id)
+"""
+
+register("collect_run", lambda c: _collected(c).table("raw_podcast_scraper_runs").select(
+    "platform", "status", "episodes_processed", "metrics_collected"), _COLLECT.strip() + """
+SELECT p.platform, CASE WHEN bool_or(s.known) THEN 'completed' ELSE 'failed' END AS status,
+       (SELECT cast(count(*) AS int) FROM e WHERE e.known AND e.platform = p.platform) AS episodes_processed,
+       cast((SELECT count(*) FROM m WHERE m.known AND m.dated AND m.platform = p.platform)
+          + (SELECT count(*) FROM w JOIN s x ON x.show = w.show WHERE x.known AND x.platform = p.platform) AS int)
+         AS metrics_collected
+FROM (SELECT DISTINCT platform FROM s) p JOIN s ON s.platform = p.platform GROUP BY p.platform""")
+register("collect_quarantine", lambda c: _collected(c, times=2).table("quarantine").groupBy("platform", "kind", "reason").agg(
+    F.countDistinct("source_key").alias("sources")), _COLLECT.strip() + """
+SELECT platform, 'channel' AS kind, CASE WHEN json THEN 'no item' ELSE 'not JSON' END AS reason, count(*) AS sources
+FROM s WHERE NOT known GROUP BY ALL
+UNION ALL SELECT platform, 'video', 'unknown show', count(*) FROM e WHERE NOT known GROUP BY ALL
+UNION ALL SELECT platform, 'report', CASE WHEN dated THEN 'unknown episode' ELSE 'bad date' END, count(DISTINCT video)
+FROM m WHERE NOT (known AND dated) GROUP BY ALL
+UNION ALL SELECT s.platform, 'show report', 'unknown show', count(DISTINCT w.show) FROM w JOIN s ON s.show = w.show
+WHERE NOT s.known GROUP BY ALL
+UNION ALL SELECT platform, 'comment', 'unknown episode', count(*) FROM t WHERE NOT known GROUP BY ALL""")
+register("collect_metrics", lambda c: (lambda r: r.table("raw_podcast_episode_metrics").join(
+    r.table("raw_podcast_episodes").select(col("id").alias("episode_id"), "platform_episode_id"), "episode_id").select(
+    "platform_episode_id", "metric_date", "views", "likes", "dislikes", "comments_count", "shares",
+    "watch_time_minutes", "subscribers_gained"))(_collected(c)), _COLLECT.strip() + """
+SELECT 'vid' || video AS platform_episode_id, day AS metric_date, views,
+       cast(CASE WHEN views % 13 = 0 THEN 0 ELSE likes END AS bigint) AS likes, cast(dislikes AS bigint) AS dislikes,
+       cast(comments AS bigint) AS comments_count, cast(shares AS bigint) AS shares,
+       cast(minutes AS bigint) AS watch_time_minutes, cast(comments AS int) AS subscribers_gained
+FROM m WHERE known AND dated""")
+
+
 # ---------------------------------------------------------------- streaming
 def _days(c, lo, hi):
     return (F.dayofmonth(col(c)) >= lo) & (F.dayofmonth(col(c)) <= hi)
