@@ -26,6 +26,16 @@ def _blank(c):
     return c.isNull() | (c == "")
 
 
+def _join_by_id(rows: DataFrame, key: str, other: DataFrame, other_key: str) -> DataFrame:
+    """Left join on an id that is blank or NULL in very many rows ("not on that
+    platform"): those rows match nothing and stay out of the shuffle, where they
+    would all fall to one task."""
+    matched = rows.where(~_blank(col(key))).join(other, col(key) == col(other_key), "left")
+    alone = rows.where(_blank(col(key))).select(
+        *rows.columns, *[F.lit(None).cast(f.dataType).alias(f.name) for f in other.schema.fields])
+    return matched.unionByName(alone)
+
+
 def content_unified_mapped(episodes: DataFrame, videos: DataFrame, mapping: DataFrame) -> DataFrame:
     """JN1: one row per mapped content id plus unmapped episodes / videos.
 
@@ -36,18 +46,17 @@ def content_unified_mapped(episodes: DataFrame, videos: DataFrame, mapping: Data
     e = episodes.select("episode_id", "title", "published_date", "duration_seconds")
     v = videos.select("video_id", "title", "published_date", "duration_seconds")
     m = mapping.select("content_id", "episode_id", "video_id")
+    by_id = m.select("content_id", col("episode_id").alias("m_episode_id"), col("video_id").alias("m_video_id"))
 
     episode_content = (
-        e.join(m.select("content_id", col("episode_id").alias("m_episode_id"), col("video_id").alias("m_video_id")),
-               col("episode_id") == col("m_episode_id"), "left")
+        e.join(by_id.where(~_blank(col("m_episode_id"))), col("episode_id") == col("m_episode_id"), "left")
         .where(_blank(col("m_video_id")) & col("content_id").isNull())
         .select("content_id", "episode_id", F.lit(None).cast("string").alias("video_id"),
                 "title", "published_date", "duration_seconds",
                 F.lit("spotify_only").alias("content_source"))
     )
     video_content = (
-        v.join(m.select("content_id", col("episode_id").alias("m_episode_id"), col("video_id").alias("m_video_id")),
-               col("video_id") == col("m_video_id"), "left")
+        v.join(by_id.where(~_blank(col("m_video_id"))), col("video_id") == col("m_video_id"), "left")
         .where(_blank(col("m_episode_id")) & col("content_id").isNull())
         .select("content_id", F.lit(None).cast("string").alias("episode_id"), "video_id",
                 "title", "published_date", "duration_seconds",
@@ -56,9 +65,8 @@ def content_unified_mapped(episodes: DataFrame, videos: DataFrame, mapping: Data
     ea = e.select(*[col(c).alias(f"e_{c}") for c in e.columns])
     va = v.select(*[col(c).alias(f"v_{c}") for c in v.columns])
     mapped = (
-        m.where(col("content_id").isNotNull())
-        .join(ea, col("episode_id") == col("e_episode_id"), "left")
-        .join(va, col("video_id") == col("v_video_id"), "left")
+        _join_by_id(_join_by_id(m.where(col("content_id").isNotNull()), "episode_id", ea, "e_episode_id"),
+                    "video_id", va, "v_video_id")
         .select(
             "content_id",
             col("e_episode_id").alias("episode_id"),

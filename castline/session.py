@@ -38,9 +38,10 @@ def configure(spark: SparkSession) -> SparkSession:
 
 
 def get_session(master: str = "local[8]", shuffle_partitions: int | None = 8,
-                app_name: str = "castline") -> SparkSession:
-    """Session for local runs and tests.  On a cluster, build the session with
-    the platform's launcher and call :func:`configure` on it instead."""
+                app_name: str = "castline", event_log: str | None = None) -> SparkSession:
+    """Session for local runs and tests, with Spark's event log in a folder if
+    one is named.  On a cluster, build the session with the platform's launcher
+    and call :func:`configure` on it instead."""
     builder = (
         SparkSession.builder.master(master)
         .appName(app_name)
@@ -49,6 +50,10 @@ def get_session(master: str = "local[8]", shuffle_partitions: int | None = 8,
         .config("spark.driver.memory", os.environ.get("CASTLINE_DRIVER_MEMORY", "16g"))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
     )
+    if event_log:
+        for key, value in (("enabled", "true"), ("dir", f"file://{event_log}"), ("compress", "false"),
+                           ("rolling.enabled", "false"), ("buffer.kb", "100")):
+            builder = builder.config(f"spark.eventLog.{key}", value)
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     for key, value in SQL_CONF.items():
