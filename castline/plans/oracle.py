@@ -45,11 +45,12 @@ def _dkey(d: str) -> str:
 
 
 def _iso(x: str) -> str:
-    """ISO 8601 duration in seconds: interval arithmetic on the four numbers of the grammar."""
-    names = "['d', 'h', 'm', 's']"
-    parts = f"regexp_extract({x}, '^P(?:(\\d+)D)?(?:T(?:(\\d+)H)?(?:(\\d+)M)?(?:(\\d+)S)?)?$', {names})"
-    return " + ".join(f"coalesce(try_cast(nullif(({parts}).{n}, '') AS int), 0) * {k}"
-                      for n, k in (("d", 86400), ("h", 3600), ("m", 60), ("s", 1)))
+    """The time part of an ISO 8601 duration in seconds, without the hours after a day part."""
+    parts = (f"regexp_extract({x}, '^P(?:(\\d+)D)?(?:T(?:(\\d+)H)?(?:(\\d+)M)?(?:(\\d+)S)?)?$', "
+             "['d', 'h', 'm', 's'])")
+    terms = [f"CASE WHEN ({parts}).d = '' THEN coalesce(try_cast(nullif(({parts}).h, '') AS int), 0) ELSE 0 END * 3600"]
+    terms += [f"coalesce(try_cast(nullif(({parts}).{n}, '') AS int), 0) * {k}" for n, k in (("m", 60), ("s", 1))]
+    return "coalesce(" + " + ".join(terms) + ", 0)"
 
 
 def _hms(x: str) -> str:
