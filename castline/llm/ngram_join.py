@@ -56,46 +56,60 @@ BAND = 1.5
 EMPTY = 2
 #: Queries of a cell, and members of an index chunk, at about which they are split.
 CELL = 1_000
-WORDS = 400_000
 #: Lists set aside by DivideSkip: T / (MU * log2(longest) + 1).
 MU = 0.0085
 MEMBER_BITS = 1 << 25
 
-_words: dict[bytes, int] = {}
-
 
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijective mix of 64-bit integers."""
-    with np.errstate(over="ignore"):
-        x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-        x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-        return x ^ (x >> np.uint64(31))
-
-
-def word_hashes(words: list[bytes]) -> np.ndarray:
-    import xxhash
-    if len(_words) > WORDS:
-        _words.clear()
-    out = list(map(_words.get, words))
-    if None in out:
-        for i, h in enumerate(out):
-            if h is None:
-                w = words[i]
-                out[i] = _words[w] = xxhash.xxh3_64_intdigest(w)
-    return np.array(out, np.uint64)
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+# Tables of the word hash: a random odd number for each byte (A-Z as a-z), white space, powers of an odd base and its inverse.
+_RNG = np.random.default_rng(20_260)
+_BYTE = _RNG.integers(0, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_BYTE[65:91] = _BYTE[97:123]
+_WORD = ~np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
+_BASE = 0x9E3779B97F4A7C15
+_powers = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
+
+
+def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first ``n`` powers of the base and of its inverse, modulo 2^64."""
+    if len(_powers[0]) < n:
+        size = max(n, 1 << 16)
+        for k, base in enumerate((_BASE, pow(_BASE, -1, 1 << 64))):
+            steps = np.full(size, base, np.uint64)
+            steps[0] = 1
+            _powers[k] = np.cumprod(steps, dtype=np.uint64)
+    return _powers[0][:n], _powers[1][:n]
+
+
+def word_hashes(data: bytes) -> np.ndarray:
+    """A 64-bit hash of each word, A-Z as a-z: differences of one running sum over the bytes, brought to a common power."""
+    b = np.frombuffer(b" " + data + b" ", np.uint8)
+    word = _WORD[b]
+    edge = np.flatnonzero(word[1:] != word[:-1]) + 1      # starts and ends by turns
+    start, end = edge[::2], edge[1::2]
+    up, down = powers(len(b))
+    total = np.cumsum(_BYTE[b] * up, dtype=np.uint64)
+    return mix((total[end - 1] - total[start - 1]) * down[start] + (end - start).astype(np.uint64))
 
 
 def shingles(text: str | None, n: int = N) -> np.ndarray:
     """The sorted distinct hashes of a whole text's word n-grams."""
-    h = word_hashes((text or "").encode().lower().split())
+    h = word_hashes((text or "").encode())
     if not len(h):
         return h
     size = min(n, len(h))
     key = np.full(len(h) - size + 1, size, np.uint64)
-    with np.errstate(over="ignore"):
-        for k in range(size):
-            key = mix(key * np.uint64(0x9E3779B97F4A7C15) + h[k:k + len(key)])
-    return np.unique(key)
+    for k in range(size):
+        key += h[k:k + len(key)] * np.uint64(pow(_BASE, 2 * k + 3, 1 << 64))
+    key = np.sort(mix(key))
+    return key[np.concatenate([[True], key[1:] != key[:-1]])]
 
 
 def bands(size: int, percent: int = PERCENT) -> list[tuple[int, int]]:
@@ -117,24 +131,33 @@ def bands(size: int, percent: int = PERCENT) -> list[tuple[int, int]]:
 def signatures(keys: np.ndarray, percent: int = PERCENT) -> np.ndarray:
     """One hash of each part of a set, for each band it signs for."""
     out = []
-    total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix(keys ^ np.uint64(0x5851F42D4C957F2D)), dtype=np.uint64)])
+    total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(keys, dtype=np.uint64)])
     for band, parts in bands(len(keys), percent):
         of = ((keys >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)      # ascends with the keys
         edge = np.searchsorted(of, np.arange(parts + 1, dtype=np.uint64))
         filled = edge[1:] > edge[:-1]
         if (~filled).sum() > EMPTY:      # too many empty parts to rely on the others
             filled[:] = True
-        with np.errstate(over="ignore"):
-            sums = total[edge[1:]] - total[edge[:-1]]
-            place = mix(np.uint64(band << 32) + np.arange(parts, dtype=np.uint64))
-            out.append(mix(sums + place)[filled])
-    return np.unique(np.concatenate(out)) if out else np.zeros(0, np.uint64)
+        sums = total[edge[1:]] - total[edge[:-1]]
+        out.append(mix(sums + places(band, parts))[filled])
+    return np.concatenate(out) if out else np.zeros(0, np.uint64)
+
+
+_places: dict[tuple[int, int], np.ndarray] = {}
+
+
+def places(band: int, parts: int) -> np.ndarray:
+    """A number for each part of a band (there is one entry a band)."""
+    if (band, parts) not in _places:
+        _places[band, parts] = mix(np.uint64(band << 32) + np.arange(parts, dtype=np.uint64))
+    return _places[band, parts]
 
 
 class Lists:
     """Inverted lists of a few sets, searched by T-occurrence."""
 
     def __init__(self, sets: list[np.ndarray]) -> None:
+        self.sets = sets
         self.sizes = np.array([len(s) for s in sets], np.int64)
         keys = np.concatenate(sets) if sets else np.zeros(0, np.uint64)
         owner = np.repeat(np.arange(len(sets), dtype=np.int64), self.sizes)
@@ -143,6 +166,13 @@ class Lists:
         self.keys, self.start = np.unique(keys, return_index=True)
         self.start = np.append(self.start, len(keys))
 
+    def shared(self, k: int, keys: np.ndarray) -> int:
+        """How many of the keys' lists hold the k-th set: binary search of the keys in the set."""
+        own = self.sets[k]
+        spot = np.searchsorted(own, keys)
+        spot[spot == len(own)] = 0
+        return int((own[spot] == keys).sum())
+
     def search(self, query: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
         """Sets that share at least ``least`` (1 or more) keys with a query, and how many (DivideSkip)."""
         none = np.zeros(0, np.int64)
@@ -161,16 +191,21 @@ class Lists:
         short = len(size) - aside
         lists = [self.owner[f:f + n] for f, n in zip(first[:short].tolist(), size[:short].tolist(), strict=True)]
         found, counts = merge(lists, least - aside, len(self.sizes))
-        for k in range(short, len(size)):             # the long lists, the shorter first
-            if not len(found):
-                break
-            long = self.owner[first[k]:first[k] + size[k]]
-            spot = np.searchsorted(long, found)
-            spot[spot == len(long)] = 0
-            counts = counts + (long[spot] == found)
-            open_ = counts + (len(size) - 1 - k) >= least
-            if not open_.all():
-                found, counts = found[open_], counts[open_]
+        if len(found) * 4 < aside:                    # few candidates: all long lists at once for each
+            long = self.keys[at[by_size[short:]]]
+            extra = [self.shared(k, long) for k in found.tolist()]
+            counts = counts + np.array(extra, counts.dtype) if extra else counts
+        else:
+            for k in range(short, len(size)):         # the long lists, the shorter first
+                if not len(found):
+                    break
+                long = self.owner[first[k]:first[k] + size[k]]
+                spot = np.searchsorted(long, found)
+                spot[spot == len(long)] = 0
+                counts = counts + (long[spot] == found)
+                open_ = counts + (len(size) - 1 - k) >= least
+                if not open_.all():
+                    found, counts = found[open_], counts[open_]
         ok = counts >= least
         return found[ok], counts[ok]
 
@@ -254,7 +289,7 @@ def sets_again(docs: DataFrame, nodes: DataFrame, n: int = N) -> DataFrame:
 
     found = texts_of(docs).mapInArrow(run, "rep bigint, set1 bigint, set2 bigint, keys array<bigint>")
     # Only the row of the class's own id is joined, so copies do not multiply; rows that repeat it are equal.
-    return (found.join(nodes.withColumnsRenamed({"rep": "r", "set1": "s1", "set2": "s2"}),
+    return (found.join(nodes.withColumnsRenamed({"rep": "r", "set1": "s1", "set2": "s2"}).hint("merge"),
                        F.col("rep").eqNullSafe(F.col("r")) & (F.col("set1") == F.col("s1")) & (F.col("set2") == F.col("s2")))
             .select("node", "keys"))
 
@@ -272,7 +307,7 @@ def occurrence_search(index: DataFrame, queries: DataFrame, sets: DataFrame, per
     extra = ["comp"] if one_a_comp else []
 
     def both(rows: DataFrame) -> DataFrame:
-        full = rows.select("cell", "node", *extra).distinct().join(sets, "node")
+        full = rows.select("cell", "node", *extra).distinct().hint("merge").join(sets, "node")
         # fresh names for columns: both sides come from the same tables
         return full.select(*[F.col(c).alias(c, metadata={"side": c}) for c in ("cell", "node", "keys", *extra)])
 
@@ -342,8 +377,11 @@ def search_rest(pairs: DataFrame, found: DataFrame, comps: DataFrame, sets: Data
     groups = far.groupBy("pivot").agg(
         F.min(F.when(~F.col("linked"), F.col("dist"))).alias("nearest"),
         F.count(F.when(~F.col("linked"), 1)).alias("n_open"), F.count(F.lit(1)).alias("n_all")).where("n_open > 0")
-    rows = staged(far.join(groups, "pivot").where(~F.col("linked") | (F.col("dist") >= F.col("nearest") - reach - 1e-9)),
-                  "join-open")
+    near = staged(far.join(groups, "pivot").where(~F.col("linked") | (F.col("dist") >= F.col("nearest") - reach - 1e-9)),
+                  "join-near")
+    # A group whose members are one node or one component has nothing left to find.
+    mixed = near.groupBy("pivot").agg(F.min("comp").alias("c1"), F.max("comp").alias("c2")).where("c1 <> c2").select("pivot")
+    rows = staged(near.join(mixed, "pivot"), "join-open")
     # Chunks of the members by a hash of the node; each open node asks every chunk of its group.
     chunks = F.ceil(F.col("n_all") / CELL).cast("long")
     sides = F.ceil(F.col("n_open") / CELL).cast("long")
@@ -376,12 +414,13 @@ def link(docs: DataFrame, n: int = N, percent: int = PERCENT) -> DataFrame:
     classes = staged(full.groupBy("set1", "set2").agg(F.min("row").alias("node"), F.min("doc_id").alias("rep"),
                                                        F.min(lead).alias("lead"), F.count(F.lit(1)).alias("n_rows")),
                      "join-classes")
-    signed = full.select("row", "sigs").join(classes.select(F.col("node").alias("row")), "row").select(
+    # Tables that grow with the corpus are merge-joined at every size: a small run then shows the plan of a large one.
+    signed = full.select("row", "sigs").join(classes.select(F.col("node").alias("row")).hint("merge"), "row").select(
         F.col("row").alias("node"), F.explode("sigs").alias("sig"))
     signed = staged(signed, "join-signed")
     buckets = staged(signed.groupBy("sig").agg(F.min("node").alias("pivot"), F.count(F.lit(1)).alias("n")).where("n > 1")
                      .select("sig", "pivot"), "join-buckets")
-    pairs = staged(signed.join(buckets, "sig").where("node <> pivot").select("node", "pivot").distinct(), "join-pairs")
+    pairs = staged(signed.join(buckets.hint("merge"), "sig").where("node <> pivot").select("node", "pivot").distinct(), "join-pairs")
     edges = pair_edges(docs, classes, pairs, n, percent)
     comps = components(edges)
     links = edges.union(edges.select("b", "a")).distinct().groupBy(F.col("a").alias("node")).agg(F.count(F.lit(1)).alias("n_links"))
