@@ -101,7 +101,8 @@ def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """``doc_id, n_lines, n_removed, removed, text`` of every row: the text without its repeated runs."""
     rows = keyed(docs)
     runs = staged(repeated_runs(rows, min_words), "line-runs")
-    joined = rows.join(runs.withColumnsRenamed({"doc_id": "r_id", "thash": "r_hash"}),
+    # Both sides grow with the corpus: a merge join at every size, so that a small run shows the plan of a large one.
+    joined = rows.join(runs.withColumnsRenamed({"doc_id": "r_id", "thash": "r_hash"}).hint("merge"),
                        F.col("doc_id").eqNullSafe(F.col("r_id")) & (F.col("thash") == F.col("r_hash")), "left")
     lines = F.split("text", "\n", -1)
     gone = F.flatten(F.transform("runs", lambda r: F.sequence(r["first"], r["last"])))
