@@ -118,3 +118,40 @@ def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
 
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_lines(table(spark, sf_dir, "documents"))
+
+
+#: The definition itself, without fingerprints: windows by their lines, the first place of each content stays.
+ORACLE = rf"""
+WITH every AS (
+  SELECT doc_id, coalesce(text, '') AS text, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+         generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) - 1 AS pos
+  FROM documents),
+plain AS (
+  SELECT doc_id, pos, trim(regexp_replace(line, '[\x20\x09-\x0D]+', ' ', 'g'), ' ') AS line FROM every),
+counted AS (
+  SELECT *, len(string_split(line, ' ')) AS words FROM plain WHERE line <> ''),
+placed AS (
+  SELECT *, sum(words) OVER (PARTITION BY doc_id ORDER BY pos) AS stop,
+         sum(words) OVER (PARTITION BY doc_id ORDER BY pos) - words AS off FROM counted),
+wins AS (
+  SELECT doc_id, min(pos) OVER d AS first, max(pos) OVER d AS last, max(stop) OVER d - min(off) OVER d AS n, list(line) OVER d AS run
+  FROM placed WINDOW d AS (PARTITION BY doc_id ORDER BY off RANGE BETWEEN CURRENT ROW AND {MIN_WORDS - 1} FOLLOWING)
+  UNION
+  SELECT doc_id, min(pos) OVER u, max(pos) OVER u, max(stop) OVER u - min(off) OVER u, list(line) OVER u
+  FROM placed WINDOW u AS (PARTITION BY doc_id ORDER BY stop RANGE BETWEEN {MIN_WORDS - 1} PRECEDING AND CURRENT ROW)),
+firsts AS (
+  SELECT run, min({{'d': doc_id, 'a': first, 'b': last}}) AS place FROM wins WHERE n >= {MIN_WORDS} GROUP BY run),
+gone AS (
+  SELECT DISTINCT doc_id, unnest(generate_series(first, last)) AS pos
+  FROM wins JOIN firsts USING (run) WHERE n >= {MIN_WORDS} AND (doc_id <> place.d OR first > place.b)),
+runs AS (
+  SELECT doc_id, string_agg(a || '-' || b, ',' ORDER BY a) AS removed, sum(b - a + 1) AS n_removed
+  FROM (SELECT doc_id, min(pos) AS a, max(pos) AS b
+        FROM (SELECT doc_id, pos, pos - row_number() OVER (PARTITION BY doc_id ORDER BY pos) AS island FROM gone) g
+        GROUP BY doc_id, island) i GROUP BY doc_id)
+SELECT e.doc_id, CASE WHEN any_value(e.text) = '' THEN 0 ELSE count(*) END AS n_lines,
+       cast(coalesce(any_value(r.n_removed), 0) AS bigint) AS n_removed, coalesce(any_value(r.removed), '') AS removed,
+       coalesce(string_agg(e.line, chr(10) ORDER BY e.pos) FILTER (g.pos IS NULL), '') AS text
+FROM every e LEFT JOIN gone g ON g.doc_id = e.doc_id AND g.pos = e.pos LEFT JOIN runs r ON r.doc_id = e.doc_id
+GROUP BY e.doc_id
+"""

@@ -460,4 +460,24 @@ def one_of_each(docs: DataFrame, n: int = N, percent: int = PERCENT) -> DataFram
 
 
 def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return link(table(spark, sf_dir, "documents")).drop("thash", "leads")
+    return link(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
+#: All pairs that share an n-gram, counted; components by following links from each document.
+ORACLE = rf"""
+WITH RECURSIVE words AS MATERIALIZED (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') AS w FROM documents),
+sets AS MATERIALIZED (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < {N} THEN [array_to_string(w, ' ')]
+                      ELSE list_distinct([array_to_string(w[i:i + {N - 1}], ' ') for i in generate_series(1, len(w) - {N - 1})])
+                 END AS s FROM words),
+grams AS MATERIALIZED (SELECT doc_id, len(s) AS n, unnest(s) AS g FROM sets),
+links AS MATERIALIZED (
+  SELECT a.doc_id AS a, b.doc_id AS b FROM grams a JOIN grams b ON a.g = b.g AND a.doc_id <> b.doc_id
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= {PERCENT} * (a.n + b.n - count(*))),
+reach AS (SELECT a AS doc_id, b AS other FROM links UNION SELECT r.doc_id, l.b FROM reach r JOIN links l ON l.a = r.other),
+least AS (SELECT doc_id, min(other) AS other FROM reach GROUP BY doc_id)
+SELECT s.doc_id, len(s.s) AS n_shingles, least(s.doc_id, coalesce(l.other, s.doc_id)) AS component_id
+FROM sets s LEFT JOIN least l ON l.doc_id = s.doc_id
+"""

@@ -18,5 +18,7 @@ QUERIES = {
 }
 
 ORACLE = {
+    "op1_line_dedup": line_dedup.ORACLE,
+    "op3_ngram_join": ngram_join.ORACLE,
     "op10_exact_dedup": exact_dedup.ORACLE,
 }
