@@ -60,7 +60,8 @@ def without(docs: DataFrame, key: Column, gone: DataFrame, again: DataFrame) ->
         again.select(F.col("doc_id").alias("m_id"), F.col("key").alias("m_key"), F.lit(False).alias("m_gone")))
     inner = docs.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(cols)], F.col("doc_id").alias("id"),
                         key.alias("key"))
-    rows = inner.join(marks, F.col("id").eqNullSafe(F.col("m_id")) & (F.col("key") == F.col("m_key")), "left")
+    # Both sides grow with the corpus: a merge join at every size, so that a small run shows the plan of a large one.
+    rows = inner.join(marks.hint("merge"), F.col("id").eqNullSafe(F.col("m_id")) & (F.col("key") == F.col("m_key")), "left")
     back = [F.col(f"c{i}").alias(c) for i, c in enumerate(cols)]
     kept = rows.where("m_gone IS NULL").select(*back)
     if again.isEmpty():
