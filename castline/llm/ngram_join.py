@@ -9,9 +9,12 @@ a threshold; the result is the connected component of each document.
    ``H = 2U(1-t)/(1+t)`` of them, so of ``H + 1`` parts of the hash range at least
    one is equal in both.  A node gives one signature for each part (bands of sizes
    have a number of parts each; near the upper end a node also gives those of the
-   next band).  ``EMPTY`` spare parts make up for empty ones.  Nodes that share a
-   signature meet at the smallest of them, the pivot: as many (node, pivot) pairs
-   as nodes in the bucket, not all pairs.
+   next band).  Spare parts, ``EMPTY`` or as many as a set of the band is likely to
+   leave empty, make up for empty ones; a set with more empty parts signs its
+   smallest n-grams as well (two linked sets share one of them).  No empty part is
+   signed, as all sets would meet there.  Nodes that share a signature meet at the
+   smallest of them, the pivot: as many (node, pivot) pairs as nodes in the bucket,
+   not all pairs.
 3. T-occurrence search.  Pivots are indexed by inverted lists (n-gram -> pivots),
    nodes are the queries: DivideSkip sets the longest lists aside, merges the
    short ones and looks candidates up in the long ones by binary search; what
@@ -37,7 +40,9 @@ columns are ignored by ``link`` and passed through by ``one_of_each``.
 from __future__ import annotations
 
 import heapq
+import math
 from collections.abc import Iterator
+from functools import cache
 from itertools import groupby
 
 import numpy as np
@@ -53,6 +58,7 @@ N = 3
 #: Similarity in percent: linked if 100 * intersection >= PERCENT * union.
 PERCENT = 90
 BAND = 1.5
+#: Spare parts at least.
 EMPTY = 2
 #: Queries of a cell, and members of an index chunk, at about which they are split.
 CELL = 1_000
@@ -112,8 +118,21 @@ def shingles(text: str | None, n: int = N) -> np.ndarray:
     return key[np.concatenate([[True], key[1:] != key[:-1]])]
 
 
-def bands(size: int, percent: int = PERCENT) -> list[tuple[int, int]]:
-    """``(band, parts)`` that a set of ``size`` gives signatures for.
+@cache
+def parts_of(low: int, high: int, percent: int) -> tuple[int, int]:
+    """Most differing n-grams of linked sets in a band of sizes ``low`` to ``high - 1``, and its number of parts."""
+    differ = 2 * (high - 1) * (100 - percent) // (100 + percent)
+    least = max(percent * low // 100, 1)      # the smallest set that signs
+    for spare in range(EMPTY, 2 * differ + EMPTY):
+        parts = differ + 1 + spare
+        empty = parts * math.exp(-least / parts)
+        if spare >= empty + 2 * math.sqrt(empty):
+            return differ, parts
+    return differ, differ + 1 + EMPTY         # small sets
+
+
+def bands(size: int, percent: int = PERCENT) -> list[tuple[int, int, int]]:
+    """``(band, differ, parts)`` that a set of ``size`` gives signatures for.
 
     A band holds the sizes ``low`` to ``high - 1``.  Sets that can link across its
     end meet in the next band, for which the smaller one signs too.
@@ -121,25 +140,24 @@ def bands(size: int, percent: int = PERCENT) -> list[tuple[int, int]]:
     low, high, band = 1, 2, 0
     while size >= high:
         low, high, band = high, max(high + 1, int(high * BAND)), band + 1
-    found = [(band, high)]
+    found = [(band, *parts_of(low, high, percent))]
     if 100 * size >= percent * high:
-        found.append((band + 1, max(high + 1, int(high * BAND))))
-    differ = [(b, 2 * (h - 1) * (100 - percent) // (100 + percent)) for b, h in found]
-    return [(b, d + 1 + EMPTY) for b, d in differ if d]     # no difference allowed: only equal sets link
+        found.append((band + 1, *parts_of(high, max(high + 1, int(high * BAND)), percent)))
+    return [x for x in found if x[1]]     # no difference allowed: only equal sets link
 
 
 def signatures(keys: np.ndarray, percent: int = PERCENT) -> np.ndarray:
-    """One hash of each part of a set, for each band it signs for."""
+    """One hash of each filled part of a set, for each band it signs for."""
     out = []
     total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(keys, dtype=np.uint64)])
-    for band, parts in bands(len(keys), percent):
+    for band, differ, parts in bands(len(keys), percent):
         of = ((keys >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)      # ascends with the keys
         edge = np.searchsorted(of, np.arange(parts + 1, dtype=np.uint64))
         filled = edge[1:] > edge[:-1]
-        if (~filled).sum() > EMPTY:      # too many empty parts to rely on the others
-            filled[:] = True
         sums = total[edge[1:]] - total[edge[:-1]]
         out.append(mix(sums + places(band, parts))[filled])
+        if filled.sum() <= differ:      # the differing n-grams could lie in all filled parts, of this set and of another such
+            out.append(mix(keys[:len(keys) * (100 - percent) // 100 + 1] + places(band, parts)[0]))
     return np.concatenate(out) if out else np.zeros(0, np.uint64)
 
 

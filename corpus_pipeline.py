@@ -24,8 +24,8 @@ def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each component of similar texts."""
-    return ngram_join.one_of_each(docs)
+    """One document of each component of similar texts: a similarity of 80 percent of their sets of five words."""
+    return ngram_join.one_of_each(docs, n=5, percent=80)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -181,6 +181,66 @@ def test_signatures_meet_for_every_link():
             assert len(np.intersect1d(ngram_join.signatures(a), ngram_join.signatures(b)))
 
 
+def check_join_at(spark, docs, n, percent):
+    got = by_id(ngram_join.link(spark.createDataFrame(docs, "doc_id bigint, text string"), n, percent))
+    want = components_of(docs, percent, n)
+    assert {i: (r["n_shingles"], r["component_id"]) for i, r in got.items()} == want
+    return want
+
+
+def test_join_of_the_pipeline_on_documents(spark, texts):
+    check_join_at(spark, texts, 5, 80)
+
+
+def test_join_of_the_pipeline_around_its_threshold(spark, monkeypatch):
+    """Copies with blocks added or cut and with words changed, of all sizes, and a passage that all share."""
+    monkeypatch.setattr(ngram_join, "CELL", 7)
+    rnd = random.Random(12)
+    passage = [f"p{k}" for k in range(30)]
+    docs, i = [], 0
+    for size in (5, 8, 13, 22, 35, 60, 95, 140, 400):
+        base = [f"s{size}w{rnd.randrange(10**6)}" for _ in range(size)]
+        for _ in range(25):
+            w, at = list(base), rnd.randrange(size)
+            block = round(size * rnd.choice([0, 0.05, 0.1, 0.15, 0.2, 0.22, 0.25, 0.3]))
+            if rnd.random() < 0.6:
+                w[at:at] = [f"x{rnd.randrange(10**6)}" for _ in range(block)]
+            else:
+                del w[at:at + block]
+            if w and rnd.random() < 0.3:
+                w[rnd.randrange(len(w))] = f"y{rnd.randrange(30)}"
+            docs.append((i, " ".join(w + passage * (rnd.random() < 0.2))))
+            i += 3
+    rnd.shuffle(docs)
+    want = check_join_at(spark, docs, 5, 80)
+    assert len({c for _, c in want.values()}) > 20
+    assert {j: c for j, (_, c) in want.items()} != {j: c for j, (_, c) in components_of(docs).items()}
+
+
+def test_pipeline_drops_copies_with_a_block_added(spark):
+    import corpus_pipeline
+    base = [f"w{k}" for k in range(200)]
+    docs = [(k, " ".join(base[:90] + [f"x{k}y{j}" for j in range(n)] + base[90:]), "en", "a", 1) for k, n in enumerate([0, 24, 36, 80])]
+    rows = spark.createDataFrame(docs, "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    assert sorted(r["doc_id"] for r in corpus_pipeline.near_copies(spark, rows, SF_SMALL).collect()) == [0, 3]
+
+
+@pytest.mark.parametrize("percent", [80, 90])
+def test_signatures_meet_and_no_empty_part_is_signed(percent):
+    rnd, empty = np.random.default_rng(4), collections.Counter()
+    for _ in range(3000):
+        a = rnd.integers(0, 2**64, int(rnd.integers(4, 400)), dtype=np.uint64)
+        most = len(a) * (100 - percent) // 100 + 2
+        b = np.concatenate([a[int(rnd.integers(0, most)):], rnd.integers(0, 2**64, int(rnd.integers(0, most)), dtype=np.uint64)])
+        a, b = np.unique(a), np.unique(b)
+        inter = len(np.intersect1d(a, b))
+        signed = ngram_join.signatures(a, percent)
+        if 100 * inter >= percent * (len(a) + len(b) - inter) and not np.array_equal(a, b):
+            assert len(np.intersect1d(signed, ngram_join.signatures(b, percent)))
+        empty.update(np.unique(signed).tolist())
+    assert max(empty.values()) == 1      # sets without a common n-gram share nothing
+
+
 @settings(max_examples=150, deadline=None)
 @given(st.lists(st.sets(st.integers(0, 40), min_size=1), min_size=1, max_size=25), st.sets(st.integers(0, 45), min_size=1),
        st.integers(1, 12))
