@@ -7,9 +7,8 @@ text-to-tag ratio; the ratios are smoothed with a Gaussian over neighbouring
 lines, and lines above a threshold (a share of their standard deviation over
 zero) form clusters.  The content region is the element that holds the clusters:
 the smallest article or main element with most of their weight, or else the
-deepest element with nearly all of it, from the first clustered line (and the
-headings before it) to the last.  All lines of the region are returned, short
-ones too, but for those inside elements that are never part of an article.
+deepest container around all of them.  All lines of the region are returned,
+short ones too, but for those inside elements that are never part of an article.
 
 Defined results: null or empty html, or a page without text, gives empty text;
 markup that is cut off or left open is read to its end; repeated rows are each
@@ -22,6 +21,7 @@ import math
 import re
 from collections.abc import Iterator
 from html.parser import HTMLParser
+from os.path import commonprefix
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -34,8 +34,8 @@ from castline.llm.common import table
 RADIUS, SIGMA = 2, 1.0
 #: Threshold of a clustered line, in standard deviations of the smoothed ratios.
 DEVIATIONS = 0.5
-#: Shares of the clusters' weight that make an article element, or any element, the region.
-ARTICLE_SHARE, ELEMENT_SHARE = 0.25, 0.9
+#: Share of the clusters' weight that makes an article element the region.
+ARTICLE_SHARE = 0.25
 
 # HTML's elements by kind.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -45,7 +45,8 @@ BLOCK = frozenset("""address article aside blockquote body caption center dd det
 CLOSES_P = BLOCK - frozenset("body head html td th tr tbody thead tfoot caption title".split())
 SCOPE = frozenset("html body table td th caption article section main div nav aside header footer form blockquote "
                   "figure details dialog fieldset".split())
-HEADING = frozenset("h1 h2 h3 h4 h5 h6 hgroup".split())
+#: What can hold a whole article, and the root; others (section, blockquote, p, ...) are parts of one.
+CONTAINER = frozenset(["", *"html body article center div td".split()])
 CELL = frozenset("td th".split())
 SIBLING = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr"}, "td": {"td", "th"}, "th": {"td", "th"},
            "option": {"option"}}
@@ -199,8 +200,8 @@ def clustered(lines: list[Line]) -> list[float]:
     return [s if r > 0 and s >= limit else 0.0 for s, r in zip(smooth, ratios, strict=True)]
 
 
-def region(lines: list[Line], kind: list[str], weight: list[float]) -> tuple[int, int, int]:
-    """Element number, first and last line of the content."""
+def region(lines: list[Line], kind: list[str], weight: list[float]) -> int:
+    """Element number of the content."""
     total, held, size, depth = sum(weight), {}, {}, {}
     for x, w in zip(lines, weight, strict=True):
         for d, n in enumerate(x.path):
@@ -209,15 +210,9 @@ def region(lines: list[Line], kind: list[str], weight: list[float]) -> tuple[int
             depth[n] = d
     articles = [n for n in held if kind[n] == "article" and held[n] >= ARTICLE_SHARE * total]
     if articles:
-        best = min(articles, key=lambda n: (size[n], -depth[n]))
-        return best, 0, len(lines) - 1
-    best = max((n for n in held if held[n] >= ELEMENT_SHARE * total and kind[n] not in HEADING | {"p"}),
-               key=lambda n: depth[n])
-    inside = [i for i, x in enumerate(lines) if best in x.path and weight[i] > 0]
-    first, last = inside[0], inside[-1]
-    while first > 0 and best in lines[first - 1].path and lines[first - 1].tag in HEADING and not lines[first - 1].cut:
-        first -= 1
-    return best, first, last
+        return min(articles, key=lambda n: (size[n], -depth[n]))
+    around = commonprefix([x.path for x, w in zip(lines, weight, strict=True) if w > 0])
+    return next(n for n in reversed(around) if kind[n] in CONTAINER)
 
 
 def main_text(html: str | None) -> str:
@@ -230,8 +225,8 @@ def main_text(html: str | None) -> str:
     weight = clustered(lines)
     if not any(weight):
         return ""
-    best, first, last = region(lines, kind, weight)
-    return "\n\n".join(x.text for x in lines[first:last + 1] if not x.cut and not x.menu and best in x.path)
+    best = region(lines, kind, weight)
+    return "\n\n".join(x.text for x in lines if not x.cut and not x.menu and best in x.path)
 
 
 def extract(pages: DataFrame) -> DataFrame:

@@ -104,6 +104,23 @@ def test_html_noise_goes_and_short_blocks_stay(noise, wrap):
         ["A title", ("word " * 60).strip(), "Short.", "Quote <b>", ("more " * 50).strip()])
 
 
+LONG, MIDDLE, SHORT = "a" * 600, "b" * 90, "c" * 40
+
+
+@pytest.mark.parametrize("blocks", [[LONG] * 6 + [SHORT] * 6, [SHORT] * 6 + [LONG] * 6, ["d" * 3000] + [MIDDLE] * 8,
+                                    [SHORT] * 5 + ["d" * 3000] + [SHORT] * 5])
+@pytest.mark.parametrize("wrap", ['<div id="content">{}</div>', "<table><tr><td>{}</table>", "{}"])
+def test_html_short_blocks_stay_without_an_article(blocks, wrap):
+    page = "<body><nav>menu</nav>" + wrap.format("".join(f"<p>{b}</p>" for b in blocks)) + "<footer>foot</footer>"
+    assert html_text.main_text(page) == "\n\n".join(blocks)
+
+
+@pytest.mark.parametrize("last", [[SHORT], [MIDDLE] * 2, [LONG]])
+def test_html_sections_stay_without_an_article(last):
+    page = '<body><div id="content">' + "".join(f"<section>{''.join(f'<p>{b}</p>' for b in bs)}</section>" for bs in ([LONG] * 9, last))
+    assert html_text.main_text(page + "</div><footer>foot</footer>") == "\n\n".join([LONG] * 9 + last)
+
+
 # ---------------------------------------------------------------- 3 n-gram join
 def components_of(docs, percent=90, n=3):
     sets, parent = {}, {}
