@@ -6,8 +6,9 @@ inside and outside links, and the open elements around it.  Each line has a
 text-to-tag ratio; the ratios are smoothed with a Gaussian over neighbouring
 lines, and lines above a threshold (a share of their standard deviation over
 zero) form clusters.  The content region is the element that holds the clusters:
-the smallest article or main element with most of their weight, or else the
-deepest container around all of them.  All lines of the region are returned,
+the smallest main element or outermost article with nearly all of the text that
+those hold and no other with clusters beside it, or else all of them, or without any
+the deepest container around the clusters.  All lines of the region are returned,
 short ones too, but for those inside elements that are never part of an article.
 
 Defined results: null or empty html, or a page without text, gives empty text;
@@ -34,8 +35,8 @@ from castline.llm.common import table
 RADIUS, SIGMA = 2, 1.0
 #: Threshold of a clustered line, in standard deviations of the smoothed ratios.
 DEVIATIONS = 0.5
-#: Share of the clusters' weight that makes an article element the region.
-ARTICLE_SHARE = 0.25
+#: Shares of the clusters' text that articles need to be the region, and of the articles' text that one needs to be it alone.
+ARTICLE_SHARE, ELEMENT_SHARE = 0.25, 0.9
 
 # HTML's elements by kind.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -46,7 +47,8 @@ CLOSES_P = BLOCK - frozenset("body head html td th tr tbody thead tfoot caption
 SCOPE = frozenset("html body table td th caption article section main div nav aside header footer form blockquote "
                   "figure details dialog fieldset".split())
 #: What can hold a whole article, and the root; others (section, blockquote, p, ...) are parts of one.
-CONTAINER = frozenset(["", *"html body article center div td".split()])
+CONTAINER = frozenset(["", *"html body article main center div td".split()])
+ARTICLE = frozenset("article main".split())
 CELL = frozenset("td th".split())
 SIBLING = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr"}, "td": {"td", "th"}, "th": {"td", "th"},
            "option": {"option"}}
@@ -150,8 +152,8 @@ class Page(HTMLParser):
             self.leave(at)
         in_article = any(t in ("article", "main") for t, _, _ in self.open)
         cut = self.open[-1][2] or is_cut(tag, attrs, in_article)
-        self.kind.append("article" if tag in ("article", "main") or ("role", "main") in attrs
-                         or ("itemprop", "articleBody") in attrs else tag)
+        self.kind.append("article" if tag == "article" or ("itemprop", "articleBody") in attrs
+                         else "main" if ("role", "main") in attrs else tag)
         self.open.append((tag, len(self.kind) - 1, cut))
         self.links += tag == "a"
 
@@ -200,19 +202,28 @@ def clustered(lines: list[Line]) -> list[float]:
     return [s if r > 0 and s >= limit else 0.0 for s, r in zip(smooth, ratios, strict=True)]
 
 
-def region(lines: list[Line], kind: list[str], weight: list[float]) -> int:
-    """Element number of the content."""
-    total, held, size, depth = sum(weight), {}, {}, {}
-    for x, w in zip(lines, weight, strict=True):
-        for d, n in enumerate(x.path):
-            held[n] = held.get(n, 0.0) + w
+def region(lines: list[Line], kind: list[str], weight: list[float]) -> set[int]:
+    """Element numbers of the content."""
+    text = [x.chars - x.linked if w > 0 else 0 for x, w in zip(lines, weight, strict=True)]
+    held, size, up, outer, chains = {}, {}, {}, set(), set()
+    for x, n_text in zip(lines, text, strict=True):
+        # main elements down to the outermost article; articles inside that one are parts of it
+        chain = [n for n in x.path if kind[n] in ARTICLE]
+        chain = chain[:next((i for i, n in enumerate(chain) if kind[n] == "article"), len(chain)) + 1]
+        for i, n in enumerate(chain):
+            held[n] = held.get(n, 0) + n_text
             size[n] = size.get(n, 0) + 1
-            depth[n] = d
-    articles = [n for n in held if kind[n] == "article" and held[n] >= ARTICLE_SHARE * total]
-    if articles:
-        return min(articles, key=lambda n: (size[n], -depth[n]))
+            up[n] = set(chain[:i + 1])
+        if chain and not x.cut:
+            outer.add(chain[0])
+        if chain and n_text:
+            chains.add(tuple(chain))
+    inside = sum(held[n] for n in outer)
+    if inside > 0 and inside >= ARTICLE_SHARE * sum(text):
+        alone = [n for n in held if held[n] >= ELEMENT_SHARE * inside and all(n in c or up[n].issuperset(c) for c in chains)]
+        return {min(alone, key=lambda n: (size[n], -len(up[n])))} if alone else outer
     around = commonprefix([x.path for x, w in zip(lines, weight, strict=True) if w > 0])
-    return next(n for n in reversed(around) if kind[n] in CONTAINER)
+    return {next(n for n in reversed(around) if kind[n] in CONTAINER)}
 
 
 def main_text(html: str | None) -> str:
@@ -226,7 +237,7 @@ def main_text(html: str | None) -> str:
     if not any(weight):
         return ""
     best = region(lines, kind, weight)
-    return "\n\n".join(x.text for x in lines if not x.cut and not x.menu and best in x.path)
+    return "\n\n".join(x.text for x in lines if not x.cut and not x.menu and not best.isdisjoint(x.path))
 
 
 def extract(pages: DataFrame) -> DataFrame:

@@ -121,6 +121,25 @@ def test_html_sections_stay_without_an_article(last):
     assert html_text.main_text(page + "</div><footer>foot</footer>") == "\n\n".join([LONG] * 9 + last)
 
 
+def paragraphs(n, letter="a"):
+    return "".join(f"<p>{letter * 300}{k}</p>" for k in range(n))
+
+
+@pytest.mark.parametrize("page, parts", [
+    ("<main><article>{7a}</article><article>{3b}</article></main>", "7a 3b"),           # siblings in main
+    ("<main><article>{30a}</article><article>{1b}</article></main>", "30a 1b"),
+    ("<div><article>{7a}</article><article>{3b}</article></div>", "7a 3b"),             # siblings without main
+    ("<article>{4a}<article>{3b}</article>{1c}</article>", "4a 3b 1c"),                 # nested
+    ("<main><article>{1a}<article>{20b}</article>{1c}</article></main>", "1a 20b 1c"),
+    ("<main><p>Home / News</p><article>{5a}</article><p>Tags</p></main>", "5a"),        # a chain
+    ("<main><article>{5a}</article><aside><article>{2b}</article></aside></main>", "5a"),
+])
+def test_html_nested_and_sibling_articles(page, parts):
+    page = re.sub(r"\{(\d+)(.)\}", lambda m: paragraphs(int(m[1]), m[2]), page)
+    want = [f"{p[-1] * 300}{k}" for p in parts.split() for k in range(int(p[:-1]))]
+    assert html_text.main_text(f"<body><nav>menu</nav>{page}<footer>foot</footer>") == "\n\n".join(want)
+
+
 # ---------------------------------------------------------------- 3 n-gram join
 def components_of(docs, percent=90, n=3):
     sets, parent = {}, {}
