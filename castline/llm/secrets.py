@@ -3,9 +3,10 @@
 Three base patterns report on their own (assignments, access keys, long hex
 runs).  Beyond them, parts of a credential that are too weak alone are linked:
 an identifier (user, account, client id, access key), a secret (random-looking
-word) and an endpoint (URL or host setting).  Parts that lie within ``SCOPE``
-code points of each other in one document are joined by interval, as a range
-window over the part table, which emits no pairs.  Of weak parts,
+word of any length from 20) and an endpoint (URL or host setting).  Parts of one
+document with at most ``SCOPE`` code points between them, not counting those of
+other parts, are joined by interval, as a running window over the part table, which
+emits no pairs.  Of weak parts,
 
 * a secret counts when an identifier or an access key is in its scope,
 * an identifier counts when a secret (weak or base) is in its scope,
@@ -44,7 +45,7 @@ ENDPOINT = re.compile(r"""\b(?:https?|jdbc:[a-z]+|postgres(?:ql)?|mysql|mongodb|
                       r"""|\b(?:host(?:name)?|endpoint|server)["']?\x20*[:=]\x20*["']?[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+""",
                       re.I | re.A)
 ENDPOINT_WORDS = ("://", "host", "endpoint", "server")
-WEAK = re.compile(r"(?<![A-Za-z0-9+/=_-])[A-Za-z0-9+/_-]{20,128}={0,2}(?![A-Za-z0-9+/=_-])")
+WEAK = re.compile(r"(?<![A-Za-z0-9+/=_-])[A-Za-z0-9+/_-]{20,}={0,2}(?![A-Za-z0-9+/=_-])")
 
 Span = tuple[str, int, int]
 
@@ -86,6 +87,16 @@ def joined(spans: list[Span]) -> str:
     return ",".join(f"{k}:{s}:{e}" for k, s, e in spans)
 
 
+def placed(spans: list[Span]) -> list[str]:
+    """Each span with its place: the code points before it that are in no span, so that a long one pushes none away."""
+    out, inside, last = [], 0, 0
+    for kind, s, e in sorted(spans, key=lambda x: x[1:]):
+        out.append(f"{kind}:{s}:{e}:{max(s, last) - inside}")
+        inside += max(e - max(s, last), 0)
+        last = max(e, last)
+    return out
+
+
 def scan(docs: DataFrame) -> DataFrame:
     """Base counts, base spans and the parts that linking needs, one row per document; text does not leave the task."""
     schema = pa.schema([("doc_id", pa.int64()), *[(n, pa.int64()) for n in ("n_assign", "n_access", "n_hex")],
@@ -99,7 +110,7 @@ def scan(docs: DataFrame) -> DataFrame:
         kinds = [k for k, _, _ in base]
         line = joined(base)
         return (*map(kinds.count, KINDS[:3]), sha256_hex(line.encode()), line,
-                [joined([s]) for s in base + weak] if weak else [])
+                placed(base + weak) if weak else [])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches):
@@ -112,13 +123,14 @@ def scan(docs: DataFrame) -> DataFrame:
 
 
 def link(parts: DataFrame, scope: int = SCOPE) -> DataFrame:
-    """Weak parts whose complement lies within ``scope``: of ``row, kind, start, end`` those that count.
+    """Weak parts whose complement lies within ``scope``: of ``row, kind, start, end, at`` those that count.
 
-    Two parts are in scope when their starts are at most ``scope`` apart.  The
-    window is over one document's parts and keeps flags, not pairs.
+    Two parts are in scope when their places (``at``) are at most ``scope`` apart.
+    The window is over one document's parts and keeps the furthest place so far of
+    a part's complement, not pairs.
     """
-    near = Window.partitionBy("row").orderBy("start").rangeBetween(-scope, scope)
-    has = {name: F.max(F.col("kind").isin(*kinds)).over(near) for name, kinds in
+    near = Window.partitionBy("row").orderBy("at").rangeBetween(Window.unboundedPreceding, scope)
+    has = {name: F.max(F.when(F.col("kind").isin(*kinds), F.col("at"))).over(near) >= F.col("at") - scope for name, kinds in
            {"id": ("ident", "access"), "key": ("secret", "assign", "hex")}.items()}
     flagged = parts.withColumns({f"has_{k}": v for k, v in has.items()})
     return flagged.where(F.expr("(kind = 'secret' AND has_id) OR (kind = 'ident' AND has_key) "
@@ -130,7 +142,8 @@ def find(docs: DataFrame) -> DataFrame:
     rows = staged(scan(docs).withColumn("row", F.monotonically_increasing_id()), "secret-parts")
     piece = F.split("part", ":")
     parts = rows.where("size(parts) > 0").select("row", F.explode("parts").alias("part")).select(
-        "row", piece[0].alias("kind"), piece[1].cast("int").alias("start"), piece[2].cast("int").alias("end"))
+        "row", piece[0].alias("kind"), piece[1].cast("int").alias("start"), piece[2].cast("int").alias("end"),
+        piece[3].cast("int").alias("at"))
     linked = link(parts).groupBy("row").agg(
         F.collect_list(F.concat_ws(":", "kind", "start", "end")).alias("linked"))
     rank = F.map_from_arrays(F.array(*map(F.lit, KINDS)), F.array(*map(F.lit, range(len(KINDS)))))

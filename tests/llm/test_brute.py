@@ -475,6 +475,36 @@ def test_secrets(spark, texts):
                      ["access", "secret"], ["assign", "assign"], ["assign"]]
 
 
+def test_long_secrets(spark):
+    key = "Zq8XkL2mN5pR7tV9wY1cB3dF"
+    made = [f"user = admin {key * n}{gap}https://db.example.com/x" for n in (1, 6, 17, 400) for gap in (" ", " " * 230)]
+    made += [f"user = admin {key * 17}{' ' * 250}https://db.example.com/x", f"https://e.example.com/{'p' * 500} user=bob {key}",
+             f"{key * 17}{'x'} {' ' * 239}user=al9", f"{key * 17} {' ' * 240}user=al9"]
+    docs = spark.createDataFrame(list(enumerate(made)), "doc_id bigint, text string")
+    got = by_id(secrets.find(docs))
+    kinds = [[s.split(":")[0] for s in got[i]["spans"].split(",") if s] for i in range(len(made))]
+    assert kinds == [["ident", "secret", "endpoint"]] * 8 + [["ident", "secret"], ["endpoint", "ident", "secret"], ["secret", "ident"], []]
+
+
+def test_linked_parts_against_all_pairs(spark):
+    rnd = random.Random(9)
+    rows, want = [], []
+    for row in range(60):
+        spans = sorted({(rnd.choice(secrets.KINDS), s, s + rnd.choice([3, 20, 90, 300])) for s in rnd.sample(range(900), rnd.randrange(1, 14))})
+        free = sorted(set(range(1300)) - {i for _, s, e in spans for i in range(s, e)})
+
+        def near(p, *kinds):
+            return any(q[0] in kinds and sum(min(p[2], q[2]) <= i < max(p[1], q[1]) for i in free) <= 40 for q in spans)
+
+        for p in spans:
+            by_id_, by_key = near(p, "ident", "access"), near(p, "secret", "assign", "hex")
+            if {"secret": by_id_, "ident": by_key, "endpoint": by_id_ and by_key}.get(p[0]):
+                want.append((row, *p))
+        rows += [(row, k, int(s), int(e), int(at)) for k, s, e, at in (x.split(":") for x in secrets.placed(spans))]
+    got = secrets.link(spark.createDataFrame(rows, "row bigint, kind string, start int, end int, at int"), 40)
+    assert len(want) > 50 and sorted(map(tuple, got.collect())) == sorted(want)
+
+
 # ---------------------------------------------------------------- 10 exact dedup
 def test_exact_dedup_oracle(spark):
     con = duckdb.connect()
