@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from castline.llm import byte_bpe, exact_dedup, html_text, langid, line_dedup, mixing, ngram_join, quality, secrets, token_files
+from castline.llm import (byte_bpe, exact_dedup, html_text, langid, line_dedup, merkle, mixing, ngram_join, quality, secrets,
+                          token_files)
 
 QUERIES = {
     "op1_line_dedup": line_dedup.op1_line_dedup,
@@ -15,10 +16,12 @@ QUERIES = {
     "op8_mix_sources": mixing.op8_mix_sources,
     "op9_secret_scan": secrets.op9_secret_scan,
     "op10_exact_dedup": exact_dedup.op10_exact_dedup,
+    "op13_merkle_manifest": merkle.op13_merkle_manifest,
 }
 
 ORACLE = {
     "op1_line_dedup": line_dedup.ORACLE,
     "op3_ngram_join": ngram_join.ORACLE,
     "op10_exact_dedup": exact_dedup.ORACLE,
+    "op13_merkle_manifest": merkle.ORACLE,
 }
