@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from castline.llm import (byte_bpe, exact_dedup, html_text, langid, line_dedup, merkle, mixing, ngram_join, quality, secrets,
-                          token_files)
+                          token_files, whitening)
 
 QUERIES = {
     "op1_line_dedup": line_dedup.op1_line_dedup,
@@ -16,6 +16,7 @@ QUERIES = {
     "op8_mix_sources": mixing.op8_mix_sources,
     "op9_secret_scan": secrets.op9_secret_scan,
     "op10_exact_dedup": exact_dedup.op10_exact_dedup,
+    "op11_embedding_whitening": whitening.op11_embedding_whitening,
     "op13_merkle_manifest": merkle.op13_merkle_manifest,
 }
 
