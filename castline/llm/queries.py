@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from castline.llm import (byte_bpe, exact_dedup, html_text, langid, line_dedup, merkle, mixing, ngram_join, quality, secrets,
-                          token_files, whitening)
+                          suffix_dedup, token_files, whitening)
 
 QUERIES = {
     "op1_line_dedup": line_dedup.op1_line_dedup,
@@ -17,6 +17,7 @@ QUERIES = {
     "op9_secret_scan": secrets.op9_secret_scan,
     "op10_exact_dedup": exact_dedup.op10_exact_dedup,
     "op11_embedding_whitening": whitening.op11_embedding_whitening,
+    "op12_suffix_dedup": suffix_dedup.op12_suffix_dedup,
     "op13_merkle_manifest": merkle.op13_merkle_manifest,
 }
 
