@@ -8,12 +8,12 @@ the same document or another, is removed.
    anchors at one offset.  The windows of one anchor are consecutive; together
    they are a piece of fewer than ``2 LENGTH`` bytes.
 2. Pieces whose anchor occurs once in the corpus go.  Equal pieces become one with a count, so
-   copies of any number are one from here on.
-3. Suffix arrays.  The distinct pieces of an anchor are joined to a text, and the suffix
-   arrays of the texts are built by linear grouping construction (``suffix_groups``), many texts of
-   a task together.  Neighbours that share ``LENGTH`` symbols within their pieces
-   start with a string that occurs twice; so does every window of a piece that occurs
-   twice.
+   copies of any number are one from here on; each string of a piece that occurs twice is repeated.
+3. Suffix arrays decide about the pieces that occur once.  The distinct pieces of an anchor are joined to
+   a text, and the suffix arrays of the texts are built by linear grouping construction (``suffix_groups``),
+   many texts of a task together.  Neighbours that share ``LENGTH`` symbols within their pieces start with a
+   string that occurs twice.  Before that a piece is cut to the blocks of ``WIDTHS[0]`` offsets whose common bytes
+   another piece of the anchor has too: all its repeated strings lie there.
 4. Anchors with more than ``CELL`` distinct pieces (a passage that very many documents share in
    different surroundings) are divided first: their windows by blocks of ``WIDTHS``
    offsets, and a block by the bytes that all its windows have in common.  Equal windows stay
@@ -35,7 +35,9 @@ result; other columns are ignored.
 from __future__ import annotations
 
 import hashlib
+from collections import Counter
 from collections.abc import Iterator
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -147,63 +149,97 @@ def bodies(rows: DataFrame, kinds: DataFrame, length: int) -> DataFrame:
     return joined.select("text", "wanted").mapInArrow(run, PIECE)
 
 
-def repeated_starts(pieces: list[tuple[int, bytes, int]], texts: list[list[int]], length: int) -> list[list[tuple[int, int]]]:
-    """For each piece ``(at, body, n)`` the runs (first, last) of offsets at which a repeated string starts.
-
-    ``texts`` lists the pieces that are sorted together.
-    """
-    t = Texts([[pieces[k][1] for k in ks] for ks in texts])
-    order = suffix_arrays(t)
-    shared = common_prefixes(t, order)
+def repeated_starts(texts: list[list[tuple[int, bytes]]], length: int) -> list[list[list[tuple[int, int]]]]:
+    """For each piece ``(at, body)`` of each text the runs (first, last) of offsets at which a string starts that
+    occurs twice in the text."""
+    t = Texts([[body for _, body in pieces] for pieces in texts])
     starts = np.array(t.pieces, np.int64).reshape(-1, 2)
-    left = np.zeros(len(t.symbols), np.int64)           # bytes to the end of the piece
-    left[ragged(starts[:, 0], starts[:, 1])] = np.repeat(starts.sum(1), starts[:, 1]) - ragged(starts[:, 0], starts[:, 1])
-    twice = np.zeros(len(t.symbols) + 1, bool)
-    hit = np.flatnonzero((shared >= length) & (left[order] >= length))
+    first, stop = starts[:, 0], starts.sum(1) - length + 1
+    order = suffix_arrays(t)
+    shared = common_prefixes(t, order, first, stop)
+    left = np.zeros(len(t.symbols), bool)               # a whole string starts here, within its piece
+    left[ragged(first, np.maximum(stop - first, 0))] = True
+    twice = np.zeros(len(t.symbols), bool)
+    hit = np.flatnonzero((shared >= length) & left[order])
     twice[order[hit]] = True
-    twice[order[hit - 1]] = True
-    out: list[list[tuple[int, int]]] = [[] for _ in pieces]
-    for k, (start, size) in zip((k for ks in texts for k in ks), t.pieces, strict=True):
-        at, _, n = pieces[k]
-        marks = twice[start:start + size - length + 1]
-        if n > 1:
-            out[k] = [(at, at + len(marks) - 1)]
-        elif marks.any():
+    twice[order[hit - 1]] = True                        # it shares the string, so the string is whole there too
+    out, k = [], 0
+    for pieces in texts:
+        out.append([])
+        for at, _ in pieces:
+            marks = twice[first[k]:stop[k]]
+            k += 1
             edge = np.flatnonzero(np.diff(np.concatenate([[0], marks.astype(np.int8), [0]])))
-            out[k] = [(at + int(a), at + int(b) - 1) for a, b in zip(edge[::2], edge[1::2], strict=True)]
+            out[-1].append([(at + int(a), at + int(b) - 1) for a, b in zip(edge[::2], edge[1::2], strict=True)])
     return out
 
 
+def blocks_of(at: int, body: bytes, width: int, length: int) -> Iterator[tuple[int, int, int, bytes]]:
+    """``number, first, last`` offset and the bytes that all windows have in common, for each block of offsets of a piece."""
+    last = at + len(body) - length
+    for block in range(at // width, last // width + 1):
+        core = body[block * width + width - 1 - at:block * width + length - at]
+        yield block, max(at, block * width), min(last, block * width + width - 1), core
+
+
+def cut_to_shared(pieces: list[tuple[int, bytes]], width: int, length: int) -> list[tuple[int, bytes] | None]:
+    """The pieces of one anchor without the blocks at their ends that no other piece can share; None if nothing is left."""
+    every = [[(low, high, xxhash.xxh3_128_digest(core) + block.to_bytes(8, "little", signed=True))
+              for block, low, high, core in blocks_of(at, body, width, length)] for at, body in pieces]
+    seen = Counter(name for own in every for _, _, name in own)
+    out: list[tuple[int, bytes] | None] = []
+    for (at, body), own in zip(pieces, every, strict=True):
+        held = [(low, high) for low, high, name in own if seen[name] > 1]
+        out.append((held[0][0], body[held[0][0] - at:held[-1][1] - at + length]) if held else None)
+    return out
+
+
+RUNS = "array<struct<a:int,b:int>>"
+
+
 def sorted_cells(pieces: DataFrame, length: int) -> DataFrame:
-    """``anchor, piece, runs``: the repeated starts in pieces of anchors with few distinct ones."""
+    """``anchor, piece, runs``: the repeated starts in pieces that occur once, of anchors with few distinct pieces."""
     schema = pa.schema([("anchor", pa.int64()), ("piece", pa.int64()),
                         ("runs", pa.list_(pa.struct([("a", pa.int32()), ("b", pa.int32())])))])
+    width = min(WIDTHS[0], length // 4)
 
     def run(rows: pa.Table) -> pa.Table:
         rows = rows.sort_by([("anchor", "ascending"), ("piece", "ascending")])
-        anchors, names = rows["anchor"].to_pylist(), rows["piece"].to_pylist()
-        pieces_ = list(zip(rows["at"].to_pylist(), rows["body"].to_pylist(), rows["n"].to_pylist(), strict=True))
-        texts: list[list[int]] = []
-        for k, name in enumerate(zip(anchors, names, strict=True)):
-            if k and name == (anchors[k - 1], names[k - 1]):
-                continue                                # a document that is there twice gives its pieces twice
-            if not k or anchors[k] != anchors[k - 1]:
-                texts.append([])
-            texts[-1].append(k)
-        texts.sort(key=lambda ks: sum(len(pieces_[k][1]) for k in ks))      # texts that advance together end together
+        columns = [rows[c].to_pylist() for c in ("anchor", "piece", "at", "body", "n")]
+        texts: list[list[tuple[int, int, int, bytes]]] = []      # (piece, n, at, body)
+        for _, own in groupby(zip(*columns, strict=True), key=lambda r: r[0]):
+            own = [next(same) for _, same in groupby(own, key=lambda r: r[1])]      # a repeated document gives its pieces twice
+            cut = cut_to_shared([(at, body) for _, _, at, body, _ in own], width, length)
+            left = [(r[0], r[1], r[4], *c) for r, c in zip(own, cut, strict=True) if c is not None]
+            if any(r[2] == 1 for r in left):
+                texts.append(left)
+        texts.sort(key=lambda rs: sum(len(r[4]) for r in rs))      # texts that advance together end together
         out, held, size = [], [], 0
-        for k, ks in enumerate(texts):
-            held.append(ks)
-            size += len(ks)
+        for k, rs in enumerate(texts):
+            held.append(rs)
+            size += len(rs)
             if size >= BATCH or k == len(texts) - 1:
-                runs = repeated_starts(pieces_, held, length)
-                out += [(anchors[i], names[i], [{"a": a, "b": b} for a, b in runs[i]]) for ks_ in held for i in ks_ if runs[i]]
+                found = repeated_starts([[(r[3], r[4]) for r in rs_] for rs_ in held], length)
+                out += [(r[0], r[1], [{"a": a, "b": b} for a, b in runs]) for rs_, own in zip(held, found, strict=True)
+                        for r, runs in zip(rs_, own, strict=True) if runs and r[2] == 1]
                 held, size = [], 0
         return pa.Table.from_batches([batch(schema, *(map(list, zip(*out, strict=True)) if out else [[]] * 3))], schema)
 
     bins = max(pieces.count() // BATCH, 1)
-    return pieces.groupBy(F.pmod(F.xxhash64("anchor"), F.lit(bins))).applyInArrow(
-        run, "anchor bigint, piece bigint, runs array<struct<a:int,b:int>>")
+    return pieces.groupBy(F.pmod(F.xxhash64("anchor"), F.lit(bins))).applyInArrow(run, f"anchor bigint, piece bigint, runs {RUNS}")
+
+
+def whole_runs(pieces: DataFrame, last: F.Column) -> DataFrame:
+    """``anchor, piece, runs`` of the pieces that occur more than once: every string of theirs is repeated."""
+    run = F.struct(F.col("at").cast("int").alias("a"), last.cast("int").alias("b"))
+    return pieces.where("n > 1").select("anchor", "piece", F.array(run).alias("runs"))
+
+
+def undecided(pieces: DataFrame, name: str) -> DataFrame:
+    """The distinct ``pieces`` of anchors that have one that occurs once and another one."""
+    groups = staged(pieces.groupBy("anchor").agg(F.count(F.lit(1)).alias("kinds"), F.min("n").alias("least"))
+                    .where("kinds > 1 AND least = 1").select("anchor", "kinds"), name)
+    return hot_join(pieces, groups, "anchor", "kinds").select(pieces.columns)
 
 
 def divided(pieces: DataFrame, width: int, length: int) -> DataFrame:
@@ -215,12 +251,9 @@ def divided(pieces: DataFrame, width: int, length: int) -> DataFrame:
         for b in slices(batches):
             out = []
             for anchor, piece, at, body, n in zip(*(c.to_pylist() for c in b.columns), strict=True):
-                last = at + len(body) - length
-                for block in range(at // width, last // width + 1):
-                    begin, end = max(at, block * width), min(last, block * width + width - 1)
-                    core = body[block * width + width - 1 - at:block * width + length - at]      # what all windows of the block hold
-                    own = body[begin - at:end - at + length]
-                    out.append((anchor, piece, named(core, anchor, width, block), named(own, begin, end), begin, own, n))
+                for block, first, last, core in blocks_of(at, body, width, length):
+                    own = body[first - at:last - at + length]
+                    out.append((anchor, piece, named(core, anchor, width, block), named(own, first, last), first, own, n))
             yield batch(schema, *(list(x) for x in zip(*out, strict=True)))
 
     return pieces.select("anchor", "piece", "at", "body", "n").mapInArrow(run, f"up_anchor bigint, up_piece bigint, {PIECE}")
@@ -231,7 +264,7 @@ def named(content: bytes, *numbers: int) -> int:
 
 
 def repeats(pieces: DataFrame, length: int, widths: tuple[int, ...]) -> DataFrame:
-    """``anchor, piece, runs`` of the distinct ``pieces`` (``PIECE``, staged) that hold repeated starts.
+    """``anchor, piece, runs`` of the ``pieces`` (``PIECE``, staged) that occur once and hold repeated starts.
 
     The windows of a block have bytes in common if the block is narrower than a window.
     """
@@ -249,7 +282,9 @@ def repeats(pieces: DataFrame, length: int, widths: tuple[int, ...]) -> DataFram
     distinct = staged(kept.groupBy("anchor", "piece").agg(
         F.first("at").alias("at"), F.first("body").alias("body"), F.sum("n").alias("n"), F.count(F.lit(1)).alias("rows")),
         "suffix-distinct")
-    found = repeats(distinct.select("anchor", "piece", "at", "body", "n"), length, widths[1:])
+    plain = distinct.select("anchor", "piece", "at", "body", "n")
+    found = whole_runs(plain, F.col("at") + F.octet_length("body") - length).unionByName(
+        repeats(staged(undecided(plain, "suffix-open"), "suffix-undecided"), length, widths[1:]))
     sizes = distinct.select("anchor", "piece", "rows").join(found.hint("merge"), ["anchor", "piece"]).select(
         F.struct("anchor", "piece").alias("key"), "rows", "runs")
     back = hot_join(kept.select("up_anchor", "up_piece", F.struct("anchor", "piece").alias("key")), staged(sizes, "suffix-back"),
@@ -266,8 +301,11 @@ def covered(docs_rows: DataFrame, length: int = LENGTH, gram: int = GRAM) -> Dat
     shared = staged(hot_join(uses, many, "anchor", "n_anchor").drop("n_anchor"), "suffix-shared")
     kinds = staged(shared.groupBy("anchor", "piece").agg(
         F.min(F.struct(*DOC, "first", "at", "windows")).alias("of"), F.count(F.lit(1)).alias("n")), "suffix-kinds")
-    pieces = staged(bodies(docs_rows, kinds, length), "suffix-pieces")
-    runs = repeats(pieces, length, tuple(w for w in WIDTHS if w <= length // 4))
+    pieces = staged(bodies(docs_rows, undecided(kinds, "suffix-open"), length), "suffix-pieces")
+    # A piece that was divided although it occurs more than once is whole anyway.
+    runs = whole_runs(kinds.select("anchor", "piece", "n", "of.at", "of.windows"), F.col("at") + F.col("windows") - 1).unionByName(
+        repeats(pieces, length, tuple(w for w in WIDTHS if w <= length // 4)).join(
+            kinds.where("n > 1").select("anchor", "piece").hint("merge"), ["anchor", "piece"], "left_anti"))
     sized = staged(kinds.select("anchor", "piece", "n").join(runs.hint("merge"), ["anchor", "piece"]).select(
         F.struct("anchor", "piece").alias("key"), "n", "runs"), "suffix-sized")
     hits = hot_join(shared.select(*DOC, "first", "at", F.struct("anchor", "piece").alias("key")), sized, "key", "n")

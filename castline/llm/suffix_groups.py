@@ -25,6 +25,9 @@ import numpy as np
 
 #: Symbols: the mark in front, the end, the seam between joined pieces, then bytes.
 FRONT, END, SEAM, FIRST = 0, 1, 2, 3
+#: Numbers of places and of repetitions fit these bits of a packed number.
+PLACE_BITS = 24
+MOST_TIMES = (1 << 16) - 1
 
 
 def ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
@@ -70,6 +73,8 @@ class Texts:
 def group_suffixes(t: Texts) -> tuple[np.ndarray, np.ndarray]:
     """First phase: the start of each suffix's group among the places, and its previous smaller suffix."""
     n = len(t.symbols)
+    if n >= 1 << (PLACE_BITS - 1) or t.length.max(initial=0) > MOST_TIMES:
+        raise ValueError("too many symbols at once")
     keyed = np.sort(((t.text * (256 + FIRST) + t.symbols) << 32) | np.arange(n))
     order = keyed & 0xFFFFFFFF                           # suffixes by place
     edge = np.flatnonzero(np.concatenate([[True], keyed[1:] >> 32 != keyed[:-1] >> 32]))
@@ -88,8 +93,10 @@ def group_suffixes(t: Texts) -> tuple[np.ndarray, np.ndarray]:
     while live.size:
         high = top[live]
         low = group[order[high - 1]]
-        suffixes = order[ragged(low, high - low)]
-        own = np.repeat(low, high - low)
+        if (high - low).max() == 1:
+            suffixes, own = order[low], low
+        else:
+            suffixes, own = order[ragged(low, high - low)], np.repeat(low, high - low)
         found = suffixes - 1
         seek = np.flatnonzero(group[found] > own)
         while seek.size:                                 # higher groups are done: their pointers lead on
@@ -111,34 +118,46 @@ def grow(found: np.ndarray, order: np.ndarray, place: np.ndarray, group: np.ndar
     """Suffixes in ``found`` (ascending, as often as they were found) go to new groups behind the rest of theirs."""
     if not found.size:
         return
-    first = np.flatnonzero(np.concatenate([[True], found[1:] != found[:-1]]))
-    times = np.diff(np.append(first, len(found)))
+    first = changes(found)
+    times = np.diff(first, append=len(found))
     found = found[first]
-    of = group[found]
-    by = np.lexsort((times, of))                         # by group, more often found ones further back
-    found, times, of = found[by], times[by], of[by]
-    run = np.flatnonzero(np.concatenate([[True], of[1:] != of[:-1]]))
-    count = np.diff(np.append(run, len(of)))
+    # By group, more often found ones further back: one sort of packed numbers.
+    packed = np.sort((group[found] << 40) | (times << PLACE_BITS) | found)
+    found, kind = packed & ((1 << PLACE_BITS) - 1), packed >> PLACE_BITS
+    of = kind >> (40 - PLACE_BITS)
+    run = changes(of)
+    count = np.diff(run, append=len(of))
     old = of[run]
     target = old + size[old] - count                     # the last places of the group
-    places = ragged(target, count)
+    if len(run) == len(of):                              # one a group
+        places, ends = target, target
+    else:
+        places, ends = ragged(target, count), np.repeat(target, count)
     was = place[found]
     there = order[places]
     moved[found] = True
     out = there[~moved[there]]                           # as many as come from further ahead, group by group
     moved[found] = False
-    hole = was[was < np.repeat(target, count)]
+    hole = was[was < ends]
     order[hole] = out
     place[out] = hole
     order[places] = found
     place[found] = places
     size[old] -= count
-    begin = np.flatnonzero(np.concatenate([[True], (of[1:] != of[:-1]) | (times[1:] != times[:-1])]))
-    held = np.diff(np.append(begin, len(of)))
+    begin = changes(kind)
+    held = np.diff(begin, append=len(of))
     size[places[begin]] = held
     group[found] = np.repeat(places[begin], held)
 
 
+def changes(values: np.ndarray) -> np.ndarray:
+    """Where runs of equal values begin."""
+    new = np.empty(len(values), bool)
+    new[0] = True
+    np.not_equal(values[1:], values[:-1], out=new[1:])
+    return np.flatnonzero(new)
+
+
 def emit(t: Texts, group: np.ndarray, before: np.ndarray) -> np.ndarray:
     """Second phase: the suffixes by their final places (each text's from ``start + 1`` on)."""
     n = len(t.symbols)
@@ -176,45 +195,46 @@ def suffix_arrays(t: Texts) -> np.ndarray:
     return emit(t, *group_suffixes(t))
 
 
-def common_prefixes(t: Texts, order: np.ndarray) -> np.ndarray:
+def common_prefixes(t: Texts, order: np.ndarray, first: np.ndarray | None = None, stop: np.ndarray | None = None) -> np.ndarray:
     """How many symbols the suffix at each place shares with that at the place before (0 for the first of a text).
 
-    Suffix by suffix in the order of the text: one less than the last is shared for certain.
-    All texts advance together, eight bytes a step.
+    Suffix by suffix in the order of the text: one less than the last is shared for certain.  With
+    ``first`` and ``stop`` only for the suffixes that start in one of these stretches (0 for all others).
+    All stretches advance together, six symbols a step.
     """
     n = len(t.symbols)
-    eight = np.zeros(n + 8, np.uint64)
+    six = np.zeros(n + 8, np.uint64)
     shifted = np.concatenate([t.symbols.astype(np.uint64), np.zeros(16, np.uint64)])
     for k in range(6):                                   # six symbols of nine bits
-        eight |= shifted[k:k + n + 8] << np.uint64(9 * k)
+        six |= shifted[k:k + n + 8] << np.uint64(9 * k)
     place = np.empty(n, np.int64)
     real = np.ones(n, bool)
     real[t.start] = False
     place[order[real]] = np.flatnonzero(real)
     shared = np.zeros(n, np.int64)
-    now, end = t.start + 1, t.start + t.length - 1       # the end itself shares nothing
+    # the end itself shares nothing
+    now, end = (t.start + 1, t.start + t.length - 1) if first is None else (first, stop)
     keep = now < end
     now, end = now[keep], end[keep]
     length = np.zeros(len(now), np.int64)
     other = order[place[now] - 1]
     while now.size:
-        differ = eight[now + length] ^ eight[other + length]
+        differ = six[now + length] ^ six[other + length]
         more = differ == 0
         low = differ & (~differ + np.uint64(1))          # the lowest bit in which they differ
-        equal = np.where(more, 6, np.log2(np.maximum(low, np.uint64(1)).astype(float)).astype(np.int64) // 9)
-        length += equal
+        length += np.where(more, 6, np.log2(np.maximum(low, np.uint64(1)).astype(float)).astype(np.int64) // 9)
         step = np.flatnonzero(~more)
         here = now[step]
         shared[place[here]] = length[step]
         length[step] = np.maximum(length[step] - 1, 0)
-        now[step] += 1
-        over = now[step] >= end[step]
+        here += 1
+        now[step] = here
+        over = here >= end[step]
         if over.any():
             stay = np.ones(len(now), bool)
             stay[step[over]] = False
-            step = step[~over]
-            renumber = np.cumsum(stay) - 1
+            step = (np.cumsum(stay) - 1)[step[~over]]
             now, end, length, other = now[stay], end[stay], length[stay], other[stay]
-            step = renumber[step]
-        other[step] = order[place[now[step]] - 1]
+            here = now[step]
+        other[step] = order[place[here] - 1]
     return shared
