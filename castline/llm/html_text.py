@@ -2,18 +2,28 @@
 
 The standard library's event parser streams through a page once and cuts it into
 lines, one for each block of text, with the number of tags and of characters
-inside and outside links, and the open elements around it.  Each line has a
+inside and outside links, and the element that holds it.  Each line has a
 text-to-tag ratio; the ratios are smoothed with a Gaussian over neighbouring
 lines, and lines above a threshold (a share of their standard deviation over
 zero) form clusters.  The content region is the element that holds the clusters:
 the smallest main element or outermost article with nearly all of the text that
 those hold and no other with clusters beside it, or else all of them, or without any
 the deepest container around the clusters.  All lines of the region are returned,
-short ones too, but for those inside elements that are never part of an article.
+short ones and lists of links too.
+
+What is left out in a region: elements that are never text of an article (scripts,
+navigation, forms, asides, ...); elements whose class, id or role says so, as whole names, not as a part
+of one: ``sidebar`` and ``sidebar-left``, but not ``no-sidebar`` or ``related-work``.  Density has the last word:
+a heading, or an element with most of the page's text, is not cut for its name, and names that can be a topic
+(``search``, ``cookies``, ``share``) cut an element inside the region only if its own text-to-tag ratio is under the
+threshold.
+
+Elements are numbers with a parent, and sums go up from child to parent once, so the time is in
+proportion to the page, however deep its open tags are.
 
 Defined results: null or empty html, or a page without text, gives empty text;
-markup that is cut off or left open is read to its end; repeated rows are each
-extracted; null ids and urls pass through; other columns are ignored.
+markup that is cut off or left open is read to its end; pages of any length are read whole; repeated rows are each
+extracted; null ids and urls pass through; other columns are ignored; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -22,7 +32,6 @@ import math
 import re
 from collections.abc import Iterator
 from html.parser import HTMLParser
-from os.path import commonprefix
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -55,45 +64,60 @@ SIBLING = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr"}, "
 NEVER = frozenset("""script style noscript template head title nav aside footer form button select option textarea input
     iframe object embed svg canvas audio video dialog menu search""".split())
 SITE_PART = frozenset(["header"])
+HEADING = frozenset("h1 h2 h3 h4 h5 h6".split())
 #: Names in class, id or role that mark what is not the article.
-OUTSIDE = frozenset("""ad ads adv advert adverts advertisement advertising adbox adsbygoogle banner breadcrumb breadcrumbs comment
-    comments complementary consent contentinfo cookie cookies disqus footer gdpr header hidden login masthead menu menubar modal
-    nav navbar navigation newsletter notice notices overlay pager pagination popup promo promotion recommended related replies
-    reply respond search share sharing sidebar signup skip social sponsor sponsored subscribe subscription tagcloud toolbar
-    widget widgets""".split())
-#: Names that mark the article; an element that has one is not cut for its name.
-INSIDE = frozenset("article articlebody body content entry main post story text".split())
+OUTSIDE = frozenset("""ad ads adv advert adverts advertisement advertising adbox adsbygoogle breadcrumb breadcrumbs comment
+    comments complementary consent contentinfo disqus footer gdpr masthead menu menubar nav navbar navigation newsletter
+    overlay pager pagination popup promo promotion respond sidebar signup sponsor sponsored subscribe subscription tagcloud
+    toolbar widget widgets""".split())
+#: Names that also are topics or parts of an article: these cut thin elements only.
+TOPIC = frozenset("""banner cookie cookies header hidden login modal notice notices recommended related replies reply search
+    share sharing skip social""".split())
+#: Words that say where such an element is, or of what kind.
+PLACE = frozenset("""area bar block bottom box container group holder inner item items left list outer panel primary right row
+    secondary section site top wrap wrapper""".split())
+COMMENT = frozenset(["comment", "comments"])
 WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])|[0-9]+")
+#: Names that mark the article; an element that has one is not cut for another name, but for that of comments.
+INSIDE = frozenset("article articlebody body content entry main post story text".split())
+#: How an element may be cut: not, if it is thin, if it does not hold most of the text, for its comments, always.
+NOT, THIN, NAMED, COMMENTS, ALWAYS = range(5)
 
 
-def names(attrs: list[tuple[str, str | None]]) -> set[str]:
+def named(attrs: list[tuple[str, str | None]]) -> list[set[str]]:
+    """The words of each name in class, id and role."""
     found = " ".join(v or "" for k, v in attrs if k in ("class", "id", "role"))
-    return {w.lower() for w in WORD.findall(found)}
+    return [words for name in found.split() if (words := {w.lower() for w in WORD.findall(name)})]
 
 
-def is_cut(tag: str, attrs: list[tuple[str, str | None]], in_article: bool) -> bool:
-    """Is this element never part of the article?"""
+def how_cut(tag: str, attrs: list[tuple[str, str | None]], in_article: bool) -> int:
+    """May the element be left out?"""
     if tag in NEVER or tag in SITE_PART and not in_article:
-        return True
-    if not attrs or tag in ("html", "body", "article", "main") and not (names(attrs) & {"comment", "comments", "reply"}):
-        return False
+        return ALWAYS
+    if not attrs or tag in ("html", "body") or tag in HEADING:
+        return NOT
     told = {k: (v or "") for k, v in attrs}
     if "hidden" in told or told.get("aria-hidden") == "true" or re.search(r"display\s*:\s*none", told.get("style", "")):
-        return True
-    own = names(attrs)
-    if own & {"comment", "comments"}:
-        return True
-    return bool(own & OUTSIDE) and not own & INSIDE
+        return ALWAYS
+    names = named(attrs)
+    marks = [words for words in names if words <= OUTSIDE | TOPIC | PLACE]
+    if any(words & COMMENT for words in marks):
+        return COMMENTS
+    if tag in ("article", "main") or any(len(words) == 1 and words <= INSIDE for words in names):
+        return NOT
+    if any(words & OUTSIDE or len(words & TOPIC) > 1 for words in marks):
+        return NAMED
+    return THIN if any(words & TOPIC for words in marks) else NOT
 
 
 class Line:
-    """A block of text: its pieces, tags, characters in links, open elements and whether it is cut."""
+    """A block of text: its tags, characters in links, and the element that holds it."""
 
-    __slots__ = ("text", "tags", "chars", "linked", "path", "cut", "tag")
+    __slots__ = ("text", "tags", "chars", "linked", "element", "tag")
 
-    def __init__(self, text: str, tags: int, linked: int, path: tuple[int, ...], cut: bool, tag: str) -> None:
+    def __init__(self, text: str, tags: int, linked: int, element: int, tag: str) -> None:
         self.text, self.tags, self.chars, self.linked = text, tags, len(text), linked
-        self.path, self.cut, self.tag = path, cut, tag
+        self.element, self.tag = element, tag
 
     @property
     def menu(self) -> bool:
@@ -102,7 +126,7 @@ class Line:
 
     @property
     def ratio(self) -> float:
-        return 0.0 if self.cut or self.menu else max(self.chars - self.linked, 0) / (1 + self.tags)
+        return 0.0 if self.menu else max(self.chars - self.linked, 0) / (1 + self.tags)
 
 
 class Page(HTMLParser):
@@ -111,30 +135,35 @@ class Page(HTMLParser):
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
         self.lines: list[Line] = []
-        self.open: list[tuple[str, int, bool]] = [("", 0, False)]      # tag, element number, cut
-        self.kind: list[str] = [""]                                    # tag of each element number
+        # of each element number: its kind, parent, how it may be cut
+        self.kind, self.parent, self.how = [""], [0], [NOT]
+        # the open elements: tag, element number, innermost block's tag; and their places by tag
+        self.open: list[tuple[str, int, str]] = [("", 0, "")]
+        self.places: dict[str, list[int]] = {}
         self.pieces: list[str] = []
-        self.tags = self.linked = self.links = 0
+        self.tags = self.linked = 0
+
+    def is_open(self, *tags: str) -> bool:
+        return any(self.places.get(t) for t in tags)
 
     def end_line(self) -> None:
         text = " ".join("".join(self.pieces).split()) if self.pieces else ""
         if text:
-            tag = next((t for t, _, _ in reversed(self.open) if t in BLOCK), "")
-            self.lines.append(Line(text, self.tags, self.linked, tuple(n for _, n, _ in self.open), self.open[-1][2], tag))
+            _, number, block = self.open[-1]
+            self.lines.append(Line(text, self.tags, self.linked, number, block))
         self.pieces, self.tags, self.linked = [], 0, 0
 
     def leave(self, at: int) -> None:
         """Close all elements from a place in the stack on."""
-        self.links -= sum(t == "a" for t, _, _ in self.open[at:])
+        for tag, _, _ in reversed(self.open[at:]):
+            self.places[tag].pop()
         del self.open[at:]
 
     def find(self, tags, until=frozenset()) -> int:
-        for i in range(len(self.open) - 1, 0, -1):
-            if self.open[i][0] in tags:
-                return i
-            if self.open[i][0] in until:
-                return -1
-        return -1
+        """The place of the innermost open element of ``tags``, if none of ``until`` lies inside it."""
+        at = max((self.places[t][-1] for t in tags if self.places.get(t)), default=-1)
+        barrier = max((self.places[t][-1] for t in until if self.places.get(t)), default=-1)
+        return at if at >= barrier else -1
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         if tag == "br":
@@ -146,16 +175,16 @@ class Page(HTMLParser):
         self.tags += 1
         if tag in VOID:
             return
-        if tag in CLOSES_P and (at := self.find({"p"}, SCOPE)) > 0:
+        if tag in CLOSES_P and (at := self.find(("p",), SCOPE)) > 0:
             self.leave(at)
         if tag in SIBLING and (at := self.find(SIBLING[tag], SCOPE | {"ul", "ol", "dl", "select"} - SIBLING[tag])) > 0:
             self.leave(at)
-        in_article = any(t in ("article", "main") for t, _, _ in self.open)
-        cut = self.open[-1][2] or is_cut(tag, attrs, in_article)
+        self.how.append(how_cut(tag, attrs, self.is_open("article", "main")))
         self.kind.append("article" if tag == "article" or ("itemprop", "articleBody") in attrs
                          else "main" if ("role", "main") in attrs else tag)
-        self.open.append((tag, len(self.kind) - 1, cut))
-        self.links += tag == "a"
+        self.parent.append(self.open[-1][1])
+        self.places.setdefault(tag, []).append(len(self.open))
+        self.open.append((tag, len(self.kind) - 1, tag if tag in BLOCK else self.open[-1][2]))
 
     def handle_endtag(self, tag: str) -> None:
         self.tags += 1
@@ -163,7 +192,7 @@ class Page(HTMLParser):
             self.end_line()
         if tag in VOID:
             return
-        at = self.find({tag}, SCOPE - {tag} if tag not in SCOPE else frozenset())
+        at = self.find((tag,), SCOPE - {tag} if tag not in SCOPE else frozenset())
         if at > 0:
             self.leave(at)
 
@@ -171,16 +200,33 @@ class Page(HTMLParser):
         if self.open[-1][0] in ("script", "style"):
             return
         self.pieces.append(data)
-        if self.links:
+        if self.is_open("a"):
             self.linked += len(" ".join(data.split()))
 
-
-def read_lines(html: str) -> tuple[list[Line], list[str]]:
+    # ------------------------------------------------- sums over elements: a child has a higher number than its parent
+    def summed(self, amounts: list[float]) -> list[float]:
+        """Of each element the amounts of the lines inside it."""
+        total = [0.0] * len(self.kind)
+        for x, amount in zip(self.lines, amounts, strict=True):
+            total[x.element] += amount
+        for n in range(len(total) - 1, 0, -1):
+            total[self.parent[n]] += total[n]
+        return total
+
+    def below(self, marked) -> list[bool]:
+        """Is the element, or one around it, marked?"""
+        inside = [bool(marked(0))]
+        for n in range(1, len(self.kind)):
+            inside.append(inside[self.parent[n]] or bool(marked(n)))
+        return inside
+
+
+def read_page(html: str) -> Page:
     page = Page()
     page.feed(html)
     page.close()
     page.end_line()
-    return page.lines, page.kind
+    return page
 
 
 def smoothed(ratios: list[float], radius: int = RADIUS, sigma: float = SIGMA) -> list[float]:
@@ -193,51 +239,88 @@ def smoothed(ratios: list[float], radius: int = RADIUS, sigma: float = SIGMA) ->
     return out
 
 
-def clustered(lines: list[Line]) -> list[float]:
-    """The smoothed ratio of lines above the threshold, 0 for the others."""
-    ratios = [x.ratio for x in lines]
+def clusters(ratios: list[float]) -> tuple[list[float], float]:
+    """The smoothed ratio of lines above the threshold, 0 for the others; and the threshold."""
     smooth = smoothed(ratios)
     mean = sum(smooth) / len(smooth)
     limit = DEVIATIONS * math.sqrt(sum((s - mean) ** 2 for s in smooth) / len(smooth))
-    return [s if r > 0 and s >= limit else 0.0 for s, r in zip(smooth, ratios, strict=True)]
-
-
-def region(lines: list[Line], kind: list[str], weight: list[float]) -> set[int]:
-    """Element numbers of the content."""
-    text = [x.chars - x.linked if w > 0 else 0 for x, w in zip(lines, weight, strict=True)]
-    held, size, up, outer, chains = {}, {}, {}, set(), set()
-    for x, n_text in zip(lines, text, strict=True):
-        # main elements down to the outermost article; articles inside that one are parts of it
-        chain = [n for n in x.path if kind[n] in ARTICLE]
-        chain = chain[:next((i for i, n in enumerate(chain) if kind[n] == "article"), len(chain)) + 1]
-        for i, n in enumerate(chain):
-            held[n] = held.get(n, 0) + n_text
-            size[n] = size.get(n, 0) + 1
-            up[n] = set(chain[:i + 1])
-        if chain and not x.cut:
-            outer.add(chain[0])
-        if chain and n_text:
-            chains.add(tuple(chain))
+    return [s if r > 0 and s >= limit else 0.0 for s, r in zip(smooth, ratios, strict=True)], limit
+
+
+def region(page: Page, cut: list[bool], text: list[float]) -> tuple[set[int], bool]:
+    """Element numbers of the content, and whether they are articles or main elements.
+
+    ``text`` has the characters outside links of clustered lines, 0 for the others.
+    """
+    kind, parent = page.kind, page.parent
+    # The main elements around an element, down to its outermost article; articles inside that one are parts of it.
+    chain, up = [0] * len(kind), [0] * len(kind)
+    for n in range(1, len(kind)):
+        chain[n] = chain[parent[n]]
+        if kind[n] in ARTICLE and kind[chain[n]] != "article":
+            chain[n], up[n] = n, chain[n]
+    held, size = [0.0] * len(kind), [0] * len(kind)
+    for x, n_text in zip(page.lines, text, strict=True):
+        held[chain[x.element]] += n_text
+        size[chain[x.element]] += 1
+    ends = [n for n in range(1, len(kind)) if chain[n] == n]
+    # How many of them have clustered text of their own: inside each, and around it.
+    own = [int(h > 0) for h in held]
+    within, around = list(own), [0] * len(kind)
+    for n in ends:
+        around[n] = around[up[n]] + (own[up[n]] if up[n] else 0)
+    for n in reversed(ends):
+        held[up[n]] += held[n]
+        size[up[n]] += size[n]
+        within[up[n]] += within[n]
+    outer = {n for n in ends if up[n] == 0 and size[n] and not cut[n]}
     inside = sum(held[n] for n in outer)
-    if inside > 0 and inside >= ARTICLE_SHARE * sum(text):
-        alone = [n for n in held if held[n] >= ELEMENT_SHARE * inside and all(n in c or up[n].issuperset(c) for c in chains)]
-        return {min(alone, key=lambda n: (size[n], -len(up[n])))} if alone else outer
-    around = commonprefix([x.path for x, w in zip(lines, weight, strict=True) if w > 0])
-    return {next(n for n in reversed(around) if kind[n] in CONTAINER)}
+    whole = sum(text)
+    if not whole:
+        return (outer, True) if outer else (set(), False)
+    if inside > 0 and inside >= ARTICLE_SHARE * whole:
+        # Alone: nearly all of the text, and clusters in none that is neither around it nor in it.
+        every = sum(own[n] for n in ends)
+        alone = [n for n in ends if held[n] >= ELEMENT_SHARE * inside and within[n] + around[n] == every]
+        return ({min(alone, key=lambda n: (size[n], -n))}, True) if alone else (outer, True)
+    total = page.summed(text)
+    holder = max(n for n in range(len(kind)) if total[n] == total[0])
+    while kind[holder] not in CONTAINER:
+        holder = parent[holder]
+    return {holder}, False
 
 
 def main_text(html: str | None) -> str:
     """The blocks of the article, joined by an empty line."""
     if not html:
         return ""
-    lines, kind = read_lines(html)
+    page = read_page(html)
+    lines = page.lines
     if not lines:
         return ""
-    weight = clustered(lines)
-    if not any(weight):
-        return ""
-    best = region(lines, kind, weight)
-    return "\n\n".join(x.text for x in lines if not x.cut and not x.menu and not best.isdisjoint(x.path))
+    hard = page.below(lambda n: page.how[n] == ALWAYS)
+    chars = page.summed([0 if hard[x.element] else x.chars - x.linked for x in lines])
+    # Most of the page's text lies inside, and no article or main element with text outside.
+    in_article = page.below(lambda n: page.kind[n] in ARTICLE)
+    articles = page.summed([int(in_article[x.element] and not hard[x.element]) for x in lines])
+    most = [2 * c > chars[0] and a == articles[0] for c, a in zip(chars, articles, strict=True)]
+    cut = page.below(lambda n: page.how[n] >= COMMENTS or page.how[n] != NOT and not most[n])
+    weight, limit = clusters([0.0 if cut[x.element] else x.ratio for x in lines])
+    best, article = region(page, cut, [x.chars - x.linked if w > 0 else 0 for x, w in zip(lines, weight, strict=True)])
+    inside = page.below(best.__contains__)
+    # Elements named like a topic stay inside the region unless they are thin: text outside links for each tag.
+    tags = page.summed([x.tags for x in lines])
+    n_lines = page.summed([1] * len(lines))
+    thin = [c < max(limit, 1) * (t + k) for c, t, k in zip(chars, tags, n_lines, strict=True)]
+    gone = page.below(lambda n: page.how[n] >= COMMENTS or not most[n] and (
+        page.how[n] == NAMED or page.how[n] == THIN and (thin[n] or not inside[n])))
+    kept = [(k, x) for k, x in enumerate(lines) if inside[x.element] and not gone[x.element]]
+    if not article:
+        # A container of more than the article: lists of links before and after its text are menus.
+        first = next((k for k, w in enumerate(weight) if w > 0), 0)
+        last = next((k for k in range(len(weight) - 1, -1, -1) if weight[k] > 0), -1)
+        kept = [(k, x) for k, x in kept if first <= k <= last or not x.menu]
+    return "\n\n".join(x.text for _, x in kept)
 
 
 def extract(pages: DataFrame) -> DataFrame:
