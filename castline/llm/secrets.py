@@ -3,8 +3,9 @@
 Three base patterns report on their own (assignments, access keys, long hex
 runs).  Beyond them, parts of a credential that are too weak alone are linked:
 an identifier (user, account, client id, access key), a secret (random-looking
-word of any length from 20) and an endpoint (URL or host setting).  Parts of one
-document with at most ``SCOPE`` code points between them, not counting those of
+word of any length from 20, by entropy and by how letters and digits alternate) and an endpoint (URL or
+host setting).  Parts are disjoint: of two that overlap the longer one stays, so that no part is its own
+complement.  Parts of one document with at most ``SCOPE`` code points between them, not counting those of
 other parts, are joined by interval, as a running window over the part table, which
 emits no pairs.  Of weak parts,
 
@@ -20,7 +21,10 @@ ignored.  Offsets are code points, ends exclusive.
 
 from __future__ import annotations
 
+import math
 import re
+from bisect import bisect_right
+from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -49,6 +53,36 @@ WEAK = re.compile(r"(?<![A-Za-z0-9+/=_-])[A-Za-z0-9+/_-]{20,}={0,2}(?![A-Za-z0-9
 
 Span = tuple[str, int, int]
 
+#: Bits a character from which a word looks random: with digits among its letters, and of letters alone from
+#: LETTERS_LENGTH on.
+MIXED_BITS, LETTERS_BITS, LETTERS_LENGTH = 3.0, 4.1, 32
+#: Changes between letters and digits from which digits are among the letters.
+ALTERNATIONS = 4
+TURN = re.compile(r"(?<=[A-Za-z])(?=[0-9])|(?<=[0-9])(?=[A-Za-z])")
+
+
+def entropy(word: str) -> float:
+    """Bits a character by the word's own frequencies."""
+    return sum(n * math.log2(len(word) / n) for n in Counter(word).values()) / len(word)
+
+
+def random_looking(word: str) -> bool:
+    """Digits among the letters, or all of upper case, lower case and digits, or many different letters."""
+    classes = sum(bool(re.search(c, word)) for c in ("[0-9]", "[A-Z]", "[a-z]"))
+    if classes == 3 or len(TURN.findall(word)) >= ALTERNATIONS:
+        return entropy(word) >= MIXED_BITS
+    return len(word) >= LETTERS_LENGTH and not re.search("[_/-]", word) and entropy(word) >= LETTERS_BITS
+
+
+def disjoint(parts: list[Span]) -> list[Span]:
+    """Of parts that overlap the longest stays (of equally long ones the first, then the first kind); by start."""
+    kept: list[Span] = []
+    for part in sorted(parts, key=lambda p: (p[1] - p[2], p[1], KINDS.index(p[0]))):
+        at = bisect_right(kept, part[1], key=lambda p: p[1])
+        if (at == 0 or kept[at - 1][2] <= part[1]) and (at == len(kept) or kept[at][1] >= part[2]):
+            kept.insert(at, part)
+    return kept
+
 
 def base_spans(text: str, low: str) -> list[Span]:
     """Base matches, leftmost without overlap for each kind, by start and kind."""
@@ -63,14 +97,13 @@ def base_spans(text: str, low: str) -> list[Span]:
 
 
 def weak_parts(text: str, low: str, base: list[Span]) -> list[Span]:
-    """Identifiers, endpoints and random-looking words that do not overlap a base span."""
+    """Identifiers, endpoints and random-looking words that overlap neither each other nor a base span."""
     out: list[Span] = []
     if any(w in low for w in IDENT_WORDS):
         out += [("ident", m.start(), m.end()) for m in IDENT.finditer(text)]
     if not out and not any(k == "access" for k, _, _ in base):
         return []           # no identifier at all: nothing can be linked
-    out += [("secret", m.start(), m.end()) for m in WEAK.finditer(text)
-            if re.search("[0-9]", m[0]) and re.search("[A-Z]", m[0]) and re.search("[a-z]", m[0])]
+    out += [("secret", m.start(), m.end()) for m in WEAK.finditer(text) if random_looking(m[0])]
     if any(w in low for w in ENDPOINT_WORDS):
         out += [("endpoint", m.start(), m.end()) for m in ENDPOINT.finditer(text)]
     taken = sorted((s, e) for _, s, e in base)
@@ -80,7 +113,7 @@ def weak_parts(text: str, low: str, base: list[Span]) -> list[Span]:
             k += 1
         if k == len(taken) or taken[k][0] >= e:
             free.append((kind, s, e))
-    return free
+    return disjoint(free)
 
 
 def joined(spans: list[Span]) -> str:
