@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from castline.llm.common import staged
+from castline.llm.common import discard, staged
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -19,11 +19,13 @@ def components(edges: DataFrame) -> DataFrame:
     both = staged(edges.select("a", "b").union(edges.select("b", "a")).where("a <> b").distinct(), "cc-edges")
     labels = staged(both.groupBy(F.col("a").alias("node")).agg(F.least(F.col("a"), F.min("b")).alias("comp")), "cc-labels")
     while True:
-        near = both.join(labels.withColumnRenamed("node", "b"), "b").groupBy(F.col("a").alias("node")).agg(F.min("comp").alias("near"))
+        near = both.join(labels.select(F.col("node").alias("b"), "comp"), "b").groupBy(F.col("a").alias("node")).agg(F.min("comp").alias("near"))
         spread = staged(labels.join(near, "node", "left").select(
             "node", F.col("comp").alias("was"), F.least("comp", "near").alias("comp")), "cc-spread")
         jump = spread.select(F.col("node").alias("comp"), F.col("comp").alias("to"))
         new = staged(spread.join(jump, "comp").select("node", "was", F.least("comp", "to").alias("comp")), "cc-labels")
-        labels = new.select("node", "comp")
+        discard(labels, spread)
         if new.where("comp <> was").isEmpty():
-            return labels
+            discard(both)
+            return new.select("node", "comp")
+        labels = new

@@ -5,7 +5,11 @@ a threshold; the result is the connected component of each document.
 
 1. Equal sets become one node (pre-aggregated), so exact copies of any number
    are one row from here on.
-2. Routing.  Two linked sets of at most U n-grams differ in at most
+2. Sieve.  Of a set's n-grams in the order of their hashes, the first ``n - ceil(t n) + l`` have at least
+   ``l`` in common with those of any linked set.  A set of which fewer occur among the first n-grams of other
+   rows is linked with nothing and goes no further; nearly all sets end here, at a quarter of a number an
+   n-gram.
+3. Routing of the rest.  Two linked sets of at most U n-grams differ in at most
    ``H = 2U(1-t)/(1+t)`` of them, so of ``H + 1`` parts of the hash range at least
    one is equal in both.  A node gives one signature for each part (bands of sizes
    have a number of parts each; near the upper end a node also gives those of the
@@ -15,17 +19,17 @@ a threshold; the result is the connected component of each document.
    signed, as all sets would meet there.  Nodes that share a signature meet at the
    smallest of them, the pivot: as many (node, pivot) pairs as nodes in the bucket,
    not all pairs.
-3. T-occurrence search.  Pivots are indexed by inverted lists (n-gram -> pivots),
+4. T-occurrence search.  Pivots are indexed by inverted lists (n-gram -> pivots),
    nodes are the queries: DivideSkip sets the longest lists aside, merges the
    short ones and looks candidates up in the long ones by binary search; what
    reaches the overlap is returned with it.  A hot pivot's queries are spread over
    cells, with its list copied to each.
-4. Rest.  Nodes linked to their pivot are in its component.  Others may still link
+5. Rest.  Nodes linked to their pivot are in its component.  Others may still link
    to members of the pivot's buckets; by the triangle inequality of the Jaccard
    distance only to members whose distance to the pivot is near theirs.  Those are
    indexed, in chunks of bounded size, and searched once more in the same way; a
    search returns one link for each component it meets, not all.
-5. Components of all links.
+6. Components of all links.
 
 Overlap and union are exact counts over 64-bit hashes of n-grams.
 
@@ -51,7 +55,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from castline.llm.arrow import batch, slices
-from castline.llm.common import hot_join, staged, table, without
+from castline.llm.common import discard, hot_join, staged, table, without
 from castline.llm.components import components
 
 N = 3
@@ -60,6 +64,8 @@ PERCENT = 90
 BAND = 1.5
 #: Spare parts at least.
 EMPTY = 2
+#: Of 100 n-grams so many more are among the first ones of the sieve, and must be shared.
+MORE = 5
 #: Queries of a cell, and members of an index chunk, at about which they are split.
 CELL = 1_000
 #: Lists set aside by DivideSkip: T / (MU * log2(longest) + 1).
@@ -239,19 +245,28 @@ def merge(lists: list[np.ndarray], least: int, n_sets: int) -> tuple[np.ndarray,
     return found, counts[found]
 
 
+def first_grams(keys: np.ndarray, percent: int = PERCENT) -> tuple[np.ndarray, int]:
+    """The first n-grams of a set by hash, and how many of them any linked set has among its own first ones."""
+    size = len(keys)
+    need = -(-percent * size // 100)
+    return keys[:size - need + 1 + MORE * size // 100], 1 + MORE * (percent * size // 100) // 100
+
+
 def sets_of(docs: DataFrame, n: int = N, percent: int = PERCENT) -> DataFrame:
-    """``doc_id, thash, n_shingles, set1, set2, sigs`` of every row; ``set1, set2`` name a set."""
+    """``doc_id, thash, n_shingles, set1, set2, firsts, need`` of every row; ``set1, set2`` name a set."""
     schema = pa.schema([("doc_id", pa.int64()), ("thash", pa.int64()), ("n_shingles", pa.int64()), ("set1", pa.int64()), ("set2", pa.int64()),
-                        ("sigs", pa.list_(pa.int64()))])
+                        ("firsts", pa.list_(pa.int64())), ("need", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches):
             sets = [shingles(t, n) for t in b.column(1).to_pylist()]
             names = [name_of(s) for s in sets]
+            firsts = [first_grams(s, percent) for s in sets]
             yield batch(schema, b.column(0), b.column(2), [len(s) for s in sets], [x for x, _ in names], [y for _, y in names],
-                        int_lists([signatures(s, percent) for s in sets]))
+                        int_lists([f for f, _ in firsts]), [k for _, k in firsts])
 
-    return texts_of(docs).mapInArrow(run, "doc_id bigint, thash bigint, n_shingles bigint, set1 bigint, set2 bigint, sigs array<bigint>")
+    return texts_of(docs).mapInArrow(
+        run, "doc_id bigint, thash bigint, n_shingles bigint, set1 bigint, set2 bigint, firsts array<bigint>, need bigint")
 
 
 def texts_of(docs: DataFrame) -> DataFrame:
@@ -277,8 +292,8 @@ def int_lists(arrays: list[np.ndarray]) -> pa.Array:
 
 
 def members_filter(nodes: DataFrame) -> bytes:
-    """A bitmap of fixed size with the bit of each ``set1`` in ``nodes``; only a first sieve."""
-    bit = F.pmod("set1", F.lit(MEMBER_BITS)) + 1       # Spark's bitmap buckets count from 1
+    """A bitmap of fixed size with the bit of each ``thash`` in ``nodes``; only a first sieve."""
+    bit = F.pmod("thash", F.lit(MEMBER_BITS)) + 1       # Spark's bitmap buckets count from 1
     parts = (nodes.select(bit.alias("bit")).groupBy(F.expr("bitmap_bucket_number(bit)").alias("part"))
              .agg(F.expr("bitmap_construct_agg(bitmap_bit_position(bit))").alias("bits")).collect())
     out = bytearray(MEMBER_BITS // 8 + 4096)
@@ -287,28 +302,24 @@ def members_filter(nodes: DataFrame) -> bytes:
     return bytes(out)
 
 
-def sets_again(docs: DataFrame, nodes: DataFrame, n: int = N) -> DataFrame:
-    """``node, keys`` of the rows that name a node in ``nodes`` (``node, rep, set1, set2``), from their texts."""
+def sets_again(docs: DataFrame, nodes: DataFrame, n: int, of) -> DataFrame:
+    """``node, keys`` with ``of(set)`` of the rows that lead a node in ``nodes`` (``node, rep, thash``), from their texts."""
     sent = docs.sparkSession.sparkContext.broadcast(members_filter(nodes))
-    schema = pa.schema([("rep", pa.int64()), ("set1", pa.int64()), ("set2", pa.int64()), ("keys", pa.list_(pa.int64()))])
+    schema = pa.schema([("rep", pa.int64()), ("thash", pa.int64()), ("keys", pa.list_(pa.int64()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = sent.value
+        bits = np.frombuffer(sent.value, np.uint8)
         for b in slices(batches):
-            rows = []
-            for doc_id, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                keys = shingles(text, n)
-                set1, set2 = name_of(keys)
-                byte, bit = divmod(set1 & (MEMBER_BITS - 1), 8)      # a power of two: the mask is pmod
-                if bits[byte] >> bit & 1:
-                    rows.append((doc_id, set1, set2, keys))
-            if rows:
-                yield batch(schema, *(list(x) for x in list(zip(*rows, strict=True))[:3]), int_lists([r[3] for r in rows]))
-
-    found = texts_of(docs).mapInArrow(run, "rep bigint, set1 bigint, set2 bigint, keys array<bigint>")
+            at = b.column(2).to_numpy() & (MEMBER_BITS - 1)      # a power of two: the mask is pmod
+            rows = np.flatnonzero(bits[at >> 3] >> (at & 7).astype(np.uint8) & 1)
+            if len(rows):
+                b = b.take(pa.array(rows))
+                yield batch(schema, b.column(0), b.column(2), int_lists([of(shingles(t, n)) for t in b.column(1).to_pylist()]))
+
+    found = texts_of(docs).mapInArrow(run, "rep bigint, thash bigint, keys array<bigint>")
     # Only the row of the class's own id is joined, so copies do not multiply; rows that repeat it are equal.
-    return (found.join(nodes.withColumnsRenamed({"rep": "r", "set1": "s1", "set2": "s2"}).hint("merge"),
-                       F.col("rep").eqNullSafe(F.col("r")) & (F.col("set1") == F.col("s1")) & (F.col("set2") == F.col("s2")))
+    return (found.join(nodes.select("node", F.col("rep").alias("r"), F.col("thash").alias("h")).hint("merge"),
+                       F.col("rep").eqNullSafe(F.col("r")) & (F.col("thash") == F.col("h")))
             .select("node", "keys"))
 
 
@@ -370,9 +381,9 @@ def unpack(rows: pa.Table) -> tuple[list[int], list[np.ndarray], list]:
 
 def cells(pairs: DataFrame) -> DataFrame:
     """``pairs`` (``node, pivot``) with the cell of each: pivots share cells; one with many queries has several."""
-    held = pairs.groupBy("pivot").agg(F.count(F.lit(1)).alias("n_pivot"))
+    held = staged(pairs.groupBy("pivot").agg(F.count(F.lit(1)).alias("n_pivot")), "join-held")
     bins = F.lit(max(pairs.count() // CELL, 1))
-    salted = pairs.join(held, "pivot").withColumn("salt", F.pmod(F.xxhash64("node"), F.ceil(F.col("n_pivot") / CELL).cast("long")))
+    salted = hot_join(pairs, held, "pivot", "n_pivot").withColumn("salt", F.pmod(F.xxhash64("node"), F.ceil(F.col("n_pivot") / CELL).cast("long")))
     return salted.withColumn("cell", F.xxhash64(F.pmod(F.xxhash64("pivot"), bins), "salt"))
 
 
@@ -392,14 +403,16 @@ def search_rest(pairs: DataFrame, found: DataFrame, comps: DataFrame, sets: Data
         # a pair that the search did not report is further apart than twice the reach
         F.coalesce(1 - F.col("inter") / union, F.lit(2 * reach)).alias("dist"))
     far = staged(far.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node")), "join-far")
-    groups = far.groupBy("pivot").agg(
+    groups = staged(far.groupBy("pivot").agg(
         F.min(F.when(~F.col("linked"), F.col("dist"))).alias("nearest"),
-        F.count(F.when(~F.col("linked"), 1)).alias("n_open"), F.count(F.lit(1)).alias("n_all")).where("n_open > 0")
-    near = staged(far.join(groups, "pivot").where(~F.col("linked") | (F.col("dist") >= F.col("nearest") - reach - 1e-9)),
+        F.count(F.when(~F.col("linked"), 1)).alias("n_open"), F.count(F.lit(1)).alias("n_all")).where("n_open > 0"), "join-groups")
+    near = staged(hot_join(far, groups, "pivot", "n_all").where(~F.col("linked") | (F.col("dist") >= F.col("nearest") - reach - 1e-9)),
                   "join-near")
     # A group whose members are one node or one component has nothing left to find.
-    mixed = near.groupBy("pivot").agg(F.min("comp").alias("c1"), F.max("comp").alias("c2")).where("c1 <> c2").select("pivot")
-    rows = staged(near.join(mixed, "pivot"), "join-open")
+    mixed = staged(near.groupBy("pivot").agg(F.min("comp").alias("c1"), F.max("comp").alias("c2"), F.count(F.lit(1)).alias("n_near"))
+                   .where("c1 <> c2").select("pivot", "n_near"), "join-mixed")
+    rows = staged(hot_join(near, mixed, "pivot", "n_near"), "join-open")
+    discard(far, near, groups, mixed)
     # Chunks of the members by a hash of the node; each open node asks every chunk of its group.
     chunks = F.ceil(F.col("n_all") / CELL).cast("long")
     sides = F.ceil(F.col("n_open") / CELL).cast("long")
@@ -430,15 +443,16 @@ def link(docs: DataFrame, n: int = N, percent: int = PERCENT) -> DataFrame:
     full = every.where("n_shingles > 0")
     lead = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "thash", "row")
     classes = staged(full.groupBy("set1", "set2").agg(F.min("row").alias("node"), F.min("doc_id").alias("rep"),
-                                                       F.min(lead).alias("lead"), F.count(F.lit(1)).alias("n_rows")),
-                     "join-classes")
+                                                       F.min(lead).alias("lead"), F.count(F.lit(1)).alias("n_rows"))
+                     .withColumn("thash", F.col("lead.thash")), "join-classes")
     # Tables that grow with the corpus are merge-joined at every size: a small run then shows the plan of a large one.
-    signed = full.select("row", "sigs").join(classes.select(F.col("node").alias("row")).hint("merge"), "row").select(
-        F.col("row").alias("node"), F.explode("sigs").alias("sig"))
-    signed = staged(signed, "join-signed")
+    maybe = staged(classes.join(sieved(full).hint("merge"), F.col("node") == F.col("row")).select("node", "rep", "thash"), "join-maybe")
+    signed = staged(sets_again(docs, maybe, n, lambda keys: signatures(keys, percent)).select("node", F.explode("keys").alias("sig")),
+                    "join-signed")
     buckets = staged(signed.groupBy("sig").agg(F.min("node").alias("pivot"), F.count(F.lit(1)).alias("n")).where("n > 1")
-                     .select("sig", "pivot"), "join-buckets")
-    pairs = staged(signed.join(buckets.hint("merge"), "sig").where("node <> pivot").select("node", "pivot").distinct(), "join-pairs")
+                     .select("sig", "pivot", "n"), "join-buckets")
+    pairs = staged(hot_join(signed, buckets, "sig", "n").where("node <> pivot").select("node", "pivot").distinct(), "join-pairs")
+    discard(signed, buckets, maybe)
     edges = pair_edges(docs, classes, pairs, n, percent)
     comps = components(edges)
     links = edges.union(edges.select("b", "a")).distinct().groupBy(F.col("a").alias("node")).agg(F.count(F.lit(1)).alias("n_links"))
@@ -448,6 +462,7 @@ def link(docs: DataFrame, n: int = N, percent: int = PERCENT) -> DataFrame:
     result = staged(named.join(first, "comp").select(
         F.struct("set1", "set2").alias("key"), "component_id", "n_rows", F.coalesce("n_links", F.lit(0)).alias("n_links"),
         F.col("first.row").alias("first")), "join-result")
+    discard(named, classes, pairs, edges)
     keyed = full.select("doc_id", "n_shingles", "thash", "row", F.struct("set1", "set2").alias("key"))
     cols = ["doc_id", "n_shingles", "component_id", "n_links", "thash"]
     out = hot_join(keyed, result, "key", "n_rows").select(*cols, (F.col("row") == F.col("first")).alias("leads"))
@@ -456,15 +471,30 @@ def link(docs: DataFrame, n: int = N, percent: int = PERCENT) -> DataFrame:
     return out.unionByName(alone)
 
 
+def sieved(full: DataFrame) -> DataFrame:
+    """``row`` of the rows that share as many first n-grams with other rows as a link needs.
+
+    Copies count as other rows here: their one class then goes on although it may be linked with nothing else.
+    """
+    firsts = full.select("row", "need", F.explode("firsts").alias("gram"))
+    twice = staged(firsts.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "join-twice")
+    shared = hot_join(firsts, twice, "gram", "n").groupBy("row").agg(F.count(F.lit(1)).alias("n"), F.min("need").alias("need"))
+    rows = staged(shared.where("n >= need").select("row"), "join-sieved")
+    discard(twice)
+    return rows
+
+
 def pair_edges(docs: DataFrame, classes: DataFrame, pairs: DataFrame, n: int, percent: int) -> DataFrame:
     """Links ``a, b`` between nodes that the pairs lead to."""
     involved = pairs.select("node").union(pairs.select("pivot")).distinct()
-    nodes = staged(classes.join(involved, "node").select("node", "rep", "set1", "set2"), "join-nodes")
-    sets = staged(sets_again(docs, nodes, n), "join-keys")
+    nodes = staged(classes.join(involved, "node").select("node", "rep", "thash"), "join-nodes")
+    sets = staged(sets_again(docs, nodes, n, lambda keys: keys), "join-keys")
     found = staged(search_pivots(pairs, sets, 100 - 2 * (100 - percent)), "join-found")
     edges = linked(found, percent)
     rest = staged(search_rest(pairs, found, components(edges), sets, percent), "join-rest")
-    return staged(edges.union(linked(rest, percent)), "join-edges")
+    edges = staged(edges.union(linked(rest, percent)), "join-edges")
+    discard(sets, nodes, found, rest)
+    return edges
 
 
 def one_of_each(docs: DataFrame, n: int = N, percent: int = PERCENT) -> DataFrame:
@@ -474,6 +504,7 @@ def one_of_each(docs: DataFrame, n: int = N, percent: int = PERCENT) -> DataFram
                                               F.min("leads").alias("all_lead"))
     gone = staged(names.where("NOT leads").select("doc_id", "key"), "join-gone")
     again = staged(names.where("leads AND NOT all_lead").select("doc_id", "key"), "join-again")
+    discard(rows)
     return without(docs, text_hash(F.col("text").cast("string")), gone, again)
 
 
