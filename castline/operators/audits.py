@@ -5,15 +5,16 @@ check is itself a distributed query.  The runner evaluates all row-level
 checks of a table in **one aggregated pass** (``sum(when(fail, 1))`` per
 check), uniqueness with one ``groupBy`` per key, and key lookups with
 ``left_anti`` joins; only the per-check failure counts (one row per check) are
-brought to the driver to decide whether a blocking check failed.  A build
-shows each written candidate to a :class:`Gate` before it is published.
+brought to the driver to decide whether a blocking check failed.  In a build the
+job that writes a candidate counts its row checks as it writes (:class:`Audit`), and
+only the others read it before it is published.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 col = F.col
@@ -76,21 +77,29 @@ class Check:
     blocking: bool = True
 
 
+ROW_TESTS = ("not_null", "accepted_values", "positive")
+
+
+def failures_of(checks: list[Check]) -> list[Column]:
+    """One count of failing rows for each check of rows."""
+    out = []
+    for i, c in enumerate(checks):
+        if c.test == "not_null":
+            fail = col(c.column).isNull()
+        elif c.test == "positive":
+            fail = col(c.column) < 0
+        else:
+            fail = ~col(c.column).isin(list(c.values))
+        out.append(F.count(F.when(fail, 1)).alias(f"f{i}"))
+    return out
+
+
 def run_checks(model: str, df: DataFrame, checks: list[Check], dim_date: DataFrame | None = None) -> DataFrame:
     """Failure counts for every check of one table: (model, column_name, test, failures)."""
     parts = []
-    row_checks = [c for c in checks if c.test in ("not_null", "accepted_values", "positive")]
+    row_checks = [c for c in checks if c.test in ROW_TESTS]
     if row_checks:
-        exprs = []
-        for i, c in enumerate(row_checks):
-            if c.test == "not_null":
-                fail = col(c.column).isNull()
-            elif c.test == "positive":
-                fail = col(c.column) < 0
-            else:
-                fail = ~col(c.column).isin(list(c.values))
-            exprs.append(F.count(F.when(fail, 1)).alias(f"f{i}"))
-        agg = df.agg(*exprs)
+        agg = df.agg(*failures_of(row_checks))
         stack = ", ".join(f"'{c.column}', '{c.test}', f{i}" for i, c in enumerate(row_checks))
         parts.append(agg.selectExpr(f"stack({len(row_checks)}, {stack}) AS (column_name, test, failures)"))
     for c in checks:
@@ -139,21 +148,41 @@ class Gate:
     enforced: bool = True
     results: list[tuple] = field(default_factory=list)
 
-    def of(self, model: str):
+    def of(self, model: str) -> Audit | None:
         """What to show the candidate of a model to; None without checks."""
         mine = [c for c in self.checks if c.model == model]
-        if not mine:
-            return None
-
-        def check(candidate: DataFrame) -> None:
-            got = [tuple(r) for r in run_checks(model, candidate, mine, self.dim_date).collect()]
-            self.results += got
-            blocking = {(c.column, c.test) for c in mine if c.blocking}
-            bad = [r for r in got if r[3] > 0 and (r[1], r[2]) in blocking]
-            if bad and self.enforced:
-                raise AuditFailure(f"blocking audits failed, {model} is not published: {bad}")
-
-        return check
+        return Audit(self, model, mine) if mine else None
+
+
+class Audit:
+    """The checks of one model: those of rows are counted by the job that writes the candidate, the others read it."""
+
+    def __init__(self, gate: Gate, model: str, checks: list[Check]) -> None:
+        self.gate, self.model, self.checks = gate, model, checks
+        self.of_rows = [c for c in checks if c.test in ROW_TESTS]
+        self.seen: Observation | None = None
+
+    def watch(self, rows: DataFrame) -> DataFrame:
+        """``rows`` with the counts observed as they pass."""
+        if not self.of_rows:
+            return rows
+        self.seen = Observation()
+        return rows.observe(self.seen, *failures_of(self.of_rows))
+
+    def __call__(self, candidate: DataFrame) -> None:
+        observed, left = [], self.checks
+        if self.seen is not None:
+            counts, self.seen = self.seen.get, None
+            observed = [(self.model, c.column, c.test, counts[f"f{i}"]) for i, c in enumerate(self.of_rows)]
+            left = [c for c in self.checks if c.test not in ROW_TESTS]
+        got = observed
+        if left:
+            got = got + [tuple(r) for r in run_checks(self.model, candidate, left, self.gate.dim_date).collect()]
+        self.gate.results += got
+        blocking = {(c.column, c.test) for c in self.checks if c.blocking}
+        bad = [r for r in got if r[3] > 0 and (r[1], r[2]) in blocking]
+        if bad and self.gate.enforced:
+            raise AuditFailure(f"blocking audits failed, {self.model} is not published: {bad}")
 
 
 # The declared column tests of the podcast-vs-video pipeline, in their order.

@@ -7,20 +7,24 @@ read map-side and not shuffled.  A larger one is unioned with the target and
 grouped once on the key.  Keys match null-safely on both ways, so a replayed
 batch changes nothing whatever its keys hold.
 
-Writers read and rewrite only the partitions that a batch touches.  They stage
-their output and then move it into place (:mod:`castline.operators.commit`), so a
-job that dies at any point loses nothing and can be run again.
+Written tables are versioned lists of files that never change
+(:mod:`castline.operators.versions`): a writer adds files and then one list, so a job that
+dies at any point loses nothing and can be run again, on any file system.  An upsert
+rewrites only the files that hold a key of the batch.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable, Iterable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import MapType, VariantType
 
-from castline.operators.commit import Folder, commit, read_table, value_of
+from castline.operators.versions import (Folder, Layout, Snapshot, commit, files_for, files_with, read_files, read_table, snapshot,
+                                         write_files)
 from castline.session import scratch_path
 
 col = F.col
@@ -28,7 +32,8 @@ col = F.col
 # Batches at or under this size, by their staged files, are broadcast into the upsert joins.
 BROADCAST_BATCH_BYTES = 32 << 20
 
-# Looks at a staged candidate and raises if it must not be published.
+# Looks at a written candidate and raises if it must not be published.  One with a method ``watch`` has observed
+# its rows while they were written.
 Check = Callable[[DataFrame], None]
 
 
@@ -53,10 +58,14 @@ def collapse_batch(batch: DataFrame, keys: list[str], update_cols: list[str], or
     """A batch with repeated keys as the sequence of ``ON CONFLICT`` upserts
     would leave it: updated columns from the latest row, the other columns
     (``created_at``, ids) from the first row that inserted the key.  Both
-    picks are partial aggregates in one ``groupBy``."""
+    picks are partial aggregates in one ``groupBy``.  Ties of ``order`` are broken
+    by all other columns, so that the same rows always give the same result."""
     rest = [c for c in batch.columns if c not in keys]
+    if not rest:
+        return batch.dropDuplicates(keys)
     kept = [c for c in rest if c not in update_cols]
-    o = F.struct(*[col(c) for c in order])
+    ranked = [c for c in rest if c not in order and not isinstance(batch.schema[c].dataType, (MapType, VariantType))]
+    o = F.struct(*[col(c) for c in [*order, *ranked]])
     aggs = [F.max_by(F.struct(*[col(c) for c in rest]), o).alias("_last")]
     if kept:
         aggs.append(F.min_by(F.struct(*[col(c) for c in kept]), o).alias("_first"))
@@ -78,13 +87,18 @@ def upsert(target: DataFrame, batch: DataFrame, keys: Iterable[str], update_cols
     column (e.g. ``created_at``, the surrogate ``id``) from the target; new keys
     take all columns from the batch.  Duplicate keys inside the batch behave
     like the sequence of ``ON CONFLICT`` statements (see
-    :func:`collapse_batch`).  NULL matches NULL in a key.  Idempotent:
+    :func:`collapse_batch`) in the given order, or without one in that of all
+    columns.  NULL matches NULL in a key.  Rows of the target that share a key are
+    each updated.  The size of the batch decides the plan, not the result.  Idempotent:
     upsert(upsert(t, b), b) == upsert(t, b).
     """
     keys, update_cols = list(keys), list(update_cols)
-    b = batch.select(*target.columns)
-    if order:
-        b = collapse_batch(b, keys, update_cols, list(order))
+    b = collapse_batch(batch.select(*target.columns), keys, update_cols, list(order or []))
+    return merge(target, b, keys, update_cols, broadcast_bytes)
+
+
+def merge(target: DataFrame, b: DataFrame, keys: list[str], update_cols: list[str], broadcast_bytes: int | None = None) -> DataFrame:
+    """:func:`upsert` of a batch that has each key once."""
     if broadcast_bytes is not None and plan_bytes(b) <= broadcast_bytes:
         return _upsert_broadcast(target, b, keys, update_cols)
     return _upsert_one_shuffle(target, b, keys, update_cols)
@@ -113,32 +127,27 @@ def _upsert_broadcast(target: DataFrame, b: DataFrame, keys: list[str], update_c
 
 
 def _upsert_one_shuffle(target: DataFrame, b: DataFrame, keys: list[str], update_cols: list[str]) -> DataFrame:
-    """Large batch: target and batch are unioned and grouped once on the key
-    (one shuffle of each row; keys are unique on both sides, so no skew).
-    Per key, at most one target version and one batch version exist."""
+    """Large batch: one outer join on the key, one shuffle of each row (keys are unique, so no skew)."""
     cols = target.columns
-    rest = [c for c in cols if c not in keys]
-    src = F.col("_src")
-    tagged = (target.select(*cols, F.lit(0).alias("_src"))
-              .unionByName(b.select(*cols, F.lit(1).alias("_src"))))
-    g = tagged.groupBy(*keys).agg(
-        F.first(F.when(src == 0, F.struct(*[col(c) for c in rest])), ignorenulls=True).alias("_t"),
-        F.first(F.when(src == 1, F.struct(*[col(c) for c in rest])), ignorenulls=True).alias("_b"))
-    has_t, has_b = col("_t").isNotNull(), col("_b").isNotNull()
-    return g.select(*[col(c) if c in keys
-                      else (F.when(has_b, col(f"_b.{c}")).otherwise(col(f"_t.{c}")) if c in update_cols
-                            else F.when(has_t, col(f"_t.{c}")).otherwise(col(f"_b.{c}"))).alias(c)
-                      for c in cols])
+    t = target.select(*[col(c).alias(f"_t_{c}") for c in cols], F.lit(True).alias("_old"))
+    new = b.select(*[col(c).alias(f"_b_{c}") for c in cols], F.lit(True).alias("_hit"))
+    cond = F.lit(True)
+    for k in keys:
+        cond = cond & col(f"_t_{k}").eqNullSafe(col(f"_b_{k}"))
+    both = t.join(new, cond, "full_outer")
+    return both.select(*[(F.when(col("_hit"), col(f"_b_{c}")).otherwise(col(f"_t_{c}")) if c in update_cols
+                          else F.when(col("_old"), col(f"_t_{c}")).otherwise(col(f"_b_{c}"))).alias(c) for c in cols])
 
 
 # S11 -----------------------------------------------------------------------
-def first_rows(df: DataFrame, keys: list[str], order: list[str] | None) -> DataFrame:
-    """One row per key: the smallest ``order`` tuple (first arrival), via a
-    partially aggregated ``min_by``; without an order, any one row."""
-    if not order:
+def first_rows(df: DataFrame, keys: list[str], order: list[str] | None = None) -> DataFrame:
+    """One row per key: the smallest ``order`` tuple (first arrival), ties and rows without an
+    order by all other columns, via a partially aggregated ``min_by``."""
+    rest, order = [c for c in df.columns if c not in keys], list(order or [])
+    if not rest:
         return df.dropDuplicates(keys)
-    rest = [c for c in df.columns if c not in keys]
-    first = F.min_by(F.struct(*[col(c) for c in rest]), F.struct(*[col(c) for c in order]))
+    ranked = [c for c in rest if c not in order and not isinstance(df.schema[c].dataType, (MapType, VariantType))]
+    first = F.min_by(F.struct(*[col(c) for c in rest]), F.struct(*[col(c) for c in [*order, *ranked]]))
     return df.groupBy(*keys).agg(first.alias("_r")).select(*keys, *[col(f"_r.{c}").alias(c) for c in rest])
 
 
@@ -265,61 +274,63 @@ def incremental_by_time_range(spark: SparkSession, build: Callable[[str, str], D
     """Recompute [start, end] in 30-day batches and replace exactly those days.
 
     After the run, the table's partitions in the range are exactly the
-    recomputed output.  Each job stages its output and commits it: the folders
-    it produced replace theirs, and folders of its range that it did not produce
-    go.  Batches of the range that were not run because no source row falls into
+    recomputed output.  Each job writes its rows as new files and commits them as the next
+    version of the table, without the files that its range had before: partitions
+    that it did not produce go.  Batches of the range that were not run because no source row falls into
     them lose their partitions too.  ``align="month"`` works on whole months.
     Re-running a batch, after a failure or for late data, gives the same table.
-    ``check`` sees each job's staged output; if it raises, the range stays as it was."""
+    A range without rows on a new table leaves an empty table.
+    ``check`` sees each job's written output; if it raises, the range stays as it was."""
     if align == "month":
         start, end = whole_months(start, end)
     planned = intervals if intervals is not None else plan_intervals(start, end, batch_days, align)
     cut = (lambda d: d[:7]) if align == "month" else (lambda d: d)
-    done, made = [], set()
+    done, made, df = [], set(), None
     for s, e in group_intervals(planned, max_days_per_job):
-        made |= _replace_range(spark, build(s, e), path, partition_col, cut(s), cut(e), check)
+        df = build(s, e)
+        made |= _replace_range(spark, df, path, partition_col, cut(s), cut(e), check)
         done.append((s, e))
-    left = [p for p in _in_range(spark, path, partition_col, cut(start), cut(end)) if p not in made]
-    if left:
-        empty = scratch_path(spark, "range-stage")
-        commit(spark, empty, path, partition_col, left)
+    base = snapshot(spark, path)
+    if base is None:
+        # Nothing in the whole range: an empty table with the output's schema.
+        commit(spark, path, None, Snapshot(0, build(start, end).schema, Layout(partition_col)))
+        return done
+    lo, hi = cut(start), cut(end)
+    left = base.keeping(lambda f: f.part in made or not _within(f.part, lo, hi))
+    if left.files != base.files:
+        commit(spark, path, base, left)
     return done
 
 
-def _in_range(spark: SparkSession, path: str, partition_col: str, lo: str, hi: str) -> list[str]:
-    """Partition folders of the table whose value lies in [lo, hi]."""
-    return [p for p in Folder(spark, path).partitions(partition_col) if lo <= value_of(p) <= hi]
+def _within(part: str | None, lo: str, hi: str) -> bool:
+    return part is not None and lo <= part <= hi
 
 
-def _checked(spark: SparkSession, stage: str, check: Check | None) -> None:
-    """Show a staged candidate to ``check``; a candidate that fails is dropped."""
+def _checked(df: DataFrame, check: Check | None, written: str) -> None:
+    """Show a written candidate to ``check``; a candidate that fails is dropped."""
     if check is None:
         return
     try:
-        check(spark.read.parquet(stage))
+        check(df)
     except Exception:
-        Folder(spark, stage).drop()
+        Folder(df.sparkSession, written).drop()
         raise
 
 
 def _replace_range(spark: SparkSession, df: DataFrame, path: str, partition_col: str, lo: str, hi: str,
-                   check: Check | None) -> set[str]:
-    """Commit ``df`` as the content of the partitions in [lo, hi]; returns the folders it made (one a partition)."""
-    stage = scratch_path(spark, "range-stage")
-    partitioned_write(df, partition_col).mode("overwrite").parquet(stage)
-    made = set(Folder(spark, stage).partitions(partition_col))
-    if made:
-        _checked(spark, stage, check)
-    commit(spark, stage, path, partition_col, [p for p in _in_range(spark, path, partition_col, lo, hi) if p not in made])
-    return made
-
-
-def partitioned_write(df: DataFrame, *partition_cols: str):
-    """A writer partitioned by ``partition_cols`` whose input is first
-    rebalanced on them: AQE then coalesces small day partitions into few
-    files and splits a skewed (hot) day across several tasks, instead of every
-    task writing a small file into every day folder."""
-    return df.hint("rebalance", *partition_cols).write.partitionBy(*partition_cols)
+                   check: Check | None) -> set[str | None]:
+    """Commit ``df`` as the content of the partitions in [lo, hi]; returns the partitions it made."""
+    base = snapshot(spark, path)
+    layout = Layout(partition_col)
+    if base is not None:
+        df = df.select(*base.schema.names)
+    old = base or Snapshot(0, df.schema, layout)
+    files = write_files(df, path, layout, watch=getattr(check, "watch", None))
+    if files:
+        _checked(read_files(spark, path, Snapshot(0, old.schema).adding(files)), check, f"{path}/data/{files[0].token}")
+    if base is not None or files:
+        commit(spark, path, base, old.keeping(lambda f: not _within(f.part, lo, hi)).adding(files))
+    return {f.part for f in files}
 
 
 # S4 / S14 ------------------------------------------------------------------
@@ -328,11 +339,15 @@ def full_rebuild(df: DataFrame, path: str, partition_by: Iterable[str] = (), che
 
     ``check`` sees the written candidate; if it raises, the table stays as it was."""
     spark, partition_by = df.sparkSession, list(partition_by)
-    stage = scratch_path(spark, "rebuild-stage")
-    w = partitioned_write(df, *partition_by) if partition_by else df.write
-    w.mode("overwrite").parquet(stage)
-    _checked(spark, stage, check)
-    commit(spark, stage, path)
+    if len(partition_by) > 1:
+        raise ValueError("a table is divided by one column")
+    layout = Layout(*partition_by)
+    base = snapshot(spark, path) if Folder(spark, f"{path}/versions").exists() else None
+    files = write_files(df, path, layout, watch=getattr(check, "watch", None))
+    new = Snapshot(0, df.schema, layout).adding(files)
+    if files:
+        _checked(read_files(spark, path, new), check, f"{path}/data/{files[0].token}")
+    commit(spark, path, base, new)
     return path
 
 
@@ -347,85 +362,121 @@ def sync_append_cursor(source: DataFrame, target_path: str, cursor: str, keys: I
     the source is read again from that day on, and rows whose ``keys`` the table
     has for those days are left out.  The last cursor is one aggregate over the
     target; nothing else leaves the cluster."""
-    keys = list(keys)
-    target = read_table(source.sparkSession, target_path)
-    if target is None:
-        stage = scratch_path(source.sparkSession, "sync-stage")
-        source.write.mode("overwrite").parquet(stage)
-        commit(source.sparkSession, stage, target_path)
-        return
-    last = target.agg(F.max(cursor)).first()[0]
-    since = F.lit(True) if last is None else col(cursor) >= F.lit(last)
-    _absent(target.where(since), source.where(since).select(*target.columns), keys).write.mode("append").parquet(target_path)
+    keys, spark = list(keys), source.sparkSession
+    base = snapshot(spark, target_path)
+    if base is None:
+        base = Snapshot(0, source.schema, Layout(keys=tuple(keys)))
+        new = first_rows(source, keys)
+    else:
+        target = read_files(spark, target_path, base)
+        last = target.agg(F.max(cursor)).first()[0]
+        since = F.lit(True) if last is None else col(cursor) >= F.lit(last)
+        new = _absent(target.where(since), first_rows(source.where(since).select(*target.columns), keys), keys)
+    files = write_files(new, target_path, base.layout)
+    if files or not base.version:
+        commit(spark, target_path, base, base.adding(files))
 
 
 # Writers ---------------------------------------------------------------------
-BUCKET = "key_bucket"
-
-
-def with_bucket(df: DataFrame, keys: list[str], buckets: int) -> DataFrame:
-    """``df`` with the partition that its key falls to; equal keys always share it."""
-    return df.withColumn(BUCKET, F.pmod(F.xxhash64(*[col(k) for k in keys]), F.lit(buckets)).cast("int"))
-
-
-def _touched(b: DataFrame, partition_col: str):
-    """Predicate on the partitions a batch touches (one value each, bounded by its days or buckets), NULL included."""
-    values = [r[0] for r in b.select(partition_col).distinct().collect()]
-    known = [v for v in values if v is not None]
-    cond = col(partition_col).isin(known) if known else F.lit(False)
-    return cond | col(partition_col).isNull() if None in values else cond
+def _layout(base: Snapshot | None, keys: list[str], partition_col: str | None, buckets: int | None) -> Layout:
+    """The table's own layout, or that of its first write."""
+    wanted = Layout(None if buckets else partition_col, buckets, tuple(keys))
+    if base is None or not base.version:
+        return wanted
+    own = base.layout
+    if own.keys and (own.keys, own.buckets) != (wanted.keys, wanted.buckets):
+        raise ValueError(f"the table is laid out by {own}, not by {wanted}")
+    return Layout(own.column or wanted.column, own.buckets, own.keys or wanted.keys)
 
 
 def upsert_table(spark: SparkSession, path: str, batch: DataFrame, keys: list[str], update_cols: list[str],
                  order: list[str] | None = None, partition_col: str | None = None,
                  broadcast_bytes: int | None = BROADCAST_BATCH_BYTES, buckets: int | None = None) -> str:
-    """Upsert into a Parquet table in place.
-
-    Only the partitions the batch touches are read, merged and written, once
-    each.  The partition column must be one of the keys, or the key's bucket
-    (``buckets``): then a key can't leave another version of its row in a
-    partition that the batch does not touch.  Replaying a batch writes the same rows.
+    """Upsert into a written table: copy on write by data file.
+
+    The list of files tells which can hold a key of the batch (partition value and
+    range of key hashes).  For a batch of checked small size the key columns of those are read, and only
+    files that do hold one are rewritten; rows with new keys go to files of their own.  A
+    larger batch rewrites all files that its keys' ranges meet.  All other files are
+    neither read nor written.  The partition column must be one of the keys, or
+    the key's bucket (``buckets``): then a key can't leave another version of its row in
+    a partition that the batch does not touch.  Replaying a batch gives the same rows, and
+    an empty first batch an empty table.
     """
-    if buckets:
-        batch, partition_col = with_bucket(batch, keys, buckets), BUCKET
-    elif partition_col and partition_col not in keys:
+    if not buckets and partition_col and partition_col not in keys:
         raise ValueError(f"{partition_col} is not part of the key {keys}: a key could move between partitions")
-    target = read_table(spark, path)
-    b = batch if target is None else batch.select(*target.columns)
-    if order:
-        b = collapse_batch(b, keys, update_cols, order)
-    batch_stage, stage = scratch_path(spark, "upsert-batch"), scratch_path(spark, "upsert-stage")
-    if target is None:
-        merged = b
-    else:
-        b.write.mode("overwrite").parquet(batch_stage)     # its files give the size, and are read up to three times
-        b = spark.read.schema(b.schema).parquet(batch_stage)
-        if partition_col:
-            target = target.where(_touched(b, partition_col))
-        merged = upsert(target, b, keys, update_cols, None, broadcast_bytes)
-    w = partitioned_write(merged, partition_col) if partition_col else merged.write
-    w.mode("overwrite").parquet(stage)
-    commit(spark, stage, path, partition_col)
-    Folder(spark, batch_stage).drop()
+    base = snapshot(spark, path)
+    layout = _layout(base, keys, partition_col, buckets)
+    b = collapse_batch(batch if base is None else batch.select(*base.schema.names), keys, update_cols, list(order or []))
+    if base is None or not base.files:
+        schema = base.schema if base else b.schema
+        commit(spark, path, base, Snapshot(0, schema, layout).adding(write_files(b, path, layout, "range")))
+        return path
+    stage = scratch_path(spark, "upsert-batch")
+    b.write.mode("overwrite").parquet(stage)         # its files give the size, and are read several times
+    b = spark.read.schema(b.schema).parquet(stage)
+    base = replace(base, layout=layout)
+    hit = files_for(base, b)
+    small = broadcast_bytes is not None and plan_bytes(b) <= broadcast_bytes
+    if small:
+        hit = files_with(spark, path, base, hit, keys, b)
+    merged = merge(read_files(spark, path, base, hit), b, keys, update_cols, broadcast_bytes)
+    files = write_files(merged, path, layout, None if small else "rebalance")
+    if files:
+        commit(spark, path, base, base.keeping(lambda f: f not in hit).adding(files))
+    Folder(spark, stage).drop()
     return path
 
 
 def insert_if_absent_table(spark: SparkSession, path: str, batch: DataFrame, keys: list[str],
                            order: list[str] | None = None, buckets: int | None = None) -> str:
     """Append only the batch rows whose key is absent from the table
-    (existing rows are never rewritten: one anti-join, one append).  With
-    ``buckets`` only the key buckets that the batch touches are scanned."""
-    b = with_bucket(batch, keys, buckets) if buckets else batch
-    target = read_table(spark, path)
-    if target is None:
-        stage = scratch_path(spark, "insert-stage")
-        first = first_rows(b, keys, order)
-        (partitioned_write(first, BUCKET) if buckets else first.write).mode("overwrite").parquet(stage)
-        commit(spark, stage, path)
+    (existing rows are never rewritten: one anti-join, one append).  Only files whose
+    partition and key range allow them to hold a key of the batch are scanned.  An empty first batch gives
+    an empty table."""
+    base = snapshot(spark, path)
+    layout = _layout(base, keys, None, buckets)
+    b = first_rows(batch if base is None else batch.select(*base.schema.names), keys, order)
+    if base is None or not base.files:
+        schema = base.schema if base else b.schema
+        commit(spark, path, base, Snapshot(0, schema, layout).adding(write_files(b, path, layout, "range")))
         return path
-    b = first_rows(b.select(*target.columns), keys, order)
-    if buckets:
-        target = target.where(_touched(b, BUCKET))
-    new = _absent(target, b, keys)
-    (partitioned_write(new, BUCKET) if buckets else new.write).mode("append").parquet(path)
+    stage = scratch_path(spark, "insert-batch")
+    b.write.mode("overwrite").parquet(stage)
+    b = spark.read.schema(b.schema).parquet(stage)
+    base = replace(base, layout=layout)
+    new = _absent(read_files(spark, path, base, files_for(base, b)), b, keys)
+    files = write_files(new, path, layout)
+    if files:
+        commit(spark, path, base, base.adding(files))
+    Folder(spark, stage).drop()
+    return path
+
+
+def append_table(spark: SparkSession, path: str, batch: DataFrame, keys: list[str]) -> str:
+    """Add rows that are known to be new (no key is looked up)."""
+    base = snapshot(spark, path)
+    layout = _layout(base, keys, None, None)
+    if base is not None:
+        batch = batch.select(*base.schema.names)
+    files = write_files(batch, path, layout)
+    if files or base is None:
+        commit(spark, path, base, (base or Snapshot(0, batch.schema, layout)).adding(files))
     return path
+
+
+def compact_table(spark: SparkSession, path: str, most: int = 8) -> int:
+    """Write partitions that have more than ``most`` files anew, sorted by key; returns how many files went."""
+    base = snapshot(spark, path)
+    if base is None:
+        return 0
+    held: dict[str | None, int] = {}
+    for f in base.files:
+        held[f.part] = held.get(f.part, 0) + 1
+    many = [f for f in base.files if held[f.part] > most]
+    if not many:
+        return 0
+    files = write_files(read_files(spark, path, base, many), path, base.layout, "range")
+    gone = set(many)
+    commit(spark, path, base, base.keeping(lambda f: f not in gone).adding(files))
+    return len(many)

@@ -54,9 +54,11 @@ def _iso(x: str) -> str:
 
 
 def _hms(x: str) -> str:
-    lx = f"lower({x})"
-    return (f"coalesce(coalesce({_rx(lx, r'(\d+)h')}, 0) * 3600 + coalesce({_rx(lx, r'(\d+)m')}, 0) * 60"
-            f" + coalesce({_rx(lx, r'(\d+)s')}, 0), 0)")
+    """The sum of all ``<number><unit>`` steps of a text that consists of such steps, from hours down to seconds."""
+    lx = f"lower(trim({x}))"
+    step = "cast(p[:-2] AS int) * (CASE p[-1] WHEN 'h' THEN 3600 WHEN 'm' THEN 60 ELSE 1 END)"
+    return (f"cast(CASE WHEN regexp_full_match({lx}, '([0-9]+h)?([0-9]+m)?([0-9]+s)?') "
+            f"THEN coalesce(list_sum([{step} FOR p IN regexp_extract_all({lx}, '[0-9]+[hms]')]), 0) ELSE 0 END AS int)")
 
 
 MODELS: dict[str, str] = {}

@@ -83,8 +83,8 @@ _PLATFORM_SQL = ("CASE {k} % 4 WHEN 0 THEN 'apple_podcasts' WHEN 1 THEN 'spotify
                  "ELSE 'youtube' END")
 
 
-def _collected(c, times=1):
-    """The documents of all platforms, collected; the channel documents of one platform are not JSON."""
+def landed_documents(c):
+    """The documents of all platforms; the channel documents of one platform are not JSON."""
     def of(show):
         return F.expr(_PLATFORM_SQL.format(k=f"({show})"))
 
@@ -93,7 +93,7 @@ def _collected(c, times=1):
     reports = pl.daily_report(c).withColumn("user", F.expr("cast(substring(video_id, 2) AS bigint)"))
     threads = pl.comment_threads(c)
     number = n.scalar()
-    landed = {
+    return {
         "channels": shows.withColumn("payload", F.when(col("platform") == "amazon_music", F.concat(F.lit("{oops "), "payload"))
                                      .otherwise(col("payload"))),
         "videos": pl.video_search(c).withColumn("platform", of("podcast_id")),
@@ -103,9 +103,12 @@ def _collected(c, times=1):
         "threads": threads.withColumn("show", col("episode_id") % number).withColumn("platform", of("show")).withColumn(
             "video_id", F.concat(F.lit("vid"), col("episode_id").cast("string"))),
     }
+
+
+def _collected(c, times=1):
     root = scratch_path(c.spark, "collected")
     for _ in range(times):
-        run = cl.collect(c.spark, landed, root, "2024-02-01 02:00:00")
+        run = cl.collect(c.spark, landed_documents(c), root, "2024-02-01 02:00:00")
     return run
 
 
@@ -188,7 +191,7 @@ def _stream_upsert(c):
     # Replay everything with a fresh checkpoint: the upsert is idempotent.
     st.stream_upsert(c.spark, src, batch.schema, target, scratch_path(c.spark, "st2-ckpt"), keys, upd,
                      ["updated_at"], "metric_date")
-    out = c.spark.read.parquet(target)
+    out = mn.read_table(c.spark, target)
     return out.select(*[col(x).cast("date").alias(x) if x == "metric_date" else col(x) for x in _PEM])
 
 
@@ -203,7 +206,7 @@ def _stream_insert_once(c):
         st.land(batch, src, [drop])
         st.stream_insert_once(c.spark, src, batch.schema, target, ck,
                               ["episode_id", "platform_comment_id"], ["published_at", "comment_text"])
-    return c.spark.read.parquet(target).select(*_COM)
+    return mn.read_table(c.spark, target).select(*_COM)
 
 
 register("stream_append", _stream_append, "SELECT * FROM raw_youtube_daily_stats", ("watch_time_minutes",

@@ -138,7 +138,7 @@ def _sync_overwrite(c):
     src = c.raw("raw_spotify_episodes")
     mn.sync_overwrite(src, path)
     mn.sync_overwrite(src, path)  # a re-run replaces, never duplicates
-    return c.spark.read.parquet(path)
+    return mn.read_table(c.spark, path)
 
 
 def _sync_append(c):
@@ -147,14 +147,14 @@ def _sync_append(c):
     src.where(col("date") <= F.lit("2024-01-15").cast("date")).write.mode("overwrite").parquet(path)
     mn.sync_append_cursor(src, path, "date", ["episode_id", "date"])
     mn.sync_append_cursor(src, path, "date", ["episode_id", "date"])  # nothing new: appends zero rows
-    return c.spark.read.parquet(path)
+    return mn.read_table(c.spark, path)
 
 
 def _full_rebuild(c):
     path = scratch_path(c.spark, "full-rebuild")
     df = mart_daily(c)
     mn.full_rebuild(df, path)
-    return c.spark.read.parquet(path)
+    return mn.read_table(c.spark, path)
 
 
 def _incremental(c):
@@ -168,7 +168,7 @@ def _incremental(c):
     mn.incremental_by_time_range(c.spark, lambda s, e: t2_engagement(c, s, e), path, "metric_date",
                                  start, end, 30, intervals)
     cols = t2_engagement(c).columns
-    out = c.spark.read.parquet(path)
+    out = mn.read_table(c.spark, path)
     return out.select(*[col(x).cast("date").alias(x) if x == "metric_date" else col(x) for x in cols])
 
 
@@ -179,7 +179,7 @@ def _sync_append_late(c):
     day = F.lit("2024-01-15").cast("date")
     src.where((col("date") < day) | ((col("date") == day) & (col("starts") % 2 == 0))).write.mode("overwrite").parquet(path)
     mn.sync_append_cursor(src, path, "date", ["episode_id", "date"])
-    return c.spark.read.parquet(path)
+    return mn.read_table(c.spark, path)
 
 
 def _revenue_partial(c):

@@ -65,6 +65,7 @@ def load() -> dict[str, Entry]:
     """Import the modules that populate REGISTRY (idempotent, lazy to avoid
     import cycles) and return it."""
     from castline.plans import queries  # noqa: F401
+    from castline.plans import queries_changes  # noqa: F401
     from castline.plans import queries_landing  # noqa: F401
     from castline.plans import queries_ops  # noqa: F401
     return REGISTRY

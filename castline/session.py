@@ -95,3 +95,10 @@ def scratch_path(spark: SparkSession, name: str, unique: bool = True) -> str:
     root = _ensure_checkpoint_dir(spark).rstrip("/")
     suffix = f"-{uuid.uuid4().hex[:12]}" if unique else ""
     return f"{root}/castline/{name}{suffix}"
+
+
+def staged(df, name: str):
+    """``df`` written to the shared scratch folder and read back: cuts the lineage with files that every executor can read."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -1,4 +1,4 @@
-"""Structured Streaming jobs (ST1-ST4).
+"""Structured Streaming jobs (ST1-ST4): see also ``isolation`` for ST4 as a stream.
 
 Landed files are the stream: a file source (``readStream`` with a declared
 schema) replaces the sync tool's cursor with a checkpoint, and
@@ -14,7 +14,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from castline.operators import landing as ld
 from castline.operators import maintain as mn
+from castline.operators import versions as vs
 
 col = F.col
 
@@ -67,17 +69,66 @@ def stream_insert_once(spark: SparkSession, src: str, schema, target: str, check
     q.awaitTermination()
 
 
-# ST4 --------------------------------------------------------------------------
-METRIC_SCHEMA = "struct<k: bigint>"
+def stream_insert_once_bounded(spark: SparkSession, src: str, schema, target: str, checkpoint: str, keys: list[str],
+                               event_time: str, arrival: str, delay: str, order: list[str] | None = None,
+                               files_per_batch: int | None = None) -> list[dict]:
+    """ST3 with bounded state: repeated records are dropped by a keyed state store, not by reading the table.
+
+    ``event_time`` is when a record came to be and is the same in each copy of it; ``arrival`` is when this copy
+    landed.  Records that arrive within ``delay`` of their event time go through
+    ``dropDuplicatesWithinWatermark``: the watermark is never beyond ``arrival - delay``, so no such
+    record is late, and the state of a key is kept as long as a copy of it can still arrive in time.  Older ones
+    (few: a late first copy, or a copy of an old record) are inserted if absent, reading only
+    the files that can hold their keys.  State rows are bounded by the records of one ``delay``,
+    whatever the size of the table.  Records without an event time take the second way.
+
+    Both lanes read the same drops with checkpoints of their own; the second one runs after the first,
+    so that it sees what that wrote.  Returns the progress of the first lane: rows of state, and rows
+    that came too late (none, if no event time lies after its arrival).
+    """
+    horizon = col(arrival) - F.expr(f"INTERVAL {delay}")
+    fresh = col(event_time).isNotNull() & (col(event_time) >= horizon) & (col(event_time) <= col(arrival))
+
+    def append(batch: DataFrame, epoch: int) -> None:
+        # A batch that is run again after a failure finds its rows by their keys.
+        if not batch.isEmpty():
+            mn.insert_if_absent_table(batch.sparkSession, target, batch, keys, order) if epoch in replayed else mn.append_table(
+                batch.sparkSession, target, batch, keys)
+
+    # Only the batch that a crash may have left half done can be written twice: the first one of this start.
+    replayed = {_next_batch(spark, f"{checkpoint}/fresh")}
+    once = (_source(spark, src, schema, files_per_batch).where(fresh).withWatermark(event_time, delay)
+            .dropDuplicatesWithinWatermark(keys))
+    q = (once.writeStream.foreachBatch(append).option("checkpointLocation", f"{checkpoint}/fresh")
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    progress = [{"batch": p["batchId"], "rows": p["numInputRows"], "state_rows": s["numRowsTotal"], "late": s["numRowsDroppedByWatermark"]}
+                for p in q.recentProgress for s in p["stateOperators"]]
+
+    def insert(batch: DataFrame, _epoch: int) -> None:
+        if not batch.isEmpty():
+            mn.insert_if_absent_table(batch.sparkSession, target, batch, keys, order)
+
+    q = (_source(spark, src, schema, files_per_batch).where(~fresh | col(event_time).isNull()).writeStream.foreachBatch(insert)
+         .option("checkpointLocation", f"{checkpoint}/old").trigger(availableNow=True).start())
+    q.awaitTermination()
+    return progress
+
 
+def _next_batch(spark: SparkSession, checkpoint: str) -> int:
+    """The number of the first batch that a query with this checkpoint runs."""
+    done = [int(n) for n in vs.Folder(spark, f"{checkpoint}/commits").names() if n.isdigit()]
+    return max(done, default=-1) + 1
 
+
+# ST4 --------------------------------------------------------------------------
 def split_valid(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Parse each landed record; malformed ones go to quarantine instead of
+    """Parse each landed record once; malformed ones go to quarantine instead of
     failing the run (one bad record or platform never stops the others)."""
-    parsed = lines.withColumn("_m", F.from_json("payload", METRIC_SCHEMA, {"mode": "PERMISSIVE"}))
-    ok = F.get_json_object("payload", "$.k").isNotNull()
-    good = parsed.where(ok).select("record_id", "platform", "metric_date", col("_m.k").alias("k"))
-    rejected = parsed.where(~ok).select("record_id", "platform", "metric_date", "payload")
+    parsed = ld.parsed(lines).withColumn("k", ld.field(col(ld.DOC), "$.k", "bigint"))
+    cols = [c for c in lines.columns if c != "payload"]
+    good = parsed.where("k IS NOT NULL").select(*cols, "k")
+    rejected = parsed.where("k IS NULL").select(*cols, "payload")
     return good, rejected
 
 

@@ -100,10 +100,10 @@ def test_incremental_rebuild_is_idempotent(spark, cat, tmp_path):
     path = str(tmp_path / "fde")
     build = lambda s, e: t2_engagement(cat, s, e)
     mn.incremental_by_time_range(spark, build, path, "metric_date", "2024-01-01", "2024-01-31", 10)
-    first = rows(spark.read.parquet(path))
+    first = rows(mn.read_table(spark, path))
     mn.incremental_by_time_range(spark, build, path, "metric_date", "2024-01-11", "2024-01-20", 10)  # re-run a batch
-    assert rows(spark.read.parquet(path)) == first
-    assert spark.read.parquet(path).count() == t2_engagement(cat, "2024-01-01", "2024-01-31").count()
+    assert rows(mn.read_table(spark, path)) == first
+    assert mn.read_table(spark, path).count() == t2_engagement(cat, "2024-01-01", "2024-01-31").count()
 
 
 def test_calendar_inner_join_drops_dates_outside_range(spark, cat):

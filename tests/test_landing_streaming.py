@@ -4,6 +4,7 @@ import json
 from pyspark.sql import functions as F
 
 from castline.operators import landing as ld
+from castline.operators import maintain as mn
 from castline.streaming import streams as st
 from tests.conftest import rows
 
@@ -65,7 +66,7 @@ def test_stream_upsert_replay_with_fresh_checkpoint(spark, tmp_path):
     for ck in ("ck1", "ck2"):
         st.stream_upsert(spark, src, b.schema, target, str(tmp_path / ck), ["k"], ["v", "ver"], ["ver"],
                          files_per_batch=1)
-    assert rows(spark.read.parquet(target)) == [(1, "a3", 3), (2, "b", 1), (3, "c", 2)]
+    assert rows(mn.read_table(spark, target)) == [(1, "a3", 3), (2, "b", 1), (3, "c", 2)]
 
 
 def test_partial_failure_quarantines_bad_records(spark):
