@@ -23,8 +23,9 @@ a threshold; the result is the connected component of each document.
    nodes are the queries: DivideSkip sets the longest lists aside, merges the
    short ones and looks candidates up in the long ones by binary search; what
    reaches the overlap is returned with it.  A hot pivot's queries are spread over
-   cells, with its list copied to each.
-5. Rest.  Nodes linked to their pivot are in its component.  Others may still link
+   cells, with its list copied to each.  A node asks its smallest pivot first, and then only pivots that are in
+   another component, so that a large group of near copies is not searched once for each signature.
+5. Rest.  Nodes in their pivot's component are done.  Others may still link
    to members of the pivot's buckets; by the triangle inequality of the Jaccard
    distance only to members whose distance to the pivot is near theirs.  Those are
    indexed, in chunks of bounded size, and searched once more in the same way; a
@@ -393,19 +394,28 @@ def search_pivots(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return occurrence_search(placed.select("cell", F.col("pivot").alias("node")), placed.select("cell", "node"), sets, percent)
 
 
+def with_components(pairs: DataFrame, comps: DataFrame) -> DataFrame:
+    """``pairs`` with the components ``comp`` of the node and ``comp_pivot`` of the pivot (itself without links)."""
+    held = pairs.groupBy("pivot").agg(F.count(F.lit(1)).alias("n_pivot"))
+    named = staged(held.join(comps.select(F.col("node").alias("pivot"), F.col("comp").alias("c")).hint("merge"), "pivot", "left").select(
+        "pivot", "n_pivot", F.coalesce("c", "pivot").alias("comp_pivot")), "join-pivots")
+    both = hot_join(pairs, named, "pivot", "n_pivot").drop("n_pivot")
+    return both.join(comps.hint("merge"), "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+
+
 def search_rest(pairs: DataFrame, found: DataFrame, comps: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Step 4: nodes that are not linked to their pivot, against the members of its buckets that are near enough."""
+    """Step 5: nodes that are not in their pivot's component, against the members of its buckets that are near enough."""
     reach = (100 - percent) / 100
     known = found.select("node", F.col("other").alias("pivot"), "inter", "n_node", "n_other").distinct()
     union = F.col("n_node") + F.col("n_other") - F.col("inter")
     far = pairs.join(known, ["node", "pivot"], "left").select(
         "node", "pivot", F.coalesce(100 * F.col("inter") >= percent * union, F.lit(False)).alias("linked"),
-        # a pair that the search did not report is further apart than twice the reach
+        # a pair that the search did not report is further apart than twice the reach, or was not asked for
         F.coalesce(1 - F.col("inter") / union, F.lit(2 * reach)).alias("dist"))
-    far = staged(far.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node")), "join-far")
+    far = staged(with_components(staged(far, "join-far"), comps).withColumn("open", F.col("comp") != F.col("comp_pivot")), "join-far")
     groups = staged(far.groupBy("pivot").agg(
-        F.min(F.when(~F.col("linked"), F.col("dist"))).alias("nearest"),
-        F.count(F.when(~F.col("linked"), 1)).alias("n_open"), F.count(F.lit(1)).alias("n_all")).where("n_open > 0"), "join-groups")
+        F.min(F.when(F.col("open"), F.col("dist"))).alias("nearest"),
+        F.count(F.when(F.col("open"), 1)).alias("n_open"), F.count(F.lit(1)).alias("n_all")).where("n_open > 0"), "join-groups")
     near = staged(hot_join(far, groups, "pivot", "n_all").where(~F.col("linked") | (F.col("dist") >= F.col("nearest") - reach - 1e-9)),
                   "join-near")
     # A group whose members are one node or one component has nothing left to find.
@@ -418,7 +428,7 @@ def search_rest(pairs: DataFrame, found: DataFrame, comps: DataFrame, sets: Data
     sides = F.ceil(F.col("n_open") / CELL).cast("long")
     index = rows.withColumn("chunk", F.pmod(F.xxhash64("node"), chunks)).withColumn(
         "side", F.explode(F.sequence(F.lit(0).cast("long"), sides - 1)))
-    queries = rows.where("NOT linked").withColumn("side", F.pmod(F.xxhash64("node", F.lit(1)), sides)).withColumn(
+    queries = rows.where("open").withColumn("side", F.pmod(F.xxhash64("node", F.lit(1)), sides)).withColumn(
         "chunk", F.explode(F.sequence(F.lit(0).cast("long"), chunks - 1)))
     cell = F.xxhash64("pivot", "chunk", "side")
     return occurrence_search(index.select(cell.alias("cell"), "node", "comp"), queries.select(cell.alias("cell"), "node", "comp"),
@@ -489,11 +499,18 @@ def pair_edges(docs: DataFrame, classes: DataFrame, pairs: DataFrame, n: int, pe
     involved = pairs.select("node").union(pairs.select("pivot")).distinct()
     nodes = staged(classes.join(involved, "node").select("node", "rep", "thash"), "join-nodes")
     sets = staged(sets_again(docs, nodes, n, lambda keys: keys), "join-keys")
-    found = staged(search_pivots(pairs, sets, 100 - 2 * (100 - percent)), "join-found")
-    edges = linked(found, percent)
-    rest = staged(search_rest(pairs, found, components(edges), sets, percent), "join-rest")
+    # One pivot for each node first; of the others only those that are in another component by then.
+    low = 100 - 2 * (100 - percent)
+    first = staged(pairs.groupBy("node").agg(F.min("pivot").alias("pivot")), "join-first")
+    found = staged(search_pivots(first, sets, low), "join-found")
+    left = with_components(pairs, components(linked(found, percent))).where("comp <> comp_pivot").select("node", "pivot").join(
+        first.select("node", F.col("pivot").alias("asked")).hint("merge"), "node").where("pivot <> asked").select("node", "pivot")
+    more = staged(search_pivots(staged(left, "join-left"), sets, low), "join-found")
+    every = found.unionByName(more)
+    edges = linked(every, percent)
+    rest = staged(search_rest(pairs, every, components(edges), sets, percent), "join-rest")
     edges = staged(edges.union(linked(rest, percent)), "join-edges")
-    discard(sets, nodes, found, rest)
+    discard(sets, nodes, first, found, more, rest)
     return edges
 
 
