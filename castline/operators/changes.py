@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from castline.operators import maintain as mn
+from castline.operators.dims import CALENDAR_END, CALENDAR_START
 from castline.operators.versions import Layout, Snapshot, commit, read_files, read_table, snapshot, write_files
 from castline.session import staged
 
@@ -115,12 +116,14 @@ def incremental_by_change(source: DataFrame, date_col: str, build: Callable[[str
 SUMS = ("views", "likes", "comments", "shares", "watch_time_seconds")
 
 
-def month_parts(engagement: DataFrame) -> DataFrame:
-    """Totals of a content in a month that add up over months: sums, first and last day, and its days as bits."""
+def month_parts(engagement: DataFrame, first: str, last: str) -> DataFrame:
+    """Totals of a content in a month that add up over months: sums, first and last day, and its days as bits.
+
+    Days outside the calendar don't count, as in the full rebuild."""
     day = col("metric_date")
-    return engagement.groupBy("content_key", mn.month_of(day).alias("month")).agg(
+    return engagement.where(day.between(F.lit(first).cast("date"), F.lit(last).cast("date"))).groupBy("content_key", mn.month_of(day).alias("month")).agg(
         *[F.sum(c).alias(c) for c in SUMS], F.min(day).alias("first_day"), F.max(day).alias("last_day"),
-        F.bit_or(F.call_function("shiftleft", F.lit(1), F.dayofmonth(day))).alias("days"))
+        F.bit_or(F.call_function("shiftleft", F.lit(1).cast("bigint"), F.dayofmonth(day))).alias("days"))
 
 
 def totals(parts: DataFrame) -> DataFrame:
@@ -136,6 +139,8 @@ class PerformanceByChange:
     spark: SparkSession
     engagement: str
     root: str
+    first: str = CALENDAR_START
+    last: str = CALENDAR_END
 
     def refresh(self) -> list[str]:
         """Take the days whose data files changed since the last refresh; returns their months."""
@@ -153,7 +158,7 @@ class PerformanceByChange:
         files = [f for m in stale for f in by_month.get(m, [])]
         parts = snapshot(spark, f"{root}/parts")
         old = None if parts is None else read_files(spark, f"{root}/parts", parts, [f for f in parts.files if f.part in stale])
-        fresh = month_parts(read_files(spark, self.engagement, snap, files))
+        fresh = month_parts(read_files(spark, self.engagement, snap, files), self.first, self.last)
         layout = Layout("month")
         fresh_files = write_files(fresh, f"{root}/parts", layout)
         base = parts or Snapshot(0, fresh.schema, layout)

@@ -243,8 +243,7 @@ def _insert_once_bounded(c):
              ("2024-03-31", rows.withColumn("comment_text", again("2024-01-12")).unionByName(
                  c.raw("batch_comments").where("parent_platform_comment_id IS NOT NULL")))]
     for day, drop in drops:
-        landed = drop.select(*[col(x) for x in _COM if x != "published_at"], col("published_at").cast("timestamp").alias("published_at"),
-                             F.lit(day).cast("timestamp").alias("landed_at"))
+        landed = drop.select(*_COM, F.lit(day).cast("timestamp_ntz").alias("landed_at"))
         landed.write.mode("append").parquet(src)
         st.stream_insert_once_bounded(c.spark, src, landed.schema, target, ck, ["episode_id", "platform_comment_id"],
                                       "published_at", "landed_at", "7 days", ["landed_at", "comment_text"])
@@ -258,16 +257,15 @@ UNION ALL SELECT {_NO_TIME} FROM batch_comments WHERE parent_platform_comment_id
 
 
 def _isolation(c):
-    """Drops of ten days each; one platform sends nothing usable in the first three drops, is held, and comes back."""
+    """Drops of five days each, each a day after the last; one platform sends nothing usable in the first three drops, is held, and comes back."""
     src, root = scratch_path(c.spark, "st4-landing"), scratch_path(c.spark, "st4")
     lines = pl.platform_metric_lines(c)
     number = F.floor((F.dayofmonth("metric_date") - 1) / 5).cast("int")
-    lines = lines.withColumn("drop", F.expr("timestamp'2024-01-01 00:00:00'") + F.make_dt_interval(number)).withColumn(
+    lines = lines.withColumn("drop", F.lit("2024-01-01").cast("timestamp_ltz") + F.make_dt_interval(number)).withColumn(
         "payload", F.when((col("platform") == "amazon_music") & (number < 3), F.concat(F.lit("{oops "), "payload")).otherwise(col("payload")))
     for n in range(7):
         lines.where(number == n).write.mode("append").parquet(src)
         iso.run_drops(c.spark, src, lines.schema, root)
-    # A last, empty day after all timers.
     return iso.run_log(c.spark, root)
 
 

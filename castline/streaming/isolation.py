@@ -34,8 +34,8 @@ FAILURES = 3
 HOLD_MS = 2 * 24 * 3600 * 1000
 EXPIRY_MS = 30 * 24 * 3600 * 1000
 
-OUTCOME = "platform string, drop timestamp, ok bigint, bad bigint"
-DECISION = "platform string, drop timestamp, action string, failures int"
+OUTCOME = "platform string, drop timestamp_ltz, ok bigint, bad bigint"
+DECISION = "platform string, drop timestamp_ltz, action string, failures int"
 # failures in a row, held until (ms, 0: not held), drops that wait (ms), last drop seen (ms)
 STATE = "failures int, until bigint, waiting array<bigint>, last bigint"
 
@@ -123,7 +123,7 @@ def apply_decisions(spark: SparkSession, src: str, schema, root: str) -> None:
     open_ = through(spark, root)
     if done is not None:
         open_ = open_.join(done, ["platform", "drop"], "left_anti")
-    open_ = spark.createDataFrame(open_.collect(), "platform string, drop timestamp")      # a row a platform and drop of this run
+    open_ = spark.createDataFrame(open_.collect(), "platform string, drop timestamp_ltz")      # a row a platform and drop of this run
     lines = spark.read.schema(schema).parquet(src).join(F.broadcast(open_), ["platform", "drop"], "left_semi")
     good, rejected = split_valid(lines)
     for name, rows in (("metrics", good), ("quarantine", rejected)):

@@ -79,15 +79,15 @@ def stream_insert_once_bounded(spark: SparkSession, src: str, schema, target: st
     ``dropDuplicatesWithinWatermark``: the watermark is never beyond ``arrival - delay``, so no such
     record is late, and the state of a key is kept as long as a copy of it can still arrive in time.  Older ones
     (few: a late first copy, or a copy of an old record) are inserted if absent, reading only
-    the files that can hold their keys.  State rows are bounded by the records of one ``delay``,
-    whatever the size of the table.  Records without an event time take the second way.
+    the files that can hold their keys.  A key is kept until the watermark is ``delay`` beyond its event time, so state
+    rows are bounded by the records of two delays and the last drops, whatever the size of the table.  Records without an event time take the second way.
 
     Both lanes read the same drops with checkpoints of their own; the second one runs after the first,
     so that it sees what that wrote.  Returns the progress of the first lane: rows of state, and rows
     that came too late (none, if no event time lies after its arrival).
     """
-    horizon = col(arrival) - F.expr(f"INTERVAL {delay}")
-    fresh = col(event_time).isNotNull() & (col(event_time) >= horizon) & (col(event_time) <= col(arrival))
+    event, landed = col(event_time).cast("timestamp_ltz"), col(arrival).cast("timestamp_ltz")
+    fresh = event.isNotNull() & landed.isNotNull() & (event >= landed - F.expr(f"INTERVAL {delay}")) & (event <= landed)
 
     def append(batch: DataFrame, epoch: int) -> None:
         # A batch that is run again after a failure finds its rows by their keys.
@@ -97,8 +97,8 @@ def stream_insert_once_bounded(spark: SparkSession, src: str, schema, target: st
 
     # Only the batch that a crash may have left half done can be written twice: the first one of this start.
     replayed = {_next_batch(spark, f"{checkpoint}/fresh")}
-    once = (_source(spark, src, schema, files_per_batch).where(fresh).withWatermark(event_time, delay)
-            .dropDuplicatesWithinWatermark(keys))
+    once = (_source(spark, src, schema, files_per_batch).where(fresh).withColumn("_event", event).withWatermark("_event", delay)
+            .dropDuplicatesWithinWatermark(keys).drop("_event"))
     q = (once.writeStream.foreachBatch(append).option("checkpointLocation", f"{checkpoint}/fresh")
          .trigger(availableNow=True).start())
     q.awaitTermination()
@@ -109,7 +109,7 @@ def stream_insert_once_bounded(spark: SparkSession, src: str, schema, target: st
         if not batch.isEmpty():
             mn.insert_if_absent_table(batch.sparkSession, target, batch, keys, order)
 
-    q = (_source(spark, src, schema, files_per_batch).where(~fresh | col(event_time).isNull()).writeStream.foreachBatch(insert)
+    q = (_source(spark, src, schema, files_per_batch).where(~F.coalesce(fresh, F.lit(False))).writeStream.foreachBatch(insert)
          .option("checkpointLocation", f"{checkpoint}/old").trigger(availableNow=True).start())
     q.awaitTermination()
     return progress
