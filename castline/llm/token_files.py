@@ -18,7 +18,8 @@ offset is the sum of the counts of the files before it, one row a file.
 
 Equal stretches of text between ASCII white space are encoded once a worker; the
 tokenizer drops white space, so ids of a text are those of its stretches in
-order.  The cache is bounded and changes no result.
+order.  The cache is bounded and changes no result.  Whether a tokenizer is of that kind is read from its
+file; texts of others are encoded whole.
 
 Defined results: null text counts as empty and gives the end id alone; null
 document ids come first; rows that share an id follow each other in the order of
@@ -50,6 +51,18 @@ END_ID = 2
 FILE_IDS = 1 << 24
 CACHE = 400_000
 BLOCK = 512
+#: Values that are packed, and boundaries that are selected, at a time (a multiple of eight).
+RUN = 1 << 13
+#: How the tokenizers whose stretches are encoded apart treat a text: in lower case, without white space, runs of letters, single
+#: digits and runs of other characters each on their own.  Texts of any other tokenizer are encoded whole.
+APART = {
+    "normalizer": {"type": "Sequence", "normalizers": [
+        {"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]},
+    "pre_tokenizer": {"type": "Sequence", "pretokenizers": [
+        {"type": "Split", "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"},
+         "behavior": "Removed", "invert": True},
+        {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]},
+}
 MAGIC, HEAD = b"EFID1", 512
 MANIFEST = "shard int, seq int, path string, n_docs bigint, n_ids bigint"
 
@@ -67,14 +80,16 @@ class EliasFano:
         if not n:
             return EliasFano(0, 0, np.zeros(0, np.uint8), np.zeros(0, np.uint8), np.zeros(0, np.uint32))
         bits = max(0, (int(v[-1]) // n).bit_length() - 1)
-        lows = (v[:, None] >> np.arange(bits, dtype=np.uint64)) & np.uint64(1)
+        steps = np.arange(bits, dtype=np.uint64)
+        # A multiple of eight values at a time, so that no matrix of all bits is held.
+        low = [np.packbits(((v[at:at + RUN, None] >> steps) & np.uint64(1)).astype(np.uint8).ravel(), bitorder="little")
+               for at in range(0, n, RUN)]
         ones = (v >> np.uint64(bits)).astype(np.int64) + np.arange(n)
         size = -(-(int(ones[-1]) + 1) // BLOCK) * BLOCK
         unary = np.zeros(size, np.uint8)
         unary[ones] = 1
         ranks = np.concatenate([[0], np.cumsum(unary.reshape(-1, BLOCK).sum(1, dtype=np.int64))[:-1]]).astype(np.uint32)
-        return EliasFano(n, bits, np.packbits(lows.astype(np.uint8).ravel(), bitorder="little"),
-                         np.packbits(unary, bitorder="little"), ranks)
+        return EliasFano(n, bits, np.concatenate(low), np.packbits(unary, bitorder="little"), ranks)
 
     def select(self, i: int) -> int:
         """Position of the i-th one of the unary part."""
@@ -91,14 +106,26 @@ class EliasFano:
             low |= (int(self.low[at >> 3]) >> (at & 7) & 1) << k
         return (self.select(i) - i) << self.low_bits | low
 
-    def all(self) -> np.ndarray:
-        high = np.flatnonzero(np.unpackbits(self.high, bitorder="little"))[:self.n] - np.arange(self.n)
+    def selected(self, first: int, stop: int) -> np.ndarray:
+        """The values ``first`` to ``stop - 1``, by a select of the blocks that hold them."""
+        stop = min(stop, self.n)
+        if first >= stop:
+            return np.zeros(0, np.uint64)
+        begin, end = np.searchsorted(self.ranks, [first, stop - 1], "right") - 1
+        unary = np.unpackbits(self.high[begin * BLOCK // 8:(end + 1) * BLOCK // 8], bitorder="little")
+        skip = int(self.ranks[begin])
+        high = np.flatnonzero(unary)[first - skip:stop - skip] + begin * BLOCK - np.arange(first, stop)
         if not self.low_bits:
             return high.astype(np.uint64)
-        bits = np.unpackbits(self.low, bitorder="little", count=self.n * self.low_bits).reshape(self.n, self.low_bits)
+        at = first * self.low_bits
+        bits = np.unpackbits(self.low[at >> 3:-(-stop * self.low_bits // 8)], bitorder="little")[at & 7:]
+        bits = bits[:(stop - first) * self.low_bits].reshape(stop - first, self.low_bits)
         low = (bits.astype(np.uint64) << np.arange(self.low_bits, dtype=np.uint64)).sum(1, dtype=np.uint64)
         return high.astype(np.uint64) << np.uint64(self.low_bits) | low
 
+    def all(self) -> np.ndarray:
+        return np.concatenate([np.zeros(0, np.uint64), *(self.selected(at, at + RUN) for at in range(0, self.n, RUN))])
+
     def parts(self) -> list[bytes]:
         return [self.low.tobytes(), self.high.tobytes(), self.ranks.astype("<u4").tobytes()]
 
@@ -178,6 +205,8 @@ class Encoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
+        told = json.loads(self.tokenizer.to_str())
+        self.apart = all(told.get(k) == v for k, v in APART.items())
         self.after = re.compile(rb"(?<=[a-z0-9])([.,;:!?]+)(?!\S)")
         self.width = 2 if self.tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else 4
         self.code = "H" if self.width == 2 else "I"
@@ -227,6 +256,9 @@ class Encoder:
         return out
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
+        if not self.apart:
+            found = self.tokenizer.encode_batch_fast([t or "" for t in texts], add_special_tokens=False)
+            return [array(self.code, e.ids).tobytes() for e in found]
         cut = [self.stretches(t) for t in texts]
         ids = [list(map(self.young.get, words)) for words in cut]
         gaps = list(map(gaps_of, ids))
@@ -304,10 +336,13 @@ def read(manifest: DataFrame) -> DataFrame:
         for b in batches:
             for path, start in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
                 f = TokenFile(read_file(path))
-                ends = f.ends.all().astype(np.int64)
-                begins = np.concatenate([[0], ends[:-1]])
-                crcs = [zlib.crc32(f.ids[a:e].astype("<u4").tobytes()) for a, e in zip(begins, ends, strict=True)]
-                yield batch(schema, f.doc_ids(), begins + start, ends - begins, crcs)
+                names, last = f.doc_ids(), 0
+                for at in range(0, f.ends.n, RUN):
+                    ends = f.ends.selected(at, at + RUN).astype(np.int64)
+                    begins = np.concatenate([[last], ends[:-1]])
+                    last = int(ends[-1])
+                    crcs = [zlib.crc32(f.ids[a:e].astype("<u4").tobytes()) for a, e in zip(begins, ends, strict=True)]
+                    yield batch(schema, names[at:at + RUN], begins + start, ends - begins, crcs)
 
     n = max(manifest.count(), 1)
     return manifest.select("path", "start").repartition(n).mapInArrow(

@@ -1,9 +1,11 @@
 """Operators against brute force, the tokenizers' own libraries, exact round trips and held-out accuracy."""
 import collections
 import hashlib
+import math
 import random
 import re
 import zlib
+from itertools import groupby
 
 import duckdb
 import numpy as np
@@ -431,6 +433,7 @@ def test_elias_fano(values):
     values = sorted(values)
     ef = token_files.EliasFano.of(np.array(values, np.uint64))
     assert ef.all().tolist() == values
+    assert ef.selected(7, 700).tolist() == values[7:700] and ef.selected(513, 514).tolist() == values[513:514]
     for i in range(0, len(values), 37):
         assert ef.get(i) == values[i]
     if len(values) >= 1000:
@@ -438,6 +441,24 @@ def test_elias_fano(values):
         assert bits <= 3 + max(0, np.log2(values[-1] / len(values) + 1)) + 1
 
 
+def test_other_tokenizers_encode_whole_texts(tmp_path):
+    import json
+
+    import public_tokenizers as P
+    from tokenizers import Tokenizer
+    told = json.load(open(P.path("word_bpe_49k.json")))
+    assert token_files.encoder(P.path("word_bpe_49k.json")).apart
+    told["normalizer"] = {"type": "NFC"}      # a cased one: words in capitals are other pieces
+    path = str(tmp_path / "cased.json")
+    json.dump(told, open(path, "w"))
+    own, library = token_files.encoder(path), Tokenizer.from_file(path)
+    texts = ["HELLO World", "a  b\n c", None, "", "Don't STOP, now!"]
+    assert not own.apart
+    assert [np.frombuffer(b, "<u2").tolist() for b in own.encode(texts)] == [
+        library.encode(t or "", add_special_tokens=False).ids for t in texts]
+    assert library.encode("HELLO", add_special_tokens=False).ids != library.encode("hello", add_special_tokens=False).ids
+
+
 def test_token_file_random_access():
     ids = [np.arange(n, dtype="<u2").tobytes() for n in (3, 0, 700, 1)]
     f = token_files.TokenFile(token_files.TokenFile.pack([None, -5, 7, 2**40], ids, 2))
@@ -513,6 +534,48 @@ def test_mix_meets_limit_and_budget(spark):
         assert p["budget"] - longest < part <= p["budget"]
 
 
+def test_mix_equals_a_plain_computation(spark):
+    """Weights, passes and budgets in plain Python; only the permutations' places are taken from the operator."""
+    from pyspark.sql import functions as F
+    rnd = random.Random(8)
+    rows = [(i, " ".join(["w"] * rnd.choice([0, 1, 3, 10, 40])), rnd.choice(["a"] * 12 + ["b"] * 5 + ["c"] * 2 + [None])) for i in range(400)]
+    rows += [(1000, None, "empty"), (1001, "", "empty"), rows[5], rows[5]]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    limit = 3.0
+    tokens = collections.Counter()
+    for _, text, source in rows:
+        tokens[source] += len((text or "").split())
+    total, known = sum(tokens.values()), {s: n for s, n in tokens.items() if n}
+    top, low = max(known.values()), min(known.values())
+    alpha = max(0.0, 1 - math.log(limit) / math.log(top / low))      # the flattest weights within the limit
+    norm = sum((n / total) ** alpha for n in known.values())
+    epochs = {s: round((n / top) ** (alpha - 1), 9) if n else 1.0 for s, n in tokens.items()}
+    most = max(int(e) for e in epochs.values()) + 1
+    placed = docs.select("doc_id", "text", "source", mixing.row_hash().alias("row")).withColumn(
+        "epoch", F.explode(F.sequence(F.lit(0), F.lit(most)))).withColumn("place", mixing.place(F.col("row"), F.col("epoch"))).collect()
+    want = collections.Counter()
+    for s in tokens:
+        whole = int(epochs[s])
+        budget = round((epochs[s] - whole) * tokens[s])
+        own = sorted((r for r in placed if r["source"] == s and r["epoch"] == whole), key=lambda r: r["place"])
+        used, cut = 0, 1.0 if budget else 0.0
+        for at, group in groupby(own, key=lambda r: r["place"]):
+            used += sum(len((r["text"] or "").split()) for r in group)
+            if budget and used > budget:
+                cut = at
+                break
+        for r in placed:
+            if r["source"] == s and (r["epoch"] < whole or r["epoch"] == whole and r["place"] < cut):
+                want[r["doc_id"], s, r["epoch"]] += 1
+    got = mixing.mix(docs, limit=limit).collect()
+    assert collections.Counter((r["doc_id"], r["source"], r["epoch"]) for r in got) == want
+    for r in got:
+        n = tokens[r["source"]]
+        assert r["weight"] == pytest.approx((n / total) ** alpha / norm if n else 0.0, rel=1e-6)
+    ordered = [r["source"] for r in sorted(got, key=lambda r: r["position"])]
+    assert ordered.count("a") > 100 and {"b", "c"} <= set(ordered[:len(ordered) // 4])      # every source from the start
+
+
 def test_mix_meets_entropy(spark):
     docs = spark.createDataFrame([(i, "w " * 10, "a" if i % 10 else f"s{i % 7}") for i in range(2000)],
                                  "doc_id bigint, text string, source string")
