@@ -49,6 +49,30 @@ def duplicate_groups(df: DataFrame, *columns: str, include_nulls: bool = True) -
     return (src.groupBy(*columns).agg(F.count(F.lit(1)).alias("cnt")).where(col("cnt") > 1))
 
 
+#: Slots of the sieve's bitmap: 4 MB, whatever the size of the table.
+SIEVE_SLOTS = 1 << 25
+
+
+def duplicate_groups_sieved(df: DataFrame, *columns: str) -> DataFrame:
+    """:func:`duplicate_groups` by two passes of which only the second one moves keys.
+
+    First pass: a 64-bit hash of each key is counted (partial aggregates of hashes), and the slots of those seen twice become
+    bitmaps of 32,768 bits that merge by OR; all of them are at most ``SIEVE_SLOTS`` bits, which bounds the
+    broadcast.  Second pass: rows whose slot is set, and only those, are grouped by their whole key.  Two different
+    keys with one hash or slot only make the second pass look at more rows.
+    """
+    slot = F.pmod(F.xxhash64(*columns), F.lit(SIEVE_SLOTS)) + 1       # Spark's bitmap buckets count from 1
+    twice = (df.select(F.xxhash64(*columns).alias("h")).groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+             .select((F.pmod("h", F.lit(SIEVE_SLOTS)) + 1).alias("slot")))
+    marks = twice.groupBy(F.expr("bitmap_bucket_number(slot)").alias("_bucket")).agg(
+        F.expr("bitmap_construct_agg(bitmap_bit_position(slot))").alias("_bits"))
+    rows = df.select(*columns, slot.alias("_slot")).withColumns(
+        {"_bucket": F.expr("bitmap_bucket_number(_slot)"), "_at": F.expr("bitmap_bit_position(_slot)")})
+    byte = F.conv(F.hex(F.substring(F.col("_bits"), (F.col("_at") / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    suspect = rows.join(F.broadcast(marks), "_bucket").where(F.call_function("getbit", byte, (F.col("_at") % 8).cast("int")) == 1)
+    return suspect.groupBy(*columns).agg(F.count(F.lit(1)).alias("cnt")).where(col("cnt") > 1)
+
+
 def assert_valid_date_key(df: DataFrame, column: str, dim_date: DataFrame) -> DataFrame:
     """Q-REF / JN12: non-NULL keys missing from the (bounded, broadcast) calendar."""
     d = F.broadcast(dim_date.select(col("date_key").alias("_dk")))

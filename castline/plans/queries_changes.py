@@ -9,10 +9,14 @@ from castline.operators import changes as ch
 from castline.operators import collector as cl
 from castline.operators import contributors as cb
 from castline.operators import facts as fx
+from castline.operators import audits as au
 from castline.operators import landing as ld
+from castline.operators import layout as ly
 from castline.operators import maintain as mn
 from castline.operators import threads as th
-from castline.plans.queries import S, t2_dim_content, t2_engagement
+from castline.plans import oracle_reports as orp
+from castline.plans import reports as rp
+from castline.plans.queries import S, collector, t2_dim_content, t2_engagement
 from castline.plans.queries_landing import _COLLECT, _PLATFORM_SQL, landed_documents
 from castline.plans.queries_ops import _COM
 from castline.plans.registry import register
@@ -277,3 +281,26 @@ FROM (SELECT platform, count(CASE WHEN ok THEN 1 END) AS records_ok, count(CASE
       FROM (SELECT *, event_type <> 'error' AND NOT (platform = 'amazon_music' AND day_no < 15) AS ok
             FROM (SELECT *, day(ts) - 1 AS day_no, CASE event_id % 4 WHEN 0 THEN 'apple_podcasts' WHEN 1 THEN 'spotify'
                             WHEN 2 THEN 'amazon_music' ELSE 'youtube' END AS platform FROM events) x) y GROUP BY 1) t""")
+
+
+# ------------------------------------------------------ co-bucketed joins, sieved keys
+def _bucketed(c):
+    p, pe, pem, psm = collector(c)
+    return p, ly.bucketed(pe, "id", "episodes"), ly.bucketed(pem, "episode_id", "episode_metrics"), psm
+
+
+def _latest_bucketed(c):
+    p, pe, pem, _ = _bucketed(c)
+    return rp.metrics_latest(pem, pe, p)
+
+
+def _summary_bucketed(c):
+    p, pe, pem, psm = _bucketed(c)
+    return rp.performance_summary(p, pe, pem, psm)
+
+
+register("metrics_latest_bucketed", _latest_bucketed, orp.REPORTS["metrics_latest"], ("completion_rate",))
+register("performance_summary_bucketed", _summary_bucketed, orp.REPORTS["performance_summary"], ("avg_completion_rate",))
+register("assert_unique_sieve", lambda c: au.duplicate_groups_sieved(S(c, "stg_youtube_video_metrics"), "video_id", "metric_date"),
+         """SELECT video_id, metric_date, count(*) AS cnt FROM stg_youtube_video_metrics
+            GROUP BY video_id, metric_date HAVING count(*) > 1""")

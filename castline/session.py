@@ -47,6 +47,7 @@ def get_session(master: str = "local[8]", shuffle_partitions: int | None = 8,
         .appName(app_name)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="castline-warehouse-", dir="/tmp"))
         .config("spark.driver.memory", os.environ.get("CASTLINE_DRIVER_MEMORY", "16g"))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
     )

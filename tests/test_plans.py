@@ -83,3 +83,35 @@ def test_aggregate_before_join_bounds_join_outputs(spark, cat):
     top = QUERIES["top_podcast_episodes"](spark, SF_SMALL)
     top.collect()
     assert max(join_output_rows(top)) <= episodes
+
+
+def test_bucketed_metrics_are_not_shuffled_for_their_joins(spark, cat):
+    from castline.operators import layout as ly
+    from castline.plans import reports as rp
+    from castline.plans.queries import collector
+    p, pe, pem, psm = collector(cat)
+    pe, pem = ly.bucketed(pe, "id", "episodes", 4), ly.bucketed(pem, "episode_id", "episode_metrics", 4)
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for df in (rp.metrics_latest(pem, pe, p), rp.performance_summary(p, pe, pem, psm)):
+            plan = df._jdf.queryExecution().executedPlan().toString()
+            assert "SortMergeJoin [episode_id" in plan
+            assert "hashpartitioning(episode_id" not in plan and "hashpartitioning(id#" not in plan.split("podcast_id")[0]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+
+
+def test_the_sieve_shuffles_hashes_and_groups_suspects_only(spark):
+    from pyspark.sql import functions as F
+
+    from castline.operators import audits as au
+    rows_ = [(f"k{i % 90}", None if i % 7 == 0 else i % 90) for i in range(100)] + [(None, None)] * 3 + [("only", 1)]
+    df = spark.createDataFrame(rows_, "a string, b int")
+    assert sorted(map(tuple, au.duplicate_groups_sieved(df, "a", "b").collect()), key=repr) == sorted(
+        map(tuple, au.duplicate_groups(df, "a", "b").collect()), key=repr)
+    unique = spark.range(1000).select(F.concat(F.lit("a long key "), F.col("id")).alias("a"))
+    sieved = au.duplicate_groups_sieved(unique, "a")
+    assert sieved.collect() == []
+    plan = sieved._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(h#" in plan
