@@ -14,7 +14,9 @@ text between white space are encoded once a worker (a bounded cache that is
 emptied when full, which changes no result).
 
 Defined results: null text counts as empty and gives no tokens; empty text the
-same; any Unicode text round-trips; extra columns are ignored by ``op4``.
+same; any Unicode text round-trips; texts of any length are encoded whole; null ids pass
+through; repeated rows are each encoded, and equal texts get equal ids; an empty table gives an
+empty result; other columns are ignored.
 """
 
 from __future__ import annotations

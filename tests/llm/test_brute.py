@@ -493,6 +493,48 @@ def test_quality_counts(spark, texts):
         assert not (got[i]["base_failed"] and got[i]["kept"])
 
 
+def plain_verdicts(docs, labels):
+    """Kept or not, and the mean log ratio, by plain counts of 4-grams; all labelled documents are the sample."""
+    def buckets(text):
+        data = (text or "").encode()
+        return [(int.from_bytes(data[k:k + 4], "little") * 0x9E3779B1 % 2**32) >> 16 for k in range(len(data) - 3)]
+
+    good = {}
+    for i, q in labels:
+        if i is not None and q is not None:
+            good[i] = min(good.get(i, 1), int(q == 1))
+    found = {i: buckets(text) for i, text in docs}
+    raw = collections.Counter(b for bs in found.values() for b in bs)
+    target = collections.Counter(b for i, bs in found.items() if good.get(i) == 1 for b in bs)
+    size = 1 << 16
+    n_raw, n_target = sum(raw.values()) + size, sum(target.values()) + size
+    ratio = {b: math.log((target[b] + 1) / n_target) - math.log((raw[b] + 1) / n_raw) for b in raw}
+    mean = {i: sum(ratio[b] for b in bs) / len(bs) if bs else 0.0 for i, bs in found.items()}
+    ranked = sorted(mean[i] for i, g in good.items() if g == 1 and i in mean)
+    bad = sorted(mean[i] for i, g in good.items() if g == 0 and i in mean)
+    cut = -math.inf
+    if ranked and bad:
+        floor = ranked[int((1 - quality.KEEP_SHARE) * (len(ranked) - 1))]
+        middle = (bad[(len(bad) - 1) // 2] + bad[len(bad) // 2]) / 2
+        cut = floor - quality.SLACK * (floor - middle) if middle < floor else cut
+    out = {}
+    for i, text in docs:
+        w = re.findall(WORD, text or "")
+        windows = collections.Counter(tuple(w[k:k + 8]) for k in range(len(w) - 7))
+        repeat = {k + j for k in range(len(w) - 7) if windows[tuple(w[k:k + 8])] > 1 for j in range(8)}
+        out[i] = (len(w) >= 20 and 100 * len(repeat) <= 30 * len(w) and mean[i] >= cut, mean[i])
+    return out
+
+
+def test_quality_scores_by_plain_counts(spark, texts):
+    labels = duckdb.connect().execute(f"select doc_id, quality from '{SF_SMALL}/labels.parquet'").fetchall()
+    want = plain_verdicts(texts, labels)
+    got = by_id(run(spark, "op6_quality_rules"))
+    assert {i: r["kept"] for i, r in got.items()} == {i: k for i, (k, _) in want.items()}
+    assert [got[i]["llr"] for i in want] == pytest.approx([m for _, m in want.values()], rel=1e-9, abs=1e-12)
+    assert len({k for k, _ in want.values()}) == 2
+
+
 def test_quality_separates_labels(spark):
     got = by_id(E.queries()["op6_quality_rules"](spark, SF_ORACLE))
     labels = duckdb.connect().execute(f"select doc_id, quality from '{SF_ORACLE}/labels.parquet'").fetchall()
@@ -534,48 +576,73 @@ def test_mix_meets_limit_and_budget(spark):
         assert p["budget"] - longest < part <= p["budget"]
 
 
-def test_mix_equals_a_plain_computation(spark):
-    """Weights, passes and budgets in plain Python; only the permutations' places are taken from the operator."""
+def plain_mix(spark, rows, limit):
+    """Uses of ``(doc_id, source, epoch)`` and the weight of each source, in plain Python; only the places in the permutations are
+    taken from the operator."""
     from pyspark.sql import functions as F
-    rnd = random.Random(8)
-    rows = [(i, " ".join(["w"] * rnd.choice([0, 1, 3, 10, 40])), rnd.choice(["a"] * 12 + ["b"] * 5 + ["c"] * 2 + [None])) for i in range(400)]
-    rows += [(1000, None, "empty"), (1001, "", "empty"), rows[5], rows[5]]
-    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
-    limit = 3.0
     tokens = collections.Counter()
     for _, text, source in rows:
-        tokens[source] += len((text or "").split())
+        tokens[source] += len(re.findall(WORD, text or ""))
     total, known = sum(tokens.values()), {s: n for s, n in tokens.items() if n}
     top, low = max(known.values()), min(known.values())
-    alpha = max(0.0, 1 - math.log(limit) / math.log(top / low))      # the flattest weights within the limit
+    alpha = max(0.0, 1 - math.log(limit) / math.log(top / low)) if top > low else 0.0      # the flattest weights within the limit
     norm = sum((n / total) ** alpha for n in known.values())
     epochs = {s: round((n / top) ** (alpha - 1), 9) if n else 1.0 for s, n in tokens.items()}
-    most = max(int(e) for e in epochs.values()) + 1
-    placed = docs.select("doc_id", "text", "source", mixing.row_hash().alias("row")).withColumn(
-        "epoch", F.explode(F.sequence(F.lit(0), F.lit(most)))).withColumn("place", mixing.place(F.col("row"), F.col("epoch"))).collect()
-    want = collections.Counter()
+    placed = spark.createDataFrame(rows, "doc_id bigint, text string, source string").select(
+        "doc_id", "text", "source", mixing.row_hash().alias("row")).withColumn(
+        "epoch", F.explode(F.sequence(F.lit(0), F.lit(max(int(e) for e in epochs.values()) + 1)))).withColumn(
+        "place", mixing.place(F.col("row"), F.col("epoch"))).collect()
+    uses = collections.Counter()
     for s in tokens:
         whole = int(epochs[s])
         budget = round((epochs[s] - whole) * tokens[s])
         own = sorted((r for r in placed if r["source"] == s and r["epoch"] == whole), key=lambda r: r["place"])
         used, cut = 0, 1.0 if budget else 0.0
         for at, group in groupby(own, key=lambda r: r["place"]):
-            used += sum(len((r["text"] or "").split()) for r in group)
+            used += sum(len(re.findall(WORD, r["text"] or "")) for r in group)
             if budget and used > budget:
                 cut = at
                 break
         for r in placed:
             if r["source"] == s and (r["epoch"] < whole or r["epoch"] == whole and r["place"] < cut):
-                want[r["doc_id"], s, r["epoch"]] += 1
-    got = mixing.mix(docs, limit=limit).collect()
+                uses[r["doc_id"], s, r["epoch"]] += 1
+    return uses, {s: (n / total) ** alpha / norm if n else 0.0 for s, n in tokens.items()}
+
+
+def test_mix_equals_a_plain_computation(spark):
+    rnd = random.Random(8)
+    rows = [(i, " ".join(["w"] * rnd.choice([0, 1, 3, 10, 40])), rnd.choice(["a"] * 12 + ["b"] * 5 + ["c"] * 2 + [None])) for i in range(400)]
+    rows += [(1000, None, "empty"), (1001, "", "empty"), rows[5], rows[5]]
+    want, weights = plain_mix(spark, rows, 3.0)
+    got = mixing.mix(spark.createDataFrame(rows, "doc_id bigint, text string, source string"), limit=3.0).collect()
     assert collections.Counter((r["doc_id"], r["source"], r["epoch"]) for r in got) == want
-    for r in got:
-        n = tokens[r["source"]]
-        assert r["weight"] == pytest.approx((n / total) ** alpha / norm if n else 0.0, rel=1e-6)
+    assert [r["weight"] for r in got] == pytest.approx([weights[r["source"]] for r in got], rel=1e-6)
     ordered = [r["source"] for r in sorted(got, key=lambda r: r["position"])]
     assert ordered.count("a") > 100 and {"b", "c"} <= set(ordered[:len(ordered) // 4])      # every source from the start
 
 
+def test_pipeline_equals_its_stages_in_plain_python(spark, byte_encoders):
+    import corpus_pipeline
+    con = duckdb.connect()
+    docs = con.execute(f"select doc_id, text, source from '{SF_SMALL}/documents.parquet' order by 1").fetchall()
+    labels = con.execute(f"select doc_id, quality from '{SF_SMALL}/labels.parquet'").fetchall()
+    verdicts = plain_verdicts([d[:2] for d in docs], labels)
+    docs = [d for d in docs if verdicts[d[0]][0]]
+    first = {}
+    for d in docs:
+        first.setdefault(re.sub(WHITE + "+", " ", d[1] or ""), d)
+    docs = sorted(first.values())
+    near = components_of([d[:2] for d in docs], 80, 5)
+    docs = [d for d in docs if near[d[0]][1] == d[0] or not near[d[0]][0]]
+    uses, _ = plain_mix(spark, docs, mixing.REPEAT_LIMIT)
+    want = collections.Counter()
+    for (i, _, _), n in uses.items():
+        ids = byte_encoders[1].encode_ordinary(next(d[1] for d in docs if d[0] == i) or "")
+        want[i, len(ids), hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest()] += n
+    got = corpus_pipeline.run(spark, SF_SMALL).collect()
+    assert collections.Counter((r["doc_id"], r["n_tokens"], r["ids_sha256"]) for r in got) == want
+
+
 def test_mix_meets_entropy(spark):
     docs = spark.createDataFrame([(i, "w " * 10, "a" if i % 10 else f"s{i % 7}") for i in range(2000)],
                                  "doc_id bigint, text string, source string")
