@@ -3,6 +3,13 @@
 Each stage takes ``(spark, docs, sf_dir)`` and works on all rows that the stage
 before it kept; its result is written as Parquet and read again as the next one's
 ``docs``.  All but the last return the columns of ``documents``.
+
+Defined results: a null or empty text fails the base rules and goes with the first
+stage; texts of any length are taken whole; of equal texts, and of each component
+of near copies, the row with the smallest id stays (null ids last, then the smaller hash of
+the text), and rows that repeat id and text are one from the second stage on; a null language,
+source or length passes through, a null source being a source of its own; an empty table
+gives an empty result; extra columns pass through all stages but the last.
 """
 
 from __future__ import annotations
