@@ -1,49 +1,49 @@
-"""Distinct contributors of any window (A12): exact sets as bitmaps that merge.
+"""Distinct contributors of any window (A12): exact counts by the days on which an author enters and leaves it.
 
-Authors of a repository get dense codes; a day's authors are one bitmap of 32,768 bits for each range of codes.
-Daily bitmaps are the table to keep: raw commits are read once, and a window of any length is an OR of
-bitmaps, counted at the end.
+An author is in the window that ends on day d if the author's last day with commits up to d lies in it.  So each such
+day adds one to the count, and takes it away again when the window has moved on or the author commits
+again, whichever is first.  These changes are summed by day and then along the days of a repository: the work is in
+proportion to the commits, whatever the number of authors or the length of the windows.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 col = F.col
 WINDOWS = (7, 30, 90)
 
 
-def author_codes(commits: DataFrame) -> DataFrame:
-    """``repo_full_name, author_email, code`` from 1 on: the place among the repository's distinct authors.
+def author_days(commits: DataFrame) -> DataFrame:
+    """``repo_full_name, author_email, n, again``: an author's days (numbers) with commits, and the next one of each.
 
-    Only distinct authors of a repository (pre-aggregated) are ordered, never its commits.
+    Rows are dealt by repository and author once; the copies of a day and the next day are found there.
     """
-    pairs = commits.where(col("author_email").isNotNull()).select("repo_full_name", "author_email").distinct()
-    return pairs.withColumn("code", F.row_number().over(Window.partitionBy("repo_full_name").orderBy("author_email")).cast("long"))
+    seen = commits.select("repo_full_name", "author_email", F.unix_date(col("committed_at").cast("date")).alias("n"))
+    each = seen.repartition("repo_full_name", "author_email").distinct()
+    return each.withColumn("again", F.lead("n").over(Window.partitionBy("repo_full_name", "author_email").orderBy("n")))
 
 
-def daily_bitmaps(commits: DataFrame, codes: DataFrame) -> DataFrame:
-    """``repo_full_name, day, bucket, authors``: the bitmap of a day's authors."""
-    day = col("committed_at").cast("date")
-    seen = commits.select("repo_full_name", "author_email", day.alias("day")).distinct()
-    return seen.join(codes, ["repo_full_name", "author_email"]).groupBy(
-        "repo_full_name", "day", F.expr("bitmap_bucket_number(code)").alias("bucket")).agg(
-        F.expr("bitmap_construct_agg(bitmap_bit_position(code))").alias("authors"))
+def changes(days: DataFrame, windows: tuple[int, ...]) -> DataFrame:
+    """``repo_full_name, n, active`` and the change of each window's count on day n."""
+    def at(n, of: int | None, by: int):
+        """A change of window ``of`` (None: of all, on a day with commits)."""
+        return F.struct(n.alias("n"), F.lit(of is None).alias("active"),
+                        *[F.lit(by if of in (None, w) else 0).alias(f"contributors_{w}d") for w in windows])
+
+    named = col("author_email").isNotNull()
+    moves = F.when(named, F.array(at(col("n"), None, 1), *[at(F.least(col("n") + w, col("again")), w, -1) for w in windows])) \
+        .otherwise(F.array(at(col("n"), None, 0)))
+    return days.select("repo_full_name", F.explode(moves).alias("c")).select("repo_full_name", "c.*")
 
 
 def contributors_rolling(commits: DataFrame, windows: tuple[int, ...] = WINDOWS) -> DataFrame:
     """``repo_full_name, day, contributors_<n>d``: distinct authors of the days up to each day with commits."""
     commits = commits.where(col("repo_full_name").isNotNull() & col("committed_at").isNotNull())
-    bitmaps = daily_bitmaps(commits, author_codes(commits))
-    days = commits.select("repo_full_name", col("committed_at").cast("date").alias("day")).distinct()
-    # A window of a code range counts on every day of the repository, also on those without an author of that range.
-    grid = days.join(bitmaps.select("repo_full_name", "bucket").distinct(), "repo_full_name", "left")
-    placed = grid.join(bitmaps, ["repo_full_name", "day", "bucket"], "left").withColumn("n", F.unix_date("day"))
-
-    def last(n: int) -> Column:
-        over = Window.partitionBy("repo_full_name", "bucket").orderBy("n").rangeBetween(-(n - 1), 0)
-        return F.coalesce(F.bitmap_count(F.bitmap_or_agg("authors").over(over)), F.lit(0))
-
-    counted = placed.select("repo_full_name", "day", *[last(n).alias(f"contributors_{n}d") for n in windows])
-    return counted.groupBy("repo_full_name", "day").agg(*[F.sum(f"contributors_{n}d").alias(f"contributors_{n}d") for n in windows])
+    names = [f"contributors_{w}d" for w in windows]
+    daily = changes(author_days(commits), windows).groupBy("repo_full_name", "n").agg(
+        F.max("active").alias("active"), *[F.sum(c).alias(c) for c in names])
+    so_far = Window.partitionBy("repo_full_name").orderBy("n").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return daily.withColumns({c: F.sum(c).over(so_far) for c in names}).where("active").select(
+        "repo_full_name", F.date_from_unix_date("n").alias("day"), *names)
