@@ -285,8 +285,9 @@ FROM (SELECT platform, count(CASE WHEN ok THEN 1 END) AS records_ok, count(CASE
 
 # ------------------------------------------------------ co-bucketed joins, sieved keys
 def _bucketed(c):
-    p, pe, pem, psm = collector(c)
-    return p, ly.bucketed(pe, "id", "episodes"), ly.bucketed(pem, "episode_id", "episode_metrics"), psm
+    p, pe, _, psm = collector(c)
+    pem = c.raw("raw_podcast_episode_metrics", parts=ly.bucket_count(c.spark))      # dealt by the episode into the buckets
+    return p, ly.bucketed(pe, "id", "episodes"), ly.bucketed(pem, "episode_id", "episode_metrics", dealt=True), psm
 
 
 def _latest_bucketed(c):
