@@ -356,6 +356,55 @@ def test_signatures_meet_and_no_empty_part_is_signed(percent):
     assert max(empty.values()) == 1      # sets without a common n-gram share nothing
 
 
+@pytest.mark.parametrize("percent", [80, 90])
+def test_rarest_signatures_meet_for_every_link(percent):
+    """In families around one base, where most signatures are frequent, linked sets keep one in common."""
+    rnd, links, dropped = np.random.default_rng(6), 0, 0
+    for size in (12, 40, 90, 200, 350):
+        base = rnd.integers(0, 2**64, size, dtype=np.uint64)
+        family = []
+        for _ in range(60):
+            out = int(rnd.integers(0, size * (100 - percent) // 100 + 2))
+            kept = rnd.permutation(base)[out:]
+            family.append(np.unique(np.concatenate([kept, rnd.integers(0, 2**64, int(rnd.integers(0, 3)), dtype=np.uint64)])))
+        parts = [ngram_join.signed_parts(s, percent) for s in family]
+        n = collections.Counter(h for own in parts for hashes, _ in own for h in hashes.tolist())
+        held = [set() for _ in family]
+        for k, own in enumerate(parts):
+            for hashes, spare in own:
+                dropped += spare
+                held[k].update(sorted(hashes.tolist(), key=lambda h: (n[h], h))[:len(hashes) - spare])
+        for i, a in enumerate(family):
+            for j, b in enumerate(family[:i]):
+                inter = len(np.intersect1d(a, b))
+                if 100 * inter >= percent * (len(a) + len(b) - inter) and not np.array_equal(a, b):
+                    links += 1
+                    assert held[i] & held[j]
+    assert links > 100 and dropped > 100
+
+
+def test_texts_far_from_their_family_are_not_paired_with_it(spark, monkeypatch):
+    """Texts that keep much of one base but are linked with nothing, and a few that are, which link as in brute force."""
+    made, staged = {}, ngram_join.staged
+
+    def noted(df, name):
+        out = staged(df, name)
+        made[name] = out.count()
+        return out
+
+    monkeypatch.setattr(ngram_join, "staged", noted)
+    rnd = random.Random(5)
+    base, docs = [f"b{k}" for k in range(150)], []
+    for i in range(120):
+        w = list(base)
+        for k in range(rnd.randrange(7), 150, 11) if i % 10 else [i]:
+            w[k] = f"x{i}y{k}"
+        docs.append((i, " ".join(w)))
+    want = check_join_at(spark, docs, 5, 80)
+    assert {c for i, (_, c) in want.items() if i % 10 == 0} == {0} and len({c for _, c in want.values()}) > 60
+    assert made["join-pairs"] < 4 * len(docs)
+
+
 @settings(max_examples=150, deadline=None)
 @given(st.lists(st.sets(st.integers(0, 40), min_size=1), min_size=1, max_size=25), st.sets(st.integers(0, 45), min_size=1),
        st.integers(1, 12))
