@@ -29,6 +29,7 @@ other columns are ignored.
 
 from __future__ import annotations
 
+import gc
 import json
 import re
 import uuid
@@ -42,7 +43,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from castline.llm.arrow import batch, slices
+from castline.llm.arrow import batch, sized
 from castline.llm.common import partitions, staged, table
 from castline.session import scratch_path
 
@@ -207,7 +208,8 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         told = json.loads(self.tokenizer.to_str())
         self.apart = all(told.get(k) == v for k, v in APART.items())
-        self.after = re.compile(rb"(?<=[a-z0-9])([.,;:!?]+)(?!\S)")
+        # It begins with a mark, so that a search goes from mark to mark.
+        self.after = re.compile(rb"([.,;:!?](?<=[a-z0-9].)[.,;:!?]*)(?!\S)")
         self.width = 2 if self.tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else 4
         self.code = "H" if self.width == 2 else "I"
         self.young: dict[bytes, bytes] = {}
@@ -259,6 +261,15 @@ class Encoder:
         if not self.apart:
             found = self.tokenizer.encode_batch_fast([t or "" for t in texts], add_special_tokens=False)
             return [array(self.code, e.ids).tobytes() for e in found]
+        on = gc.isenabled()
+        gc.disable()      # no cycles are made here, and each pass would go through the whole cache
+        try:
+            return self._joined(texts)
+        finally:
+            if on:
+                gc.enable()
+
+    def _joined(self, texts: list[str | None]) -> list[bytes]:
         cut = [self.stretches(t) for t in texts]
         ids = [list(map(self.young.get, words)) for words in cut]
         gaps = list(map(gaps_of, ids))
@@ -309,7 +320,7 @@ def write(docs: DataFrame, folder: str, tokenizer: str | None = None, end_id: in
             write_file(path, TokenFile.pack(doc_ids, ids, enc.width))
             return batch(schema, [shard], [seq], [path], [len(ids)], [held // enc.width])
 
-        for b in slices(batches):
+        for b in sized(batches, 1):      # stretches of more texts are asked for once
             for doc_id, own in zip(b.column(0).to_pylist(), enc.encode(b.column(1).to_pylist()), strict=True):
                 doc_ids.append(doc_id)
                 ids.append(own + end)

@@ -405,6 +405,37 @@ def test_texts_far_from_their_family_are_not_paired_with_it(spark, monkeypatch):
     assert made["join-pairs"] < 4 * len(docs)
 
 
+def test_batches_are_cut_by_rows_and_bytes():
+    import pyarrow as pa
+    from castline.llm.arrow import sized
+    texts = ["a" * 5, None, "b" * 30, "", "cc", None, "d" * 9, "é", "e" * 10]
+    rows = pa.RecordBatch.from_arrays([pa.array(range(9)), pa.array(texts)], names=["id", "text"])
+    for b in (rows, rows.slice(2, 5), rows.slice(0, 0)):
+        for most, size in ((3, 10), (100, 10), (2, 1000), (1, 1), (100, 1000)):
+            cut = list(sized([b, b], 1, most, size))
+            assert [t for c in cut for t in c.column(1).to_pylist()] == b.column(1).to_pylist() * 2
+            assert all(c.num_rows == 1 or c.num_rows <= most and sum(len((t or "").encode()) for t in c.column(1).to_pylist()) <= size
+                       for c in cut)
+
+
+def test_token_files_ask_for_a_stretch_once_in_a_thousand_texts(monkeypatch):
+    """Texts of one task that share rare stretches: one call to the tokenizer, and garbage collection stays as it was."""
+    import gc
+    import public_tokenizers
+    import pyarrow as pa
+    from castline.llm import token_files
+    from castline.llm.arrow import sized
+    enc, calls = token_files.Encoder(public_tokenizers.path("word_bpe_49k.json")), []
+    learn = enc.learn
+    monkeypatch.setattr(enc, "learn", lambda s: calls.append((len(s), gc.isenabled())) or learn(s))
+    texts = [f"rare{k % 10}word plain text" for k in range(1000)]
+    rows = pa.RecordBatch.from_arrays([pa.array(range(1000)), pa.array(texts)], names=["id", "text"])
+    ids = [i for b in sized([rows], 1) for i in enc.encode(b.column(1).to_pylist())]
+    assert calls == [(12, False)] and gc.isenabled()
+    plain = enc.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+    assert [np.frombuffer(i, f"<u{enc.width}").tolist() for i in ids] == [e.ids for e in plain]
+
+
 @settings(max_examples=150, deadline=None)
 @given(st.lists(st.sets(st.integers(0, 40), min_size=1), min_size=1, max_size=25), st.sets(st.integers(0, 45), min_size=1),
        st.integers(1, 12))
