@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from castline.operators import landing as ld
 from castline.operators import maintain as mn
-from castline.session import scratch_path
+from castline.session import scratch_path, together
 
 col = F.col
 #: Key buckets of the written tables: a batch rewrites and scans only those its keys fall to.
@@ -118,7 +118,24 @@ def collect(spark: SparkSession, landed: dict[str, DataFrame], root: str, at: st
     """
     run = Run(spark, root, at, buckets)
 
-    shows = run.staged(ld.flatten_channel(run.parsed(landed["channels"], "channel", "podcast_id"), keep=["platform"]))
+    # What needs nobody's ids is done for all kinds side by side.
+    def channels() -> DataFrame:
+        return run.staged(ld.flatten_channel(run.parsed(landed["channels"], "channel", "podcast_id"), keep=["platform"]))
+
+    def video_rows() -> DataFrame:
+        return ld.flatten_videos(run.parsed(landed["videos"], "video", "podcast_id"), keep=["platform"])
+
+    def report_rows() -> DataFrame:
+        return run.dated(ld.flatten_report_rows(run.parsed(landed["reports"], "report", "video_id"), keep=["platform"]), "report", "video_id")
+
+    def comment_rows() -> DataFrame:
+        return run.staged(ld.flatten_comments(run.parsed(landed["threads"], "thread", "video_id"), key="video_id", keep=["platform"]))
+
+    def show_report_rows() -> DataFrame:
+        return run.dated(ld.flatten_show_rows(run.parsed(landed["show_reports"], "show report", "podcast_id"), keep=["platform"]),
+                         "show report", "podcast_id")
+
+    reports, show_rows, videos, comments, shows = together(spark, report_rows, show_report_rows, video_rows, comment_rows, channels)
     run.reject(shows.where("platform_id IS NULL"), "channel", "podcast_id", "no item")
     shows = shows.where("platform_id IS NOT NULL").withColumns(
         {"show": col("podcast_id"), "id": surrogate_id("platform", "platform_id"), "show_name": col("platform_id")})
@@ -128,7 +145,6 @@ def collect(spark: SparkSession, landed: dict[str, DataFrame], root: str, at: st
     names = run.staged(shows.select("platform", "platform_id", "show").distinct().join(ids, ["platform", "platform_id"]).select(
         "platform", col("show").alias("podcast_id"), "show_id"))
 
-    videos = ld.flatten_videos(run.parsed(landed["videos"], "video", "podcast_id"), keep=["platform"])
     videos = run.known(videos, names, ["platform", "podcast_id"], "video", "platform_episode_id", "unknown show").withColumn(
         "podcast_id", col("show_id"))
     videos = videos.withColumn("id", surrogate_id("podcast_id", "platform_episode_id"))
@@ -136,8 +152,6 @@ def collect(spark: SparkSession, landed: dict[str, DataFrame], root: str, at: st
                         ["updated_at", "episode_title"])
     run.distinct_ids("raw_podcast_episodes", episodes, ["podcast_id", "platform_episode_id"])
 
-    reports = run.dated(ld.flatten_report_rows(run.parsed(landed["reports"], "report", "video_id"), keep=["platform"]), "report", "video_id")
-    comments = run.staged(ld.flatten_comments(run.parsed(landed["threads"], "thread", "video_id"), key="video_id", keep=["platform"]))
     # Ids of the episodes that this run's rows name: no other row of the table takes part in the joins.
     asked = reports.select("video_id").union(comments.select("video_id")).distinct()
     shows_of = names.select("platform", col("show_id").alias("podcast_id")).distinct()
@@ -145,23 +159,26 @@ def collect(spark: SparkSession, landed: dict[str, DataFrame], root: str, at: st
         run.table("raw_podcast_episodes").select("podcast_id", col("platform_episode_id").alias("video_id"), col("id").alias("episode_id"))
         .join(asked, "video_id", "left_semi").join(shows_of, "podcast_id").select("platform", "video_id", "episode_id"))
 
-    reports = run.known(reports, platform_of, ["platform", "video_id"], "report", "video_id", "unknown episode")
-    metric = _columns("raw_podcast_episode_metrics")
-    daily = run.load("raw_podcast_episode_metrics", reports, ["episode_id", "metric_date"],
-                     [c for c in metric if c not in ("episode_id", "metric_date", "created_at")], ["updated_at", "views"])
-
-    show_rows = run.dated(ld.flatten_show_rows(run.parsed(landed["show_reports"], "show report", "podcast_id"), keep=["platform"]),
-                          "show report", "podcast_id")
-    show_rows = run.known(show_rows, names, ["platform", "podcast_id"], "show report", "podcast_id", "unknown show").withColumn(
-        "podcast_id", col("show_id"))
-    metric = _columns("raw_podcast_show_metrics")
-    show_daily = run.load("raw_podcast_show_metrics", show_rows, ["podcast_id", "metric_date"],
-                          [c for c in metric if c not in ("podcast_id", "metric_date", "created_at")],
-                          ["updated_at", "total_views"])
-
-    comments = run.known(comments, platform_of, ["platform", "video_id"], "comment", "platform_comment_id", "unknown episode")
-    mn.insert_if_absent_table(spark, f"{run.root}/raw_podcast_comments", _shaped(comments, _columns("raw_podcast_comments")),
-                              ["episode_id", "platform_comment_id"], ["published_at", "comment_text"], buckets=buckets)
+    def load_reports() -> DataFrame:
+        rows = run.known(reports, platform_of, ["platform", "video_id"], "report", "video_id", "unknown episode")
+        metric = _columns("raw_podcast_episode_metrics")
+        return run.load("raw_podcast_episode_metrics", rows, ["episode_id", "metric_date"],
+                        [c for c in metric if c not in ("episode_id", "metric_date", "created_at")], ["updated_at", "views"])
+
+    def load_show_reports() -> DataFrame:
+        rows = run.known(show_rows, names, ["platform", "podcast_id"], "show report", "podcast_id", "unknown show").withColumn(
+            "podcast_id", col("show_id"))
+        metric = _columns("raw_podcast_show_metrics")
+        return run.load("raw_podcast_show_metrics", rows, ["podcast_id", "metric_date"],
+                        [c for c in metric if c not in ("podcast_id", "metric_date", "created_at")],
+                        ["updated_at", "total_views"])
+
+    def load_comments() -> None:
+        rows = run.known(comments, platform_of, ["platform", "video_id"], "comment", "platform_comment_id", "unknown episode")
+        mn.insert_if_absent_table(spark, f"{run.root}/raw_podcast_comments", _shaped(rows, _columns("raw_podcast_comments")),
+                                  ["episode_id", "platform_comment_id"], ["published_at", "comment_text"], buckets=buckets)
+
+    daily, show_daily, _ = together(spark, load_reports, load_show_reports, load_comments)
 
     rejects = run.rejects[0]
     for more in run.rejects[1:]:

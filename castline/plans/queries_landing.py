@@ -10,7 +10,7 @@ from castline.operators import maintain as mn
 from castline.plans import oracle as O
 from castline.plans.queries_ops import _COM, _PEM
 from castline.plans.registry import register
-from castline.session import scratch_path
+from castline.session import scratch_path, staged, together
 from castline.sources import payloads as pl
 from castline.streaming import streams as st
 
@@ -105,10 +105,16 @@ def landed_documents(c):
     }
 
 
+def landed_files(c):
+    """The documents as files: each run, and each step of one that reads them again, reads those."""
+    docs = landed_documents(c)
+    return dict(zip(docs, together(c.spark, *[lambda k=k: staged(docs[k], f"landed-{k}") for k in docs]), strict=True))
+
+
 def _collected(c, times=1):
-    root = scratch_path(c.spark, "collected")
+    root, landed = scratch_path(c.spark, "collected"), landed_files(c)
     for _ in range(times):
-        run = cl.collect(c.spark, landed_documents(c), root, "2024-02-01 02:00:00")
+        run = cl.collect(c.spark, landed, root, "2024-02-01 02:00:00")
     return run
 
 
