@@ -186,8 +186,7 @@ def _stream_upsert(c):
     """Late corrections arrive in two drops; each run upserts the new files in
     one micro-batch, then everything is replayed on a fresh checkpoint."""
     src, target = scratch_path(c.spark, "st2-landing"), scratch_path(c.spark, "st2-target")
-    base = c.raw("raw_podcast_episode_metrics")
-    mn.full_rebuild(base, target, ["metric_date"])
+    mn.full_rebuild(c.raw("raw_podcast_episode_metrics", by_day=True), target, ["metric_date"], spread=None)
     batch = c.raw("batch_episode_metrics")
     keys, upd = ["episode_id", "metric_date"], [x for x in _PEM[2:] if x != "created_at"]
     ck = scratch_path(c.spark, "st2-ckpt")

@@ -89,3 +89,22 @@ def test_contributors_move_no_bitmaps(spark):
     assert "bitmap" not in plan(got)
     assert rows(got) == sorted([("r", day.date(), 2, 2, 2), ("r", dt.date(2024, 1, 4), 2, 2, 2), ("r", dt.date(2024, 1, 10), 1, 2, 2),
                                 ("r", dt.date(2025, 2, 4), 1, 1, 1), ("s", day.date(), 0, 0, 0)], key=repr)
+
+
+def test_tables_dealt_by_day_are_shuffled_once_and_hold_the_same_rows(spark, tmp_path):
+    c = lineitem(spark, tmp_path)
+    for name in DEALT:
+        df = c.raw(name, by_day=True)
+        text = plan(df)
+        assert text.count("Exchange") == 1 and "rangepartitioning(_day" in text
+        assert rows(df) == rows(c.raw(name)) and df.schema == c.raw(name).schema
+
+
+def test_a_table_dealt_by_day_is_written_where_it_lies(spark, tmp_path):
+    c = lineitem(spark, tmp_path)
+    path = f"{tmp_path}/t"
+    mn.full_rebuild(c.raw("raw_podcast_episode_metrics", by_day=True), path, ["metric_date"], spread=None)
+    assert rows(mn.read_table(spark, path)) == rows(c.raw("raw_podcast_episode_metrics"))
+    files = mn.snapshot(spark, path).files
+    days = {f.part for f in files}
+    assert None in days and len(files) < len(days) + int(spark.conf.get("spark.sql.shuffle.partitions"))

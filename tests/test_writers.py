@@ -179,6 +179,47 @@ def test_a_large_batch_gives_the_same_table(spark, tmp_path):
         assert rows(mn.read_table(spark, first)) == sorted([(1, 1, "b"), (3, 2, "a"), (None, 5, "m")], key=repr)
 
 
+WIDE = "k int, day string, made string, ver int, v double, tags map<string,int>"
+
+
+@pytest.mark.parametrize("layout", [vs.Layout("day", None, ("k", "day")), vs.Layout(None, 3, ("k", "day"))])
+def test_a_large_batch_is_merged_in_one_shuffle(spark, layout):
+    """Repeated and null keys on both sides, equal and null orders, columns that can't be compared."""
+    import random
+    rnd = random.Random(7)
+
+    def some(n, made):
+        return [(rnd.choice([None, *range(9)]), rnd.choice([None, "a", "b", "c"]), f"{made}{i}", rnd.choice([None, 1, 2, 3]),
+                 rnd.choice([None, 0.5, float("nan"), -0.0]), {"x": 1}) for i in range(n)]
+
+    target, batch = spark.createDataFrame(some(40, "t"), WIDE), spark.createDataFrame(some(60, "b"), WIDE)
+    keys, update, order = ["k", "day"], ["ver", "v", "tags"], ["ver"]
+    got = mn._upsert_by_range(target, batch, keys, update, order, layout)
+    assert got._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
+    assert got.schema.names == target.schema.names
+    assert repr(rows(got)) == repr(rows(mn.upsert(target, batch, keys, update, order)))
+    assert repr(rows(mn._upsert_by_range(got, batch, keys, update, order, layout))) == repr(rows(got))
+
+
+def test_a_large_batch_with_a_hot_key_is_collapsed_first(spark, tmp_path, monkeypatch):
+    plain = spark.createDataFrame([(i, n, "a") for i in range(50) for n in (1, 2)], KV)
+    hot = plain.unionByName(spark.createDataFrame([(7, n, "h") for n in range(60)], KV))
+    assert not mn._crowded(plain, ["k"]) and not mn._crowded(plain.limit(0), ["k"])
+    assert mn._crowded(plain.unionByName(plain), ["k"])                 # many rows of each key
+    assert not mn._crowded(hot.unionByName(spark.createDataFrame([(i, 1, "c") for i in range(100, 200)], KV)), ["k"])
+    monkeypatch.setattr(mn, "HOT_KEY_ROWS", 50)
+    big = hot.unionByName(spark.createDataFrame([(i, 1, "c") for i in range(100, 200)], KV))
+    assert mn._crowded(big, ["k"])
+    merged, seen = mn._upsert_by_range, []
+    monkeypatch.setattr(mn, "_upsert_by_range", lambda t, b, *a: seen.append(b.count()) or merged(t, b, *a))
+    path = f"{tmp_path}/t"
+    table(spark, path, [(7, 0, "t"), (300, 0, "t")])
+    mn.upsert_table(spark, path, big, ["k"], ["ver", "v"], ["ver"], broadcast_bytes=None)
+    assert seen == [150]
+    got = {r[0]: r for r in rows(mn.read_table(spark, path))}
+    assert len(got) == 151 and got[7] == (7, 59, "h") and got[8] == (8, 2, "a") and got[300] == (300, 0, "t")
+
+
 @pytest.mark.parametrize("broadcast", [None, 10**12])
 def test_both_ways_update_every_row_of_a_repeated_key_in_the_target(spark, broadcast):
     target = spark.createDataFrame([(None, 1, "x"), (None, 2, "y"), (1, 1, "x")], KV)
